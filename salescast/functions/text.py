@@ -28,25 +28,51 @@ def normalize_text(s: pd.Series) -> pd.Series:
     return s.map(_normalize_one)
 
 
-def with_normalized(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+def with_normalized(df: DataFrame, col: str, out: str | None = None,
+                    bound_rows: int | None = None) -> DataFrame:
     """Add ``out`` = normalize_text(``col``) computing the UDF once per distinct value.
 
-    The distinct set is a partial-aggregated shuffle of the key only; it joins
-    back on the raw key (the planner broadcasts it when its measured size is
-    small, otherwise a shuffled join).  Null keys stay null (kept out of groups).
+    The distinct key set is a partial-aggregated shuffle of the key column
+    only.  When the caller can bound the number of distinct keys
+    (``bound_rows``, e.g. the row count of the event dimension) the key map is
+    broadcast and the ticket rows are never shuffled; otherwise the join is
+    left to the planner.  Null keys stay null (kept out of groups, trap T8).
     """
+    from salescast.session import broadcast_bounded
+
     out = out or col
     keys = df.select(col).where(F.col(col).isNotNull()).distinct()
     keys = keys.withColumn("__norm", normalize_text(F.col(col)))
+    if bound_rows is not None:
+        keys = broadcast_bounded(keys, bound_rows)
     joined = df.join(keys, on=col, how="left")
     if out == col:
         return joined.drop(col).withColumnRenamed("__norm", col)
     return joined.withColumnRenamed("__norm", out)
 
 
+def standardize_city(df: DataFrame, known: DataFrame, city_col: str = "city",
+                     out: str = "city_standardized", bound_rows: int | None = None) -> DataFrame:
+    """Cleaned city if it is in the ``known`` list (one column ``city``), else 'other'.
+
+    ``known`` is a small reference table; it is broadcast behind ``bound_rows``.
+    Null cities become 'other' (trap T8).
+    """
+    from salescast.session import broadcast_bounded
+
+    k = known.select(F.col("city").alias("__known")).distinct()
+    if bound_rows is not None:
+        k = broadcast_bounded(k, bound_rows)
+    cleaned = df.withColumn("__city_clean", clean_city(F.col(city_col)))
+    joined = cleaned.join(k, F.col("__city_clean") == F.col("__known"), "left")
+    return (joined.withColumn(out, F.when(F.col("__known").isNotNull(), F.col("__city_clean"))
+                              .otherwise(F.lit("other")))
+            .drop("__known", "__city_clean"))
+
+
 def clean_city(c: Column) -> Column:
     """Lower, strip, collapse inner whitespace."""
-    return F.regexp_replace(F.trim(F.lower(c)), r"\s+", " ")
+    return F.regexp_replace(F.regexp_replace(F.lower(c), r"^\s+|\s+$", ""), r"\s+", " ")
 
 
 def canonical_event_name(name: Column, event_date: Column) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from salescast.functions.dates import calendar_exprs, floor_days, fractional_hours
 from salescast.functions.numeric import gender_std, log1p0
-from salescast.operators.stats import attach_one_row, global_medians
+from salescast.operators.stats import attach_one_row
 
 WEATHER_COLS = ["t_max", "t_min", "rain_fall", "max_wind"]
 ARTIST_METRICS = ["ChartmetricScore", "SpotifyPopularity", "SpotifyFollowers", "TikTokViews", "DeezerFans"]
@@ -153,21 +153,36 @@ def fused_event_aggregate(tickets: DataFrame, T: int, lag: int) -> DataFrame:
     return tickets.where(F.col("event_name").isNotNull()).groupBy("event_name").agg(*aggs)
 
 
-def time_block(agg: DataFrame) -> DataFrame:
-    """A06 + X13-X16 + X18 + X19 on the fused aggregate.  Events with any
-    missing date get a null time block (left-join semantics of the reference)."""
+def add_time_base(agg: DataFrame) -> DataFrame:
+    """A06 validity + raw duration (X18) before the median fill."""
     valid = (F.col("first_event_date").isNotNull() & F.col("__last_event_date").isNotNull()
              & F.col("__first_sale").isNotNull() & F.col("__last_sale_all").isNotNull()
              & F.col("__last_sale_upto").isNotNull())
     dur = fractional_hours("first_event_date", "__last_event_date")
     dur = F.when((dur < 0) | (dur > 30 * 24), F.lit(None)).otherwise(dur)
+    return (agg.withColumn("__valid", valid)
+            .withColumn("event_duration_hours", F.when(F.col("__valid"), dur)))
+
+
+# Per-event columns whose nulls are filled with the median over events.
+MEDIAN_FILLED = ["event_duration_hours", "avg_age", "std_age", "avg_product_value", "std_product_value",
+                 "avg_total_price", "scanned_percentage", "max_capacity"]
+
+
+def attach_event_medians(agg: DataFrame) -> DataFrame:
+    """All P11 fill values in ONE one-row aggregate over the per-event table
+    (the duration median only over events with a valid time block)."""
+    meds = agg.agg(*[F.percentile(F.when(F.col("__valid"), F.col(c)) if c == "event_duration_hours"
+                                  else F.col(c), F.lit(0.5)).alias(c + "_med") for c in MEDIAN_FILLED])
+    return attach_one_row(agg, meds)
+
+
+def time_block(agg: DataFrame) -> DataFrame:
+    """A06 + X13-X16 + X18 + X19.  Events with any missing date get a null
+    time block (left-join semantics of the reference)."""
     sales_dur = F.greatest(fractional_hours("__first_sale", "__last_sale_upto"), F.lit(0.0))
-    out = agg.withColumn("__valid", valid).withColumn(
-        "event_duration_hours", F.when(F.col("__valid"), dur))
-    med = global_medians(out.where("__valid"), ["event_duration_hours"])
-    out = attach_one_row(out, med)
     fill = F.coalesce(F.col("event_duration_hours"), F.col("event_duration_hours_med"), F.lit(4.0))
-    out = out.withColumn("event_duration_hours", F.when(F.col("__valid"), fill))
+    out = agg.withColumn("event_duration_hours", F.when(F.col("__valid"), fill))
     out = out.withColumn("sales_duration_hours_upto_t",
                          F.when(F.col("__valid"), F.coalesce(sales_dur, F.lit(0.0))))
     out = out.withColumn("log_sales_duration_hours_upto_t",
@@ -175,51 +190,40 @@ def time_block(agg: DataFrame) -> DataFrame:
     out = out.withColumn("first_event_date", F.when(F.col("__valid"), F.col("first_event_date")))
     for name, c in calendar_exprs(F.col("first_event_date")).items():
         out = out.withColumn(name, F.when(F.col("__valid"), c))
-    return out.drop("event_duration_hours_med")
+    return out
 
 
-def sales_block(agg: DataFrame, accel: DataFrame) -> DataFrame:
-    """A03 + A04 + W01 columns, zero-filled."""
+def sales_block(agg: DataFrame) -> DataFrame:
+    """A03 + A04 + W01 columns, zero-filled (``avg_acceleration`` joined in before)."""
     velocity = F.when(F.col("cumulative_sales_at_t") > 0,
                       F.col("cumulative_sales_at_t") / (F.col("__dmax") - F.col("__dmin") + 1))
-    out = agg.join(accel.select("event_name", "avg_acceleration"), "event_name", "left")
-    return (out.withColumn("log_cumulative_sales_at_t", log1p0(F.col("cumulative_sales_at_t")))
+    return (agg.withColumn("log_cumulative_sales_at_t", log1p0(F.col("cumulative_sales_at_t")))
             .withColumn("avg_daily_sales_before_t", F.coalesce(velocity, F.lit(0.0)))
             .withColumn("log_avg_daily_sales_before_t", log1p0(F.col("avg_daily_sales_before_t")))
             .withColumn("avg_acceleration", F.coalesce(F.col("avg_acceleration"), F.lit(0.0))))
 
 
-def demographic_block(agg: DataFrame, city_share: DataFrame) -> DataFrame:
+def demographic_block(agg: DataFrame) -> DataFrame:
     """A09 + A10 fills: ages by the median over events, the rest by 0."""
-    out = agg.join(city_share, "event_name", "left")
-    med = global_medians(out, ["avg_age", "std_age"])
-    out = attach_one_row(out, med)
-    out = (out.withColumn("avg_age", F.coalesce("avg_age", "avg_age_med"))
+    out = (agg.withColumn("avg_age", F.coalesce("avg_age", "avg_age_med"))
            .withColumn("std_age", F.coalesce("std_age", "std_age_med")))
-    has_rows = F.col("cumulative_sales_at_t") > 0
     for c in ["male_percentage", "female_percentage", "nb_percentage", "main_city_buyer_ratio"]:
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0.0)))
-    out = out.withColumn("unique_cities", F.when(has_rows, F.col("unique_cities")).otherwise(F.lit(0)))
-    out = out.withColumn("log_unique_cities", F.log1p(F.col("unique_cities").cast("double")))
-    return out.drop("avg_age_med", "std_age_med")
+    return out.withColumn("log_unique_cities", F.log1p(F.col("unique_cities").cast("double")))
 
 
 def ticket_block(agg: DataFrame) -> DataFrame:
     """A11 + P11: fill by the median over events, else 0."""
-    cols = ["avg_product_value", "std_product_value", "avg_total_price", "scanned_percentage"]
-    med = global_medians(agg, cols)
-    out = attach_one_row(agg, med)
-    for c in cols:
+    out = agg
+    for c in ["avg_product_value", "std_product_value", "avg_total_price", "scanned_percentage"]:
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(c + "_med"), F.lit(0.0)))
-    return out.drop(*[c + "_med" for c in cols])
+    return out
 
 
 def capacity_block(agg: DataFrame) -> DataFrame:
     """A12 + P11: first non-null capacity, median over events else 1000, log1p."""
-    med = global_medians(agg, ["max_capacity"])
-    out = attach_one_row(agg, med)
-    out = out.withColumn("max_capacity", F.coalesce("max_capacity", "max_capacity_med", F.lit(1000.0)))
-    return out.withColumn("log_max_capacity", F.log1p("max_capacity")).drop("max_capacity_med")
+    out = agg.withColumn("max_capacity", F.coalesce("max_capacity", "max_capacity_med", F.lit(1000.0)))
+    return out.withColumn("log_max_capacity", F.log1p("max_capacity"))
 
 
 def weather_block(agg: DataFrame) -> DataFrame:

@@ -41,3 +41,20 @@ def global_medians(df: DataFrame, cols: Sequence[str], suffix: str = "_med") ->
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach a one-row aggregate to every row (broadcast: exactly one row)."""
     return df.crossJoin(F.broadcast(one_row))
+
+
+def medians_wide(df: DataFrame, cols: Sequence[str], group: str | None = None,
+                 suffix: str = "__med") -> DataFrame:
+    """Exact medians of several columns in one pass, per ``group`` (or global).
+
+    Columns are unpivoted to (name, value), counted per (group, name, value)
+    (combinable, map-side partial aggregation), reduced with the frequency-
+    weighted ``percentile`` and pivoted back to one column per input column.
+    """
+    keys = [group] if group else []
+    kv = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in cols]))
+    long = df.select(*keys, kv.alias("kv")).select(*keys, "kv.k", "kv.v").where(F.col("v").isNotNull())
+    counted = long.groupBy(*keys, "k", "v").agg(F.count(F.lit(1)).alias("__freq"))
+    med = counted.groupBy(*keys, "k").agg(F.percentile(F.col("v"), F.lit(0.5), F.col("__freq")).alias("m"))
+    wide = med.groupBy(*keys).pivot("k", list(cols)).agg(F.first("m"))
+    return wide.select(*keys, *[F.col(c).alias(c + suffix) for c in cols])

@@ -68,3 +68,21 @@ def norm(expr: str) -> str:
 
 def r4(expr: str, alias: str) -> str:
     return f"round(CAST({expr} AS DOUBLE), 4) AS {alias}"
+
+
+def typed_select(source: str, spec: list[tuple[str, str]]) -> str:
+    """Final SELECT with types pinned to the Spark side: d=double rounded to 4,
+    i=INTEGER, l=BIGINT, anything else as is."""
+    parts = []
+    for name, kind in spec:
+        if kind == "d":
+            parts.append(f"round(CAST({name} AS DOUBLE), 4) AS {name}")
+        elif kind == "i":
+            parts.append(f"CAST({name} AS INTEGER) AS {name}")
+        elif kind == "t":
+            parts.append(f"CAST({name} AS TIMESTAMP) AS {name}")
+        elif kind == "l":
+            parts.append(f"CAST({name} AS BIGINT) AS {name}")
+        else:
+            parts.append(name)
+    return f"SELECT {', '.join(parts)} FROM {source}"

@@ -24,7 +24,7 @@ ORACLE: dict[str, str] = {}
 T_H = 180
 LAG = 90
 LO, HI = 400, 600
-ASOF = "2001-06-30"
+ASOF = "2001-11-02"
 
 
 def register(name: str, sql: str | None = None):
@@ -37,11 +37,13 @@ def register(name: str, sql: str | None = None):
 
 
 def finish(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Round every double column (presentation only)."""
+    """Round every double column and show dates as timestamps (presentation only)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             cols.append(F.round(F.col(f.name).cast("double"), digits).alias(f.name))
+        elif isinstance(f.dataType, T.DateType):
+            cols.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

@@ -85,7 +85,7 @@ def tickets(spark: SparkSession, sf_dir: str, with_buyer: bool = False) -> DataF
     price = F.col("l_extendedprice")
     cols = [
         F.col("l_orderkey").cast("string").alias("order_id"),
-        F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")).alias("barcode"),
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("barcode"),
         "event_key", "event_name", "first_event_date_start", "last_event_date_end",
         F.col("first_event_date_start").alias("event_date"),
         add_hours(F.col("l_shipdate"), F.col("l_linenumber") * 3).alias("verkoopdatum"),
@@ -158,3 +158,18 @@ def artist_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_totalprice") * 10).alias("TikTokViews"),
         (F.col("o_totalprice") / 2).alias("DeezerFans"),
     )
+
+
+def known_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference-city table (the gazetteer stand-in of J08): nations of regions 0-2."""
+    from salescast.functions.text import clean_city
+    nation = read(spark, sf_dir, "nation")
+    return nation.where(F.col("n_regionkey") < 3).select(clean_city(F.col("n_name")).alias("city"))
+
+
+def tickets_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tickets with buyer columns and the daily weather of the event day attached."""
+    from salescast.operators.weather import daily_weather, join_weather
+    t = tickets(spark, sf_dir, with_buyer=True)
+    daily = daily_weather(weather_raw(spark, sf_dir))
+    return join_weather(t, daily, weather_key(F.col("first_event_date_start")))
