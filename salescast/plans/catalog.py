@@ -1,3 +1,4 @@
 """Import every query module so that its queries register themselves."""
 
 from salescast.plans import q_features  # noqa: F401
+from salescast.plans import q_analysis  # noqa: F401
