@@ -3,3 +3,4 @@
 from salescast.plans import q_features  # noqa: F401
 from salescast.plans import q_analysis  # noqa: F401
 from salescast.plans import q_clean  # noqa: F401
+from salescast.plans import q_more  # noqa: F401
