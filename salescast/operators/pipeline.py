@@ -7,6 +7,7 @@ lead days (negative dropped) -> target + size filter -> blocks.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +39,19 @@ def prepare_tickets(tickets: DataFrame, known_cities: DataFrame, T: int, asof: s
     return feat.add_lead_days(t, T, is_prediction=is_prediction)
 
 
-def event_table(t: DataFrame, T: int, lag: int, lo: int, hi: int, is_prediction: bool = False) -> DataFrame:
-    """Fused per-event aggregate with the size filter (F07) and all ticket blocks."""
+def event_table(t: DataFrame, T: int, lag: int, lo: int, hi: int, is_prediction: bool = False,
+                reuse: bool = True) -> DataFrame:
+    """Fused per-event aggregate with the size filter (F07) and all ticket blocks.
+
+    The prepared ticket rows feed three aggregates (the fused one, per-day
+    and per-city counts); with ``reuse`` only the needed columns are persisted
+    (memory, spilling to disk; lost blocks are recomputed from lineage).
+    """
+    if reuse:
+        need = ["event_name", "days_until_event", "verkoopdatum", "barcode", "first_event_date_start",
+                "last_event_date_end", "age", "gender", "city_standardized", "product_value", "total_price",
+                "product_is_scanned", "max_capacity", *feat.WEATHER_COLS]
+        t = t.select(*need).persist(StorageLevel.MEMORY_AND_DISK)
     agg = feat.fused_event_aggregate(t, T, lag)
     if not is_prediction:
         agg = agg.where((F.col("full_event_tickets") > lo) & (F.col("full_event_tickets") < hi))
@@ -65,7 +77,7 @@ def event_features(tickets: DataFrame, lineup: DataFrame, snapshots: DataFrame,
                    star_pct: float = 0.80, is_prediction: bool = False) -> DataFrame:
     """All feature blocks for horizon T (one row per event)."""
     t = prepare_tickets(tickets, known_cities, T, asof, name_bound, city_bound, is_prediction)
-    events = event_table(t, T, lag, lo, hi, is_prediction)
+    events = event_table(t, T, lag, lo, hi, is_prediction).persist(StorageLevel.MEMORY_AND_DISK)
     lu = with_normalized(with_normalized(lineup, "event_name", bound_rows=name_bound), "artist")
     snaps = with_normalized(snapshots, "artist")
     matched = artist_asof(lu, snaps, T)

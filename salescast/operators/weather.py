@@ -48,23 +48,22 @@ def fill_event_then_global_median(df: DataFrame, group: str = "event_name", cols
                                   group_bound: int | None = None) -> DataFrame:
     """Per-group median, then the global median of the group-filled column, then 0.
 
-    Medians are exact and skew-safe (see ``operators.stats.medians_wide``):
-    one pass for all columns per group, one pass for the global medians.
-    ``group_bound`` (e.g. the event-dimension row count) lets the per-group
-    table be broadcast back without shuffling the ticket rows.
+    One pass over the rows: they are first counted per (group, value tuple)
+    -- weather joined from a daily table has few distinct tuples per event --
+    and every median (exact, frequency-weighted) is computed on that small
+    table.  The resulting per-group fill values join back once; with
+    ``group_bound`` (e.g. the event-dimension row count) as a broadcast.
     """
-    per = medians_wide(df, cols, group, suffix="__gmed")
-    if group_bound is not None:
-        per = broadcast_bounded(per, group_bound)
-    out = df.join(per, group, "left")
+    counted = df.groupBy(group, *cols).agg(F.count(F.lit(1)).alias("__n"))
+    per = medians_wide(counted, cols, group, suffix="__gmed", weight="__n")
+    filled = counted.join(per, group, "left").select(
+        group, "__n", *[F.coalesce(F.col(c), F.col(c + "__gmed")).alias(c) for c in cols])
+    glob = medians_wide(filled, cols, None, suffix="__med", weight="__n")
+    per_b = broadcast_bounded(per, group_bound) if group_bound is not None else per
+    out = attach_one_row(df.join(per_b, group, "left"), glob)
     for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.col(c + "__gmed")))
-    out = out.drop(*[c + "__gmed" for c in cols])
-    glob = medians_wide(out, cols, None, suffix="__med")
-    out = attach_one_row(out, glob)
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.col(c + "__med"), F.lit(0.0)))
-    return out.drop(*[c + "__med" for c in cols])
+        out = out.withColumn(c, F.coalesce(F.col(c), F.col(c + "__gmed"), F.col(c + "__med"), F.lit(0.0)))
+    return out.drop(*[c + "__gmed" for c in cols], *[c + "__med" for c in cols])
 
 
 def weather_flags(df: DataFrame, date_col: str = "event_date") -> DataFrame:

@@ -133,6 +133,7 @@ EVENT_FEATURES_SQL = ("WITH " + OF.event_table(T_H, LAG, LO, HI, ASOF) + ",\n" +
 @register("event_features", EVENT_FEATURES_SQL)
 def q_event_features(spark, sf_dir):
     """The full point-in-time feature table (all blocks, J02 fused)."""
+    from pyspark import StorageLevel
     lu, snaps = _artist_inputs(spark, sf_dir)
-    events = _events(spark, sf_dir)
+    events = _events(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     return finish(artist_block(artist_asof(lu, snaps, T_H), events))

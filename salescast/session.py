@@ -93,6 +93,13 @@ def broadcast_bounded(df: DataFrame, max_rows: int,
     return df
 
 
+_ROWS: dict[tuple[str, str], int] = {}
+
+
 def table_rows(spark: SparkSession, path: str) -> int:
-    """Row count of a parquet table (answered from footers, no data scan)."""
-    return spark.read.parquet(path).count()
+    """Row count of a parquet table (answered from footers, no data scan);
+    remembered per session and path."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _ROWS:
+        _ROWS[key] = spark.read.parquet(path).count()
+    return _ROWS[key]
