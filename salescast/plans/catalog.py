@@ -5,3 +5,4 @@ from salescast.plans import q_analysis  # noqa: F401
 from salescast.plans import q_clean  # noqa: F401
 from salescast.plans import q_more  # noqa: F401
 from salescast.plans import q_ml  # noqa: F401
+from salescast.plans import q_sources  # noqa: F401
