@@ -88,3 +88,13 @@ def add_hours(c: Column, hours: Column) -> Column:
 def add_days(c: Column, days: Column | int) -> Column:
     d = F.lit(days) if isinstance(days, int) else days
     return F.timestamp_add("DAY", d, c)
+
+
+def event_duration_hours(start: Column | str, end: Column | str, mode: str = "batch") -> Column:
+    """Event duration in hours.  batch: null outside [0, 720] (filled by the
+    caller with the median over events, else 4); live: clipped to [1, 720],
+    4 when missing."""
+    h = fractional_hours(start, end)
+    if mode == "live":
+        return F.coalesce(F.least(F.greatest(h, F.lit(1.0)), F.lit(720.0)), F.lit(4.0))
+    return F.when((h < 0) | (h > 720), F.lit(None)).otherwise(h)

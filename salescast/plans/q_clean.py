@@ -285,3 +285,108 @@ def q_sample_rows(spark, sf_dir):
     """Random sample of 20 tickets (seeded; sampling is the feature, rows-only check)."""
     t = testbed.tickets(spark, sf_dir).select("barcode", "event_name", "product_value")
     return finish(t.orderBy(F.rand(42)).limit(20))
+
+
+# ----------------------------------------------------------------- S08 O01 P08 P13 X11 X12 P10 A32 O03 X18
+from salescast.functions.dates import event_duration_hours  # noqa: E402
+from salescast.functions.numeric import inf_to_null  # noqa: E402
+from salescast.plans.oracle_base import WEATHER_DAILY  # noqa: E402
+from salescast.sources import readers as R  # noqa: E402
+
+PROC_COLS = ["barcode", "event_name", "event_date", "first_event_date_start", "first_event_date_start_with_time",
+             "verkoopdatum", "product_value", "total_price", "product_is_scanned", "age", "gender", "city",
+             "t_max", "t_min", "rain_fall", "max_wind", "data_source"]
+PROC_SPEC = [("barcode", "s"), ("event_name", "s"), ("event_date", "t"), ("first_event_date_start", "t"),
+             ("first_event_date_start_with_time", "t"), ("verkoopdatum", "t"), ("product_value", "d"),
+             ("total_price", "d"), ("product_is_scanned", "i"), ("age", "d"), ("gender", "s"), ("city", "s"),
+             ("t_max", "d"), ("t_min", "d"), ("rain_fall", "d"), ("max_wind", "d"), ("data_source", "s")]
+PROC_SQL = WB + WEATHER_DAILY + """,
+tw AS (SELECT tb.*, w.t_max, w.t_min, w.rain_fall, w.max_wind FROM tb
+       LEFT JOIN wdaily w ON make_date(2024, 1, day(tb.first_event_date_start)) = w.event_date),
+mu AS (SELECT avg(t_max) a1, avg(t_min) a2, avg(rain_fall) a3, avg(max_wind) a4 FROM tw),
+p AS (SELECT barcode, event_name, coalesce(event_date, first_event_date_start) AS event_date,
+        date_trunc('day', first_event_date_start) AS first_event_date_start,
+        first_event_date_start AS first_event_date_start_with_time, verkoopdatum,
+        CASE WHEN isinf(product_value) THEN NULL ELSE product_value END AS product_value,
+        CASE WHEN isinf(total_price) THEN NULL ELSE total_price END AS total_price,
+        product_is_scanned, age, gender, city, coalesce(t_max, a1) AS t_max, coalesce(t_min, a2) AS t_min,
+        coalesce(rain_fall, a3) AS rain_fall, coalesce(max_wind, a4) AS max_wind, data_source
+      FROM tw CROSS JOIN mu WHERE verkoopdatum IS NOT NULL AND first_event_date_start IS NOT NULL)
+""" + typed_select("(SELECT * FROM p ORDER BY verkoopdatum, event_name)", PROC_SPEC)
+
+
+def processed_tickets(spark, sf_dir):
+    """Training-side ETL tail: required columns (S12), event date from the start (P08),
+    midnight start with the original kept (X11 X12), +/-inf -> null (P13), weather
+    mean fill (J01 P10), non-null dates (F05), sorted at the sink (O01)."""
+    from salescast.operators.weather import daily_weather, fill_global_mean, join_weather
+    t = testbed.tickets(spark, sf_dir, with_buyer=True)
+    R.require_columns(t, ["event_name", "event_date", "barcode", "product_value", "first_event_date_start"])
+    daily = daily_weather(testbed.weather_raw(spark, sf_dir))
+    t = join_weather(t, daily, testbed.weather_key(F.col("first_event_date_start")))
+    t = fill_global_mean(t)
+    t = (t.withColumn("event_date", F.coalesce("event_date", "first_event_date_start"))
+         .withColumn("first_event_date_start_with_time", F.col("first_event_date_start"))
+         .withColumn("first_event_date_start", to_midnight(F.col("first_event_date_start")))
+         .withColumn("product_value", inf_to_null(F.col("product_value")))
+         .withColumn("total_price", inf_to_null(F.col("total_price"))))
+    t = t.where(F.col("verkoopdatum").isNotNull() & F.col("first_event_date_start").isNotNull())
+    return t.select(*PROC_COLS)
+
+
+@register("processed_tickets", PROC_SQL)
+def q_processed_tickets(spark, sf_dir):
+    """The processed ticket table, sorted at the sink."""
+    return finish(processed_tickets(spark, sf_dir).orderBy("verkoopdatum", "event_name"))
+
+
+REMOVAL_SQL = W_ + """d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY barcode ORDER BY
+      CASE data_source WHEN 'shop_f' THEN 0 ELSE 1 END, verkoopdatum, product_value, event_name, line_no) AS rn
+      FROM tickets WHERE barcode IS NOT NULL) WHERE rn = 1),
+k AS (SELECT * FROM d WHERE verkoopdatum IS NOT NULL AND verkoopdatum BETWEEN TIMESTAMP '1996-01-01'
+      AND TIMESTAMP '2000-01-01' AND NOT coalesce(product_value < 0, false))
+""" + typed_select("(SELECT (SELECT count(*) FROM tickets) AS before, (SELECT count(*) FROM d) AS after_dedup, "
+                   "(SELECT count(*) FROM k) AS after_filters, 100.0 * (1 - (SELECT count(*) FROM k) / "
+                   "(SELECT count(*) FROM tickets)) AS removed_pct)",
+                   [("before", "l"), ("after_dedup", "l"), ("after_filters", "l"), ("removed_pct", "d")])
+
+
+@register("removal_counts", REMOVAL_SQL)
+def q_removal_counts(spark, sf_dir):
+    """before/after record counts and removal % through dedup and range/price filters."""
+    t = testbed.tickets(spark, sf_dir).select("barcode", "event_name", "verkoopdatum", "product_value",
+                                              "data_source", "line_no")
+    prio = F.when(F.col("data_source") == "shop_f", 0).otherwise(1)
+    d = C.dedup_keep_first(t, "barcode", [prio, F.col("verkoopdatum"), F.col("product_value"),
+                                          F.col("event_name"), F.col("line_no")])
+    k = d.where(C.in_range(F.col("verkoopdatum"), "1996-01-01", "2000-01-01")).where(
+        C.drop_negative(F.col("product_value")))
+    before = t.agg(F.count(F.lit(1)).alias("before"))
+    a1 = d.agg(F.count(F.lit(1)).alias("after_dedup"))
+    a2 = k.agg(F.count(F.lit(1)).alias("after_filters"))
+    out = before.crossJoin(a1).crossJoin(a2)
+    return finish(out.withColumn("removed_pct", F.lit(100.0) * (F.lit(1.0) - F.col("after_filters") / F.col("before"))))
+
+
+@register("top_selling_events", W_ + typed_select(
+    "(SELECT event_name, count(*) AS tickets FROM tickets WHERE event_name IS NOT NULL GROUP BY 1 "
+    "HAVING count(*) >= 50 ORDER BY tickets DESC, event_name LIMIT 10)", [("event_name", "s"), ("tickets", "l")]))
+def q_top_selling_events(spark, sf_dir):
+    """The ten best-selling events with at least 50 tickets (top-k is the feature)."""
+    t = testbed.tickets(spark, sf_dir).where(F.col("event_name").isNotNull())
+    c = t.groupBy("event_name").agg(F.count(F.lit(1)).alias("tickets")).where(F.col("tickets") >= 50)
+    return finish(an.top_k(c, "tickets", 10, "event_name"))
+
+
+@register("event_duration_modes", "WITH " + TICKETS.split(",\ntickets AS")[0] + """,
+h AS (SELECT event_name, (epoch_us(last_event_date_end) - epoch_us(first_event_date_start)) / 3600000000.0 AS hrs FROM ev)
+""" + typed_select("(SELECT event_name, CASE WHEN hrs < 0 OR hrs > 720 THEN NULL ELSE hrs END AS duration_batch, "
+                   "coalesce(least(greatest(hrs, 1.0), 720.0), 4.0) AS duration_live FROM h)",
+                   [("event_name", "s"), ("duration_batch", "d"), ("duration_live", "d")]))
+def q_event_duration_modes(spark, sf_dir):
+    """Event duration, batch rule (null outside [0, 720] h) and live rule (clip [1, 720], default 4)."""
+    ev = testbed.event_dim(spark, sf_dir)
+    return finish(ev.select("event_name",
+                            event_duration_hours("first_event_date_start", "last_event_date_end").alias("duration_batch"),
+                            event_duration_hours("first_event_date_start", "last_event_date_end", "live")
+                            .alias("duration_live")))

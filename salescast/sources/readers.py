@@ -134,3 +134,21 @@ def flatten_artist(df: DataFrame, json_col: str = "payload") -> DataFrame:
     return p.select(F.col("p.name").alias("artist"), F.col("p.popularity").alias("SpotifyPopularity"),
                     F.col("p.followers.total").alias("SpotifyFollowers"),
                     F.array_join(F.col("p.genres"), ", ").alias("genres"))
+
+
+def load_tables(spark: SparkSession, tickets: str, line_up: str | None = None, artists: str | None = None,
+                fmt: str = "parquet", schemas: Mapping[str, T.StructType] | None = None) -> tuple:
+    """S06 + S07: the three-table loader; optional tables missing on disk become
+    empty DataFrames with their schema (S07), the ticket table is required (S06)."""
+    schemas = schemas or {}
+
+    def _read(path, name):
+        return spark.read.format(fmt).load(path)
+
+    def _optional(path, name):
+        if path is None:
+            schema = schemas.get(name, T.StructType([]))
+            return spark.createDataFrame([], schema)
+        return _read(path, name)
+
+    return _read(tickets, "tickets"), _optional(line_up, "line_up"), _optional(artists, "artists")
