@@ -7,7 +7,6 @@ lead days (negative dropped) -> target + size filter -> blocks.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +14,7 @@ from salescast.functions.text import standardize_city, with_normalized
 from salescast.operators import features as feat
 from salescast.operators.artists import artist_asof, artist_block
 from salescast.operators.weather import fill_event_then_global_median
+from salescast.session import materialize
 
 TIME_COLS = ["first_event_date", "event_duration_hours", "sales_duration_hours_upto_t",
              "log_sales_duration_hours_upto_t", "day_of_week", "event_month", "event_year", "is_weekend",
@@ -27,16 +27,31 @@ TICKET_COLS = ["avg_product_value", "std_product_value", "avg_total_price", "sca
 CAPACITY_COLS = ["max_capacity", "log_max_capacity"]
 
 
+TICKET_INPUT_COLS = ["event_name", "verkoopdatum", "barcode", "first_event_date_start", "last_event_date_end",
+                     "age", "gender", "city", "product_value", "total_price", "product_is_scanned", "max_capacity",
+                     "t_max", "t_min", "rain_fall", "max_wind"]
+
+
 def prepare_tickets(tickets: DataFrame, known_cities: DataFrame, T: int, asof: str | None,
                     name_bound: int | None = None, city_bound: int | None = None,
-                    is_prediction: bool = False) -> DataFrame:
-    t = tickets
+                    is_prediction: bool = False, reuse: bool = True) -> DataFrame:
+    """F03 -> P12 -> X01 -> J07 -> X17/F06 on the ticket rows.
+
+    The median fill and the name normalisation each read the ticket rows
+    once more (counts per value, distinct names); with ``reuse`` the
+    projected input is persisted so those passes hit one materialised copy
+    instead of re-running the upstream joins.
+    """
+    t = tickets.select(*[c for c in TICKET_INPUT_COLS if c in tickets.columns])
     if asof is not None and not is_prediction:
         t = feat.past_events(t, asof)
+    if reuse:
+        t = materialize(t, "tickets_in")
     t = fill_event_then_global_median(t, "event_name", group_bound=name_bound)
     t = with_normalized(t, "event_name", bound_rows=name_bound)
     t = standardize_city(t, known_cities, bound_rows=city_bound)
-    return feat.add_lead_days(t, T, is_prediction=is_prediction)
+    t = feat.add_lead_days(t, T, is_prediction=is_prediction)
+    return materialize(t, "tickets_prepared") if reuse else t
 
 
 def event_table(t: DataFrame, T: int, lag: int, lo: int, hi: int, is_prediction: bool = False,
@@ -44,14 +59,9 @@ def event_table(t: DataFrame, T: int, lag: int, lo: int, hi: int, is_prediction:
     """Fused per-event aggregate with the size filter (F07) and all ticket blocks.
 
     The prepared ticket rows feed three aggregates (the fused one, per-day
-    and per-city counts); with ``reuse`` only the needed columns are persisted
-    (memory, spilling to disk; lost blocks are recomputed from lineage).
+    and per-city counts); pass them materialised (see :func:`prepare_tickets`).
+    With ``reuse`` the small per-event result is materialised too.
     """
-    if reuse:
-        need = ["event_name", "days_until_event", "verkoopdatum", "barcode", "first_event_date_start",
-                "last_event_date_end", "age", "gender", "city_standardized", "product_value", "total_price",
-                "product_is_scanned", "max_capacity", *feat.WEATHER_COLS]
-        t = t.select(*need).persist(StorageLevel.MEMORY_AND_DISK)
     agg = feat.fused_event_aggregate(t, T, lag)
     if not is_prediction:
         agg = agg.where((F.col("full_event_tickets") > lo) & (F.col("full_event_tickets") < hi))
@@ -68,7 +78,8 @@ def event_table(t: DataFrame, T: int, lag: int, lo: int, hi: int, is_prediction:
     agg = feat.weather_block(agg)
     keep = (["event_name", "full_event_tickets", lag_col, f"log_{lag_col}"] + TIME_COLS + SALES_COLS
             + DEMO_COLS + TICKET_COLS + CAPACITY_COLS + feat.WEATHER_COLS)
-    return agg.select(*keep).withColumn("forecast_days", F.lit(T))
+    out = agg.select(*keep).withColumn("forecast_days", F.lit(T))
+    return materialize(out, "events") if reuse else out
 
 
 def event_features(tickets: DataFrame, lineup: DataFrame, snapshots: DataFrame, known_cities: DataFrame,
@@ -77,8 +88,8 @@ def event_features(tickets: DataFrame, lineup: DataFrame, snapshots: DataFrame,
                    star_pct: float = 0.80, is_prediction: bool = False) -> DataFrame:
     """All feature blocks for horizon T (one row per event)."""
     t = prepare_tickets(tickets, known_cities, T, asof, name_bound, city_bound, is_prediction)
-    events = event_table(t, T, lag, lo, hi, is_prediction).persist(StorageLevel.MEMORY_AND_DISK)
+    events = event_table(t, T, lag, lo, hi, is_prediction)
     lu = with_normalized(with_normalized(lineup, "event_name", bound_rows=name_bound), "artist")
     snaps = with_normalized(snapshots, "artist")
-    matched = artist_asof(lu, snaps, T)
+    matched = materialize(artist_asof(lu, snaps, T), "artist_asof")
     return artist_block(matched, events, star_pct)

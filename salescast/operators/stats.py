@@ -45,19 +45,15 @@ def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 def medians_wide(df: DataFrame, cols: Sequence[str], group: str | None = None,
                  suffix: str = "__med", weight: str | None = None) -> DataFrame:
-    """Exact medians of several columns in one pass, per ``group`` (or global).
+    """Exact medians of several columns, per ``group`` (or global), in two shuffles.
 
-    Columns are unpivoted to (name, value), counted per (group, name, value)
-    (combinable, map-side partial aggregation), reduced with the frequency-
-    weighted ``percentile`` and pivoted back to one column per input column.
-    ``weight`` names a row-count column when ``df`` is already pre-counted.
+    Rows are counted per (group, value tuple) -- a combinable aggregate that
+    collapses repeated values map-side -- and each column's median is the
+    frequency-weighted ``percentile`` over those counts (nulls skipped).
+    ``weight`` names an existing row-count column when ``df`` is pre-counted.
     """
     keys = [group] if group else []
-    w = F.col(weight) if weight else F.lit(1).cast("long")
-    kv = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in cols]))
-    long = (df.select(*keys, w.alias("__w"), kv.alias("kv"))
-            .select(*keys, "__w", "kv.k", "kv.v").where(F.col("v").isNotNull()))
-    counted = long.groupBy(*keys, "k", "v").agg(F.sum("__w").cast("long").alias("__freq"))
-    med = counted.groupBy(*keys, "k").agg(F.percentile(F.col("v"), F.lit(0.5), F.col("__freq")).alias("m"))
-    wide = med.groupBy(*keys).pivot("k", list(cols)).agg(F.first("m"))
-    return wide.select(*keys, *[F.col(c).alias(c + suffix) for c in cols])
+    w = F.col(weight) if weight else F.lit(1)
+    counted = df.groupBy(*keys, *cols).agg(F.sum(w).cast("long").alias("__freq"))
+    aggs = [F.percentile(F.col(c).cast("double"), F.lit(0.5), F.col("__freq")).alias(c + suffix) for c in cols]
+    return counted.groupBy(*keys).agg(*aggs) if keys else counted.agg(*aggs)
