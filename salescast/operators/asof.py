@@ -1,10 +1,20 @@
 """As-of join (J04) and horizon grid.
 
-Spark has no as-of join.  Instead of an equi-join on the key followed by a
-range filter (which emits every (probe, snapshot) pair of a key before
-filtering), probes and snapshots are unioned and one running
-``last(snapshot, ignorenulls)`` window per key carries the latest snapshot
-forward to each probe: linear in the input, no pair expansion.
+Spark has no as-of join.  An equi-join on the key followed by a range filter
+emits every (probe, snapshot) pair of a key before filtering; a single running
+window per key puts a hot key (say a third of all rows) into one task.  Here
+each key's time line is cut into buckets of ``bucket_days``:
+
+1. within a (key, bucket) a running ``last(snapshot)`` over the union of probes
+   and snapshots finds the latest snapshot of the probe's own bucket;
+2. every (key, bucket) is summarised by its latest snapshot (a combinable
+   ``max`` aggregate), and a running max over those summaries -- one row per
+   bucket, so per key only "time span / bucket width" rows -- gives the latest
+   snapshot of all *earlier* buckets of each probe bucket;
+3. the answer is the later of the two.
+
+Rows of a hot key are spread over its time buckets, and nothing is expanded
+into pairs.
 """
 
 from __future__ import annotations
@@ -16,7 +26,7 @@ from pyspark.sql import functions as F
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: str, left_ts: str, right_ts: str,
-              payload: Sequence[str], inner: bool = True) -> DataFrame:
+              payload: Sequence[str], inner: bool = True, bucket_days: int = 30) -> DataFrame:
     """Attach to each ``left`` row the ``payload`` of the latest ``right`` row of the
     same ``by`` key with ``right_ts <= left_ts`` (inclusive).
 
@@ -24,24 +34,46 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_ts: str, right_ts
     With ``inner`` the left rows without any earlier snapshot are dropped.
     Output: left columns + payload columns.
     """
-    lcols = [c for c in left.columns]
-    probes = left.select(
-        F.col(by).alias("__k"), F.col(left_ts).cast("timestamp_ntz").alias("__t"), F.lit(1).alias("__kind"),
-        F.struct(*[F.col(c) for c in lcols]).alias("__L"),
-        F.lit(None).cast(right.select(F.struct(*payload)).schema[0].dataType).alias("__R"))
-    snaps = right.select(
-        F.col(by).alias("__k"), F.col(right_ts).cast("timestamp_ntz").alias("__t"), F.lit(0).alias("__kind"),
-        F.lit(None).cast(probes.schema["__L"].dataType).alias("__L"),
-        F.struct(*[F.col(c) for c in payload]).alias("__R"))
-    u = probes.unionByName(snaps)
-    order = [F.col("__t"), F.col("__kind")] + [F.col("__R").getField(c) for c in payload]
-    w = Window.partitionBy("__k").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    matched = (u.withColumn("__M", F.last("__R", ignorenulls=True).over(w))
-               .where(F.col("__kind") == 1))
+    lcols = list(left.columns)
+    day = lambda c: F.unix_date(F.to_date(F.col(c)))
+    snap_struct = F.struct(F.col(right_ts).cast("timestamp_ntz").alias("t"),
+                           *[F.col(c).alias(c) for c in payload])
+    snaps = (right.where(F.col(right_ts).isNotNull())
+             .select(F.col(by).alias("__k"), F.floor(day(right_ts) / bucket_days).alias("__b"),
+                     snap_struct.alias("__S")))
+    s_type = snaps.schema["__S"].dataType
+    probes = left.select(F.col(by).alias("__k"), F.floor(day(left_ts) / bucket_days).alias("__b"),
+                         F.col(left_ts).cast("timestamp_ntz").alias("__t"),
+                         F.struct(*[F.col(c) for c in lcols]).alias("__L"))
+    l_type = probes.schema["__L"].dataType
+
+    # 1. latest snapshot within the probe's own bucket
+    u = (probes.select("__k", "__b", "__t", F.lit(1).alias("__kind"), "__L", F.lit(None).cast(s_type).alias("__S"))
+         .unionByName(snaps.select("__k", "__b", F.col("__S.t").alias("__t"), F.lit(0).alias("__kind"),
+                                   F.lit(None).cast(l_type).alias("__L"), "__S")))
+    order = [F.col("__t"), F.col("__kind")] + [F.col("__S").getField(c) for c in payload]
+    w_in = (Window.partitionBy("__k", "__b").orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    within = (u.withColumn("__W", F.last("__S", ignorenulls=True).over(w_in))
+              .where(F.col("__kind") == 1)
+              .select("__k", "__b", "__L", "__W"))
+
+    # 2. latest snapshot of all earlier buckets, per (key, probe bucket)
+    summary = snaps.groupBy("__k", "__b").agg(F.max("__S").alias("__S"))
+    wanted = probes.where(F.col("__t").isNotNull()).select("__k", "__b").distinct()
+    v = (wanted.select("__k", "__b", F.lit(0).alias("__first"), F.lit(None).cast(s_type).alias("__S"))
+         .unionByName(summary.select("__k", "__b", F.lit(1).alias("__first"), "__S")))
+    w_prev = (Window.partitionBy("__k").orderBy("__b", "__first")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carry = (v.withColumn("__C", F.max("__S").over(w_prev)).where(F.col("__first") == 0)
+             .select("__k", "__b", "__C"))
+
+    # 3. the later of the two
+    out = within.join(carry, ["__k", "__b"], "left").withColumn("__M", F.greatest("__W", "__C"))
     if inner:
-        matched = matched.where(F.col("__M").isNotNull())
-    return matched.select(*[F.col("__L").getField(c).alias(c) for c in lcols],
-                          *[F.col("__M").getField(c).alias(c) for c in payload])
+        out = out.where(F.col("__M").isNotNull())
+    return out.select(*[F.col("__L").getField(c).alias(c) for c in lcols],
+                      *[F.col("__M").getField(c).alias(c) for c in payload])
 
 
 def horizon_grid(spark, horizons: Sequence[int]) -> DataFrame:

@@ -194,7 +194,8 @@ def time_block(agg: DataFrame) -> DataFrame:
 
 
 def sales_block(agg: DataFrame) -> DataFrame:
-    """A03 + A04 + W01 columns, zero-filled (``avg_acceleration`` joined in before)."""
+    """A03 + A04 + W01 columns, zero-filled (P09 constant fill; ``avg_acceleration``
+    joined in before)."""
     velocity = F.when(F.col("cumulative_sales_at_t") > 0,
                       F.col("cumulative_sales_at_t") / (F.col("__dmax") - F.col("__dmin") + 1))
     return (agg.withColumn("log_cumulative_sales_at_t", log1p0(F.col("cumulative_sales_at_t")))

@@ -78,6 +78,8 @@ def event_table(t: DataFrame, T: int, lag: int, lo: int, hi: int, is_prediction:
     agg = feat.weather_block(agg)
     keep = (["event_name", "full_event_tickets", lag_col, f"log_{lag_col}"] + TIME_COLS + SALES_COLS
             + DEMO_COLS + TICKET_COLS + CAPACITY_COLS + feat.WEATHER_COLS)
+    # Helper columns (``__*``, the day-0 struct, raw sale bounds) are dropped by
+    # selecting the output list; ``DataFrame.drop`` would ignore absent names too.
     out = agg.select(*keep).withColumn("forecast_days", F.lit(T))
     return materialize(out, "events") if reuse else out
 

@@ -119,3 +119,22 @@ def test_flagship_entry_runs(spark):
     df = E.entry(spark)
     assert set(["event_name", "full_event_tickets", "cumulative_sales_at_t"]) <= set(df.columns)
     df.collect()
+
+
+def test_asof_matches_brute_force_across_buckets(spark):
+    import random
+    rnd = random.Random(7)
+    base = dt.date(2024, 1, 1)
+    snaps = [(f"k{rnd.randint(0, 3)}", base + dt.timedelta(days=rnd.randint(0, 400)), float(rnd.randint(0, 5)))
+             for _ in range(300)]
+    probes = [(i, f"k{rnd.randint(0, 4)}", base + dt.timedelta(days=rnd.randint(-20, 420))) for i in range(200)]
+    left = spark.createDataFrame(probes, "pid int, key string, cut date")
+    right = spark.createDataFrame(snaps, "key string, Date date, m double")
+    got = {r["pid"]: (r["Date"], r["m"]) for r in
+           asof_join(left, right, "key", "cut", "Date", ["Date", "m"], bucket_days=30).collect()}
+    want = {}
+    for pid, key, cut in probes:
+        cands = [(d, m) for k, d, m in snaps if k == key and d <= cut]
+        if cands:
+            want[pid] = max(cands)
+    assert got == want
