@@ -3,18 +3,24 @@
 Spark has no as-of join.  An equi-join on the key followed by a range filter
 emits every (probe, snapshot) pair of a key before filtering; a single running
 window per key puts a hot key (say a third of all rows) into one task.  Here
-each key's time line is cut into buckets of ``bucket_days``:
+the search runs on *distinct* timestamps, and each key's time line is cut into
+buckets of ``bucket_days``:
 
-1. within a (key, bucket) a running ``last(snapshot)`` over the union of probes
-   and snapshots finds the latest snapshot of the probe's own bucket;
-2. every (key, bucket) is summarised by its latest snapshot (a combinable
-   ``max`` aggregate), and a running max over those summaries -- one row per
-   bucket, so per key only "time span / bucket width" rows -- gives the latest
-   snapshot of all *earlier* buckets of each probe bucket;
-3. the answer is the later of the two.
+1. snapshots are reduced to the largest payload per (key, timestamp), probes to
+   their distinct (key, timestamp) pairs -- both combinable aggregates, so the
+   duplicates of a hot key collapse map-side;
+2. within a (key, bucket) a running ``max`` over the union of probe times and
+   snapshots (ordered by time) finds the latest snapshot of the probe's own
+   bucket; a window partition holds the distinct timestamps of one key in one
+   bucket, not its rows;
+3. every (key, bucket) is summarised by its latest snapshot, and a running max
+   over those summaries -- one row per bucket -- gives the latest snapshot of
+   all *earlier* buckets of each probe bucket; the answer is the later of the
+   two;
+4. the answers, one per (key, timestamp), are joined back to the probe rows
+   with an equi-join (a hot (key, timestamp) is split by AQE's skew handling).
 
-Rows of a hot key are spread over its time buckets, and nothing is expanded
-into pairs.
+Nothing is expanded into pairs.
 """
 
 from __future__ import annotations
@@ -31,49 +37,50 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_ts: str, right_ts
     same ``by`` key with ``right_ts <= left_ts`` (inclusive).
 
     Ties on ``right_ts`` resolve to the largest payload tuple (deterministic).
-    With ``inner`` the left rows without any earlier snapshot are dropped.
-    Output: left columns + payload columns.
+    Null keys and null times match nothing.  With ``inner`` the left rows
+    without any earlier snapshot are dropped.  Output: left columns + payload
+    columns.
     """
     lcols = list(left.columns)
-    day = lambda c: F.unix_date(F.to_date(F.col(c)))
-    snap_struct = F.struct(F.col(right_ts).cast("timestamp_ntz").alias("t"),
-                           *[F.col(c).alias(c) for c in payload])
-    snaps = (right.where(F.col(right_ts).isNotNull())
-             .select(F.col(by).alias("__k"), F.floor(day(right_ts) / bucket_days).alias("__b"),
-                     snap_struct.alias("__S")))
+    bucket = lambda c: F.floor(F.unix_date(F.to_date(F.col(c))) / bucket_days)
+    run = Window.unboundedPreceding, Window.currentRow
+
+    # 1. latest payload per (key, time); distinct probe times
+    snap = F.struct(F.col(right_ts).cast("timestamp_ntz").alias("__t"), *[F.col(c).alias(c) for c in payload])
+    snaps = (right.where(F.col(by).isNotNull() & F.col(right_ts).isNotNull())
+             .select(F.col(by).alias("__k"), snap.alias("__S"))
+             .groupBy("__k", F.col("__S.__t").alias("__t")).agg(F.max("__S").alias("__S"))
+             .withColumn("__b", bucket("__t")))
     s_type = snaps.schema["__S"].dataType
-    probes = left.select(F.col(by).alias("__k"), F.floor(day(left_ts) / bucket_days).alias("__b"),
-                         F.col(left_ts).cast("timestamp_ntz").alias("__t"),
-                         F.struct(*[F.col(c) for c in lcols]).alias("__L"))
-    l_type = probes.schema["__L"].dataType
+    times = (left.where(F.col(by).isNotNull() & F.col(left_ts).isNotNull())
+             .select(F.col(by).alias("__k"), F.col(left_ts).cast("timestamp_ntz").alias("__t")).distinct()
+             .withColumn("__b", bucket("__t")))
 
-    # 1. latest snapshot within the probe's own bucket
-    u = (probes.select("__k", "__b", "__t", F.lit(1).alias("__kind"), "__L", F.lit(None).cast(s_type).alias("__S"))
-         .unionByName(snaps.select("__k", "__b", F.col("__S.t").alias("__t"), F.lit(0).alias("__kind"),
-                                   F.lit(None).cast(l_type).alias("__L"), "__S")))
-    order = [F.col("__t"), F.col("__kind")] + [F.col("__S").getField(c) for c in payload]
-    w_in = (Window.partitionBy("__k", "__b").orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    within = (u.withColumn("__W", F.last("__S", ignorenulls=True).over(w_in))
-              .where(F.col("__kind") == 1)
-              .select("__k", "__b", "__L", "__W"))
+    # 2. latest snapshot within the probe's own bucket (snapshots sort before probes at equal time)
+    u = (times.select("__k", "__b", "__t", F.lit(1).alias("__kind"), F.lit(None).cast(s_type).alias("__S"))
+         .unionByName(snaps.select("__k", "__b", "__t", F.lit(0).alias("__kind"), "__S")))
+    w_in = Window.partitionBy("__k", "__b").orderBy("__t", "__kind").rowsBetween(*run)
+    within = (u.withColumn("__W", F.max("__S").over(w_in)).where(F.col("__kind") == 1)
+              .select("__k", "__b", "__t", "__W"))
 
-    # 2. latest snapshot of all earlier buckets, per (key, probe bucket)
+    # 3. latest snapshot of all earlier buckets, per (key, probe bucket)
     summary = snaps.groupBy("__k", "__b").agg(F.max("__S").alias("__S"))
-    wanted = probes.where(F.col("__t").isNotNull()).select("__k", "__b").distinct()
-    v = (wanted.select("__k", "__b", F.lit(0).alias("__first"), F.lit(None).cast(s_type).alias("__S"))
+    v = (times.select("__k", "__b").distinct()
+         .select("__k", "__b", F.lit(0).alias("__first"), F.lit(None).cast(s_type).alias("__S"))
          .unionByName(summary.select("__k", "__b", F.lit(1).alias("__first"), "__S")))
-    w_prev = (Window.partitionBy("__k").orderBy("__b", "__first")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    w_prev = Window.partitionBy("__k").orderBy("__b", "__first").rowsBetween(*run)
     carry = (v.withColumn("__C", F.max("__S").over(w_prev)).where(F.col("__first") == 0)
              .select("__k", "__b", "__C"))
-
-    # 3. the later of the two
-    out = within.join(carry, ["__k", "__b"], "left").withColumn("__M", F.greatest("__W", "__C"))
+    answers = (within.join(carry, ["__k", "__b"], "left")
+               .select("__k", "__t", F.greatest("__W", "__C").alias("__M")))
     if inner:
-        out = out.where(F.col("__M").isNotNull())
-    return out.select(*[F.col("__L").getField(c).alias(c) for c in lcols],
-                      *[F.col("__M").getField(c).alias(c) for c in payload])
+        answers = answers.where(F.col("__M").isNotNull())
+
+    # 4. back to the probe rows
+    probes = left.select(*[F.col(c) for c in lcols], F.col(by).alias("__k"),
+                         F.col(left_ts).cast("timestamp_ntz").alias("__t"))
+    out = probes.join(answers, ["__k", "__t"], "inner" if inner else "left")
+    return out.select(*[F.col(c) for c in lcols], *[F.col("__M").getField(c).alias(c) for c in payload])
 
 
 def horizon_grid(spark, horizons: Sequence[int]) -> DataFrame:

@@ -138,3 +138,24 @@ def test_asof_matches_brute_force_across_buckets(spark):
         if cands:
             want[pid] = max(cands)
     assert got == want
+
+
+def test_asof_outer_hot_key_and_nulls(spark):
+    import random
+    rnd = random.Random(11)
+    base = dt.date(2024, 1, 1)
+    # one hot key holds most snapshots and probes, all inside one 30-day bucket
+    snaps = [("hot", base + dt.timedelta(days=rnd.randint(0, 20)), float(rnd.randint(0, 9))) for _ in range(400)]
+    snaps += [("cold", base + dt.timedelta(days=rnd.randint(0, 200)), float(rnd.randint(0, 9))) for _ in range(20)]
+    snaps += [(None, base, 1.0)]
+    probes = [(i, "hot", base + dt.timedelta(days=rnd.randint(-5, 25))) for i in range(300)]
+    probes += [(300 + i, "cold", base + dt.timedelta(days=rnd.randint(0, 250))) for i in range(30)]
+    probes += [(400, None, base), (401, "hot", None)]
+    left = spark.createDataFrame(probes, "pid int, key string, cut date")
+    right = spark.createDataFrame(snaps, "key string, Date date, m double")
+    rows = asof_join(left, right, "key", "cut", "Date", ["Date", "m"], inner=False).collect()
+    assert len(rows) == len(probes)
+    got = {r["pid"]: (r["Date"], r["m"]) for r in rows}
+    for pid, key, cut in probes:
+        cands = [(d, m) for k, d, m in snaps if key is not None and cut is not None and k == key and d <= cut]
+        assert got[pid] == (max(cands) if cands else (None, None)), pid
