@@ -3,7 +3,8 @@
 Skew notes: de-duplication is an aggregate (``min_by`` over an explicit total
 order), not a window, so a barcode with millions of copies is reduced
 map-side; group sizes are a combinable count joined back by the planner
-(AQE splits a hot key); global quantiles come from (value, count) pairs.
+(AQE splits a hot key); quantiles are exact but only sort a sketch-chosen
+bracket of (value, count) pairs, never a whole group in one task.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescast.operators.stats import attach_one_row, medians_wide
+from salescast.operators.stats import attach_one_row, exact_percentiles
 
 
 def non_empty(c: Column) -> Column:
@@ -61,10 +62,9 @@ def group_size(df: DataFrame, key: str, out: str) -> DataFrame:
 
 
 def _quantile_bounds(df: DataFrame, col: str, factor: float) -> DataFrame:
-    counted = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v"))
-               .agg(F.count(F.lit(1)).alias("f")))
-    return counted.agg(F.percentile(F.col("v"), F.lit(0.25), F.col("f")).alias("__q1"),
-                       F.percentile(F.col("v"), F.lit(0.75), F.col("f")).alias("__q3"))
+    """One row: exact q1 and q3 of a ticket-level column (sketch-bracketed, see
+    :func:`~salescast.operators.stats.exact_percentiles`)."""
+    return exact_percentiles(df, col, [0.25, 0.75], outs=["__q1", "__q3"])
 
 
 def remove_outliers(df: DataFrame, cols: Sequence[str], method: str = "IQR", factor: float = 1.5) -> DataFrame:
@@ -103,7 +103,7 @@ def price_sanity(df: DataFrame, group: str = "event_name", price: str = "product
     quantity (0 -> 1); keep lo < unit price < hi."""
     from salescast.session import broadcast_bounded
 
-    med = medians_wide(df, [price], group, suffix="__med")
+    med = exact_percentiles(df, price, [0.5], [group], outs=[price + "__med"], group_bound=group_bound)
     if group_bound is not None:
         med = broadcast_bounded(med, group_bound)
     j = df.join(med, group, "left")

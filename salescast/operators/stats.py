@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -57,3 +57,76 @@ def medians_wide(df: DataFrame, cols: Sequence[str], group: str | None = None,
     counted = df.groupBy(*keys, *cols).agg(F.sum(w).cast("long").alias("__freq"))
     aggs = [F.percentile(F.col(c).cast("double"), F.lit(0.5), F.col("__freq")).alias(c + suffix) for c in cols]
     return counted.groupBy(*keys).agg(*aggs) if keys else counted.agg(*aggs)
+
+
+def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], group_cols: Sequence[str] = (),
+                      outs: Sequence[str] | None = None, accuracy: int = 10000,
+                      group_bound: int | None = None) -> DataFrame:
+    """Exact percentiles of ``value`` per group with Spark's ``percentile``
+    semantics (linear interpolation at position p * (n - 1), nulls skipped),
+    without buffering a group's distinct values in one task.
+
+    1. rows are counted per (group, value) -- combinable;
+    2. a ``percentile_approx`` sketch per group (combinable, bounded memory)
+       brackets each target at p -/+ 3/accuracy;
+    3. exact counts verify each bracket: the values below it and up to its top
+       must enclose both target positions.  A bracket that fails (the sketch
+       guarantee makes this the exception) widens to the whole group, so the
+       result is exact either way;
+    4. a running count over the bracket's (value, count) rows -- about
+       6 * n / accuracy positions, sorted spillably -- finds the two values
+       around each target.
+
+    Output: group columns + one column per p (``outs`` or ``<value>_p<100p>``).
+    ``group_bound`` (a proven bound on the number of groups) lets the
+    per-group bracket table be broadcast.
+    """
+    from salescast.session import broadcast_bounded
+
+    keys = list(group_cols) or ["__g"]
+    outs = list(outs) if outs else [f"{value}_p{int(round(p * 100))}" for p in ps]
+    src = df if group_cols else df.withColumn("__g", F.lit(0))
+    x = src.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
+    counted = x.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__f"))
+
+    eps = 3.0 / accuracy
+    sketch = [F.count(F.lit(1)).alias("__n")]
+    for i, p in enumerate(ps):
+        sketch += [F.percentile_approx("__v", max(0.0, p - eps), accuracy).alias(f"__lo{i}"),
+                   F.percentile_approx("__v", min(1.0, p + eps), accuracy).alias(f"__hi{i}")]
+    bounds = x.groupBy(*keys).agg(*sketch)
+    # one row per (group, target): position, bracket
+    targets = bounds.select(*keys, "__n", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("__n") - 1)).alias("pos"),
+                 F.col(f"__lo{i}").alias("lo"), F.col(f"__hi{i}").alias("hi"))
+        for i, p in enumerate(ps)])).alias("__T")).select(*keys, "__T.*")
+    if group_bound is not None:
+        targets = broadcast_bounded(targets, group_bound * len(ps))
+    tj = counted.join(targets, keys)
+    check = (tj.groupBy(*keys, "i", "pos", "lo", "hi")
+             .agg(F.sum(F.when(F.col("__v") < F.col("lo"), F.col("__f")).otherwise(0)).alias("below"),
+                  F.sum(F.when(F.col("__v") <= F.col("hi"), F.col("__f")).otherwise(0)).alias("upto")))
+    ok = (F.col("below") <= F.floor("pos")) & (F.col("upto") > F.ceil("pos"))
+    brackets = check.select(*keys, "i", "pos",
+                            F.when(ok, F.col("lo")).alias("lo"), F.when(ok, F.col("hi")).alias("hi"),
+                            F.when(ok, F.col("below")).otherwise(F.lit(0)).alias("below"))
+    if group_bound is not None:
+        brackets = broadcast_bounded(brackets, group_bound * len(ps))
+    inside = (counted.join(brackets, keys)
+              .where((F.col("lo").isNull() | (F.col("__v") >= F.col("lo")))
+                     & (F.col("hi").isNull() | (F.col("__v") <= F.col("hi")))))
+    w = (Window.partitionBy(*keys, "i").orderBy("__v")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = inside.withColumn("__c", F.col("below") + F.sum("__f").over(w))
+    lo_pos, hi_pos = F.floor("pos"), F.ceil("pos")
+    picked = (ranked.groupBy(*keys, "i", "pos")
+              .agg(F.min(F.when(F.col("__c") > lo_pos, F.col("__v"))).alias("__a"),
+                   F.min(F.when(F.col("__c") > hi_pos, F.col("__v"))).alias("__b")))
+    val = F.when(hi_pos == lo_pos, F.col("__a")).otherwise(
+        (hi_pos - F.col("pos")) * F.col("__a") + (F.col("pos") - lo_pos) * F.col("__b"))
+    wide = picked.groupBy(*keys).agg(*[F.max(F.when(F.col("i") == i, val)).alias(o) for i, o in enumerate(outs)])
+    if group_cols:
+        return wide
+    # global: exactly one row, nulls when there is no value (as ``percentile``)
+    one = df.sparkSession.range(1).select(F.lit(0).alias("__g"))
+    return one.join(wide, "__g", "left").drop("__g")

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from salescast.functions import numeric as N
@@ -159,3 +161,30 @@ def test_asof_outer_hot_key_and_nulls(spark):
     for pid, key, cut in probes:
         cands = [(d, m) for k, d, m in snaps if key is not None and cut is not None and k == key and d <= cut]
         assert got[pid] == (max(cands) if cands else (None, None)), pid
+
+
+def test_exact_percentiles_match_spark_percentile(spark):
+    import random
+    from salescast.operators.stats import exact_percentiles
+    rnd = random.Random(3)
+    rows = [("hot", float(rnd.randint(0, 300)) / 7) for _ in range(3000)]
+    rows += [(f"g{rnd.randint(0, 20)}", rnd.choice([None, float(rnd.randint(-50, 50))])) for _ in range(600)]
+    rows += [("single", 4.0), ("nulls", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    ps = [0.0, 0.25, 0.5, 0.9, 1.0]
+    want = {r["g"]: tuple(r[f"q{i}"] for i in range(len(ps))) for r in
+            df.groupBy("g").agg(*[F.percentile("v", p).alias(f"q{i}") for i, p in enumerate(ps)]).collect()}
+    outs = [f"q{i}" for i in range(len(ps))]
+    for acc in (10, 10000):   # 10: coarse sketch, many brackets and fallbacks exercised
+        got = {r["g"]: tuple(r[o] for o in outs) for r in
+               exact_percentiles(df, "v", ps, ["g"], outs=outs, accuracy=acc).collect()}
+        for g, w in want.items():
+            if all(x is None for x in w):
+                assert g not in got or all(x is None for x in got[g])
+                continue
+            assert got[g] == pytest.approx(w, rel=1e-9, abs=1e-9), (acc, g)
+    glob = exact_percentiles(df, "v", [0.25, 0.75], outs=["a", "b"], accuracy=10).collect()
+    exp = df.agg(F.percentile("v", 0.25).alias("a"), F.percentile("v", 0.75).alias("b")).collect()
+    assert len(glob) == 1 and (glob[0]["a"], glob[0]["b"]) == pytest.approx((exp[0]["a"], exp[0]["b"]))
+    empty = exact_percentiles(df.where("false"), "v", [0.5], outs=["m"]).collect()
+    assert len(empty) == 1 and empty[0]["m"] is None
