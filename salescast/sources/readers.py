@@ -27,13 +27,22 @@ class SourceSpec:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",",
-             encoding: str = "UTF-8", escape: str = '"') -> DataFrame:
+             encoding: str = "UTF-8", escape: str = '"', header: bool = True) -> DataFrame:
     """S01 + S02 + S04 + S05: typed CSV scan; malformed rows land in ``_corrupt``
     (short rows padded with null, long rows truncated); without a schema every
-    column is read as string."""
-    r = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
+    column is read as string.
+
+    With ``header`` Spark skips the first line of *every* file of the folder,
+    so only read multi-file folders that way when each file starts with the
+    header (as Spark's own CSV writer does)."""
+    r = (spark.read.option("header", header).option("sep", sep).option("encoding", encoding)
          .option("escape", escape).option("mode", "PERMISSIVE"))
     if schema is not None:
+        # With CSV parser column pruning (Spark's default) only the referenced
+        # columns are tokenised, and short/long rows are no longer flagged in
+        # ``_corrupt``.  The setting is read when the scan is planned, so it is
+        # switched off for the session whenever a corrupt-record column is used.
+        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
         schema = T.StructType(list(schema.fields) + [T.StructField("_corrupt", T.StringType(), True)])
         r = r.schema(schema).option("columnNameOfCorruptRecord", "_corrupt")
     return r.csv(path)

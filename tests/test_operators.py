@@ -188,3 +188,15 @@ def test_exact_percentiles_match_spark_percentile(spark):
     assert len(glob) == 1 and (glob[0]["a"], glob[0]["b"]) == pytest.approx((exp[0]["a"], exp[0]["b"]))
     empty = exact_percentiles(df.where("false"), "v", [0.5], outs=["m"]).collect()
     assert len(empty) == 1 and empty[0]["m"] is None
+
+
+def test_ragged_csv_flags_short_and_long_rows_under_pruning(spark, tmp_path):
+    from pyspark.sql import types as T
+    from salescast.sources import readers as R
+    p = str(tmp_path / "ragged")
+    lines = ["a;b;c;d", "a;b", "a;b;c;d;e", "a;b;;"]
+    spark.createDataFrame([(x,) for x in lines], "value string").repartition(3).write.text(p)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in "wxyz"])
+    df = R.pad_missing(R.read_csv(spark, p, schema, sep=";", header=False), ["y", "z"])
+    got = sorted((r["y"], r["z"], r["_corrupt"] or "") for r in df.select("y", "z", "_corrupt").collect())
+    assert got == sorted([("c", "d", ""), ("", "", "a;b"), ("c", "d", "a;b;c;d;e"), ("", "", "")])
