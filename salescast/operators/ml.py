@@ -117,13 +117,14 @@ def load_model(root: str, T: int) -> tuple[PipelineModel, dict]:
 
 def nearest_horizon(df: DataFrame, days_col: str, horizons: Sequence[int]) -> DataFrame:
     """Nearest trained horizon: negative days count as 0; ties -> smaller T.
-    The horizon list is the (small, fixed) set of trained models: broadcast."""
-    spark = df.sparkSession
-    hz = F.broadcast(spark.createDataFrame([(int(h),) for h in horizons], "T int"))
+
+    The horizon list is the small, fixed set of trained models, so the choice
+    is a per-row expression (``array_min`` over (distance, T) structs): no
+    join, no shuffle, and duplicate input rows stay as they are."""
     d = F.greatest(F.col(days_col), F.lit(0))
-    j = df.crossJoin(hz)
-    keys = [c for c in df.columns]
-    return j.groupBy(*keys).agg(F.min_by("T", F.struct(F.abs(F.col("T") - d), F.col("T"))).alias("model_T"))
+    options = F.array(*[F.struct(F.abs(F.lit(int(h)) - d).alias("dist"), F.lit(int(h)).alias("T"))
+                        for h in horizons])
+    return df.withColumn("model_T", F.array_min(options).getField("T"))
 
 
 def postprocess(pred: DataFrame, raw_col: str, floor_col: str, log_target: bool) -> DataFrame:

@@ -200,3 +200,9 @@ def test_ragged_csv_flags_short_and_long_rows_under_pruning(spark, tmp_path):
     df = R.pad_missing(R.read_csv(spark, p, schema, sep=";", header=False), ["y", "z"])
     got = sorted((r["y"], r["z"], r["_corrupt"] or "") for r in df.select("y", "z", "_corrupt").collect())
     assert got == sorted([("c", "d", ""), ("", "", "a;b"), ("c", "d", "a;b;c;d;e"), ("", "", "")])
+
+
+def test_nearest_horizon_keeps_duplicate_rows(spark):
+    df = spark.createDataFrame([(7,), (7,), (-3,), (None,)], "d int")
+    got = sorted((r["d"] is None, r["d"], r["model_T"]) for r in nearest_horizon(df, "d", [5, 10]).collect())
+    assert got == [(False, -3, 5), (False, 7, 5), (False, 7, 5), (True, None, 5)]
