@@ -309,9 +309,11 @@ s AS (SELECT (SELECT count(*) FROM a) AS n_left, (SELECT count(*) FROM b) AS n_r
 def q_artist_coverage(spark, sf_dir):
     """Line-up artists covered by metric snapshots dated before 1998."""
     from salescast.functions.text import with_normalized
-    lu = with_normalized(testbed.lineup_bridge(spark, sf_dir), "artist")
+    from salescast.session import table_rows
+    artists = table_rows(spark, f"{sf_dir}/customer.parquet")   # artist names are customer names
+    lu = with_normalized(testbed.lineup_bridge(spark, sf_dir), "artist", bound_rows=artists)
     snaps = testbed.artist_snapshots(spark, sf_dir).where(F.col("Date") < F.lit("1998-01-01").cast("date"))
-    snaps = with_normalized(snaps, "artist")
+    snaps = with_normalized(snaps, "artist", bound_rows=artists)
     return finish(an.coverage(lu, snaps, "artist"))
 
 

@@ -95,9 +95,11 @@ q_weather_day0 = _block_query("weather_day0", WEATHER_SPEC)         # W04 P12 J0
 
 def _artist_inputs(spark, sf_dir):
     bound = table_rows(spark, f"{sf_dir}/supplier.parquet")
+    # artist names are customer names: the customer table bounds the distinct keys
+    artists = table_rows(spark, f"{sf_dir}/customer.parquet")
     lu = with_normalized(with_normalized(testbed.lineup_bridge(spark, sf_dir), "event_name", bound_rows=bound),
-                         "artist")
-    snaps = with_normalized(testbed.artist_snapshots(spark, sf_dir), "artist")
+                         "artist", bound_rows=artists)
+    snaps = with_normalized(testbed.artist_snapshots(spark, sf_dir), "artist", bound_rows=artists)
     return lu, snaps
 
 
