@@ -93,5 +93,5 @@ def event_features(tickets: DataFrame, lineup: DataFrame, snapshots: DataFrame,
     events = event_table(t, T, lag, lo, hi, is_prediction)
     lu = with_normalized(with_normalized(lineup, "event_name", bound_rows=name_bound), "artist")
     snaps = with_normalized(snapshots, "artist")
-    matched = materialize(artist_asof(lu, snaps, T), "artist_asof")
-    return artist_block(matched, events, star_pct)
+    lu = lu.join(events.select("event_name"), "event_name", "left_semi")   # kept events only
+    return artist_block(artist_asof(lu, snaps, T), events, star_pct)

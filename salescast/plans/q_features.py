@@ -46,7 +46,7 @@ from salescast.operators.artists import artist_asof, artist_block  # noqa: E402
 from salescast.functions.text import with_normalized  # noqa: E402
 from salescast.plans import oracle_features as OF  # noqa: E402
 from salescast.plans.oracle_base import EV, typed_select  # noqa: E402
-from salescast.session import materialize, table_rows  # noqa: E402
+from salescast.session import table_rows  # noqa: E402
 
 TIME_SPEC = [("first_event_date", "t"), ("event_duration_hours", "d"), ("sales_duration_hours_upto_t", "d"),
              ("log_sales_duration_hours_upto_t", "d"), ("day_of_week", "i"), ("event_month", "i"),
@@ -125,8 +125,8 @@ def q_artist_block(spark, sf_dir):
     """A07 A08 W07 (+J04): per-event artist aggregates with the star flag."""
     events = _events(spark, sf_dir).select("event_name")
     lu, snaps = _artist_inputs(spark, sf_dir)
-    matched = materialize(artist_asof(lu, snaps, T_H), "artist_asof")
-    return finish(artist_block(matched, events))
+    lu = lu.join(events, "event_name", "left_semi")      # only the kept events' line-ups are searched
+    return finish(artist_block(artist_asof(lu, snaps, T_H), events))
 
 
 EVENT_FEATURES_SQL = ("WITH " + OF.event_table(T_H, LAG, LO, HI, ASOF) + ",\n" + OF.artist_block(T_H, "ev_out") + "\n"
@@ -138,5 +138,5 @@ def q_event_features(spark, sf_dir):
     """The full point-in-time feature table (all blocks, J02 fused)."""
     lu, snaps = _artist_inputs(spark, sf_dir)
     events = _events(spark, sf_dir)
-    matched = materialize(artist_asof(lu, snaps, T_H), "artist_asof")
-    return finish(artist_block(matched, events))
+    lu = lu.join(events.select("event_name"), "event_name", "left_semi")
+    return finish(artist_block(artist_asof(lu, snaps, T_H), events))
