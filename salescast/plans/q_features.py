@@ -46,7 +46,7 @@ from salescast.operators.artists import artist_asof, artist_block  # noqa: E402
 from salescast.functions.text import with_normalized  # noqa: E402
 from salescast.plans import oracle_features as OF  # noqa: E402
 from salescast.plans.oracle_base import EV, typed_select  # noqa: E402
-from salescast.session import table_rows  # noqa: E402
+from salescast.session import materialize, table_rows  # noqa: E402
 
 TIME_SPEC = [("first_event_date", "t"), ("event_duration_hours", "d"), ("sales_duration_hours_upto_t", "d"),
              ("log_sales_duration_hours_upto_t", "d"), ("day_of_week", "i"), ("event_month", "i"),
@@ -97,8 +97,10 @@ def _artist_inputs(spark, sf_dir):
     bound = table_rows(spark, f"{sf_dir}/supplier.parquet")
     # artist names are customer names: the customer table bounds the distinct keys
     artists = table_rows(spark, f"{sf_dir}/customer.parquet")
-    lu = with_normalized(with_normalized(testbed.lineup_bridge(spark, sf_dir), "event_name", bound_rows=bound),
-                         "artist", bound_rows=artists)
+    # the bridge stands in for a landed line-up table: derived once, then read by the
+    # key normalisations, the as-of probe times and the final probe join
+    bridge = materialize(testbed.lineup_bridge(spark, sf_dir), "lineup")
+    lu = with_normalized(with_normalized(bridge, "event_name", bound_rows=bound), "artist", bound_rows=artists)
     snaps = with_normalized(testbed.artist_snapshots(spark, sf_dir), "artist", bound_rows=artists)
     return lu, snaps
 
