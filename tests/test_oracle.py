@@ -7,11 +7,13 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-import __spark_entry__ as E  # noqa: E402
 from check_oracle import duck, rows_of  # noqa: E402
 
+from salescast.plans import catalog  # noqa: E402, F401
+from salescast.plans.registry import ORACLE as SQL  # noqa: E402
+from salescast.plans.registry import QUERIES  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
-SQL = E.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +23,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF).toPandas()
+    got = QUERIES[name](spark, SF).toPandas()
     want = con.execute(SQL[name]).df()
     gc, gr = rows_of(got)
     wc, wr = rows_of(want)
@@ -31,5 +33,5 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_docstring_and_runs_lazily(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         assert fn.__doc__ or name in SQL, name
