@@ -17,6 +17,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 
 LONG_WORD = 512
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -125,3 +126,19 @@ class Words:
                     acc += h[k:k + m] * factors[k]
                 out[:m] = mix64(acc)
         return out, keep
+
+
+def slices(texts: pa.Array, max_bytes: int = 2 << 20, max_rows: int = 1 << 30):
+    """Consecutive slices of a string array of about ``max_bytes`` (one row at least),
+    so that working arrays stay small whatever the size of an Arrow batch."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    sizes = np.nan_to_num(np.asarray(pa.compute.binary_length(texts), dtype=np.float64)).astype(np.int64)
+    upto = np.cumsum(sizes)
+    start, n = 0, len(sizes)
+    while start < n:
+        done = upto[start - 1] if start else 0
+        stop = int(np.searchsorted(upto, done + max_bytes, side="right"))
+        stop = max(start + 1, min(stop, start + max_rows, n))
+        yield texts.slice(start, stop - start)
+        start = stop
