@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from llm import op1_sharding, op2_quality, op4_language, op6_chat, op10_substrings
+from llm import op1_sharding, op2_quality, op4_language, op6_chat, op7_neardup, op10_substrings
 
 QUERIES = {
     "op1_sharding": op1_sharding.op1_sharding,
     "op2_quality": op2_quality.op2_quality,
     "op4_language": op4_language.op4_language,
     "op6_chat": op6_chat.op6_chat,
+    "op7_neardup": op7_neardup.op7_neardup,
     "op10_substrings": op10_substrings.op10_substrings,
 }
 
 ORACLE = {
     "op1_sharding": op1_sharding.ORACLE_SQL,
     "op6_chat": op6_chat.ORACLE_SQL,
+    "op7_neardup": op7_neardup.ORACLE_SQL,
     "op10_substrings": op10_substrings.ORACLE_SQL,
 }
