@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from llm import op1_sharding, op2_quality, op4_language, op6_chat, op7_neardup, op10_substrings
+from llm import op1_sharding, op2_quality, op4_language, op6_chat, op7_neardup, op8_nearest, op9_html, op10_substrings
 
 QUERIES = {
     "op1_sharding": op1_sharding.op1_sharding,
@@ -10,6 +10,8 @@ QUERIES = {
     "op4_language": op4_language.op4_language,
     "op6_chat": op6_chat.op6_chat,
     "op7_neardup": op7_neardup.op7_neardup,
+    "op8_nearest": op8_nearest.op8_nearest,
+    "op9_html": op9_html.op9_html,
     "op10_substrings": op10_substrings.op10_substrings,
 }
 
@@ -17,5 +19,6 @@ ORACLE = {
     "op1_sharding": op1_sharding.ORACLE_SQL,
     "op6_chat": op6_chat.ORACLE_SQL,
     "op7_neardup": op7_neardup.ORACLE_SQL,
+    "op8_nearest": op8_nearest.ORACLE_SQL,
     "op10_substrings": op10_substrings.ORACLE_SQL,
 }
