@@ -365,6 +365,15 @@ def _group_column(doc_id: str, groups: int):
     return group(F.coalesce(F.col(doc_id).cast("long"), F.xxhash64("__tag")))
 
 
+def dedup_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` with repeated windows cut out; n_chars follows the text where it changed."""
+    out = dedup_substrings(docs)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(docs.columns)
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 13-word windows that an earlier document has."""
     out = dedup_substrings(read(spark, sf_dir, "documents", "doc_id", "text"))

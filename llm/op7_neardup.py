@@ -39,8 +39,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import materialize, read
+from llm.common import WORD, materialize, read
 from llm.words import Words, derive, mix64, slices
+from salescast.session import broadcast_bounded
 
 SIZE, BANDS, ROWS = 150, 30, 5
 SIMILARITY_PERCENT = 80
@@ -282,7 +283,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``df``."""
+    """(doc_id, text_hash, n_shingles, component_id, kept) of every row of ``df``."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
     table = materialize(docs.mapInArrow(features, _FEATURES), "shingles")
@@ -292,12 +293,30 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     reps = materialize(classes.select(F.col("key_a").alias("id"), "key_b", "n", F.col("f.doc_id").alias("rep"),
                                       "f.th", "f.sig", "f.bands"), "classes")
     found = named_components(reps, link(docs, reps))
-    member = table.select("doc_id", "n_shingles", "key_a", "key_b").join(found, ["key_a", "key_b"], "left")
+    member = table.select("doc_id", "th", "n_shingles", "key_a", "key_b").join(found, ["key_a", "key_b"], "left")
     comp = F.when(F.col("n_shingles") > 0, F.col("comp")).otherwise(F.col("doc_id"))
-    return member.select("doc_id", "n_shingles", comp.alias("component_id")).withColumn(
+    return member.select("doc_id", F.col("th").alias("text_hash"), "n_shingles", comp.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` with one row of each component; rows with an empty set all stay.
+
+    The rows to drop, (doc_id, hash of the text), are written first; they are
+    broadcast while their counted number fits, else joined by shuffle.
+    """
+    verdict = materialize(near_duplicates(df, doc_id, text), "verdict")
+    gone = verdict.filter("NOT kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__th")).distinct()
+    gone = broadcast_bounded(gone, verdict.filter("NOT kept").count())
+    text_hash = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    left = df.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col("__id")) & (text_hash == F.col("__th")), "left_anti")
+    again = verdict.filter("kept AND n_shingles > 0").groupBy("doc_id", "text_hash").count().filter("count > 1")
+    if again.limit(1).count():  # a kept row that is repeated as a whole
+        first = left.filter(F.coalesce(F.col(text), F.lit("")).rlike(WORD)).dropDuplicates([doc_id, text])
+        left = first.unionByName(left.filter(~F.coalesce(F.col(text), F.lit("")).rlike(WORD)))
+    return left
+
+
 def named_components(reps: DataFrame, links: DataFrame) -> DataFrame:
     """(key_a, key_b, comp) of every class; comp is the smallest doc_id of its component."""
     labelled = reps.join(links, "id", "left").select(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from llm import op1_sharding, op2_quality, op4_language, op6_chat, op7_neardup, op8_nearest, op9_html, op10_substrings
+from llm import (op1_sharding, op2_quality, op3_mixing, op4_language, op5_packing, op6_chat, op7_neardup, op8_nearest,
+                 op9_html, op10_substrings)
 
 QUERIES = {
     "op1_sharding": op1_sharding.op1_sharding,
     "op2_quality": op2_quality.op2_quality,
+    "op3_mixing": op3_mixing.op3_mixing,
     "op4_language": op4_language.op4_language,
+    "op5_packing": op5_packing.op5_packing,
     "op6_chat": op6_chat.op6_chat,
     "op7_neardup": op7_neardup.op7_neardup,
     "op8_nearest": op8_nearest.op8_nearest,
