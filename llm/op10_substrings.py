@@ -5,12 +5,12 @@ smaller doc_id.  All windows are judged on the input texts.
 
 1. Sketch.  Every task adds its windows (once per document and chunk) to
    count-min cells; only "none, one, two or more" is kept of a count.  Partial
-   sketches travel as gap-coded cell lists, about one byte per window and sketch
-   row, and are merged segment by segment.  The merged sketch, one bit per cell
+   sketches travel as gap-coded cell lists, little more than one byte per window
+   and sketch row, and are merged segment by segment.  The merged sketch, one bit per cell
    (estimate two or more), is the only broadcast: ``SKETCH_ROWS * width / 8``
    bytes, where ``width`` follows the corpus up to ``MAX_WIDTH``.
 2. Exact pass.  Windows whose estimate is two or more (an overestimate, so no
-   repeated window is lost) are grouped exactly by a 128-bit key.  Each task first
+   repeated window is lost) are grouped exactly by a 96-bit key.  Each task first
    settles them within its chunk: an occurrence with a smaller document in the
    same chunk is decided at once, and only the chunk's smallest document asks
    for the rest of the corpus.  So a window that a third of all documents share
@@ -49,7 +49,7 @@ SKETCH_ROWS = 2
 MIN_WIDTH, MAX_WIDTH = 1 << 16, 1 << 30
 SEGMENTS = 64
 # Windows that a task settles together, text bytes a final group, bytes of requests a bucket.
-CHUNK_WINDOWS = 1_500_000
+CHUNK_WINDOWS = 750_000
 GROUP_BYTES = 8 << 20
 BUCKET_BYTES = 12 << 20
 _SALT = np.uint64(0xA24BAED4963EE407)
@@ -71,19 +71,17 @@ def cells(h: np.ndarray, row: int, width: int) -> np.ndarray:
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
-    """Sorted non-negative integers as gaps of one byte each (255: add and go on)."""
+    """Sorted non-negative integers as gaps: low bytes as they are, high parts compressed."""
     gaps = np.diff(values, prepend=0)
-    more = gaps // 255
-    ends = np.cumsum(more + 1)
-    out = np.full(int(ends[-1]) if len(ends) else 0, 255, dtype=np.uint8)
-    if len(ends):
-        out[ends - 1] = gaps % 255
-    return out.tobytes()
+    high = zlib.compress((gaps >> 8).astype(np.int32).tobytes(), 1)
+    return len(gaps).to_bytes(4, "little") + (gaps & 255).astype(np.uint8).tobytes() + high
 
 
 def unpack_sorted(blob: bytes) -> np.ndarray:
-    raw = np.frombuffer(blob, dtype=np.uint8)
-    return np.cumsum(raw, dtype=np.int64)[raw != 255]
+    n = int.from_bytes(blob[:4], "little")
+    gaps = np.frombuffer(blob, dtype=np.uint8, count=n, offset=4).astype(np.int64)
+    gaps += np.frombuffer(zlib.decompress(blob[4 + n:]), dtype=np.int32).astype(np.int64) << 8
+    return np.cumsum(gaps)
 
 
 def pack_ints(values: np.ndarray) -> bytes:
@@ -236,7 +234,7 @@ def ask(sketch, width: int, buckets: int, groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, tags, rows, places, keys in window_chunks(batches, 2):
             hit = np.flatnonzero(estimated_repeated(keys[0], sketch.value, width))
-            keys = [k[hit] for k in keys]
+            keys = [keys[0][hit], keys[1][hit].astype(np.uint32)]
             rows, places = rows[hit], places[hit]
             order, later = later_documents(keys, ids[rows])
             done, open_ = order[later], np.sort(order[~later])  # open ones in text order pack best
@@ -268,7 +266,7 @@ def answer(groups: int):
                 out.append((r["grp"], r["doc"], r["tag"], r["place"]))
             else:
                 asked.append((unpack_ints(r["doc"]), unpack_ints(r["tag"]), unpack_ints(r["place"]),
-                              np.frombuffer(r["key_a"], np.uint64), np.frombuffer(r["key_b"], np.uint64)))
+                              np.frombuffer(r["key_a"], np.uint64), np.frombuffer(r["key_b"], np.uint32)))
         if asked:
             doc, tag, place, a, b = (np.concatenate(x) for x in zip(*asked))
             order, later = later_documents([a, b], doc)
