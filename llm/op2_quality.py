@@ -55,8 +55,9 @@ def _stop_words() -> list[str]:
 
 def add_measures(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` plus word counts and the measures that the rules look at."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    df = df.withColumn("__t", t).withColumns({
+    added = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *[m for m, _, _ in RULES]}
+    given = [c for c in df.columns if c not in added]
+    df = df.withColumn("__t", F.coalesce(F.col(text), F.lit(""))).withColumns({
         "__w": F.regexp_extract_all("__t", F.lit(f"({WORD})"), F.lit(1)),
         "__lines": F.filter(F.split("__t", "\n"), lambda x: x.rlike(WORD))})
     n = F.size("__w")
@@ -100,7 +101,10 @@ def add_measures(df: DataFrame, text: str = "text") -> DataFrame:
         "upper_ratio": F.length(F.regexp_replace("__t", "[^A-Z]+", "")) / chars,
         "dup_line_ratio": F.col("n_dup_lines") / lines,
         "bare_line_ratio": F.size(F.filter("__lines", lambda x: x.contains(" | "))) / lines})
-    return df.drop("__t", "__w", "__lines", "__h", "__s", "__p", "__n_lines")
+    # A generator of one row: filters on measures stay above it, instead of being
+    # pushed down with all the expressions they stand for written out again.
+    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *[m for m, _, _ in RULES]]
+    return df.select(*given, F.inline_outer(F.array(F.struct(*measures))))
 
 
 def compile_rules(rules=None) -> Column:
