@@ -39,7 +39,7 @@ _CONTROL = r"/?s>|<?/?SYS>>|/?INST\]|/?ROLE"
 _ESCAPE = rf"([<\[])(\\*)({_CONTROL})"
 _UNESCAPE = rf"([<\[])\\(\\*)({_CONTROL})"
 # One formatted turn: opening marker, role name if any, text, closing marker.
-_TURN = (r"(?s)(\[INST\] |<s>|<<SYS>>|\[ROLE=(.*?)(?<!\\)\])(.*?)"
+_TURN = (r"(?s)(\[INST\] |<s>|<<SYS>>|\[ROLE=((?:[^\\\]]++|\\.)*+)\])(.*?)"
          r"( \[/INST\]|</s>|<</SYS>>|\[/ROLE\])")
 
 
@@ -54,11 +54,11 @@ def unescape(text: Column) -> Column:
 def _role_name(role: Column) -> Column:
     """Role inside ``[ROLE=...]``: control strings, ``]`` and backslashes are escaped."""
     out = F.regexp_replace(role, F.lit(r"\\"), F.lit(r"\\\\"))
-    return F.regexp_replace(out, F.lit(r"\]"), F.lit(r"\\]"))
+    return escape(F.regexp_replace(out, F.lit(r"\]"), F.lit(r"\\]")))
 
 
 def _role_read(name: Column) -> Column:
-    return F.regexp_replace(name, F.lit(r"\\(.)"), F.lit("$1"))
+    return F.regexp_replace(unescape(name), F.lit(r"(?s)\\(.)"), F.lit("$1"))
 
 
 def _pick(role: Column, marks: dict[str, str], other: Column) -> Column:
@@ -158,7 +158,8 @@ pieces AS (
   SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS n,
     length(regexp_replace(text, '([<\[])(\\*)(/?s>|<?/?SYS>>|/?INST\]|/?ROLE)', '\1\\\2\3', 'g'))
     + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15
-      ELSE 14 + length(replace(replace(role, '\', '\\'), ']', '\]')) END AS len
+      ELSE 14 + length(regexp_replace(replace(replace(role, '\', '\\'), ']', '\]'),
+        '([<\[])(\\*)(/?s>|<?/?SYS>>|/?INST\]|/?ROLE)', '\1\\\2\3', 'g')) END AS len
   FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
 ends AS (
   SELECT *, sum(len) OVER (PARTITION BY conv_id ORDER BY i) AS upto,
