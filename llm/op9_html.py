@@ -5,7 +5,7 @@ its root-to-leaf path of tags (and classes).  Per path, text length and
 punctuation are summed and divided by the number of blocks.  The two ratios are
 fused, weighted by what the path's names say (menus, footers, forms, adverts,
 comments and so on weigh nothing, article containers weigh more), smoothed over
-neighbouring blocks of equal weight, and blocks whose value reaches a share of
+neighbouring blocks of one container, and blocks whose value reaches a share of
 the page's largest are content.  So a short headline next to long paragraphs
 stays, and a lone short line far from them goes.
 
@@ -61,8 +61,10 @@ class BlockReader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.paths: dict[tuple[int, str], int] = {}  # (parent path, step) -> path number
-        self.stack: list[tuple[str, int, float, bool]] = [("", -1, 1.0, False)]  # tag, path, weight, silent
-        self.blocks: list[tuple[int, float, str]] = []
+        # Open elements: tag, path, weight, silent, number of the element.
+        self.stack: list[tuple[str, int, float, bool, int]] = [("", -1, 1.0, False, 0)]
+        self.opened = 0
+        self.blocks: list[tuple[int, float, str, int]] = []  # path, weight, text, element around the block's own
         self.text: list[str] = []
 
     def end_block(self) -> None:
@@ -70,8 +72,8 @@ class BlockReader(HTMLParser):
             text = _SPACE.sub(" ", "".join(self.text)).strip()
             self.text = []
             if text:
-                _, path, weight, _ = self.stack[-1]
-                self.blocks.append((path, weight, text))
+                _, path, weight, _, own = self.stack[-1]
+                self.blocks.append((path, weight, text, self.stack[-2][4] if len(self.stack) > 1 else own))
 
     def handle_starttag(self, tag, attrs):
         if tag in INLINE:
@@ -89,14 +91,15 @@ class BlockReader(HTMLParser):
         self.end_block()
         if tag in ("p", "li", "td", "th", "tr", "dt", "dd", "option", "h1", "h2", "h3", "h4", "h5", "h6"):
             self.close_open(tag)
-        _, path, weight, silent = self.stack[-1]
+        _, path, weight, silent, _ = self.stack[-1]
         names = self.names(attrs)
         if tag in BOILERPLATE_TAGS or names & BOILERPLATE_NAMES:
             weight = 0.0
         elif weight and (tag in CONTENT_TAGS or names & CONTENT_NAMES) and tag not in ("html", "body"):
             weight = CONTENT_WEIGHT
         path = self.paths.setdefault((path, ".".join([tag, *sorted(names)])), len(self.paths))
-        self.stack.append((tag, path, weight, silent or tag in SILENT))
+        self.opened += 1
+        self.stack.append((tag, path, weight, silent or tag in SILENT, self.opened))
 
     @staticmethod
     def names(attrs) -> set[str]:
@@ -129,7 +132,7 @@ class BlockReader(HTMLParser):
         if not self.stack[-1][3]:
             self.text.append(data)
 
-    def finish(self) -> list[tuple[int, float, str]]:
+    def finish(self) -> list[tuple[int, float, str, int]]:
         self.close()
         self.end_block()
         return self.blocks
@@ -138,7 +141,7 @@ class BlockReader(HTMLParser):
 def path_values(blocks) -> dict[int, float]:
     """Fused length and punctuation ratio of each path, times its weight."""
     total: dict[int, list[float]] = {}
-    for path, weight, text in blocks:
+    for path, weight, text, _ in blocks:
         t = total.setdefault(path, [0, 0, 0, weight])
         t[0] += 1
         t[1] += len(text)
@@ -146,12 +149,14 @@ def path_values(blocks) -> dict[int, float]:
     return {p: weight * (chars / n) * (1 + marks / n) for p, (n, chars, marks, weight) in total.items()}
 
 
-def smooth(values: list[float], weights: list[float]) -> list[float]:
-    """Each value with a quarter of its neighbours' among blocks of equal weight."""
+def smooth(blocks, values: list[float]) -> list[float]:
+    """Each value with a quarter of its neighbours', among blocks of equal weight that lie
+    in one element or both in article containers."""
     out = list(values)
-    for i in range(len(values)):
+    for i in range(len(blocks)):
         for j in (i - 1, i + 1):
-            if 0 <= j < len(values) and weights[j] == weights[i]:
+            if 0 <= j < len(blocks) and blocks[j][1] == blocks[i][1] and (
+                    blocks[j][3] == blocks[i][3] or blocks[i][1] == CONTENT_WEIGHT):
                 out[i] += 0.25 * values[j]
     return out
 
@@ -166,9 +171,9 @@ def main_text(html: str | None) -> str:
     if not blocks:
         return ""
     by_path = path_values(blocks)
-    values = smooth([by_path[p] for p, _, _ in blocks], [w for _, w, _ in blocks])
+    values = smooth(blocks, [by_path[b[0]] for b in blocks])
     limit = THRESHOLD * max(values)
-    return "\n".join(text for (_, weight, text), v in zip(blocks, values) if weight and v >= limit)
+    return "\n".join(text for (_, weight, text, _), v in zip(blocks, values) if weight and v >= limit)
 
 
 def extract(df: DataFrame, html: str = "html", name: str = "text") -> DataFrame:
