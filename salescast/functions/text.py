@@ -2,30 +2,22 @@
 
 from __future__ import annotations
 
-import unicodedata
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _normalize_one(value) -> str:
-    if not isinstance(value, str):
-        return ""
-    folded = unicodedata.normalize("NFKD", value).encode("ascii", "ignore").decode("ascii")
-    return folded.lower().strip()
-
-
 @F.pandas_udf(T.StringType())
 def normalize_text(s: pd.Series) -> pd.Series:
-    """NFKD fold, drop non-ASCII, lower-case, strip whitespace; null -> ''.
+    """Compatibility decomposition without non-ASCII marks, lower case, no outer
+    white space; null becomes ''.
 
-    Spark has no Unicode normalisation built in, so this is the one Arrow
-    batched UDF of the library.  Apply it to *distinct* keys only
-    (see :func:`with_normalized`), never per ticket row.
+    Spark has no Unicode normalisation, so this is an Arrow-batched UDF of vectorised
+    string methods.  Apply it to *distinct* keys (see :func:`with_normalized`).
     """
-    return s.map(_normalize_one)
+    ascii_bytes = s.fillna("").str.normalize("NFKD").str.encode("ascii", errors="ignore")
+    return ascii_bytes.str.decode("ascii").str.strip().str.lower()
 
 
 def with_normalized(df: DataFrame, col: str, out: str | None = None,

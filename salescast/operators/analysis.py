@@ -120,14 +120,21 @@ def mode_per_group(df: DataFrame, group: str, col: str) -> DataFrame:
 
 
 def coverage(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """A31 + U03 + U04: overlap between two key sets (distinct, intersect, except)."""
-    da = a.select(key).where(F.col(key).isNotNull()).distinct()
-    db = b.select(key).where(F.col(key).isNotNull()).distinct()
-    stats = [da.agg(F.count(F.lit(1)).alias("n_left")),
-             db.agg(F.count(F.lit(1)).alias("n_right")),
-             da.intersect(db).agg(F.count(F.lit(1)).alias("n_both")),
-             da.subtract(db).agg(F.count(F.lit(1)).alias("n_left_only"))]
-    out = stats[0]
-    for s in stats[1:]:
-        out = out.crossJoin(s)
+    """A31 + U03 + U04: overlap between two key sets.  Each key is reduced to two flags in
+    one aggregate (partial on the map side), so either side is read once."""
+    def side(df: DataFrame, left: bool) -> DataFrame:
+        return df.select(F.col(key), F.lit(left).alias("__l")).where(F.col(key).isNotNull())
+
+    keys = side(a, True).unionByName(side(b, False)).groupBy(key).agg(
+        F.max("__l").alias("l"), F.max(~F.col("__l")).alias("r"))
+    out = keys.agg(F.count_if("l").alias("n_left"), F.count_if("r").alias("n_right"),
+                   F.count_if(F.col("l") & F.col("r")).alias("n_both"),
+                   F.count_if(F.col("l") & ~F.col("r")).alias("n_left_only"))
     return out.withColumn("pct_left_covered", F.col("n_both") * 100.0 / F.col("n_left"))
+
+
+def unscanned_events(t: DataFrame, threshold: float = 0.0) -> DataFrame:
+    """Events whose scan rate does not exceed ``threshold`` (default: no scan at all)."""
+    return (t.where(F.col("event_name").isNotNull()).groupBy("event_name")
+            .agg(F.min("first_event_date_start").alias("first_date"), F.avg("product_is_scanned").alias("scan_rate"))
+            .where(F.col("scan_rate") <= threshold))

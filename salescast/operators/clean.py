@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from salescast.operators.stats import attach_one_row, exact_percentiles
 
 
+# Sources from the most to the least trusted one (first copy of a barcode wins).
+SOURCE_PRIORITY = {"shop_f": 0, "shop_o": 1}
+
+
 def non_empty(c: Column) -> Column:
     """non-null and non-empty."""
     return c.isNotNull() & (c != "")
@@ -43,7 +47,8 @@ def both_missing(a: Column, b: Column) -> Column:
 
 
 def dedup_keep_first(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    """Keep the first row per ``key`` under an explicit total order.
+    """Keep the first row per ``key`` under an explicit total order; rows without a
+    key count as one key of their own, of which one row stays.
 
     ``groupBy(key).agg(min_by(struct(row), struct(order)))``: combinable, so a
     key holding a third of all rows is reduced on the map side before the
@@ -51,10 +56,19 @@ def dedup_keep_first(df: DataFrame, key: str, order: Sequence[Column]) -> DataFr
     """
     cols = [c for c in df.columns if c != key]
     best = F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(*order)).alias("__row")
-    return (df.where(F.col(key).isNotNull()).groupBy(key).agg(best)
+    return (df.groupBy(key).agg(best)
             .select(key, *[F.col("__row").getField(c).alias(c) for c in cols]))
 
 
+def dedup_tickets(t: DataFrame, priority: dict[str, int] | None = None) -> DataFrame:
+    """W02 on the canonical ticket rows: by source priority, sale time, price, event, line."""
+    rank = F.lit(len(priority or SOURCE_PRIORITY))
+    for source, place in (priority or SOURCE_PRIORITY).items():
+        rank = F.when(F.col("data_source") == source, place).otherwise(rank)
+    order = [rank, *[F.col(c) for c in ("verkoopdatum", "product_value", "event_name", "line_no")]]
+    return dedup_keep_first(t, "barcode", order)
+
+
 def group_size(df: DataFrame, key: str, out: str) -> DataFrame:
     """Size of the row's group (null key -> null), as count + join back."""
     sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(out))
@@ -100,7 +114,7 @@ def price_sanity(df: DataFrame, group: str = "event_name", price: str = "product
                  qty: str = "quantity", cents_above: float = 250.0, lo: float = 0.0, hi: float = 200.0,
                  group_bound: int | None = None) -> DataFrame:
     """per-event median > 250 means cents (divide by 100); divide by the
-    quantity (0 -> 1); keep lo < unit price < hi."""
+    quantity (0 or missing -> 1); keep lo < unit price < hi."""
     from salescast.session import broadcast_bounded
 
     med = exact_percentiles(df, price, [0.5], [group], outs=[price + "__med"], group_bound=group_bound)
@@ -108,7 +122,8 @@ def price_sanity(df: DataFrame, group: str = "event_name", price: str = "product
         med = broadcast_bounded(med, group_bound)
     j = df.join(med, group, "left")
     v = F.when(F.col(price + "__med") > cents_above, F.col(price) / 100).otherwise(F.col(price))
-    q = F.when(F.col(qty) == 0, F.lit(1.0)).otherwise(F.col(qty))
+    given = F.coalesce(F.col(qty).cast("double"), F.lit(1.0))
+    q = F.when(given == 0, F.lit(1.0)).otherwise(given)
     unit = v / q
     return j.withColumn("unit_price", unit).where((F.col("unit_price") > lo) & (F.col("unit_price") < hi)) \
         .drop(price + "__med")

@@ -21,9 +21,10 @@ def match_to_events(parties: DataFrame, events: DataFrame, tolerance_days: int =
     whose start date is within +-``tolerance_days``; smallest gap, then
     earliest start, then name.
 
-    The +-1 day window is exploded into date keys so the match is an
-    equi-join on a date (hash join), never a nested-loop range join; the
-    best candidate is an aggregate (``min_by``), not a window.
+    Of the events that start on one date only the first by start and name can win, so
+    events are reduced to one per date (a combinable aggregate) before the match.  A
+    party's +-``tolerance_days`` dates are exploded and equi-joined: at most
+    ``2 * tolerance_days + 1`` candidates per party, however many events a date has.
     parties: party_id, archive_ts, ...; events: event_name, event_start, event_end.
     """
     from salescast.session import broadcast_bounded
@@ -32,7 +33,9 @@ def match_to_events(parties: DataFrame, events: DataFrame, tolerance_days: int =
     p = parties.withColumn("est_date", est).withColumn(
         "cand_date", F.explode(F.sequence(F.date_sub(F.col("est_date"), tolerance_days),
                                           F.date_add(F.col("est_date"), tolerance_days))))
-    e = events.withColumn("start_date", F.to_date("event_start"))
+    first = F.min_by(F.struct("event_name", "event_start", "event_end"), F.struct("event_start", "event_name"))
+    e = (events.withColumn("start_date", F.to_date("event_start")).groupBy("start_date").agg(first.alias("e"))
+         .select("start_date", "e.*"))
     if events_bound is not None:
         e = broadcast_bounded(e, events_bound)
     j = p.join(e, p.cand_date == e.start_date, "inner")

@@ -45,6 +45,13 @@ BUYERS = """buyers AS (
 TICKETS_BUYER = TICKETS + ",\n" + BUYERS + """,
 tb AS (SELECT t.*, b.* EXCLUDE (o_orderkey) FROM tickets t JOIN buyers b ON t.order_key = b.o_orderkey)"""
 
+# the same after keep-first de-duplication on the barcode
+TICKETS_BUYER_ONCE = TICKETS + ",\n" + BUYERS + """,
+td AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY barcode ORDER BY
+         CASE data_source WHEN 'shop_f' THEN 0 ELSE 1 END, verkoopdatum, product_value, event_name, line_no) AS rn
+       FROM tickets) WHERE rn = 1),
+tb AS (SELECT t.*, b.* EXCLUDE (o_orderkey) FROM td t JOIN buyers b ON t.order_key = b.o_orderkey)"""
+
 # floored lead days (trap T1) in DuckDB
 LEAD_DAYS = "CAST(floor((epoch_us(first_event_date_start) - epoch_us(verkoopdatum)) / 86400000000.0) AS BIGINT)"
 

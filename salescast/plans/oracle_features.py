@@ -3,7 +3,7 @@ semantics for the oracle; shares only the test-data binding)."""
 
 from __future__ import annotations
 
-from salescast.plans.oracle_base import LEAD_DAYS, TICKETS_BUYER, WEATHER_DAILY, norm
+from salescast.plans.oracle_base import LEAD_DAYS, TICKETS_BUYER_ONCE, WEATHER_DAILY, norm
 
 W = ["t_max", "t_min", "rain_fall", "max_wind"]
 METRICS = ["ChartmetricScore", "SpotifyPopularity", "SpotifyFollowers", "TikTokViews", "DeezerFans"]
@@ -24,7 +24,7 @@ def prepared(T: int, asof: str) -> str:
     rep1 = ", ".join(f"coalesce(p0.{c}, em.em_{c}) AS {c}" for c in W)
     gm = ", ".join(f"quantile_cont({c}, 0.5) AS gm_{c}" for c in W)
     rep2 = ", ".join(f"coalesce(p1.{c}, gm.gm_{c}, 0.0) AS {c}" for c in W)
-    return f"""{TICKETS_BUYER},
+    return f"""{TICKETS_BUYER_ONCE},
 {WEATHER_DAILY},
 tw AS (SELECT tb.*, w.t_max, w.t_min, w.rain_fall, w.max_wind FROM tb
        LEFT JOIN wdaily w ON make_date(2024, 1, day(tb.first_event_date_start)) = w.event_date),
@@ -133,7 +133,7 @@ snaps AS (SELECT {norm('c.c_name')} AS artist, CAST(o.o_orderdate AS DATE) AS Da
           FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
 m0 AS (SELECT lu.event_name, lu.artist, CAST(lu.event_date AS DATE) - {T} AS prediction_date,
               s.Date, {", ".join("s." + m for m in METRICS)},
-              row_number() OVER (PARTITION BY lu.event_name, lu.artist, lu.event_date ORDER BY {order}) AS rn
+              row_number() OVER (PARTITION BY lu.event_name, lu.artist ORDER BY {order}, lu.event_date DESC) AS rn
        FROM lu JOIN snaps s ON lu.artist = s.artist AND s.Date <= CAST(lu.event_date AS DATE) - {T}),
 matched AS (SELECT * EXCLUDE (rn) FROM m0 WHERE rn = 1)"""
 

@@ -9,7 +9,7 @@ from salescast.functions.dates import to_midnight
 from salescast.functions.text import canonical_event_name, normalize_text
 from salescast.operators import analysis as an
 from salescast.operators import clean as C
-from salescast.plans.oracle_base import TICKETS, TICKETS_BUYER, norm, typed_select
+from salescast.plans.oracle_base import TICKETS, TICKETS_BUYER, TICKETS_BUYER_ONCE, norm, typed_select
 from salescast.plans.registry import ASOF, finish, register
 from salescast.session import table_rows
 from salescast.sources import testbed
@@ -21,20 +21,19 @@ WB = "WITH " + TICKETS_BUYER + ",\n"
 # ----------------------------------------------------------------- W02 W06
 DEDUP_SQL = W_ + """r AS (SELECT *, row_number() OVER (PARTITION BY barcode ORDER BY
       CASE data_source WHEN 'shop_f' THEN 0 ELSE 1 END, verkoopdatum, product_value, event_name, line_no) AS rn
-   FROM tickets WHERE barcode IS NOT NULL)
+   FROM (SELECT * REPLACE (CASE WHEN order_key % 97 = 5 THEN NULL ELSE barcode END AS barcode) FROM tickets))
 """ + typed_select("(SELECT * FROM r WHERE rn = 1)", [("barcode", "s"), ("event_name", "s"), ("verkoopdatum", "t"),
                                                       ("product_value", "d"), ("data_source", "s")])
 
 
 @register("dedup_barcode", DEDUP_SQL)
 def q_dedup_barcode(spark, sf_dir):
-    """Keep-first per barcode by source priority, sale time, then a total order."""
-    t = testbed.tickets(spark, sf_dir).select("barcode", "event_name", "verkoopdatum", "product_value",
-                                              "data_source", "line_no")
-    prio = F.when(F.col("data_source") == "shop_f", 0).otherwise(1)
-    d = C.dedup_keep_first(t, "barcode", [prio, F.col("verkoopdatum"), F.col("product_value"),
-                                          F.col("event_name"), F.col("line_no")])
-    return finish(d.drop("line_no"))
+    """Keep-first per barcode by source priority, sale time, then a total order;
+    some tickets are read without a barcode and count as one."""
+    missing = F.when(F.col("order_key") % 97 != 5, F.col("barcode"))
+    t = testbed.tickets(spark, sf_dir).withColumn("barcode", missing).select(
+        "barcode", "event_name", "verkoopdatum", "product_value", "data_source", "line_no")
+    return finish(C.dedup_tickets(t).drop("line_no"))
 
 
 @register("tickets_in_order", W_ + """g AS (SELECT count(*) OVER (PARTITION BY order_id) AS tickets_in_order FROM tickets
@@ -89,8 +88,8 @@ q_outliers_combined = _outlier_query("outliers_combined", "combined")  # F14
 # ----------------------------------------------------------------- F15
 PRICE_SQL = W_ + """m AS (SELECT event_name, quantile_cont(product_value, 0.5) AS med FROM tickets GROUP BY 1),
 u AS (SELECT t.event_name, CASE WHEN m.med > 250 THEN t.product_value / 100 ELSE t.product_value END
-             / CASE WHEN t.quantity = 0 THEN 1.0 ELSE t.quantity END AS unit_price
-      FROM tickets t LEFT JOIN m ON t.event_name = m.event_name)
+             / CASE WHEN coalesce(t.quantity, 1) = 0 THEN 1.0 ELSE coalesce(t.quantity, 1) END AS unit_price
+      FROM (SELECT * REPLACE (CASE WHEN line_no % 7 = 3 THEN NULL ELSE quantity END AS quantity) FROM tickets) t LEFT JOIN m ON t.event_name = m.event_name)
 """ + typed_select("(SELECT event_name, count(*) AS kept, avg(unit_price) AS avg_unit_price FROM u "
                    "WHERE unit_price > 0 AND unit_price < 200 GROUP BY 1)",
                    [("event_name", "s"), ("kept", "l"), ("avg_unit_price", "d")])
@@ -98,8 +97,10 @@ u AS (SELECT t.event_name, CASE WHEN m.med > 250 THEN t.product_value / 100 ELSE
 
 @register("price_sanity", PRICE_SQL)
 def q_price_sanity(spark, sf_dir):
-    """cents rule by per-event median, per-unit price, plausible band."""
-    t = testbed.tickets(spark, sf_dir).select("event_name", "product_value", "quantity")
+    """cents rule by per-event median, per-unit price, plausible band; some tickets are
+    read without a quantity and count as one piece."""
+    given = F.when(F.col("line_no") % 7 != 3, F.col("quantity")).alias("quantity")
+    t = testbed.tickets(spark, sf_dir).select("event_name", "product_value", given)
     kept = C.price_sanity(t, group_bound=table_rows(spark, f"{sf_dir}/supplier.parquet"))
     return finish(kept.groupBy("event_name").agg(F.count(F.lit(1)).alias("kept"),
                                                  F.avg("unit_price").alias("avg_unit_price")))
@@ -300,7 +301,7 @@ PROC_SPEC = [("barcode", "s"), ("event_name", "s"), ("event_date", "t"), ("first
              ("first_event_date_start_with_time", "t"), ("verkoopdatum", "t"), ("product_value", "d"),
              ("total_price", "d"), ("product_is_scanned", "i"), ("age", "d"), ("gender", "s"), ("city", "s"),
              ("t_max", "d"), ("t_min", "d"), ("rain_fall", "d"), ("max_wind", "d"), ("data_source", "s")]
-PROC_SQL = WB + WEATHER_DAILY + """,
+PROC_SQL = "WITH " + TICKETS_BUYER_ONCE + ",\n" + WEATHER_DAILY + """,
 tw AS (SELECT tb.*, w.t_max, w.t_min, w.rain_fall, w.max_wind FROM tb
        LEFT JOIN wdaily w ON make_date(2024, 1, day(tb.first_event_date_start)) = w.event_date),
 mu AS (SELECT avg(t_max) a1, avg(t_min) a2, avg(rain_fall) a3, avg(max_wind) a4 FROM tw),
@@ -320,7 +321,7 @@ def processed_tickets(spark, sf_dir):
     midnight start with the original kept (X11 X12), +/-inf -> null (P13), weather
     mean fill (J01 P10), non-null dates (F05), sorted at the sink (O01)."""
     from salescast.operators.weather import daily_weather, fill_global_mean, join_weather
-    t = testbed.tickets(spark, sf_dir, with_buyer=True)
+    t = testbed.tickets(spark, sf_dir, with_buyer=True, dedup=True)
     R.require_columns(t, ["event_name", "event_date", "barcode", "product_value", "first_event_date_start"])
     daily = daily_weather(testbed.weather_raw(spark, sf_dir))
     t = join_weather(t, daily, testbed.weather_key(F.col("first_event_date_start")))
@@ -342,7 +343,7 @@ def q_processed_tickets(spark, sf_dir):
 
 REMOVAL_SQL = W_ + """d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY barcode ORDER BY
       CASE data_source WHEN 'shop_f' THEN 0 ELSE 1 END, verkoopdatum, product_value, event_name, line_no) AS rn
-      FROM tickets WHERE barcode IS NOT NULL) WHERE rn = 1),
+      FROM tickets) WHERE rn = 1),
 k AS (SELECT * FROM d WHERE verkoopdatum IS NOT NULL AND verkoopdatum BETWEEN TIMESTAMP '1996-01-01'
       AND TIMESTAMP '2000-01-01' AND NOT coalesce(product_value < 0, false))
 """ + typed_select("(SELECT (SELECT count(*) FROM tickets) AS before, (SELECT count(*) FROM d) AS after_dedup, "
@@ -356,15 +357,14 @@ def q_removal_counts(spark, sf_dir):
     """before/after record counts and removal % through dedup and range/price filters."""
     t = testbed.tickets(spark, sf_dir).select("barcode", "event_name", "verkoopdatum", "product_value",
                                               "data_source", "line_no")
-    prio = F.when(F.col("data_source") == "shop_f", 0).otherwise(1)
-    d = C.dedup_keep_first(t, "barcode", [prio, F.col("verkoopdatum"), F.col("product_value"),
-                                          F.col("event_name"), F.col("line_no")])
-    k = d.where(C.in_range(F.col("verkoopdatum"), "1996-01-01", "2000-01-01")).where(
-        C.drop_negative(F.col("product_value")))
-    before = t.agg(F.count(F.lit(1)).alias("before"))
-    a1 = d.agg(F.count(F.lit(1)).alias("after_dedup"))
-    a2 = k.agg(F.count(F.lit(1)).alias("after_filters"))
-    out = before.crossJoin(a1).crossJoin(a2)
+    # One pass: a barcode's kept row and its number of copies give all three counts.
+    order = F.struct(F.when(F.col("data_source") == "shop_f", 0).otherwise(1), "verkoopdatum", "product_value",
+                     "event_name", "line_no")
+    d = t.groupBy("barcode").agg(F.count(F.lit(1)).alias("copies"),
+                                 F.min_by(F.struct("verkoopdatum", "product_value"), order).alias("r"))
+    stays = C.in_range(F.col("r.verkoopdatum"), "1996-01-01", "2000-01-01") & C.drop_negative(F.col("r.product_value"))
+    out = d.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("before"), F.count(F.lit(1)).alias("after_dedup"),
+                F.count_if(stays).alias("after_filters"))
     return finish(out.withColumn("removed_pct", F.lit(100.0) * (F.lit(1.0) - F.col("after_filters") / F.col("before"))))
 
 

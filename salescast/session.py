@@ -9,6 +9,7 @@ broadcast.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,11 +50,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names a shared (HDFS/object-store) folder and is
-    used as is.  Only when it is unset (local tests) do we create a scratch
-    folder of our own.
+    used as is.  Only when it is unset and everything runs in one JVM (local
+    tests) do we create a scratch folder of our own; on a cluster other
+    executors could not see it, so there it is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         conf_dir = tempfile.mkdtemp(prefix="salescast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)
@@ -73,9 +78,27 @@ def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
+_WRITTEN: list[str] = []
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Delete every intermediate that :func:`materialize` has written in this process.
+
+    Call it when no DataFrame that reads them is needed any more (after a query's
+    result is stored).  Works on any file system that Spark can write.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

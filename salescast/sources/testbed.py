@@ -4,7 +4,7 @@ event = supplier, ticket = lineitem row, buyer/artist = customer, weather =
 daily roll-up of the ``events`` table.  Every table is derived by Spark from
 the given parquet files, so the work grows with the data.
 
-The same binding is written once more in SQL (``plans/oracle.py``) for the
+The same binding is written once more in SQL (``plans/oracle_base.py``) for the
 DuckDB oracle; keep both in step.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescast.functions.dates import add_hours
+from salescast.operators.clean import dedup_tickets
 from salescast.session import broadcast_bounded, table_rows
 
 
@@ -73,10 +74,11 @@ def buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tickets(spark: SparkSession, sf_dir: str, with_buyer: bool = False) -> DataFrame:
+def tickets(spark: SparkSession, sf_dir: str, with_buyer: bool = False, dedup: bool = False) -> DataFrame:
     """Canonical ticket rows (FIXTURES F2).  ``with_buyer`` adds the buyer
     columns (city, age, gender, payment_method) through the orders join;
-    queries that do not need them skip that shuffle entirely."""
+    queries that do not need them skip that shuffle entirely.  ``dedup`` keeps one
+    row per barcode (W02)."""
     li = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
@@ -104,6 +106,8 @@ def tickets(spark: SparkSession, sf_dir: str, with_buyer: bool = False) -> DataF
         F.col("l_linenumber").alias("line_no"),
     ]
     t = t.select(*cols)
+    if dedup:
+        t = dedup_tickets(t)
     if with_buyer:
         b = buyers(spark, sf_dir)
         t = t.join(b, t.order_key == b.o_orderkey, "inner").drop("o_orderkey")
@@ -168,8 +172,8 @@ def known_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tickets_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tickets with buyer columns and the daily weather of the event day attached."""
+    """Tickets, one per barcode, with buyer columns and the daily weather of the event day attached."""
     from salescast.operators.weather import daily_weather, join_weather
-    t = tickets(spark, sf_dir, with_buyer=True)
+    t = tickets(spark, sf_dir, with_buyer=True, dedup=True)
     daily = daily_weather(weather_raw(spark, sf_dir))
     return join_weather(t, daily, weather_key(F.col("first_event_date_start")))

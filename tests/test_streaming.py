@@ -1,25 +1,29 @@
-"""Structured Streaming ingest: exports dropped into a landing folder are
-de-duplicated on barcode and appended exactly once."""
+"""Incremental ingest: barcodes once, late and repeated tickets handled batch by batch."""
 
 import os
 import tempfile
 
-from pyspark.sql import functions as F
+from salescast.streaming.ingest import ingest, read_export
 
-from salescast.streaming.ingest import start_ingest
+SCHEMA = "barcode string, event_name string, created_at string, product_value double, product_is_scanned int"
 
 
-def test_stream_ingest_dedups(spark):
-    root = tempfile.mkdtemp(prefix="salescast-stream-")
-    landing, target = os.path.join(root, "landing"), os.path.join(root, "out")
-    rows = [("b1", "ev", "2024-07-01 10:00:00", 10.0, 1), ("b1", "ev", "2024-07-01 11:00:00", 10.0, 0),
-            ("b2", "ev", "2024-07-02 10:00:00", 12.0, 1)]
-    df = spark.createDataFrame(rows, "barcode string, event_name string, created_at string, "
-                                     "product_value double, product_is_scanned int")
-    df.coalesce(1).write.option("header", True).csv(landing)
-    q = start_ingest(spark, landing, target, name="t_" + os.path.basename(root))
-    q.awaitTermination(120)
-    out = spark.read.parquet(target)
-    assert out.count() == 2
-    assert sorted(r[0] for r in out.select("barcode").collect()) == ["b1", "b2"]
-    assert out.where(F.col("data_source") == "export").count() == 2
+def land(spark, root, name, rows):
+    path = os.path.join(root, name)
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.option("header", True).csv(path)
+    return read_export(spark, path, "export")
+
+
+def test_ingest_keeps_each_barcode_once_and_no_late_ticket_is_lost(spark):
+    root = tempfile.mkdtemp(prefix="salescast-ingest-")
+    target = os.path.join(root, "out")
+    first = [("b1", "ev", "2024-07-01 10:00:00", 10.0, 1), ("b1", "ev", "2024-07-01 11:00:00", 10.0, 0),
+             ("b2", "ev", "2024-07-20 10:00:00", 12.0, 1)]
+    late = [("b3", "ev", "2024-03-01 10:00:00", 9.0, 1), ("b1", "ev", "2023-07-01 10:00:00", 10.0, 1),
+            (None, "ev", "2024-07-02 10:00:00", 5.0, 1), (None, "ev", "2024-07-03 10:00:00", 5.0, 1)]
+    assert ingest(land(spark, root, "a", first), target) == 2
+    assert ingest(land(spark, root, "b", late), target) == 2
+    assert ingest(land(spark, root, "c", late), target) == 0
+    rows = spark.read.parquet(target).orderBy("barcode").collect()
+    assert [r["barcode"] for r in rows] == [None, "b1", "b2", "b3"]
+    assert str(rows[1]["verkoopdatum"]) == "2024-07-01 10:00:00"
