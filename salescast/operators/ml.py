@@ -14,12 +14,9 @@ import json
 import os
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,39 +42,62 @@ def model_families(label: str = "label") -> dict:
     }
 
 
-def compare_models(spark: SparkSession, table: DataFrame, features: Sequence[str], target: str,
-                   log_target: bool = True, folds: int = 3) -> tuple[DataFrame, str, PipelineModel]:
-    """M02 + M03 + M07: cross-validated comparison; returns (summary, best name, best fitted model).
+def _fit(data: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[assembler, estimator]).fit(data)
+
+
+def training_rows(table: DataFrame, key: str, features: Sequence[str], target: str, log_target: bool) -> DataFrame:
+    """Key, features (null as 0), target ``__y`` and the label models are fitted to."""
+    y = F.col(target).cast("double")
+    return table.select(F.col(key).alias("__key"),
+                        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features],
+                        y.alias("__y"), (F.log1p(y) if log_target else y).alias("label"))
+
 
-    With ``log_target`` the label is log1p(target) and RMSE is measured after
-    expm1 on the original scale (per fold, via a held-out split per family).
+def fit_family(table: DataFrame, name: str, features: Sequence[str], target: str, key: str = "event_name",
+               log_target: bool = True) -> PipelineModel:
+    """One family of :func:`model_families` on all rows of a training table."""
+    return _fit(training_rows(table, key, features, target, log_target), features, model_families()[name])
+
+
+def compare_models(spark: SparkSession, table: DataFrame, features: Sequence[str], target: str,
+                   log_target: bool = True, folds: int = 5, key: str = "event_name",
+                   families: Sequence[str] | None = None) -> tuple[DataFrame, str, PipelineModel]:
+    """M02 + M03 + M07: k-fold comparison; (summary, name of the winner, winner fitted on all rows).
+
+    Folds are dealt by a hash of the key.  Every family is fitted without a fold and
+    scored on it; RMSE, MAE and R2 are measured on the ticket scale (after expm1 for
+    a log target), and the winner is the lowest mean RMSE over the folds.  One
+    aggregate over the held-out predictions gives all figures.
     """
-    data = table.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features],
-                        F.col(target).cast("double").alias("__y"))
-    data = data.withColumn("label", F.log1p("__y") if log_target else F.col("__y"))
-    # the training table is one row per event: small, reused by every fold and family
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    rows = []
-    best = None
-    evaluator = RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="rmse")
-    for name, est in model_families().items():
-        pipe = Pipeline(stages=[assembler, est])
-        cv = CrossValidator(estimator=pipe, estimatorParamMaps=ParamGridBuilder().build(),
-                            evaluator=evaluator, numFolds=folds, seed=SEED, parallelism=4)
-        fitted = cv.fit(data)
-        pred = fitted.bestModel.transform(data)
-        p = F.expm1("prediction") if log_target else F.col("prediction")
-        m = pred.select(F.sqrt(F.avg((p - F.col("__y")) ** 2)).alias("rmse"),
-                        F.avg(F.abs(p - F.col("__y"))).alias("mae")).first()
-        cv_std = float(fitted.stdMetrics[0]) if getattr(fitted, "stdMetrics", None) else 0.0
-        rows.append((name, float(fitted.avgMetrics[0]), cv_std, float(m["rmse"]), float(m["mae"]), log_target))
-        if best is None or m["rmse"] < best[1]:
-            best = (name, m["rmse"], fitted.bestModel)
-    data.unpersist()
-    summary = spark.createDataFrame(rows, "model string, cv_rmse_mean double, cv_rmse_std double, "
-                                          "train_rmse double, train_mae double, target_transformed boolean")
-    return summary, best[0], best[2]
+    from salescast.session import materialize
+
+    data = training_rows(table, key, features, target, log_target)
+    data = materialize(data.withColumn("__fold", F.pmod(F.xxhash64("__key", F.lit(SEED)), F.lit(folds))), "folds")
+    names = list(families or model_families())
+    used = [r["__fold"] for r in data.select("__fold").distinct().collect()]  # at most ``folds`` numbers
+    out = None
+    for name in names:
+        for k in used if len(used) > 1 else []:
+            model = _fit(data.where(F.col("__fold") != k), features, model_families()[name])
+            p = F.expm1("prediction") if log_target else F.col("prediction")
+            part = model.transform(data.where(F.col("__fold") == k)).select(
+                F.lit(name).alias("model"), "__fold", "__y", p.alias("__p"))
+            out = part if out is None else out.unionByName(part)
+    schema = ("model string, rmse_mean double, rmse_sd double, mae_mean double, mae_sd double, r2_mean double, "
+              "r2_sd double, folds long, target_transformed boolean")
+    if out is None:
+        return spark.createDataFrame([], schema), names[0], _fit(data, features, model_families()[names[0]])
+    err = F.col("__y") - F.col("__p")
+    by_fold = out.groupBy("model", "__fold").agg(
+        F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae"),
+        (1 - F.sum(err * err) / F.nullif(F.var_pop("__y") * F.count("__y"), F.lit(0.0))).alias("r2"))
+    summary = materialize(by_fold.groupBy("model").agg(
+        *[f(m).alias(f"{m}_{s}") for m in ("rmse", "mae", "r2") for f, s in ((F.avg, "mean"), (F.stddev_samp, "sd"))],
+        F.count(F.lit(1)).alias("folds")).withColumn("target_transformed", F.lit(log_target)), "models")
+    best = summary.orderBy("rmse_mean", "model").first()["model"]  # one row per family
+    return summary, best, _fit(data, features, model_families()[best])
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequence[str], k: int = 20) -> DataFrame:

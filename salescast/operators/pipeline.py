@@ -7,6 +7,9 @@ lead days (negative dropped) -> target + size filter -> blocks.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +30,12 @@ TICKET_COLS = ["avg_product_value", "std_product_value", "avg_total_price", "sca
 CAPACITY_COLS = ["max_capacity", "log_max_capacity"]
 
 
+def model_features(lag: int) -> list[str]:
+    """Numeric columns of the event table that models learn from (everything known at T)."""
+    sales = [f"sales_last_{lag}_days", f"log_sales_last_{lag}_days"]
+    return sales + TIME_COLS[1:] + SALES_COLS + DEMO_COLS + TICKET_COLS + CAPACITY_COLS + feat.WEATHER_COLS
+
+
 TICKET_INPUT_COLS = ["event_name", "verkoopdatum", "barcode", "first_event_date_start", "last_event_date_end",
                      "age", "gender", "city", "product_value", "total_price", "product_is_scanned", "max_capacity",
                      "t_max", "t_min", "rain_fall", "max_wind"]
@@ -84,6 +93,18 @@ def event_table(t: DataFrame, T: int, lag: int, lo: int, hi: int, is_prediction:
     return materialize(out, "events") if reuse else out
 
 
+def event_table_horizons(t: DataFrame, horizons: Sequence[int], lag: int, lo: int, hi: int,
+                         is_prediction: bool = False) -> DataFrame:
+    """The event table for a fixed list of horizons, one row per (event, forecast_days).
+
+    The raw tickets are scanned and prepared once; each horizon's aggregates read the
+    prepared copy ``t`` (pass it materialised).  The list is a handful of model
+    horizons, never data.
+    """
+    parts = [event_table(t, T, lag, lo, hi, is_prediction, reuse=False) for T in horizons]
+    return materialize(reduce(DataFrame.unionByName, parts), "event_horizons")
+
+
 def event_features(tickets: DataFrame, lineup: DataFrame, snapshots: DataFrame, known_cities: DataFrame,
                    T: int, lag: int = 3, lo: int = 400, hi: int = 3500, asof: str | None = None,
                    name_bound: int | None = None, city_bound: int | None = None,

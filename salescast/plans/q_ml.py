@@ -6,20 +6,25 @@ from pyspark.sql import functions as F
 
 from salescast.functions.numeric import safe_pct_error, ticket_range
 from salescast.operators import ml
+from salescast.operators import pipeline as pipe
 from salescast.operators.asof import horizon_grid
 from salescast.plans.oracle_base import LEAD_DAYS, TICKETS, typed_select
+from salescast.plans import oracle_features as OF
 from salescast.plans.registry import finish, register
+from salescast.session import table_rows
 from salescast.sources import testbed
 
 HZ = (1, 5, 10, 15, 20, 30)
 LO_REF, HI_REF = 400, 3500   # event-size bounds of the reference's training filter
 T_EVAL = 30
+# Models learn from events up to this date and score the later ones.
+SPLIT = "2001-11-01"
 
 BASE_SQL = "WITH " + TICKETS + f""",
-lt AS (SELECT event_name, {LEAD_DAYS} AS d FROM tickets),
-f AS (SELECT event_name, d FROM lt WHERE NOT coalesce(d < 0, false) AND event_name IS NOT NULL),
+lt AS (SELECT event_name, first_event_date_start, {LEAD_DAYS} AS d FROM tickets),
+f AS (SELECT event_name, first_event_date_start, d FROM lt WHERE NOT coalesce(d < 0, false) AND event_name IS NOT NULL),
 h AS (SELECT unnest([{", ".join(map(str, HZ))}]) AS T),
-g AS (SELECT event_name, T, count(*) AS y_true, count(*) FILTER (WHERE d >= T) AS cum,
+g AS (SELECT event_name, T, CAST(max(first_event_date_start) AS DATE) <= DATE '{SPLIT}' AS past, count(*) AS y_true, count(*) FILTER (WHERE d >= T) AS cum,
              min(d) FILTER (WHERE d >= T) AS dmin, max(d) FILTER (WHERE d >= T) AS dmax
       FROM f CROSS JOIN h GROUP BY ALL HAVING count(*) > {LO_REF} AND count(*) < {HI_REF}),
 b AS (SELECT *, CASE WHEN cum > 0 THEN cum / (dmax - dmin + 1) ELSE 0.0 END AS vel FROM g)"""
@@ -30,11 +35,13 @@ def base_table(spark, sf_dir):
     t = testbed.tickets(spark, sf_dir)
     d = F.floor(F.timestamp_diff("MICROSECOND", F.col("verkoopdatum"), F.col("first_event_date_start")) / 86400000000)
     t = t.withColumn("d", d).where(~F.coalesce(F.col("d") < 0, F.lit(False))).where(F.col("event_name").isNotNull())
-    per_day = t.groupBy("event_name", "d").agg(F.count(F.lit(1)).alias("n"))
+    per_day = t.groupBy("event_name", "d").agg(F.count(F.lit(1)).alias("n"),
+                                               F.max("first_event_date_start").alias("start"))
     g = per_day.crossJoin(horizon_grid(spark, HZ).withColumnRenamed("forecast_days", "T"))
     up = F.col("d") >= F.col("T")
     out = (g.groupBy("event_name", "T")
-           .agg(F.sum("n").alias("y_true"), F.coalesce(F.sum(F.when(up, F.col("n"))), F.lit(0)).alias("cum"),
+           .agg(F.sum("n").alias("y_true"), (F.to_date(F.max("start")) <= F.to_date(F.lit(SPLIT))).alias("past"),
+                F.coalesce(F.sum(F.when(up, F.col("n"))), F.lit(0)).alias("cum"),
                 F.min(F.when(up, F.col("d"))).alias("dmin"), F.max(F.when(up, F.col("d"))).alias("dmax"))
            .where((F.col("y_true") > LO_REF) & (F.col("y_true") < HI_REF)))
     vel = F.when(F.col("cum") > 0, F.col("cum") / (F.col("dmax") - F.col("dmin") + 1)).otherwise(F.lit(0.0))
@@ -56,16 +63,18 @@ def q_ols_baseline(spark, sf_dir):
 
 
 def _ols_pred(spark, sf_dir):
+    """Later events scored by a line fitted on the events up to SPLIT."""
     b = base_table(spark, sf_dir)
-    coef = b.groupBy("T").agg(F.regr_slope("y_true", "cum").alias("slope"),
+    coef = b.where("past").groupBy("T").agg(F.regr_slope("y_true", "cum").alias("slope"),
                               F.regr_intercept("y_true", "cum").alias("intercept"))
     # one row per horizon: a fixed-size side
-    return b.join(F.broadcast(coef), "T").withColumn("pred", F.col("intercept") + F.col("slope") * F.col("cum"))
+    return b.where(~F.col("past")).join(F.broadcast(coef), "T").withColumn("pred", F.col("intercept") + F.col("slope") * F.col("cum"))
 
 
 PRED_SQL = BASE_SQL + """,
-c AS (SELECT T, regr_slope(y_true, cum) AS slope, regr_intercept(y_true, cum) AS intercept FROM b GROUP BY T),
-p AS (SELECT b.*, c.intercept + c.slope * b.cum AS pred FROM b JOIN c ON b.T = c.T)"""
+c AS (SELECT T, regr_slope(y_true, cum) AS slope, regr_intercept(y_true, cum) AS intercept FROM b
+      WHERE past GROUP BY T),
+p AS (SELECT b.*, c.intercept + c.slope * b.cum AS pred FROM b JOIN c ON b.T = c.T WHERE NOT past)"""
 
 
 @register("backtest_problem_rate", PRED_SQL + "\n" + typed_select(
@@ -73,7 +82,8 @@ p AS (SELECT b.*, c.intercept + c.slope * b.cum AS pred FROM b JOIN c ON b.T = c
     "sqrt(avg((pred - y_true) * (pred - y_true))) AS rmse FROM p GROUP BY T)",
     [("T", "i"), ("events", "l"), ("problem_rate", "d"), ("rmse", "d")]))
 def q_backtest_problem_rate(spark, sf_dir):
-    """Events x horizons back-test with the real T; share of predictions below sold-so-far."""
+    """Back-test of later events x horizons with the real T, by a model of the past
+    events; share of predictions below sold-so-far."""
     p = _ols_pred(spark, sf_dir)
     return finish(p.groupBy("T").agg(
         F.count(F.lit(1)).alias("events"),
@@ -166,17 +176,61 @@ def q_nearest_horizon(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- rows-only (iterative / model objects)
-ML_FEATURES = ["cum", "vel", "dmin", "dmax"]
+ML_LAG = 3
+ML_FEATURES = pipe.model_features(ML_LAG)
+TARGET = "full_event_tickets"
 
 
-def _train_table(spark, sf_dir, T=T_EVAL):
-    return base_table(spark, sf_dir).where(F.col("T") == T)
+def _inputs(spark, sf_dir):
+    """Tickets with buyer and weather, known cities, and the proven row bounds."""
+    return (testbed.tickets_full(spark, sf_dir), testbed.known_cities(spark, sf_dir),
+            dict(name_bound=table_rows(spark, f"{sf_dir}/supplier.parquet"),
+                 city_bound=table_rows(spark, f"{sf_dir}/nation.parquet")))
+
+
+def training_table(spark, sf_dir, horizons=HZ, asof=SPLIT):
+    """(event, T) feature rows of the events that started up to ``asof``."""
+    tickets, known, bounds = _inputs(spark, sf_dir)
+    prepared = pipe.prepare_tickets(tickets, known, max(horizons), asof, **bounds)
+    return pipe.event_table_horizons(prepared, horizons, ML_LAG, LO_REF, HI_REF)
+
+
+def scoring_table(spark, sf_dir, horizons=HZ, asof=SPLIT):
+    """The same features for the events after ``asof``, from the tickets sold until then:
+    one row per event at its nearest model horizon."""
+    tickets, known, bounds = _inputs(spark, sf_dir)
+    sold = F.to_date("verkoopdatum") <= F.to_date(F.lit(asof))
+    upcoming = tickets.where((F.to_date("first_event_date_start") > F.to_date(F.lit(asof))) & sold)
+    prepared = pipe.prepare_tickets(upcoming, known, max(horizons), None, is_prediction=True, **bounds)
+    rows = pipe.event_table_horizons(prepared, horizons, ML_LAG, LO_REF, HI_REF, is_prediction=True)
+    days = F.datediff(F.to_date("first_event_date"), F.to_date(F.lit(asof)))
+    known_start = rows.groupBy("event_name").agg(F.max("first_event_date").alias("first_event_date"))
+    at = ml.nearest_horizon(known_start.withColumn("days_until_event", days), "days_until_event", horizons)
+    at = at.select("event_name", "days_until_event", "model_T")
+    return rows.join(at, "event_name").where(F.col("forecast_days") == F.col("model_T"))
+
+
+HZ_CHECK = (90, 180)
+_HZ_SPEC = [("event_name", "s"), ("full_event_tickets", "l"), ("forecast_days", "i"), ("cumulative_sales_at_t", "l"),
+            ("avg_acceleration", "d"), ("avg_age", "d"), ("main_city_buyer_ratio", "d"), ("avg_product_value", "d"),
+            ("max_capacity", "d"), ("event_duration_hours", "d"), ("sales_duration_hours_upto_t", "d")]
+_HZ_SQL = " UNION ALL ".join(
+    f"SELECT * FROM (WITH {OF.event_table(T, ML_LAG, LO_REF, HI_REF, SPLIT)}\n{typed_select('ev_out', _HZ_SPEC)})"
+    for T in HZ_CHECK)
+
+
+@register("event_features_horizons", _HZ_SQL)
+def q_event_features_horizons(spark, sf_dir):
+    """The event table for several horizons over one prepared ticket table, at the
+    reference's size bounds."""
+    rows = training_table(spark, sf_dir, HZ_CHECK)
+    return finish(rows.select(*[c for c, _ in _HZ_SPEC]))
 
 
 @register("model_compare")
 def q_model_compare(spark, sf_dir):
-    """Cross-validated comparison of the model families (rows-only check)."""
-    summary, _, _ = ml.compare_models(spark, _train_table(spark, sf_dir), ML_FEATURES, "y_true", log_target=True)
+    """5-fold comparison of the model families on the event features (rows-only check)."""
+    summary, _, _ = ml.compare_models(spark, training_table(spark, sf_dir, (T_EVAL,)), ML_FEATURES, TARGET)
     return finish(summary)
 
 
@@ -184,74 +238,48 @@ def q_model_compare(spark, sf_dir):
 def q_feature_importance(spark, sf_dir):
     """Ridge coefficients and random-forest importances, top 20 by absolute value
     (rows-only check)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    table = _train_table(spark, sf_dir)
-    data = table.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ML_FEATURES],
-                        F.log1p("y_true").alias("label"))
-    fams = ml.model_families()
+    table = training_table(spark, sf_dir, (T_EVAL,))
     out = None
     for name in ("Ridge", "RandomForest"):
-        model = Pipeline(stages=[VectorAssembler(inputCols=ML_FEATURES, outputCol="features", handleInvalid="keep"),
-                                 fams[name]]).fit(data)
+        model = ml.fit_family(table, name, ML_FEATURES, TARGET)
         part = ml.feature_importance(spark, model, ML_FEATURES, 20).withColumn("model", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return finish(out)
 
 
-def _fit_linear(table, log_target=True):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-    data = table.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ML_FEATURES],
-                        (F.log1p("y_true") if log_target else F.col("y_true").cast("double")).alias("label"))
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=ML_FEATURES, outputCol="features", handleInvalid="keep"),
-                            LinearRegression(labelCol="label", elasticNetParam=0.0, regParam=0.1)])
-    return pipe.fit(data)
-
-
 @register("predict_future")
 def q_predict_future(spark, sf_dir):
-    """Train one model per horizon, save + reload with metadata, score every
-    upcoming event with its nearest-horizon model (rows-only check)."""
+    """The family with the lowest cross-validated RMSE, fitted per horizon on
+    past events, saved and reloaded with metadata, scores every upcoming event with its
+    nearest-horizon model (rows-only check)."""
     root = ml.model_root(spark)
-    base = base_table(spark, sf_dir)
+    train = training_table(spark, sf_dir)
+    _, best, _ = ml.compare_models(spark, train.where(F.col("forecast_days") == T_EVAL), ML_FEATURES, TARGET)
+    rows = scoring_table(spark, sf_dir).withColumn("sold_so_far", F.col("cumulative_sales_at_t"))
+    out = None
     for T in HZ:   # loop over the fixed list of horizons, not over data
-        ml.save_model(_fit_linear(base.where(F.col("T") == T)), root, T, ML_FEATURES, True)
-    t = testbed.tickets(spark, sf_dir).where(F.col("event_name").isNotNull())
-    asof = F.to_timestamp(F.lit(NH_ASOF))
-    fut = (t.groupBy("event_name").agg(
-        F.min("first_event_date_start").alias("start"),
-        F.count_if(F.col("verkoopdatum") <= asof).alias("cum"),
-        F.min(F.when(F.col("verkoopdatum") <= asof, F.col("verkoopdatum"))).alias("first_sale"))
-        .where(F.to_date("start") > F.to_date(asof)))
-    fut = fut.withColumn("days_until_event", F.datediff(F.to_date("start"), F.to_date(asof)))
-    fut = fut.withColumn("vel", F.col("cum") / F.greatest(F.datediff(F.to_date(asof), F.to_date("first_sale")) + 1,
-                                                          F.lit(1)))
-    fut = fut.withColumn("dmin", F.col("days_until_event")).withColumn("dmax", F.lit(None).cast("long"))
-    fut = ml.nearest_horizon(fut, "days_until_event", HZ)
-    parts = []
-    for T in HZ:
+        model = ml.fit_family(train.where(F.col("forecast_days") == T), best, ML_FEATURES, TARGET)
+        ml.save_model(model, root, T, ML_FEATURES, True)
         model, meta = ml.load_model(root, T)
-        sub = fut.where(F.col("model_T") == T)
-        sub = sub.withColumn("sold_so_far", F.col("cum"))
-        aligned = ml.align_features(sub, meta["features"],
+        aligned = ml.align_features(rows.where(F.col("model_T") == T), meta["features"],
                                     keep=["event_name", "sold_so_far", "days_until_event", "model_T"])
-        scored = model.transform(aligned)
-        parts.append(ml.postprocess(scored, "prediction", "sold_so_far", meta["target_transformed"]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        part = ml.postprocess(model.transform(aligned), "prediction", "sold_so_far", meta["target_transformed"])
+        out = part if out is None else out.unionByName(part)
     return finish(out.select("event_name", "days_until_event", "model_T", "sold_so_far", "predicted_tickets"))
 
 
 @register("sensitivity_grid")
 def q_sensitivity_grid(spark, sf_dir):
-    """Vary cumulative sales over a grid, other features held at their medians (rows-only)."""
-    table = _train_table(spark, sf_dir)
-    model = _fit_linear(table)
-    med = table.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in ML_FEATURES if c != "cum"])
-    grid = spark.range(0, 11).select((F.col("id") * 50).cast("double").alias("cum"))
-    rows = grid.crossJoin(F.broadcast(med))
-    scored = model.transform(rows.select(*[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ML_FEATURES]))
-    return finish(ml.postprocess(scored, "prediction", "cum", True).select("cum", "predicted_tickets"))
+    """Vary cumulative sales over ten steps of the training range, other features held at
+    their medians (rows-only)."""
+    table = training_table(spark, sf_dir, (T_EVAL,))
+    model = ml.fit_family(table, "Ridge", ML_FEATURES, TARGET)
+    others = [c for c in ML_FEATURES if c not in ("cumulative_sales_at_t", "log_cumulative_sales_at_t")]
+    at = table.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5).alias(c) for c in others],
+                   F.min("cumulative_sales_at_t").alias("lo"), F.max("cumulative_sales_at_t").alias("hi"))
+    step = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("id") / 10
+    rows = spark.range(0, 11).crossJoin(F.broadcast(at)).withColumn("cumulative_sales_at_t", step)
+    rows = rows.withColumn("log_cumulative_sales_at_t", F.log1p("cumulative_sales_at_t"))
+    scored = model.transform(ml.align_features(rows, ML_FEATURES, keep=["id"]))
+    out = ml.postprocess(scored, "prediction", "cumulative_sales_at_t", True)
+    return finish(out.select("cumulative_sales_at_t", "predicted_tickets"))
