@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescast.operators.stats import attach_one_row
+from salescast.operators.stats import attach_one_row, global_percentiles
 
 
 def noshow_by_event(t: DataFrame, min_sold: int = 10) -> DataFrame:
@@ -41,10 +41,13 @@ def scan_rate(t: DataFrame, by: str | None = None, month_col: str | None = None)
 
 def distribution_summary(df: DataFrame, col: str) -> DataFrame:
     """Mean, median, sd, min, q25, q75, max (exact, linear interpolation)."""
-    return df.agg(F.avg(col).alias("mean"), F.percentile(col, 0.5).alias("median"),
-                  F.stddev_samp(col).alias("sd"), F.min(col).alias("min"),
-                  F.percentile(col, 0.25).alias("q25"), F.percentile(col, 0.75).alias("q75"),
-                  F.max(col).alias("max"), F.count(col).alias("n"))
+    from salescast.session import materialize
+
+    rows = materialize(df.select(col), "summary")
+    q25, median, q75 = (F.lit(v).cast("double") for v in global_percentiles(rows, [(col, p) for p in (0.25, 0.5, 0.75)]))
+    return rows.agg(F.avg(col).alias("mean"), F.stddev_samp(col).alias("sd"), F.min(col).alias("min"),
+                    F.max(col).alias("max"), F.count(col).alias("n")).select(
+        "mean", median.alias("median"), "sd", "min", q25.alias("q25"), q75.alias("q75"), "max", "n")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescast.operators.stats import attach_one_row, exact_percentiles
+from salescast.operators.stats import exact_percentiles, global_percentiles
 
 
 # Sources from the most to the least trusted one (first copy of a barcode wins).
@@ -75,38 +75,31 @@ def group_size(df: DataFrame, key: str, out: str) -> DataFrame:
     return df.join(sizes, key, "left")
 
 
-def _quantile_bounds(df: DataFrame, col: str, factor: float) -> DataFrame:
-    """One row: exact q1 and q3 of a ticket-level column (sketch-bracketed, see
-    :func:`~salescast.operators.stats.exact_percentiles`)."""
-    return exact_percentiles(df, col, [0.25, 0.75], outs=["__q1", "__q3"])
-
-
 def remove_outliers(df: DataFrame, cols: Sequence[str], method: str = "IQR", factor: float = 1.5) -> DataFrame:
     """Sequential per-column outlier filters; nulls are kept.
 
     IQR: keep q1 - f*iqr <= x <= q3 + f*iqr.  zscore: keep |x - mean| / sd <= f
     when sd > 0 (no filtering when sd is 0 or undefined).  combined: both.
-    Bounds are one-row aggregates over the *current* (already filtered) rows.
+    Bounds are numbers over the *current* (already filtered) rows, found by
+    aggregates without keys, so the filters are plain comparisons with constants.
+    The input is written once, because the bounds read it several times.
     """
-    out = df
+    from salescast.session import materialize
+
+    out = materialize(df, "outliers")
     for c in cols:
         x = F.col(c)
         keep = F.lit(True)
-        stats = None
-        if method in ("IQR", "combined"):
-            stats = _quantile_bounds(out, c, factor)
-        if method in ("zscore", "combined"):
-            z = out.agg(F.avg(x).alias("__mu"), F.stddev_samp(x).alias("__sd"))
-            stats = z if stats is None else stats.crossJoin(z)
-        joined = attach_one_row(out, stats)
         if method in ("IQR", "combined"):
-            iqr = F.col("__q3") - F.col("__q1")
-            keep = keep & (x.isNull() | x.between(F.col("__q1") - factor * iqr, F.col("__q3") + factor * iqr))
+            q1, q3 = global_percentiles(out, [(c, 0.25), (c, 0.75)])
+            if q1 is not None:
+                keep = keep & (x.isNull() | x.between(q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)))
         if method in ("zscore", "combined"):
-            zs = (x - F.col("__mu")) / F.col("__sd")
-            zkeep = x.isNull() | ((zs >= -factor) & (zs <= factor))
-            keep = keep & F.when(F.coalesce(F.col("__sd"), F.lit(0.0)) > 0, zkeep).otherwise(F.lit(True))
-        out = joined.where(keep).drop(*[k for k in ("__q1", "__q3", "__mu", "__sd") if k in joined.columns])
+            s = out.agg(F.avg(x).alias("mu"), F.stddev_samp(x).alias("sd")).first()
+            if s["sd"]:
+                z = (x - s["mu"]) / s["sd"]
+                keep = keep & (x.isNull() | z.between(-factor, factor))
+        out = out.where(keep)
     return out
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from salescast.functions.dates import calendar_exprs, floor_days, fractional_hours
 from salescast.functions.numeric import gender_std, log1p0
-from salescast.operators.stats import attach_one_row
+from salescast.operators.stats import global_percentiles
 
 WEATHER_COLS = ["t_max", "t_min", "rain_fall", "max_wind"]
 ARTIST_METRICS = ["ChartmetricScore", "SpotifyPopularity", "SpotifyFollowers", "TikTokViews", "DeezerFans"]
@@ -170,11 +170,12 @@ MEDIAN_FILLED = ["event_duration_hours", "avg_age", "std_age", "avg_product_valu
 
 
 def attach_event_medians(agg: DataFrame) -> DataFrame:
-    """All P11 fill values in ONE one-row aggregate over the per-event table
-    (the duration median only over events with a valid time block)."""
-    meds = agg.agg(*[F.percentile(F.when(F.col("__valid"), F.col(c)) if c == "event_duration_hours"
-                                  else F.col(c), F.lit(0.5)).alias(c + "_med") for c in MEDIAN_FILLED])
-    return attach_one_row(agg, meds)
+    """All P11 fill values, exact medians over the per-event table (the duration median only
+    over events with a valid time block), as constants.  Pass ``agg`` materialised: the
+    medians read it a few times."""
+    columns = [F.when(F.col("__valid"), F.col(c)) if c == "event_duration_hours" else F.col(c) for c in MEDIAN_FILLED]
+    meds = global_percentiles(agg, [(c, 0.5) for c in columns])
+    return agg.withColumns({c + "_med": F.lit(m).cast("double") for c, m in zip(MEDIAN_FILLED, meds)})
 
 
 def time_block(agg: DataFrame) -> DataFrame:

@@ -78,7 +78,7 @@ def event_table(t: DataFrame, T: int, lag: int, lo: int, hi: int, is_prediction:
     agg = agg.withColumn(f"log_{lag_col}", F.log1p(F.col(lag_col).cast("double")))
     agg = (agg.join(feat.sales_acceleration(t, T).select("event_name", "avg_acceleration"), "event_name", "left")
            .join(feat.main_city_share(t, T), "event_name", "left"))
-    agg = feat.attach_event_medians(feat.add_time_base(agg))
+    agg = feat.attach_event_medians(materialize(feat.add_time_base(agg), "event_aggregate"))
     agg = feat.time_block(agg)
     agg = feat.sales_block(agg)
     agg = feat.demographic_block(agg)

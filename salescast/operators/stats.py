@@ -9,33 +9,89 @@ only costs as many rows as it has *distinct* values.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def weighted_percentile(df: DataFrame, value: str, p: float, group_cols: Sequence[str] = (),
-                        out: str | None = None) -> DataFrame:
-    """Exact linear-interpolated percentile of ``value`` per group (nulls skipped)."""
-    out = out or f"{value}_p{int(p * 100)}"
-    keys = list(group_cols)
-    counted = (df.where(F.col(value).isNotNull())
-               .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__freq")))
-    agg = F.percentile(F.col(value), F.lit(p), F.col("__freq")).alias(out)
-    if keys:
-        return counted.groupBy(*keys).agg(agg)
-    return counted.agg(agg)
+# Bracket rows that are sorted together at most; larger brackets are narrowed first.
+BRACKET_ROWS = 50_000
+
 
+def global_percentiles(df: DataFrame, wanted: Sequence[tuple[Column | str, float]], accuracy: int = 10000,
+                       most: int = BRACKET_ROWS) -> list[float | None]:
+    """Exact percentiles over all rows of a table, as numbers (None without values).
 
-def global_medians(df: DataFrame, cols: Sequence[str], suffix: str = "_med") -> DataFrame:
-    """One-row DataFrame of exact medians for ``cols`` (per-event sized inputs).
+    ``wanted`` lists (column, p); nulls are skipped and positions interpolate
+    linearly, like ``percentile``.  No group, no join, no window: every job is one
+    aggregate without keys, whose state is a sketch or a few counts.
 
-    Inputs here are per-event tables (one row per event), so a direct
-    ``percentile`` over the whole column is a single small aggregate; the
-    result has exactly one row and is safe to broadcast/cross-join.
+    1. A ``percentile_approx`` sketch brackets each target.
+    2. Exact counts tell how many values lie below and inside each bracket; a bracket
+       that misses its target is widened to the whole column.
+    3. A bracket of more than ``most`` rows is narrowed by a sketch of its own values,
+       around the wanted ranks, until it is small or holds a single value.
+    4. The rows inside (at most ``most``) are sorted and the two neighbours picked.
     """
-    return df.agg(*[F.percentile(F.col(c), F.lit(0.5)).alias(c + suffix) for c in cols])
+    cols = [(F.col(c) if isinstance(c, str) else c).cast("double") for c, _ in wanted]
+    ps = [float(p) for _, p in wanted]
+    eps = 3.0 / accuracy
+    first = df.agg(*[x for i, (c, p) in enumerate(zip(cols, ps)) for x in (
+        F.count(c).alias(f"n{i}"), F.min(c).alias(f"a{i}"), F.max(c).alias(f"b{i}"),
+        F.percentile_approx(c, max(0.0, p - eps), accuracy).alias(f"lo{i}"),
+        F.percentile_approx(c, min(1.0, p + eps), accuracy).alias(f"hi{i}"))]).first()
+    out: list[float | None] = [None] * len(cols)
+    brackets = {i: (first[f"lo{i}"], first[f"hi{i}"]) for i in range(len(cols)) if first[f"n{i}"]}
+    rank = {i: ps[i] * (first[f"n{i}"] - 1) for i in brackets}
+
+    def inside(i: int) -> Column:
+        return F.when(cols[i].between(*brackets[i]), cols[i])
+
+    while brackets:
+        counts = df.agg(*[x for i, (lo, _) in brackets.items() for x in (
+            F.count(F.when(cols[i] < lo, 1)).alias(f"below{i}"), F.count(inside(i)).alias(f"in{i}"))]).first()
+        ready, narrow = {}, {}
+        for i, (lo, hi) in list(brackets.items()):
+            below, rows = counts[f"below{i}"], counts[f"in{i}"]
+            low, high = math.floor(rank[i]), math.ceil(rank[i])
+            if below > low or below + rows <= high:
+                brackets[i] = (first[f"a{i}"], first[f"b{i}"])
+            elif lo == hi:
+                out[i] = lo
+                del brackets[i]
+            elif rows <= most:
+                ready[i] = (low - below, high - below, rank[i] - low)
+            else:
+                narrow[i] = ((low - below) / rows, (high + 1 - below) / rows)
+        if ready:
+            got = df.agg(*[F.sort_array(F.collect_list(inside(i))).alias(f"v{i}") for i in ready]).select(
+                *[F.array(F.get(f"v{i}", F.lit(a)), F.get(f"v{i}", F.lit(b))).alias(f"v{i}")
+                  for i, (a, b, _) in ready.items()]).first()
+            for i, (_, _, part) in ready.items():
+                a, b = got[f"v{i}"]
+                out[i] = a if a == b else (1 - part) * a + part * b
+                del brackets[i]
+        if narrow:
+            cut = df.agg(*[x for i, (a, b) in narrow.items() for x in (
+                F.percentile_approx(inside(i), max(0.0, a - eps), accuracy).alias(f"lo{i}"),
+                F.percentile_approx(inside(i), min(1.0, b + eps), accuracy).alias(f"hi{i}"))]).first()
+            for i in narrow:
+                fresh = (cut[f"lo{i}"], cut[f"hi{i}"])
+                if fresh == brackets[i]:  # a few values with many copies each: count them
+                    values = df.where(inside(i).isNotNull()).groupBy(cols[i].alias("v")).agg(F.count(F.lit(1)).alias("f"))
+                    out[i] = values.agg(F.percentile("v", F.lit(ps_inside(rank[i], counts[f"below{i}"], counts[f"in{i}"])),
+                                                     F.col("f")).alias("x")).first()["x"]
+                    del brackets[i]
+                else:
+                    brackets[i] = fresh
+    return out
+
+
+def ps_inside(rank: float, below: int, rows: int) -> float:
+    """Percentile inside a bracket that stands for an overall rank."""
+    return min(1.0, max(0.0, (rank - below) / max(1, rows - 1)))
 
 
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -83,10 +139,12 @@ def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], group_cols
     """
     from salescast.session import broadcast_bounded
 
-    keys = list(group_cols) or ["__g"]
     outs = list(outs) if outs else [f"{value}_p{int(round(p * 100))}" for p in ps]
-    src = df if group_cols else df.withColumn("__g", F.lit(0))
-    x = src.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
+    if not group_cols:
+        found = global_percentiles(df, [(value, p) for p in ps], accuracy)
+        return df.sparkSession.range(1).select(*[F.lit(v).cast("double").alias(o) for o, v in zip(outs, found)])
+    keys = list(group_cols)
+    x = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
     counted = x.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__f"))
 
     eps = 3.0 / accuracy
@@ -125,8 +183,4 @@ def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], group_cols
     val = F.when(hi_pos == lo_pos, F.col("__a")).otherwise(
         (hi_pos - F.col("pos")) * F.col("__a") + (F.col("pos") - lo_pos) * F.col("__b"))
     wide = picked.groupBy(*keys).agg(*[F.max(F.when(F.col("i") == i, val)).alias(o) for i, o in enumerate(outs)])
-    if group_cols:
-        return wide
-    # global: exactly one row, nulls when there is no value (as ``percentile``)
-    one = df.sparkSession.range(1).select(F.lit(0).alias("__g"))
-    return one.join(wide, "__g", "left").drop("__g")
+    return wide
