@@ -109,13 +109,25 @@ def _upto(T: int, c: Column) -> Column:
     return F.when(F.col("days_until_event") >= T, c)
 
 
-def fused_event_aggregate(tickets: DataFrame, T: int, lag: int) -> DataFrame:
-    """Every ticket-level statistic of every block in one groupBy(event_name)."""
+def fused_event_aggregate(tickets: DataFrame, T: int, lag: int, event_bound: int | None = None) -> DataFrame:
+    """Every ticket-level statistic of every block per event.
+
+    One hash aggregate over the ticket rows holds all counts, means and extreme sale
+    times; its buffers are primitive, so nothing is sorted.  The values *at* an extreme
+    sale time (first known dates and capacity, last day-0 weather) come from a second
+    step over the few tickets sold at exactly that time.  ``event_bound``, a proven
+    number of events, lets those times be broadcast; pass ``tickets`` materialised.
+    """
+    from salescast.session import broadcast_bounded, materialize
+
     d = F.col("days_until_event")
     upto = d >= T
     sale = F.col("verkoopdatum")
-    order_key = F.struct(sale, F.col("barcode"))
     g = gender_std(F.col("gender"))
+
+    def known(c: str):
+        return F.min(F.when(F.col(c).isNotNull(), sale))
+
     aggs = [
         # A01 / A02 / A03 / A04
         F.count(F.lit(1)).alias("full_event_tickets"),
@@ -123,11 +135,11 @@ def fused_event_aggregate(tickets: DataFrame, T: int, lag: int) -> DataFrame:
         F.count_if(upto).alias("cumulative_sales_at_t"),
         F.min(F.when(upto, d)).alias("__dmin"),
         F.max(F.when(upto, d)).alias("__dmax"),
-        # A06 (over all tickets; first non-null in sale order)
-        F.min_by(F.col("first_event_date_start"),
-                 F.when(F.col("first_event_date_start").isNotNull(), order_key)).alias("first_event_date"),
-        F.min_by(F.col("last_event_date_end"),
-                 F.when(F.col("last_event_date_end").isNotNull(), order_key)).alias("__last_event_date"),
+        # Sale times at which the values below are read
+        known("first_event_date_start").alias("__at_start"),
+        known("last_event_date_end").alias("__at_end"),
+        known("max_capacity").alias("__at_capacity"),
+        F.max(F.when(d <= 1, sale)).alias("__at_day0"),
         F.min(sale).alias("__first_sale"),
         F.max(sale).alias("__last_sale_all"),
         F.max(_upto(T, sale)).alias("__last_sale_upto"),
@@ -143,14 +155,27 @@ def fused_event_aggregate(tickets: DataFrame, T: int, lag: int) -> DataFrame:
         F.stddev_samp(_upto(T, F.col("product_value"))).alias("std_product_value"),
         F.avg(_upto(T, F.col("total_price"))).alias("avg_total_price"),
         F.avg(_upto(T, F.col("product_is_scanned").cast("double"))).alias("scanned_percentage"),
-        # A12 capacity: first non-null (over all tickets)
-        F.min_by(F.col("max_capacity"),
-                 F.when(F.col("max_capacity").isNotNull(), order_key)).alias("max_capacity"),
-        # W04 day-0 weather: last sale row with days_until_event <= 1
-        F.max_by(F.struct(*[F.col(c) for c in WEATHER_COLS]),
-                 F.when(d <= 1, order_key)).alias("__day0"),
     ]
-    return tickets.where(F.col("event_name").isNotNull()).groupBy("event_name").agg(*aggs)
+    named = tickets.where(F.col("event_name").isNotNull())
+    base = materialize(named.groupBy("event_name").agg(*aggs), "event_aggregate")
+    times = base.select("event_name", "__at_start", "__at_end", "__at_capacity", "__at_day0")
+    if event_bound is not None:
+        times = broadcast_bounded(times, event_bound)
+    at = {c: sale == F.col(c) for c in ("__at_start", "__at_end", "__at_capacity")}
+    at["__at_day0"] = (sale == F.col("__at_day0")) & (d <= 1)
+    some = F.coalesce(at["__at_start"], F.lit(False))
+    for hit in list(at.values())[1:]:
+        some = some | F.coalesce(hit, F.lit(False))
+
+    def first(c: str, when: str):
+        return F.min_by(F.col(c), F.when(at[when] & F.col(c).isNotNull(), F.coalesce("barcode", F.lit(""))))
+
+    values = named.join(times, "event_name").where(some).groupBy("event_name").agg(
+        first("first_event_date_start", "__at_start").alias("first_event_date"),
+        first("last_event_date_end", "__at_end").alias("__last_event_date"),
+        first("max_capacity", "__at_capacity").alias("max_capacity"),
+        F.max_by(F.struct(*[F.col(c) for c in WEATHER_COLS]), F.when(at["__at_day0"], F.coalesce("barcode", F.lit("")))).alias("__day0"))
+    return base.drop(*at).join(values, "event_name", "left")
 
 
 def add_time_base(agg: DataFrame) -> DataFrame:

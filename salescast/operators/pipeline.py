@@ -64,14 +64,14 @@ def prepare_tickets(tickets: DataFrame, known_cities: DataFrame, T: int, asof: s
 
 
 def event_table(t: DataFrame, T: int, lag: int, lo: int, hi: int, is_prediction: bool = False,
-                reuse: bool = True) -> DataFrame:
+                reuse: bool = True, event_bound: int | None = None) -> DataFrame:
     """Fused per-event aggregate with the size filter (F07) and all ticket blocks.
 
     The prepared ticket rows feed three aggregates (the fused one, per-day
     and per-city counts); pass them materialised (see :func:`prepare_tickets`).
     With ``reuse`` the small per-event result is materialised too.
     """
-    agg = feat.fused_event_aggregate(t, T, lag)
+    agg = feat.fused_event_aggregate(t, T, lag, event_bound)
     if not is_prediction:
         agg = agg.where((F.col("full_event_tickets") > lo) & (F.col("full_event_tickets") < hi))
     lag_col = f"sales_last_{lag}_days"
@@ -94,14 +94,14 @@ def event_table(t: DataFrame, T: int, lag: int, lo: int, hi: int, is_prediction:
 
 
 def event_table_horizons(t: DataFrame, horizons: Sequence[int], lag: int, lo: int, hi: int,
-                         is_prediction: bool = False) -> DataFrame:
+                         is_prediction: bool = False, event_bound: int | None = None) -> DataFrame:
     """The event table for a fixed list of horizons, one row per (event, forecast_days).
 
     The raw tickets are scanned and prepared once; each horizon's aggregates read the
     prepared copy ``t`` (pass it materialised).  The list is a handful of model
     horizons, never data.
     """
-    parts = [event_table(t, T, lag, lo, hi, is_prediction, reuse=False) for T in horizons]
+    parts = [event_table(t, T, lag, lo, hi, is_prediction, reuse=False, event_bound=event_bound) for T in horizons]
     return materialize(reduce(DataFrame.unionByName, parts), "event_horizons")
 
 
@@ -111,7 +111,7 @@ def event_features(tickets: DataFrame, lineup: DataFrame, snapshots: DataFrame,
                    star_pct: float = 0.80, is_prediction: bool = False) -> DataFrame:
     """All feature blocks for horizon T (one row per event)."""
     t = prepare_tickets(tickets, known_cities, T, asof, name_bound, city_bound, is_prediction)
-    events = event_table(t, T, lag, lo, hi, is_prediction)
+    events = event_table(t, T, lag, lo, hi, is_prediction, event_bound=name_bound)
     lu = with_normalized(with_normalized(lineup, "event_name", bound_rows=name_bound), "artist")
     snaps = with_normalized(snapshots, "artist")
     lu = lu.join(events.select("event_name"), "event_name", "left_semi")   # kept events only

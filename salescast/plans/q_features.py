@@ -72,7 +72,7 @@ def _events(spark, sf_dir):
     bound = table_rows(spark, f"{sf_dir}/supplier.parquet")
     city_bound = table_rows(spark, f"{sf_dir}/nation.parquet")
     prepared = pipe.prepare_tickets(t, known, T_H, ASOF, name_bound=bound, city_bound=city_bound)
-    return pipe.event_table(prepared, T_H, LAG, LO, HI)
+    return pipe.event_table(prepared, T_H, LAG, LO, HI, event_bound=bound)
 
 
 def _block_query(name, spec):

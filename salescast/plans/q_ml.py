@@ -192,7 +192,7 @@ def training_table(spark, sf_dir, horizons=HZ, asof=SPLIT):
     """(event, T) feature rows of the events that started up to ``asof``."""
     tickets, known, bounds = _inputs(spark, sf_dir)
     prepared = pipe.prepare_tickets(tickets, known, max(horizons), asof, **bounds)
-    return pipe.event_table_horizons(prepared, horizons, ML_LAG, LO_REF, HI_REF)
+    return pipe.event_table_horizons(prepared, horizons, ML_LAG, LO_REF, HI_REF, event_bound=bounds["name_bound"])
 
 
 def scoring_table(spark, sf_dir, horizons=HZ, asof=SPLIT):
@@ -202,7 +202,8 @@ def scoring_table(spark, sf_dir, horizons=HZ, asof=SPLIT):
     sold = F.to_date("verkoopdatum") <= F.to_date(F.lit(asof))
     upcoming = tickets.where((F.to_date("first_event_date_start") > F.to_date(F.lit(asof))) & sold)
     prepared = pipe.prepare_tickets(upcoming, known, max(horizons), None, is_prediction=True, **bounds)
-    rows = pipe.event_table_horizons(prepared, horizons, ML_LAG, LO_REF, HI_REF, is_prediction=True)
+    rows = pipe.event_table_horizons(prepared, horizons, ML_LAG, LO_REF, HI_REF, is_prediction=True,
+                                     event_bound=bounds["name_bound"])
     days = F.datediff(F.to_date("first_event_date"), F.to_date(F.lit(asof)))
     known_start = rows.groupBy("event_name").agg(F.max("first_event_date").alias("first_event_date"))
     at = ml.nearest_horizon(known_start.withColumn("days_until_event", days), "days_until_event", horizons)
