@@ -30,25 +30,60 @@ RENAMES_O = {"Sale Date": "verkoopdatum", "Ticket Type": "ticket_type", "Price":
     [("data_source", "s"), ("n", "l"), ("with_fees", "l"), ("with_type", "l"), ("value", "d")]).replace(
     "count(product_fees)", "count(CASE WHEN data_source = 'shop_f' THEN product_fees END)"))
 def q_union_sources(spark, sf_dir):
-    """Two differently shaped exports standardised, unioned
-    by name (missing columns null) and conformed to the canonical schema."""
+    """Two differently shaped CSV exports are written,
+    read as configured sources, standardised, unioned by name (missing columns null) and
+    conformed to the canonical schema; a third configured source is missing and adds nothing."""
+    root = os.path.join(ensure_checkpoint_dir(spark), "exports", uuid.uuid4().hex)
     t = testbed.tickets(spark, sf_dir)
     a = t.where(F.col("data_source") == "shop_f").select(
         "barcode", "event_name", F.col("verkoopdatum").alias("created_at"),
         F.col("ticket_type").alias("ticket_name"), "product_value", "product_fees")
-    # second export: other names, no fee column and a duplicated header
+    # second export: other separator and names, no fee column
     b = t.where(F.col("data_source") == "shop_o").select(
         "barcode", "event_name", F.col("verkoopdatum").alias("Sale Date"), F.col("ticket_type").alias("Ticket Type"),
-        F.col("product_value").alias("Price"), F.col("event_name").alias("event_name"))
-    sa = R.standardize(a, RENAMES_F, "shop_f")
-    sb = R.standardize(b, RENAMES_O, "shop_o")
-    u = R.conform(R.union_sources([sa, sb]), CANON)
+        F.col("product_value").alias("Price"))
+    R.write_table(a, f"{root}/f", "csv")
+    R.write_table(b, f"{root}/o", "csv", sep=";")
+
+    def schema(df):
+        return T.StructType([T.StructField(f.name, T.StringType() if f.name in ("created_at", "Sale Date")
+                                           else f.dataType) for f in df.schema.fields])
+
+    u = R.read_sources(spark, [
+        R.SourceSpec("shop_f", f"{root}/f", renames=RENAMES_F, primary=True, schema=schema(a)),
+        R.SourceSpec("shop_o", f"{root}/o", sep=";", renames=RENAMES_O, schema=schema(b)),
+        R.SourceSpec("shop_x", f"{root}/x", renames=RENAMES_O, schema=schema(b))])
+    u = R.conform(u, CANON)
     R.require_columns(u, ["event_name", "barcode", "product_value"])
     return finish(u.groupBy("data_source").agg(F.count(F.lit(1)).alias("n"), F.count("product_fees").alias("with_fees"),
                                                F.count("ticket_type").alias("with_type"),
                                                F.sum("product_value").alias("value")))
 
 
+LOADER_SQL = "WITH " + TICKETS + """,
+t AS (SELECT lower(event_name) AS event_name, count(*) AS tickets, min(verkoopdatum) AS first_sale FROM tickets GROUP BY 1)
+""" + typed_select("(SELECT *, 0 AS lineup_rows FROM t)", [("event_name", "s"), ("tickets", "l"), ("first_sale", "t"),
+                                                            ("lineup_rows", "l")])
+
+
+@register("normalising_loader", LOADER_SQL)
+def q_normalising_loader(spark, sf_dir):
+    """The ticket table written as CSV by month and loaded again with folded keys
+    and parsed dates; the line-up table is missing and loads as an empty one."""
+    root = os.path.join(ensure_checkpoint_dir(spark), "exports", uuid.uuid4().hex)
+    t = testbed.tickets(spark, sf_dir).select(
+        "barcode", "event_name", "verkoopdatum", F.date_format("verkoopdatum", "yyyy-MM").alias("month"))
+    R.write_table(t, f"{root}/tickets", "csv", ["month"])
+    kinds = {"tickets": "barcode string, event_name string, verkoopdatum string, month string",
+             "line_up": "event_name string, event_date string, artist string"}
+    schemas = {k: T._parse_datatype_string(v) for k, v in kinds.items()}
+    tickets, line_up, _ = R.load_normalised(spark, f"{root}/tickets", f"{root}/line_up", schemas=schemas)
+    n = line_up.groupBy("event_name").agg(F.count(F.lit(1)).alias("lineup_rows"))
+    out = tickets.groupBy("event_name").agg(F.count(F.lit(1)).alias("tickets"),
+                                            F.min(F.col("verkoopdatum").cast("timestamp_ntz")).alias("first_sale"))
+    return finish(out.join(n, "event_name", "left").fillna(0, ["lineup_rows"]))
+
+
 JSON_SQL = """WITH r AS (SELECT CAST(ts AS DATE) AS event_date, value / 10 AS temp,
    CASE WHEN event_type IN ('click', 'view') THEN value / 100 END AS rain,
    CASE WHEN event_type = 'error' THEN value / 20 END AS gust, value / 40 AS speed FROM events)
@@ -61,7 +96,6 @@ JSON_SQL = """WITH r AS (SELECT CAST(ts AS DATE) AS event_date, value / 10 AS te
 def q_json_payload(spark, sf_dir):
     """Landed JSON forecast entries (one document per observation, optional
     rain/gust) parsed with an explicit schema, flattened and rolled up per day."""
-    from salescast.operators.weather import daily_weather
     ev = testbed.read(spark, sf_dir, "events")
     payload = F.to_json(F.struct(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("dt_txt"),
@@ -69,11 +103,13 @@ def q_json_payload(spark, sf_dir):
         F.when(F.col("event_type").isin("click", "view"), F.struct((F.col("value") / 100).alias("3h"))).alias("rain"),
         F.struct(F.when(F.col("event_type") == "error", F.col("value") / 20).alias("gust"),
                  (F.col("value") / 40).alias("speed")).alias("wind")))
-    flat = R.flatten_forecast(ev.select(payload.alias("payload")))
+    # Every third observation comes in an envelope, and unreadable answers lie between them.
+    entry = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"list": ['), payload, F.lit("]}"))).otherwise(payload)
+    bad = ev.where(F.col("event_id") % 50 == 0).select(F.lit('{"cod": 500}').alias("payload"))
+    flat = R.flatten_forecast(ev.select(entry.alias("payload")).unionByName(bad))
     daily = (flat.groupBy(F.to_date("obs_ts").alias("event_date"))
              .agg(F.max("temp_max").alias("t_max"), F.min("temp_min").alias("t_min"),
                   F.sum("rain_mm").alias("rain_fall"), F.max("wind_kmh").alias("max_wind")))
-    del daily_weather
     return finish(daily)
 
 
@@ -90,7 +126,8 @@ def q_artist_payload(spark, sf_dir):
         F.struct(F.col("c_acctbal").alias("total")).alias("followers"),
         F.array(F.lower("c_mktsegment"), F.concat(F.lit("nation "), F.col("c_nationkey").cast("string")))
         .alias("genres")))
-    return finish(R.flatten_artist(c.select(payload.alias("payload"))))
+    found = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit('{"artists": {"items": ['), payload, F.lit("]}}")))
+    return finish(R.flatten_artist(c.select(F.coalesce(found, payload).alias("payload"))))
 
 
 RAGGED_CSV_SQL = f"""

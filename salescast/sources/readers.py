@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,13 +18,16 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """One configured export source."""
+    """One configured export source: where it lies, how it is written, how its
+    columns are called, and whether it is the primary one (its failure is an error)."""
     name: str
     path: str
     sep: str = ","
     encoding: str = "UTF-8"
     renames: Mapping[str, str] = field(default_factory=dict)
     primary: bool = False
+    schema: T.StructType | None = None
+    header: bool = True
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",",
@@ -38,11 +42,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     r = (spark.read.option("header", header).option("sep", sep).option("encoding", encoding)
          .option("escape", escape).option("mode", "PERMISSIVE"))
     if schema is not None:
-        # With CSV parser column pruning (Spark's default) only the referenced
-        # columns are tokenised, and short/long rows are no longer flagged in
-        # ``_corrupt``.  The setting is read when the scan is planned, so it is
-        # switched off for the session whenever a corrupt-record column is used.
-        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+        # With column pruning in the CSV parser only the referenced columns are
+        # tokenised, and short/long rows are no longer flagged in ``_corrupt``: this
+        # read does without it.
+        r = r.option("columnPruning", False)
         schema = T.StructType(list(schema.fields) + [T.StructField("_corrupt", T.StringType(), True)])
         r = r.schema(schema).option("columnNameOfCorruptRecord", "_corrupt")
     return r.csv(path)
@@ -53,17 +56,49 @@ def pad_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    """S02 + S05: one configured source through the fallback chain.
+
+    Typed scan with the given schema; without a schema (or if that scan cannot be
+    planned) every column as string; a source that is not there becomes an empty
+    table with its schema, unless it is the primary one.
+    """
+    last: Exception | None = None
+    for schema in dict.fromkeys([spec.schema, None]):
+        try:
+            return read_csv(spark, spec.path, schema, spec.sep, spec.encoding, header=spec.header)
+        except AnalysisException as e:  # missing path, unreadable or contradictory header
+            last = e
+    if spec.primary:
+        raise ValueError(f"primary source {spec.name} cannot be read: {last}") from last
+    return spark.createDataFrame([], spec.schema or T.StructType([]))
+
+
+def read_sources(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:
+    """All configured sources read, standardised, tagged and unioned by name; the
+    rows that the typed scan flagged keep their text in ``_corrupt``."""
+    return union_sources([standardize(read_source(spark, s), s.renames, s.name) for s in specs])
+
+
+def bad_rows(df: DataFrame) -> DataFrame:
+    """The rows a typed scan could not parse, by source, for a report."""
+    return df.where(F.col("_corrupt").isNotNull()).groupBy("data_source").agg(
+        F.count(F.lit(1)).alias("bad_rows"), F.min("_corrupt").alias("example"))
+
+
 def unique_names(names: Sequence[str]) -> list[str]:
-    """Suffix duplicate column names x, x_1, x_2 ... (first one kept as is)."""
-    seen: dict[str, int] = {}
-    out = []
+    """Every copy of a repeated column name gets a running suffix (x, x become x_0,
+    x_1); a suffix that would meet another column's name is passed over."""
+    repeated = {n for n in names if list(names).count(n) > 1}
+    taken = set(names) - repeated
+    out, following = [], dict.fromkeys(repeated, 0)
     for n in names:
-        if n in seen:
-            seen[n] += 1
-            out.append(f"{n}_{seen[n]}")
-        else:
-            seen[n] = 0
-            out.append(n)
+        if n in repeated:
+            while f"{n}_{following[n]}" in taken:
+                following[n] += 1
+            n = f"{n}_{following[n]}"
+            taken.add(n)
+        out.append(n)
     return out
 
 
@@ -96,13 +131,14 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> None:
         raise ValueError(f"missing required columns: {missing}")
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
+                sep: str = ",") -> None:
     """Sink (overwrite), optionally partitioned (e.g. by event month for pruning)."""
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("sep", sep).option("escape", '"').csv(path)
     else:
         w.format(fmt).save(path)
 
@@ -119,11 +155,16 @@ FORECAST_SCHEMA = T.StructType([
 
 
 def flatten_forecast(df: DataFrame, json_col: str = "payload") -> DataFrame:
-    """JSON forecast entries -> flat rows; rain defaults to 0, wind = gust else
-    speed, m/s -> km/h (x3.6); unparsable entries are skipped."""
-    p = df.select(F.from_json(F.col(json_col), FORECAST_SCHEMA).alias("p")).where(F.col("p").isNotNull())
-    return p.select(F.to_timestamp(F.col("p.dt_txt")).alias("obs_ts"),
-                    F.col("p.main.temp_max").alias("temp_max"), F.col("p.main.temp_min").alias("temp_min"),
+    """JSON forecast -> flat rows, one per entry.  A payload is one entry, or an
+    envelope ``{"list": [entry, ...]}``.  Rain defaults to 0, wind is the gust else the
+    speed (0 without), m/s -> km/h (x3.6).  Entries without a readable time or
+    temperatures are skipped."""
+    text = F.col(json_col)
+    envelope = F.from_json(text, T.StructType([T.StructField("list", T.ArrayType(FORECAST_SCHEMA))]))["list"]
+    entries = F.coalesce(envelope, F.array(F.from_json(text, FORECAST_SCHEMA)))
+    p = df.select(F.explode(entries).alias("p")).select("p", F.col("p.dt_txt").try_cast("timestamp").alias("obs_ts"))
+    p = p.where(F.col("obs_ts").isNotNull() & F.col("p.main.temp_max").isNotNull() & F.col("p.main.temp_min").isNotNull())
+    return p.select("obs_ts", F.col("p.main.temp_max").alias("temp_max"), F.col("p.main.temp_min").alias("temp_min"),
                     F.coalesce(F.col("p.rain").getField("3h"), F.lit(0.0)).alias("rain_mm"),
                     (F.coalesce(F.col("p.wind.gust"), F.col("p.wind.speed"), F.lit(0.0)) * 3.6).alias("wind_kmh"))
 
@@ -138,26 +179,60 @@ ARTIST_SCHEMA = T.StructType([
 
 
 def flatten_artist(df: DataFrame, json_col: str = "payload") -> DataFrame:
-    """Artist JSON -> metrics row with the genres joined by ', '."""
-    p = df.select(F.from_json(F.col(json_col), ARTIST_SCHEMA).alias("p")).where(F.col("p").isNotNull())
+    """Artist JSON -> metrics rows with the genres joined by ', '.  A payload is one
+    artist or a search answer ``{"artists": {"items": [artist, ...]}}``; entries without
+    a name are skipped."""
+    text = F.col(json_col)
+    answer = T.StructType([T.StructField("artists", T.StructType([T.StructField("items", T.ArrayType(ARTIST_SCHEMA))]))])
+    found = F.coalesce(F.from_json(text, answer)["artists"]["items"], F.array(F.from_json(text, ARTIST_SCHEMA)))
+    p = df.select(F.explode(found).alias("p")).where(F.col("p.name").isNotNull())
     return p.select(F.col("p.name").alias("artist"), F.col("p.popularity").alias("SpotifyPopularity"),
                     F.col("p.followers.total").alias("SpotifyFollowers"),
                     F.array_join(F.col("p.genres"), ", ").alias("genres"))
 
 
 def load_tables(spark: SparkSession, tickets: str, line_up: str | None = None, artists: str | None = None,
-                fmt: str = "parquet", schemas: Mapping[str, T.StructType] | None = None) -> tuple:
-    """S06 + S07: the three-table loader; optional tables missing on disk become
-    empty DataFrames with their schema (S07), the ticket table is required (S06)."""
+                fmt: str = "csv", schemas: Mapping[str, T.StructType] | None = None) -> tuple:
+    """The three-table loader.  The ticket table is required; an optional table that is
+    not given or not there becomes empty, with its schema."""
     schemas = schemas or {}
 
-    def _read(path, name):
-        return spark.read.format(fmt).load(path)
-
-    def _optional(path, name):
-        if path is None:
-            schema = schemas.get(name, T.StructType([]))
-            return spark.createDataFrame([], schema)
-        return _read(path, name)
-
-    return _read(tickets, "tickets"), _optional(line_up, "line_up"), _optional(artists, "artists")
+    def scan(path: str, name: str) -> DataFrame:
+        r = spark.read.format(fmt)
+        if fmt == "csv":
+            r = r.option("header", True)
+        return (r.schema(schemas[name]) if name in schemas else r).load(path)
+
+    def optional(path: str | None, name: str) -> DataFrame:
+        try:
+            if path is not None:
+                return scan(path, name)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        return spark.createDataFrame([], schemas.get(name, T.StructType([])))
+
+    return scan(tickets, "tickets"), optional(line_up, "line_up"), optional(artists, "artists")
+
+
+def normalise_table(df: DataFrame, keys: Sequence[str] = (), dates: Sequence[str] = ()) -> DataFrame:
+    """Key columns folded (X01, once per distinct value), date columns read as UTC
+    timestamps; columns that are not there are passed over."""
+    from salescast.functions.text import with_normalized
+
+    for c in dates:
+        if c in df.columns:
+            df = df.withColumn(c, F.col(c).cast("string").try_cast("timestamp"))
+    for c in keys:
+        if c in df.columns:
+            df = with_normalized(df, c)
+    return df
+
+
+def load_normalised(spark: SparkSession, tickets: str, line_up: str | None = None, artists: str | None = None,
+                    fmt: str = "csv", schemas: Mapping[str, T.StructType] | None = None) -> tuple:
+    """:func:`load_tables` with keys and dates of all three tables normalised."""
+    t, lu, a = load_tables(spark, tickets, line_up, artists, fmt, schemas)
+    dates = ("event_date", "first_event_date_start", "last_event_date_end", "verkoopdatum")
+    return (normalise_table(t, ("event_name",), dates), normalise_table(lu, ("event_name", "artist"), ("event_date",)),
+            normalise_table(a, ("artist",), ("Date",)))
