@@ -38,11 +38,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.common import SPACE, partitions_for, read, total_bytes
-from llm.words import Words, mix64, slices
+from llm.words import Words, mix64, slices, tidy, tidy_group
 
 WINDOW = 13
 SKETCH_ROWS = 2
@@ -182,9 +183,9 @@ def merge_parts(width: int):
 
 def build_sketch(docs: DataFrame, width: int) -> list[bytes]:
     """Merged sketch: for each row, one bit per cell (estimate of two or more)."""
-    parts = docs.mapInArrow(sketch_parts(width), "segment int, cells binary")
+    parts = docs.mapInArrow(tidy(sketch_parts(width)), "segment int, cells binary")
     merged = (parts.repartition(SEGMENTS, "segment").sortWithinPartitions("segment")
-              .mapInArrow(merge_parts(width), "segment int, bits binary"))
+              .mapInArrow(tidy(merge_parts(width)), "segment int, bits binary"))
     bits = {r["segment"]: bytes(r["bits"]) for r in merged.collect()}  # SKETCH_ROWS * width / 8 bytes at most
     empty = bytes(width // SEGMENTS // 8)
     return [b"".join(bits.get(r * SEGMENTS + s, empty) for s in range(SEGMENTS)) for r in range(SKETCH_ROWS)]
@@ -320,10 +321,9 @@ def apply_flags(columns: list[str], text: str, doc_id: str):
                 if key in flags:
                     changed[i], removed[i] = cut_text(texts[i].as_py(), np.concatenate(flags[key]))
             if changed:
-                values = texts.to_pylist()
-                for i, t in changed.items():
-                    values[i] = t
-                texts = pa.array(values, pa.string())
+                mask = np.zeros(rows.num_rows, dtype=bool)
+                mask[list(changed)] = True
+                texts = pa.compute.replace_with_mask(texts, pa.array(mask), pa.array(list(changed.values()), texts.type))
             arrays = [texts if c == text else rows.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(
                 arrays + [pa.array(np.concatenate(counts), pa.int64()), pa.array(removed, pa.int64())],
@@ -344,15 +344,15 @@ def dedup_substrings(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
     docs = df.filter(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(
         F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), F.col(text).alias("text"))
     sketch = spark.sparkContext.broadcast(build_sketch(docs, width))
-    asked = docs.mapInArrow(ask(sketch, width, buckets, groups), _ASK)
+    asked = docs.mapInArrow(tidy(ask(sketch, width, buckets, groups)), _ASK)
     flags = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
-        answer(groups), "__grp int, __doc binary, __tags binary, __place binary")
+        tidy_group(answer(groups)), "__grp int, __doc binary, __tags binary, __place binary")
     texts = df.withColumns({"__tag": F.xxhash64(text), "__is_doc": F.lit(True)})
     texts = texts.withColumn("__grp", _group_column(doc_id, groups))
     both = flags.withColumn("__is_doc", F.lit(False)).unionByName(texts, allowMissingColumns=True)
     both = both.repartition(groups, "__grp").sortWithinPartitions("__grp", "__is_doc")
     schema = df.schema.add("n_words", "long").add("n_removed", "long")
-    return both.mapInArrow(apply_flags(columns, text, doc_id), schema)
+    return both.mapInArrow(tidy(apply_flags(columns, text, doc_id)), schema)
 
 
 def _group_column(doc_id: str, groups: int):

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.common import materialize, read
-from llm.words import derive, mix64, slices, text_buffer
+from llm.words import derive, mix64, release, slices, text_buffer, tidy
 
 DIMS = 4096
 CLUSTERS = 4
@@ -169,7 +169,7 @@ def fit(train: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "
                     [rows.column("lang"), rows.column("h"), pa.array([v.tobytes() for v in x], pa.binary())],
                     names=["lang", "h", "v"])
 
-    sample = materialize(drawn.mapInArrow(vectors, "lang string, h long, v binary"), "langsample")
+    sample = materialize(drawn.mapInArrow(tidy(vectors), "lang string, h long, v binary"), "langsample")
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n = np.zeros(DIMS, dtype=np.int64), 0
@@ -201,6 +201,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     @F.arrow_udf("struct<lang:string,score:double,rejected:boolean>")
     def classify(t: pa.Array) -> pa.Array:
         langs, scores, rejected = model.predict(t)
+        release()
         return pa.StructArray.from_arrays(
             [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
             names=["lang", "score", "rejected"])

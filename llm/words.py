@@ -13,7 +13,9 @@ powers of an odd base have known collisions only between very long strings.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -128,7 +130,7 @@ class Words:
         return out, keep
 
 
-def slices(texts: pa.Array, max_bytes: int = 2 << 20, max_rows: int = 1 << 30):
+def slices(texts: pa.Array, max_bytes: int = 1 << 20, max_rows: int = 1 << 30):
     """Consecutive slices of a string array of about ``max_bytes`` (one row at least),
     so that working arrays stay small whatever the size of an Arrow batch."""
     if isinstance(texts, pa.ChunkedArray):
@@ -142,3 +144,34 @@ def slices(texts: pa.Array, max_bytes: int = 2 << 20, max_rows: int = 1 << 30):
         stop = max(start + 1, min(stop, start + max_rows, n))
         yield texts.slice(start, stop - start)
         start = stop
+
+
+def release() -> None:
+    """Give freed memory back to the system.  Python workers stay alive between tasks,
+    and what their allocators keep counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not a GNU system
+        pass
+
+
+def tidy(task):
+    """A mapInArrow task that releases its memory when it ends."""
+    @wraps(task)
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            release()
+    return run
+
+
+def tidy_group(function):
+    """A grouped Arrow function (one table in and out) that releases its memory after each group."""
+    def run(table):
+        try:
+            return function(table)
+        finally:
+            release()
+    return run
