@@ -10,10 +10,12 @@
    is proposed, at most one pair less than the bucket has rows.  Large buckets
    are cut into blocks, and blocks are met pairwise in separate tasks.
 4. Proposed pairs are verified on full shingle sets, and verified links are
-   merged by alternating large-star and small-star contraction, a distributed
-   union-find.  Buckets that still hold several components propose again; the
-   last round proposes every remaining pair, so that no pair of a bucket is
-   left unlinked without a test.
+   merged by union-find: forests of bounded parts of the links, then alternating
+   large-star and small-star contraction over all parts.
+5. Buckets that still hold several components: rows that may be linked with a row
+   of another component get their full sets, and all such pairs of the bucket
+   are tested inside the task, each pair in the first band that it shares.  So no
+   pair of a bucket is left without a test, and only links leave the task.
 
 Bands: with 30 bands of 5 rows, a pair of similarity 0.8 shares no band with
 probability 7e-6; the estimate of a linked pair falls below ``ESTIMATE`` with
@@ -40,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.common import WORD, materialize, read
-from llm.words import Words, derive, mix64, slices
+from llm.words import Words, derive, mix64, slices, tidy
 from salescast.session import broadcast_bounded
 
 SIZE, BANDS, ROWS = 150, 30, 5
@@ -48,7 +50,7 @@ SIMILARITY_PERCENT = 80
 ESTIMATE = 0.65
 WIDTH = 2
 BLOCK = 1024
-TREE_ROUNDS = 2
+LINKS_PER_TASK = 500_000
 # Representatives whose sets are needed are broadcast to the scan up to this many ids (8 bytes each).
 BROADCAST_IDS = 250_000
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -119,7 +121,8 @@ def band_hashes(sig: np.ndarray) -> np.ndarray:
         return mix64(mixed.reshape(len(sig), BANDS, ROWS).sum(axis=2, dtype=np.uint64))
 
 
-_FEATURES = "doc_id long, th long, n_shingles long, key_a long, key_b long, sig binary, bands array<long>"
+_FEATURES = ("doc_id long, th long, n_shingles long, key_a long, key_b long, sig binary, bands array<long>, "
+             "shared binary")
 
 
 def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,13 +135,15 @@ def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = np.diff(first)
             key = set_keys(elements, first)
             small = (mix64(sig) & np.uint64(255)).astype(np.uint8)
+            hashes = band_hashes(sig)
             bands = pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int32) * BANDS,
-                                             pa.array(band_hashes(sig).astype(np.int64).reshape(-1)))
+                                             pa.array(hashes.astype(np.int64).reshape(-1)))
+            shared = pa.array([b.tobytes() for b in hashes.astype(np.uint32)], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(start, len(part)), batch.column("th").slice(start, len(part)),
                  pa.array(n, pa.int64()),
-                 pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array([s.tobytes() for s in small], pa.binary()), bands],
-                names=["doc_id", "th", "n_shingles", "key_a", "key_b", "sig", "bands"])
+                 pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array([s.tobytes() for s in small], pa.binary()), bands, shared],
+                names=["doc_id", "th", "n_shingles", "key_a", "key_b", "sig", "bands", "shared"])
             start += len(part)
 
 
@@ -173,22 +178,19 @@ def _borders(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     return np.r_[np.flatnonzero(new), batch.num_rows]
 
 
-def spanning_pairs(sig: np.ndarray, n: np.ndarray, comp: np.ndarray) -> list[tuple[int, int]]:
-    """Maximum spanning tree (Prim) over estimated similarities of rows that are in different components."""
+def spanning_pairs(sig: np.ndarray, n: np.ndarray) -> list[tuple[int, int]]:
+    """Maximum spanning forest (Prim) over estimated similarities."""
     m = len(n)
     best, source = np.full(m, -1.0), np.full(m, -1)
     waiting = np.ones(m, dtype=bool)
     out, i = [], 0
-    for _ in range(m):
+    for _ in range(m - 1):
         waiting[i] = False
-        if not waiting.any():
-            break
         est = estimates(sig, n, i)
-        est[comp == comp[i]] = 2.0  # linked already: joins for nothing
         better = waiting & (est > best)
         best[better], source[better] = est[better], i
         i = int(np.argmax(np.where(waiting, best, -2.0)))
-        if best[i] >= ESTIMATE and best[i] < 2.0:
+        if best[i] >= ESTIMATE:
             out.append((int(source[i]), i))
     return out
 
@@ -201,41 +203,98 @@ def estimates(sig: np.ndarray, n: np.ndarray, i: int) -> np.ndarray:
     return est
 
 
-def every_pair(sig: np.ndarray, n: np.ndarray, comp: np.ndarray) -> list[tuple[int, int]]:
-    """All pairs of rows in different components that may be similar enough."""
-    out = []
-    for i in range(len(n) - 1):
-        est = estimates(sig, n, i)
-        out += [(i, int(j)) for j in np.flatnonzero((est >= ESTIMATE) & (comp != comp[i])) if j > i]
-    return out
+def matrix(column: pa.Array, kind, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(-1, width)
 
 
-def propose(last: bool):
+def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task over bucket rows sorted by bucket: pairs (a, b) to verify."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for border, rows in grouped(batches, ["band", "key", "i", "j"]):
-            ids = rows.column("id").to_numpy(zero_copy_only=False)
-            comp = rows.column("comp").to_numpy(zero_copy_only=False)
-            n = rows.column("n").to_numpy(zero_copy_only=False)
-            sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), dtype=np.uint8).reshape(len(ids), SIZE)
-            left, right = [], []
-            size = np.diff(border)
-            two = border[:-1][size == 2]  # most buckets: one pair
-            two = two[comp[two] != comp[two + 1]]
-            low, high = np.minimum(n[two], n[two + 1]), np.maximum(n[two], n[two + 1])
-            good = (100 * low >= SIMILARITY_PERCENT * high) & ((sig[two] == sig[two + 1]).mean(axis=1) >= ESTIMATE)
-            left.append(ids[two[good]])
-            right.append(ids[two[good] + 1])
-            for a, b in zip(border[:-1][size > 2], border[1:][size > 2]):
-                pairs = (every_pair if last else spanning_pairs)(sig[a:b], n[a:b], comp[a:b])
-                if pairs:
-                    p = np.array(pairs) + a
-                    left.append(ids[p[:, 0]])
-                    right.append(ids[p[:, 1]])
-            x, y = np.concatenate(left), np.concatenate(right)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64())],
-                                             names=["a", "b"])
-    return run
+    for border, rows in grouped(batches, _GROUP):
+        ids = rows.column("id").to_numpy(zero_copy_only=False)
+        n = rows.column("n").to_numpy(zero_copy_only=False)
+        sig = matrix(rows.column("sig"), np.uint8, SIZE)
+        left, right = [], []
+        size = np.diff(border)
+        two = border[:-1][size == 2]  # most buckets: one pair
+        low, high = np.minimum(n[two], n[two + 1]), np.maximum(n[two], n[two + 1])
+        good = (100 * low >= SIMILARITY_PERCENT * high) & ((sig[two] == sig[two + 1]).mean(axis=1) >= ESTIMATE)
+        left.append(ids[two[good]])
+        right.append(ids[two[good] + 1])
+        for a, b in zip(border[:-1][size > 2], border[1:][size > 2]):
+            pairs = spanning_pairs(sig[a:b], n[a:b])
+            if pairs:
+                p = np.array(pairs) + a
+                left.append(ids[p[:, 0]])
+                right.append(ids[p[:, 1]])
+        x, y = np.concatenate(left), np.concatenate(right)
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64())],
+                                         names=["a", "b"])
+
+
+class Bucket:
+    """Rows of one bucket (or pair of blocks of it) that is left with several components."""
+
+    def __init__(self, rows: pa.RecordBatch):
+        self.band = rows.column("band")[0].as_py()
+        self.cross = rows.column("i")[0].as_py() != rows.column("j")[0].as_py()
+        self.own, self.comp, self.n = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("own", "comp", "n"))
+        self.sig = matrix(rows.column("sig"), np.uint8, SIZE)
+        self.shared = matrix(rows.column("shared"), np.uint32, BANDS)
+
+    def partners(self, i: int) -> np.ndarray:
+        """Later rows of other components that may be linked with row i, where this is
+        the first band that both share.  Two blocks only meet each other's rows."""
+        may = (self.comp != self.comp[i]) & (np.arange(len(self.n)) > i)
+        if self.cross:
+            may &= self.own != self.own[i]
+        j = np.flatnonzero(may)
+        low, high = np.minimum(self.n[j], self.n[i]), np.maximum(self.n[j], self.n[i])
+        j = j[100 * low >= SIMILARITY_PERCENT * high]
+        j = j[(self.sig[j] == self.sig[i]).mean(axis=1) >= ESTIMATE]
+        return j[(self.shared[j, :self.band] != self.shared[i, :self.band]).all(axis=1)]
+
+
+_GROUP = ["band", "key", "i", "j"]
+_ROW = "band int, key long, i int, j int, own int, id long, comp long, n long, sig binary, shared binary"
+
+
+def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task: rows of mixed buckets that have a possible partner in another component."""
+    for border, rows in grouped(batches, _GROUP):
+        marked = np.zeros(rows.num_rows, dtype=bool)
+        for a, b in zip(border[:-1], border[1:]):
+            bucket = Bucket(rows.slice(int(a), int(b - a)))
+            for i in range(b - a):
+                j = bucket.partners(i)
+                if len(j):
+                    marked[a + i] = True
+                    marked[a + j] = True
+        yield rows.filter(pa.array(marked))
+
+
+def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task: test all possible pairs of such rows on full sets; a link that joins two
+    components of the bucket goes out, pairs it has joined already are not tested."""
+    for border, rows in grouped(batches, _GROUP):
+        out: list[tuple[int, int]] = []
+        ids = rows.column("id").to_numpy(zero_copy_only=False)
+        for a, b in zip(border[:-1], border[1:]):
+            bucket = Bucket(rows.slice(int(a), int(b - a)))
+            sets = [np.frombuffer(x, np.uint64) for x in rows.column("s").slice(int(a), int(b - a)).to_pylist()]
+            names = bucket.comp.copy()
+            for i in range(b - a):
+                for j in bucket.partners(i):
+                    if names[i] != names[j] and similar(sets[i], sets[j]):
+                        names[names == names[j]] = names[i]
+                        out.append((ids[a + i], ids[a + j]))
+        x, y = (np.array(v, dtype=np.int64) for v in (zip(*out) if out else ((), ())))
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+
+def similar(p: np.ndarray, q: np.ndarray) -> bool:
+    """Whether two sets (sorted, distinct) are at least SIMILARITY_PERCENT alike."""
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return 100 * both >= SIMILARITY_PERCENT * (len(p) + len(q) - both)
 
 
 def make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,20 +313,49 @@ def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         good = np.zeros(batch.num_rows, dtype=bool)
         for i, (x, y) in enumerate(zip(batch.column("sa"), batch.column("sb"))):
-            p, q = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            good[i] = 100 * both >= SIMILARITY_PERCENT * (len(p) + len(q) - both)
+            good[i] = similar(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64))
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(good)), batch.column("b").filter(pa.array(good))],
                                          names=["a", "b"])
 
 
+def local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task: union-find over the links of one part; (u, v) joins each id to the smallest of its tree."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while parent[top] != top:
+            top = parent[top]
+        while parent[x] != top:  # path compression
+            parent[x], x = top, parent[x]
+        return top
+
+    for batch in batches:
+        for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            parent.setdefault(x, x)
+            parent.setdefault(y, y)
+            p, q = root(x), root(y)
+            if p != q:
+                parent[max(p, q)] = min(p, q)
+    tree = [(x, root(x)) for x in parent]
+    pairs = [t for t in tree if t[0] != t[1]]
+    yield pa.RecordBatch.from_arrays([pa.array([t[0] for t in pairs], pa.int64()), pa.array([t[1] for t in pairs], pa.int64())],
+                                     names=["u", "v"])
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(id, comp) for every id on an edge (a < b): smallest id reachable.
+    """(id, comp) for every id on an edge that is not the smallest of its component.
 
-    Large-star and small-star steps alternate until nothing changes.  Both are
-    aggregates joined back, so a node of high degree is never gathered.
+    Parts of at most ``LINKS_PER_TASK`` links are reduced to forests by union-find.
+    With one part that is the answer; else large-star and small-star steps alternate
+    until nothing changes.  Those are aggregates joined back, so a node of high
+    degree is never gathered.
     """
-    e = materialize(edges.select(F.col("b").alias("u"), F.col("a").alias("v")).distinct(), "edges")
+    edges = materialize(edges.select("a", "b"), "edges")
+    parts = max(1, -(-edges.count() // LINKS_PER_TASK))
+    e = materialize(edges.repartition(parts).mapInArrow(tidy(local_forest), "u long, v long"), "forest")
+    if parts == 1:
+        return e.select(F.col("u").alias("id"), F.col("v").alias("comp"))
     mark = None
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -275,7 +363,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = materialize(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        e = materialize(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "forest")
         r = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if (r["n"], r["s"]) == mark:
             return e.select(F.col("u").alias("id"), F.col("v").alias("comp"))
@@ -286,12 +374,12 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """(doc_id, text_hash, n_shingles, component_id, kept) of every row of ``df``."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
-    table = materialize(docs.mapInArrow(features, _FEATURES), "shingles")
-    first = F.min_by(F.struct("doc_id", "th", "sig", "bands"), F.struct(F.col("doc_id").isNull(), "doc_id"))
+    table = materialize(docs.mapInArrow(tidy(features), _FEATURES), "shingles")
+    first = F.min_by(F.struct("doc_id", "th", "sig", "bands", "shared"), F.struct(F.col("doc_id").isNull(), "doc_id"))
     classes = (table.filter("n_shingles > 0").groupBy("key_a", "key_b")
                .agg(F.max("n_shingles").alias("n"), first.alias("f")))
     reps = materialize(classes.select(F.col("key_a").alias("id"), "key_b", "n", F.col("f.doc_id").alias("rep"),
-                                      "f.th", "f.sig", "f.bands"), "classes")
+                                      "f.th", "f.sig", "f.bands", "f.shared"), "classes")
     found = named_components(reps, link(docs, reps))
     member = table.select("doc_id", "th", "n_shingles", "key_a", "key_b").join(found, ["key_a", "key_b"], "left")
     comp = F.when(F.col("n_shingles") > 0, F.col("comp")).otherwise(F.col("doc_id"))
@@ -325,42 +413,44 @@ def named_components(reps: DataFrame, links: DataFrame) -> DataFrame:
     return labelled.join(names, "label").select("key_a", "key_b", "comp")
 
 
+def block_rows(rows: DataFrame) -> DataFrame:
+    """Rows of buckets, dealt to tasks.  A bucket of c rows has ceil(c / BLOCK) blocks;
+    each row goes to every pair of blocks that its own is part of."""
+    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
+    rows = (rows.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .select("band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                    "own", "id", "comp", "n", "sig", "shared"))
+    return rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "id")
+
+
 def link(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(id, comp) of the representatives that are linked with others."""
     spark = docs.sparkSession
     bands = reps.select("id", F.posexplode("bands").alias("band", "key"))
     crowded = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    buckets = materialize(bands.join(crowded, ["band", "key"]).join(reps.select("id", "n", "sig"), "id"), "buckets")
-    edges = links = sets = tested = None
-    for r in range(TREE_ROUNDS + 1):
-        rows = buckets.withColumn("comp", F.col("id"))
-        if links is not None:
-            rows = buckets.join(links, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-            mixed = (rows.groupBy("band", "key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-                     .filter("x < y").select("band", "key"))
-            rows = rows.join(mixed, ["band", "key"], "left_semi")
-        # A bucket of c rows has ceil(c / BLOCK) blocks; each row goes to every pair of blocks with its own.
-        blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-        rows = (rows.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-                .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-                .select("band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                        "id", "comp", "n", "sig"))
-        rows = rows.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "id")
-        pairs = rows.mapInArrow(propose(r == TREE_ROUNDS), "a long, b long").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        if not pairs.limit(1).count():
-            break
-        if sets is None:  # every row that may have a partner is in the first trees
-            sets = materialize(fetch(docs, reps, pairs).mapInArrow(make_sets, "id long, s binary").dropDuplicates(["id"]), "sets")
-        joined = (pairs.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-                  .join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a"))
-        good = materialize(joined.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long"), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        edges = good if edges is None else edges.unionByName(good)
-        links = components(edges)
-    return links if links is not None else spark.createDataFrame([], "id long, comp long")
+    buckets = materialize(bands.join(crowded, ["band", "key"])
+                          .join(reps.select("id", "n", "sig", "shared"), "id"), "buckets")
+    first = block_rows(buckets.withColumn("comp", F.col("id")))
+    pairs = materialize(first.mapInArrow(tidy(propose), "a long, b long").distinct(), "pairs")
+    if not pairs.limit(1).count():
+        return spark.createDataFrame([], "id long, comp long")
+    # Every row that may have a partner is on a proposed pair, so these sets suffice.
+    sets = materialize(fetch(docs, reps, pairs).mapInArrow(tidy(make_sets), "id long, s binary").dropDuplicates(["id"]), "sets")
+    joined = (pairs.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+              .join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a"))
+    edges = materialize(joined.select("a", "b", "sa", "sb").mapInArrow(tidy(verify), "a long, b long"), "links")
+    links = components(edges)
+    rows = (buckets.join(sets.select("id"), "id", "left_semi").join(links, "id", "left")
+            .withColumn("comp", F.coalesce("comp", "id")))
+    mixed = (rows.groupBy("band", "key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+             .filter("x < y").select("band", "key"))
+    rows = block_rows(rows.join(mixed, ["band", "key"], "left_semi"))
+    left = materialize(rows.mapInArrow(tidy(suspects), _ROW), "suspects")
+    late = (left.join(sets, "id").repartition(*_GROUP).sortWithinPartitions(*_GROUP, "id")
+            .mapInArrow(tidy(confirm), "a long, b long"))
+    late = materialize(late.distinct(), "links")
+    return components(edges.unionByName(late)) if late.limit(1).count() else links
 
 
 def fetch(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:

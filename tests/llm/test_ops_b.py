@@ -122,8 +122,10 @@ def near_docs():
     return docs
 
 
-def test_near_duplicates_equal_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("links", [40, 10 ** 6])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, links):
     monkeypatch.setattr(near, "BLOCK", 16)  # small blocks, so that buckets are cut
+    monkeypatch.setattr(near, "LINKS_PER_TASK", links)  # one part, and several
     docs = near_docs()
     df = spark.createDataFrame([(d, t, "x") for d, t in docs], "doc_id long, text string, kept string").repartition(7)
     rows = near.near_duplicates(df).collect()
