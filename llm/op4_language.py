@@ -40,6 +40,10 @@ DIMS = 4096
 CLUSTERS = 4
 SAMPLE_PER_LANG = 1500
 KMEANS_ROUNDS = 10
+LEAST_SHARE = 0.02
+# Smoothing of idf = IDF_BASE + log((1 + n) / (1 + df)): the larger, the less a short passage of
+# rare n-grams (a quotation in another language) outweighs the rest of a text.
+IDF_BASE = 4.0
 # A text is rejected below this share of its centroid's lowest training cosine,
 # or when it has next to nothing in common with any language.
 REJECT_SHARE = 0.5
@@ -99,19 +103,22 @@ def normalise(x: np.ndarray) -> np.ndarray:
 
 
 def cluster(x: np.ndarray, k: int, rounds: int = KMEANS_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means; (centroids, lowest member cosine of each).  Seeds are
-    chosen farthest-first, so the result depends on the rows and their order only."""
+    """Spherical k-means; (centroids, lowest member cosine of each).
+
+    Rows come in hash order, so evenly spaced rows are a reproducible random choice of
+    seeds.  A cluster with less than ``LEAST_SHARE`` of the rows describes outliers,
+    not the language, and is given up; its rows go to the others.
+    """
     k = min(k, len(x))
-    centres = [normalise(x.mean(axis=0, keepdims=True))[0]]
-    for _ in range(k - 1):
-        nearest = np.max(x @ np.stack(centres).T, axis=1)
-        centres.append(x[int(np.argmin(nearest))])
-    c = np.stack(centres)
-    for _ in range(rounds):
+    c = x[np.arange(k) * len(x) // k].copy()
+    for r in range(rounds + 1):
         own = np.argmax(x @ c.T, axis=1)
-        for j in range(len(c)):
-            if (own == j).any():
-                c[j] = normalise(x[own == j].mean(axis=0, keepdims=True))[0]
+        size = np.bincount(own, minlength=len(c))
+        if r == rounds:
+            c = c[size >= min(size.max(), LEAST_SHARE * len(x))]
+            break
+        for j in np.flatnonzero(size):
+            c[j] = normalise(x[own == j].mean(axis=0, keepdims=True))[0]
     cos = x @ c.T
     own = np.argmax(cos, axis=1)
     low = np.array([cos[own == j, j].min() if (own == j).any() else 1.0 for j in range(len(c))])
@@ -182,7 +189,7 @@ def fit(train: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "
     seen = sample.select("v").mapInPandas(frequencies, "n long, df binary").collect()  # a row per part of a bounded sample
     n = sum(r["n"] for r in seen)
     df = np.sum([np.frombuffer(r["df"], dtype=np.int64) for r in seen], axis=0) if seen else np.zeros(DIMS)
-    idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
+    idf = (np.log((1 + n) / (1 + df)) + IDF_BASE).astype(np.float32)
 
     def centroids(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["h", "v"]).head(per_lang)
