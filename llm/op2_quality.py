@@ -130,4 +130,39 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and threshold verdict for every document."""
     out = apply_rules(read(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                      "base_failed", "kept", *[F.round(m, 6).alias(m) for m, _, _ in RULES])
+                      "base_failed", "kept")
+
+
+def _rules_sql() -> str:
+    limits = [f"{m} >= {low}" for m, low, _ in RULES if low is not None]
+    return " AND ".join(limits + [f"{m} <= {high}" for m, _, high in RULES if high is not None])
+
+
+ORACLE_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+    coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+e AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+windows AS (
+  SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+counted AS (SELECT r, i, count(*) OVER (PARTITION BY r, x) AS c FROM windows),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM counted WHERE c > 1) GROUP BY r),
+m AS (
+  SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+    len(list_filter(w, lambda x: list_contains([{", ".join(f"'{x}'" for x in _stop_words())}], x))) AS stops,
+    length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS uppers,
+    len(list_filter(lines, lambda x: contains(x, ' | '))) AS bare, len(lines) AS n_lines
+  FROM e LEFT JOIN covered ON e.r = covered.r),
+ratios AS (
+  SELECT *, word_chars / greatest(n_words, 1) AS mean_word_chars, n_symbols / greatest(n_words, 1) AS symbol_ratio,
+    stops / greatest(n_words, 1) AS stop_word_ratio, uppers / greatest(word_chars, 1) AS upper_ratio,
+    n_dup_lines / greatest(n_lines, 1) AS dup_line_ratio, bare / greatest(n_lines, 1) AS bare_line_ratio,
+    n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed
+  FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND {_rules_sql()} AS kept FROM ratios
+"""

@@ -20,6 +20,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_sharding": op1_sharding.ORACLE_SQL,
+    "op2_quality": op2_quality.ORACLE_SQL,
     "op6_chat": op6_chat.ORACLE_SQL,
     "op7_neardup": op7_neardup.ORACLE_SQL,
     "op8_nearest": op8_nearest.ORACLE_SQL,
