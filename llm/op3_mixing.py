@@ -24,7 +24,7 @@ Defined results
   and cells without any token have probability 0.
 * repeated rows of a doc_id are drawn together; null doc_id draws by the text.
 * an empty table gives an empty result; other columns are passed through, and
-  columns named like an added column are replaced.
+  columns named like an added column are replaced (two leading underscores are reserved).
 """
 
 from __future__ import annotations
@@ -120,7 +120,7 @@ def cell_probabilities(rows: DataFrame, targets: dict | None = None, budget: flo
     sources, langs = largest(rows, "source", MAX_SOURCES), largest(rows, "lang", MAX_LANGS)
     cells = (rows.groupBy(pooled("source", sources).alias("s"), pooled("lang", langs).alias("l"),
                           F.col("topic").cast("string").alias("t")).agg(F.sum("n_tokens").alias("n")).collect())
-    schema = "s string, l string, t string, weight double, probability double"
+    schema = "__cs string, __cl string, __ct string, weight double, probability double"
     if not cells or not sum(r["n"] for r in cells):
         return spark.createDataFrame([], schema), sources, langs
     axes = [sorted({r[a] for r in cells}, key=lambda v: (v is not None, v or "")) for a in "slt"]
@@ -149,15 +149,15 @@ def mix(rows: DataFrame, targets: dict | None = None, budget: float = BUDGET, po
     cells, sources, langs = cell_probabilities(rows, targets, budget, power)
     s, l, t = pooled("source", sources), pooled("lang", langs), F.col("topic").cast("string")
     keyed = rows.withColumns({"__s": s, "__l": l, "__t": t})
-    same = (keyed["__s"].eqNullSafe(cells["s"]) & keyed["__l"].eqNullSafe(cells["l"])
-            & keyed["__t"].eqNullSafe(cells["t"]))
+    same = (F.col("__s").eqNullSafe(F.col("__cs")) & F.col("__l").eqNullSafe(F.col("__cl"))
+            & F.col("__t").eqNullSafe(F.col("__ct")))
     out = keyed.join(F.broadcast(cells), same, "left")  # (64 + 2) * (32 + 2) * 9 rows at most
     other = F.col("text") if "text" in rows.columns else F.lit(None).cast("string")
     draw = F.xxhash64(F.col(doc_id), F.when(F.col(doc_id).isNull(), other), F.lit(seed))
     out = out.withColumns({
         "weight": F.coalesce("weight", F.lit(0.0)), "probability": F.coalesce("probability", F.lit(0.0)),
         "draw": F.shiftrightunsigned(draw, 11) / F.lit(float(1 << 53))})
-    return out.withColumn("chosen", F.col("draw") < F.col("probability")).drop("__s", "__l", "__t", "s", "l", "t")
+    return out.withColumn("chosen", F.col("draw") < F.col("probability")).drop("__s", "__l", "__t", "__cs", "__cl", "__ct")
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
