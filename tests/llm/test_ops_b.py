@@ -9,7 +9,6 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from llm import op6_chat as chat
 from llm import op7_neardup as near
 from llm import op8_nearest as ann
@@ -263,20 +262,3 @@ def test_sketch_loses_no_repeated_window():
     assert (subs.unpack_sorted(subs.pack_sorted(c)) == c).all()
     v = rng.integers(-2 ** 62, 2 ** 62, 100)
     assert (subs.unpack_ints(subs.pack_ints(v)) == v).all()
-
-
-# ---- pipeline
-
-def test_pipeline_stages(spark):
-    sf = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    n, columns = docs.count(), docs.columns
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        before, docs = docs, stage(spark, docs, sf).cache()
-        assert docs.columns == columns
-        assert docs.count() <= n
-        assert docs.select("doc_id").exceptAll(before.select("doc_id")).count() == 0
-        n = docs.count()
-    plan = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
-    assert plan.select("doc_id").distinct().count() == n
-    assert corpus_pipeline.run(spark, sf).count() == plan.count()
