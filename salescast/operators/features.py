@@ -21,8 +21,8 @@ from salescast.functions.numeric import gender_std, log1p0
 from salescast.operators.stats import global_percentiles
 
 WEATHER_COLS = ["t_max", "t_min", "rain_fall", "max_wind"]
-ARTIST_METRICS = ["ChartmetricScore", "SpotifyPopularity", "SpotifyFollowers", "TikTokViews", "DeezerFans"]
-ARTIST_AGGS = ["mean", "max", "sum", "std"]
+# Weather and type when there is no day-0 row at all.
+WEATHER_DEFAULTS = {"t_max": 15.0, "t_min": 5.0, "rain_fall": 0.0, "max_wind": 20.0, "event_type": "other"}
 
 
 # --------------------------------------------------------------------------- lead days
@@ -80,10 +80,7 @@ def sales_acceleration(tickets: DataFrame, T: int) -> DataFrame:
     The mean of first differences telescopes to (last - first) / n_days, so no
     window is needed: per-(event, day) counts, then one more small aggregate.
     """
-    daily = (tickets.where(F.col("days_until_event") >= T)
-             .where(F.col("event_name").isNotNull())
-             .groupBy("event_name", "days_until_event").agg(F.count(F.lit(1)).alias("daily_sales")))
-    return daily.groupBy("event_name").agg(
+    return daily_sales(tickets, T).groupBy("event_name").agg(
         ((F.max_by("daily_sales", "days_until_event") - F.min_by("daily_sales", "days_until_event"))
          / F.count(F.lit(1))).alias("avg_acceleration"),
         F.count(F.lit(1)).alias("sale_days"))
@@ -128,9 +125,13 @@ def fused_event_aggregate(tickets: DataFrame, T: int, lag: int, event_bound: int
     def known(c: str):
         return F.min(F.when(F.col(c).isNotNull(), sale))
 
+    # Rows may stand for several tickets; without that column each row is one.
+    total = F.count(F.lit(1))
+    if "tickets_sold" in tickets.columns:
+        total = F.coalesce(F.sum("tickets_sold").cast("long"), total)
     aggs = [
         # A01 / A02 / A03 / A04
-        F.count(F.lit(1)).alias("full_event_tickets"),
+        total.alias("full_event_tickets"),
         F.count_if(upto & (d < T + lag)).alias(f"sales_last_{lag}_days"),
         F.count_if(upto).alias("cumulative_sales_at_t"),
         F.min(F.when(upto, d)).alias("__dmin"),
@@ -174,10 +175,15 @@ def fused_event_aggregate(tickets: DataFrame, T: int, lag: int, event_bound: int
         first("first_event_date_start", "__at_start").alias("first_event_date"),
         first("last_event_date_end", "__at_end").alias("__last_event_date"),
         first("max_capacity", "__at_capacity").alias("max_capacity"),
-        F.max_by(F.struct(*[F.col(c) for c in WEATHER_COLS]), F.when(at["__at_day0"], F.coalesce("barcode", F.lit("")))).alias("__day0"))
+        F.max_by(F.struct(*[F.col(c) for c in day0_columns(tickets.columns)]), F.when(at["__at_day0"], F.coalesce("barcode", F.lit("")))).alias("__day0"))
     return base.drop(*at).join(values, "event_name", "left")
 
 
+def day0_columns(columns) -> list[str]:
+    """What is read from the day-0 row: the weather, and the event type where tickets have it."""
+    return WEATHER_COLS + [c for c in ("event_type",) if c in columns]
+
+
 def add_time_base(agg: DataFrame) -> DataFrame:
     """A06 validity + raw duration (X18) before the median fill."""
     valid = (F.col("first_event_date").isNotNull() & F.col("__last_event_date").isNotNull()
@@ -254,8 +260,9 @@ def capacity_block(agg: DataFrame) -> DataFrame:
 
 
 def weather_block(agg: DataFrame) -> DataFrame:
-    """Weather of the last day-0 sale row; null when the event has none."""
-    out = agg
-    for c in WEATHER_COLS:
-        out = out.withColumn(c, F.col("__day0").getField(c))
-    return out
+    """Weather (and event type) of the last day-0 sale row; null when the event has
+    none.  When no event has such a row, the fixed defaults stand in."""
+    names = agg.schema["__day0"].dataType.fieldNames()
+    if agg.where(F.col("__day0").isNotNull()).limit(1).count():
+        return agg.withColumns({c: F.col("__day0").getField(c) for c in names})
+    return agg.withColumns({c: F.lit(WEATHER_DEFAULTS[c]) for c in names})

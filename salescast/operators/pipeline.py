@@ -38,7 +38,7 @@ def model_features(lag: int) -> list[str]:
 
 TICKET_INPUT_COLS = ["event_name", "verkoopdatum", "barcode", "first_event_date_start", "last_event_date_end",
                      "age", "gender", "city", "product_value", "total_price", "product_is_scanned", "max_capacity",
-                     "t_max", "t_min", "rain_fall", "max_wind"]
+                     "t_max", "t_min", "rain_fall", "max_wind", "tickets_sold", "event_type"]
 
 
 def prepare_tickets(tickets: DataFrame, known_cities: DataFrame, T: int, asof: str | None,
@@ -85,8 +85,9 @@ def event_table(t: DataFrame, T: int, lag: int, lo: int, hi: int, is_prediction:
     agg = feat.ticket_block(agg)
     agg = feat.capacity_block(agg)
     agg = feat.weather_block(agg)
+    kind = [c for c in ("event_type",) if c in agg.columns]
     keep = (["event_name", "full_event_tickets", lag_col, f"log_{lag_col}"] + TIME_COLS + SALES_COLS
-            + DEMO_COLS + TICKET_COLS + CAPACITY_COLS + feat.WEATHER_COLS)
+            + DEMO_COLS + TICKET_COLS + CAPACITY_COLS + feat.WEATHER_COLS + kind)
     # Helper columns (``__*``, the day-0 struct, raw sale bounds) are dropped by
     # selecting the output list; ``DataFrame.drop`` would ignore absent names too.
     out = agg.select(*keep).withColumn("forecast_days", F.lit(T))

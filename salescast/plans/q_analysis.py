@@ -9,7 +9,7 @@ from salescast.functions.numeric import venue_type
 from salescast.operators import analysis as an
 from salescast.operators.features import add_lead_days
 from salescast.plans.oracle_base import BUYERS, LEAD_DAYS, TICKETS, TICKETS_BUYER, norm, typed_select
-from salescast.plans.registry import ASOF, T_H, finish, register
+from salescast.plans.registry import ASOF, HI, LO, T_H, finish, register
 from salescast.sources import testbed
 
 W_ = "WITH " + TICKETS + ",\n"
@@ -315,6 +315,25 @@ def q_artist_coverage(spark, sf_dir):
     return finish(an.coverage(lu, snaps, "artist"))
 
 
+COV_KEPT_SQL = COV_SQL.replace("FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)", f"""FROM lineitem l
+  JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_suppkey IN
+    (SELECT l_suppkey FROM lineitem GROUP BY 1 HAVING count(*) > {LO} AND count(*) < {HI}))""")
+
+
+@register("artist_coverage_filtered", COV_KEPT_SQL)
+def q_artist_coverage_filtered(spark, sf_dir):
+    """The same coverage for the line-ups of the events that the size filter keeps."""
+    from salescast.functions.text import with_normalized
+    from salescast.session import broadcast_bounded, table_rows
+    artists = table_rows(spark, f"{sf_dir}/customer.parquet")
+    sizes = testbed.tickets(spark, sf_dir).groupBy("event_name").agg(F.count(F.lit(1)).alias("n"))
+    kept = sizes.where((F.col("n") > LO) & (F.col("n") < HI)).select("event_name")
+    kept = broadcast_bounded(kept, table_rows(spark, f"{sf_dir}/supplier.parquet"))
+    lu = testbed.lineup_bridge(spark, sf_dir).join(kept, "event_name", "left_semi")
+    snaps = with_normalized(testbed.artist_snapshots(spark, sf_dir), "artist", bound_rows=artists)
+    return finish(an.coverage(with_normalized(lu, "artist", bound_rows=artists), snaps, "artist"))
+
+
 # ----------------------------------------------------------------- A33 A20
 @register("date_overlap", W_ + """a AS (SELECT DISTINCT CAST(verkoopdatum AS DATE) AS d FROM tickets),
 b AS (SELECT DISTINCT CAST(event_date AS DATE) AS d FROM tickets)

@@ -11,7 +11,7 @@ from salescast.operators import analysis as an
 from salescast.operators import clean as C
 from salescast.plans.oracle_base import TICKETS, TICKETS_BUYER, TICKETS_BUYER_ONCE, norm, typed_select
 from salescast.plans.registry import ASOF, finish, register
-from salescast.session import table_rows
+from salescast.session import materialize, table_rows
 from salescast.sources import testbed
 
 W_ = "WITH " + TICKETS + ",\n"
@@ -325,7 +325,7 @@ def processed_tickets(spark, sf_dir):
     R.require_columns(t, ["event_name", "event_date", "barcode", "product_value", "first_event_date_start"])
     daily = daily_weather(testbed.weather_raw(spark, sf_dir))
     t = join_weather(t, daily, testbed.weather_key(F.col("first_event_date_start")))
-    t = fill_global_mean(t)
+    t = fill_global_mean(materialize(t, "weather_joined"))  # read for the means and for the rows
     t = (t.withColumn("event_date", F.coalesce("event_date", "first_event_date_start"))
          .withColumn("first_event_date_start_with_time", F.col("first_event_date_start"))
          .withColumn("first_event_date_start", to_midnight(F.col("first_event_date_start")))

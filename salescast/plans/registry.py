@@ -1,7 +1,8 @@
 """Query registry: name -> (Spark builder, DuckDB oracle SQL or None).
 
-Each builder takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole test tables.  Doubles are rounded to 4 decimals on both sides so that
+Each builder takes ``(spark, sf_dir)`` and returns a DataFrame over the whole test
+tables.  Builders that need bounds, medians or shared intermediates run the jobs for
+them while they build.  Doubles are rounded to 4 decimals on both sides so that
 summation-order noise does not break the value hash.
 """
 

@@ -99,12 +99,6 @@ def drop_intermediates(spark: SparkSession) -> int:
     return n
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 _TYPE_WIDTH = {"string": 48, "boolean": 1, "byte": 1, "short": 2, "int": 4, "integer": 4,
                "date": 4, "float": 4}
 

@@ -156,3 +156,31 @@ def test_features_do_not_depend_on_later_sales(spark):
     a, b = ({tuple(r) for r in pipe.event_table(pipe.prepare_tickets(x, known, 201, None), 201, 3, 0, 10 ** 9)
              .select(*cols).collect()} for x in (t, fewer))
     assert len(a) == len(b) == 10 and {r[:3] for r in a} == {r[:3] for r in b}
+
+
+def test_tickets_sold_column_event_type_and_weather_defaults(spark):
+    from salescast.operators import features as feat
+    ts = dt.datetime
+    rows = [("e", ts(2024, 7, 1), f"b{i}", ts(2024, 7, 20), ts(2024, 7, 21), 30.0, "man", "x", 10.0, 11.0, 1, 100.0,
+             20.0, 10.0, 0.0, 5.0, 3, "club", 19) for i in range(2)]
+    names = ("event_name verkoopdatum barcode first_event_date_start last_event_date_end age gender city_standardized "
+             "product_value total_price product_is_scanned max_capacity t_max t_min rain_fall max_wind tickets_sold "
+             "event_type days_until_event").split()
+    df = spark.createDataFrame(rows, names)
+    agg = feat.fused_event_aggregate(df, 14, 3)
+    assert agg.first()["full_event_tickets"] == 6
+    late = feat.weather_block(agg).first()  # no sale on the last day: the defaults
+    assert (late["t_max"], late["event_type"]) == (15.0, "other")
+    now = feat.weather_block(feat.fused_event_aggregate(df.withColumn("days_until_event", F.lit(1)), 0, 3)).first()
+    assert (now["t_max"], now["event_type"]) == (20.0, "club")
+
+
+def test_small_column_helpers(spark):
+    from salescast.functions.dates import fractional_days
+    from salescast.functions.numeric import coerce_double
+    from salescast.functions.text import list_to_string, string_to_list
+    df = spark.createDataFrame([(dt.datetime(2024, 7, 1), dt.datetime(2024, 7, 2, 12), "1.5", "x", "a, b")],
+                               "s timestamp_ntz, e timestamp_ntz, n string, bad string, l string")
+    r = df.select(fractional_days("s", "e"), coerce_double(F.col("n")), coerce_double(F.col("bad")),
+                  list_to_string(string_to_list(F.col("l")))).first()
+    assert tuple(r) == (1.5, 1.5, None, "a, b")
