@@ -27,8 +27,8 @@ Defined results
 * null doc_id: has no order, so the row neither loses nor removes words.
 * rows that share a doc_id are one document: they remove nothing of each other.
 * very long texts are handled whole; memory follows the longest single text.
-* other columns of the input are passed through; columns named n_words,
-  n_removed or like internal ones (leading ``__``) are replaced.
+* other columns of the input are passed through; columns named n_words or
+  n_removed are replaced, names with two leading underscores are reserved.
 """
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ SKETCH_ROWS = 2
 MIN_WIDTH, MAX_WIDTH = 1 << 16, 1 << 30
 SEGMENTS = 64
 # Windows that a task settles together, text bytes a final group, bytes of requests a bucket.
-CHUNK_WINDOWS = 750_000
+CHUNK_WINDOWS = 500_000
 GROUP_BYTES = 8 << 20
 BUCKET_BYTES = 12 << 20
 _SALT = np.uint64(0xA24BAED4963EE407)
@@ -211,7 +211,13 @@ def later_documents(keys: list[np.ndarray], doc: np.ndarray) -> tuple[np.ndarray
 
 
 def group_of(doc: np.ndarray, groups: int) -> np.ndarray:
-    return (mix64(doc.astype(np.uint64) + _SALT) % np.uint64(groups)).astype(np.int64)
+    """Final group of each document; ``group_column`` is the same for a column."""
+    return np.mod(doc ^ (doc >> 17) ^ (doc >> 31), groups)
+
+
+def group_column(doc_id, groups: int):
+    folded = doc_id.bitwiseXOR(F.shiftright(doc_id, 17)).bitwiseXOR(F.shiftright(doc_id, 31))
+    return F.pmod(folded, F.lit(groups).cast("long")).cast("int")
 
 
 def flag_rows(doc: np.ndarray, tag: np.ndarray, place: np.ndarray, groups: int) -> list[tuple[int, bytes, bytes, bytes]]:
@@ -338,7 +344,7 @@ def dedup_substrings(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
     columns = df.columns
     n_bytes = total_bytes(df, text)
     width = sketch_width(n_bytes)
-    groups = partitions_for(n_bytes, GROUP_BYTES)
+    groups = partitions_for(n_bytes, GROUP_BYTES) | 1
     # About a third of all windows (one in six bytes) may be asked for, 20 bytes each.
     buckets = partitions_for(n_bytes * 20 // 18, BUCKET_BYTES)
     docs = df.filter(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(
@@ -348,21 +354,14 @@ def dedup_substrings(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
     flags = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
         tidy_group(answer(groups)), "__grp int, __doc binary, __tags binary, __place binary")
     texts = df.withColumns({"__tag": F.xxhash64(text), "__is_doc": F.lit(True)})
-    texts = texts.withColumn("__grp", _group_column(doc_id, groups))
+    # Rows without doc_id get no flags; they are spread by their text.
+    texts = texts.withColumn("__grp", group_column(F.coalesce(F.col(doc_id).cast("long"), F.col("__tag")), groups))
     both = flags.withColumn("__is_doc", F.lit(False)).unionByName(texts, allowMissingColumns=True)
     both = both.repartition(groups, "__grp").sortWithinPartitions("__grp", "__is_doc")
     schema = df.schema.add("n_words", "long").add("n_removed", "long")
     return both.mapInArrow(tidy(apply_flags(columns, text, doc_id)), schema)
 
 
-def _group_column(doc_id: str, groups: int):
-    """``group_of`` for a column; rows without doc_id are spread by their text."""
-    @F.arrow_udf("int")
-    def group(doc: pa.Array) -> pa.Array:
-        return pa.array(group_of(doc.to_numpy(zero_copy_only=False).astype(np.int64), groups), pa.int32())
-    return group(F.coalesce(F.col(doc_id).cast("long"), F.xxhash64("__tag")))
-
-
 def dedup_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated windows cut out; n_chars follows the text where it changed."""
     out = dedup_substrings(docs)
