@@ -115,9 +115,48 @@ def medians_wide(df: DataFrame, cols: Sequence[str], group: str | None = None,
     return counted.groupBy(*keys).agg(*aggs) if keys else counted.agg(*aggs)
 
 
+CUTS = 16
+
+
+def _inside(counted: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(value, count) rows that lie in a bracket: from lo, above gt, up to hi (null: open)."""
+    v = F.col("__v")
+    return counted.join(brackets, list(keys)).where(
+        (F.col("lo").isNull() | (v >= F.col("lo"))) & (F.col("gt").isNull() | (v > F.col("gt")))
+        & (F.col("hi").isNull() | (v <= F.col("hi"))))
+
+
+def _narrow(counted: DataFrame, brackets: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
+    """Brackets of at most ``most`` distinct values around the same positions."""
+    from salescast.session import materialize
+
+    by = [*keys, "i", "pos", "lo", "hi", "gt", "below"]
+    cuts = F.percentile_approx("__v", [k / CUTS for k in range(1, CUTS)], 1000).alias("cuts")
+    while True:
+        brackets = materialize(brackets, "brackets")
+        sized = materialize(_inside(counted, brackets, keys).groupBy(*by).agg(
+            F.count(F.lit(1)).alias("rows"), F.min("__v").alias("least"), F.max("__v").alias("most"), cuts), "cuts")
+        wide = (F.col("rows") > most) & (F.col("least") < F.col("most"))
+        if not sized.where(wide).limit(1).count():
+            return brackets
+        # Counts up to each cut, then the part that holds both positions around the target.
+        parts = _inside(counted, sized.where(wide).drop("rows", "least", "most"), keys).groupBy(*by, "cuts").agg(
+            *[F.sum(F.when(F.col("__v") <= F.get("cuts", F.lit(k)), F.col("__f")).otherwise(0)).alias(f"u{k}")
+              for k in range(CUTS - 1)])
+        gt, below, hi = F.col("gt"), F.col("below"), F.col("hi")
+        for k in range(CUTS - 1):
+            upto = F.col("below") + F.col(f"u{k}")
+            gt = F.when(upto <= F.floor("pos"), F.get("cuts", F.lit(k))).otherwise(gt)
+            below = F.when(upto <= F.floor("pos"), upto).otherwise(below)
+            hi = F.when(F.col("below") + F.col(f"u{CUTS - 2 - k}") > F.ceil("pos"),
+                        F.get("cuts", F.lit(CUTS - 2 - k))).otherwise(hi)
+        cut = parts.select(*keys, "i", "pos", "lo", hi.alias("hi"), gt.alias("gt"), below.alias("below"))
+        brackets = sized.where(~wide).select(*by).unionByName(cut)
+
+
 def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], group_cols: Sequence[str] = (),
                       outs: Sequence[str] | None = None, accuracy: int = 10000,
-                      group_bound: int | None = None) -> DataFrame:
+                      group_bound: int | None = None, most: int = BRACKET_ROWS) -> DataFrame:
     """Exact percentiles of ``value`` per group with Spark's ``percentile``
     semantics (linear interpolation at position p * (n - 1), nulls skipped),
     without buffering a group's distinct values in one task.
@@ -129,15 +168,16 @@ def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], group_cols
        must enclose both target positions.  A bracket that fails (the sketch
        guarantee makes this the exception) widens to the whole group, so the
        result is exact either way;
-    4. a running count over the bracket's (value, count) rows -- about
-       6 * n / accuracy positions, sorted spillably -- finds the two values
-       around each target.
+    4. brackets of more than ``most`` distinct values are cut at sixteenths and the
+       parts counted, again and again, until every bracket is small;
+    5. a running count over the bracket's (value, count) rows finds the two values
+       around each target: no task sorts more than ``most`` rows of a group.
 
     Output: group columns + one column per p (``outs`` or ``<value>_p<100p>``).
     ``group_bound`` (a proven bound on the number of groups) lets the
     per-group bracket table be broadcast.
     """
-    from salescast.session import broadcast_bounded
+    from salescast.session import broadcast_bounded, materialize
 
     outs = list(outs) if outs else [f"{value}_p{int(round(p * 100))}" for p in ps]
     if not group_cols:
@@ -168,11 +208,11 @@ def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], group_cols
     brackets = check.select(*keys, "i", "pos",
                             F.when(ok, F.col("lo")).alias("lo"), F.when(ok, F.col("hi")).alias("hi"),
                             F.when(ok, F.col("below")).otherwise(F.lit(0)).alias("below"))
+    counted = materialize(counted, "counted")  # read by every narrowing step
+    brackets = _narrow(counted, brackets.withColumn("gt", F.lit(None).cast("double")), keys, most)
     if group_bound is not None:
         brackets = broadcast_bounded(brackets, group_bound * len(ps))
-    inside = (counted.join(brackets, keys)
-              .where((F.col("lo").isNull() | (F.col("__v") >= F.col("lo")))
-                     & (F.col("hi").isNull() | (F.col("__v") <= F.col("hi")))))
+    inside = _inside(counted, brackets, keys)
     w = (Window.partitionBy(*keys, "i").orderBy("__v")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ranked = inside.withColumn("__c", F.col("below") + F.sum("__f").over(w))

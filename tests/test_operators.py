@@ -175,9 +175,10 @@ def test_exact_percentiles_match_spark_percentile(spark):
     want = {r["g"]: tuple(r[f"q{i}"] for i in range(len(ps))) for r in
             df.groupBy("g").agg(*[F.percentile("v", p).alias(f"q{i}") for i, p in enumerate(ps)]).collect()}
     outs = [f"q{i}" for i in range(len(ps))]
-    for acc in (10, 10000):   # 10: coarse sketch, many brackets and fallbacks exercised
+    # coarse sketches and small brackets: fallbacks and repeated narrowing are exercised
+    for acc, most in ((10, 50000), (10000, 50000), (10, 7)):
         got = {r["g"]: tuple(r[o] for o in outs) for r in
-               exact_percentiles(df, "v", ps, ["g"], outs=outs, accuracy=acc).collect()}
+               exact_percentiles(df, "v", ps, ["g"], outs=outs, accuracy=acc, most=most).collect()}
         for g, w in want.items():
             if all(x is None for x in w):
                 assert g not in got or all(x is None for x in got[g])
