@@ -56,7 +56,9 @@ def prepare_tickets(tickets: DataFrame, known_cities: DataFrame, T: int, asof: s
         t = feat.past_events(t, asof)
     if reuse:
         t = materialize(t, "tickets_in")
-    t = fill_event_then_global_median(t, "event_name", group_bound=name_bound)
+    # events are told apart by the folded name, as the fill's groups are in the reference
+    t = t.withColumn("__event", F.lower(F.trim("event_name")))
+    t = fill_event_then_global_median(t, "__event", group_bound=name_bound).drop("__event")
     t = with_normalized(t, "event_name", bound_rows=name_bound)
     t = standardize_city(t, known_cities, bound_rows=city_bound)
     t = feat.add_lead_days(t, T, is_prediction=is_prediction)
