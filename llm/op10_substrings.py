@@ -160,7 +160,7 @@ def merge_parts(width: int):
 
         def done():
             return pa.RecordBatch.from_arrays(
-                [pa.array([now], pa.int32()), pa.array([np.packbits(two).tobytes()], pa.binary())],
+                [pa.array([now], pa.int32()), pa.array([zlib.compress(np.packbits(two).tobytes(), 1)], pa.binary())],
                 names=["segment", "bits"])
 
         for batch in batches:
@@ -181,21 +181,25 @@ def merge_parts(width: int):
     return run
 
 
-def build_sketch(docs: DataFrame, width: int) -> list[bytes]:
-    """Merged sketch: for each row, one bit per cell (estimate of two or more)."""
+def build_sketch(docs: DataFrame, width: int) -> list[list[bytes]]:
+    """Merged sketch: for each row its compressed segments, one bit per cell (estimate of two or more)."""
     parts = docs.mapInArrow(tidy(sketch_parts(width)), "segment int, cells binary")
     merged = (parts.repartition(SEGMENTS, "segment").sortWithinPartitions("segment")
               .mapInArrow(tidy(merge_parts(width)), "segment int, bits binary"))
     bits = {r["segment"]: bytes(r["bits"]) for r in merged.collect()}  # SKETCH_ROWS * width / 8 bytes at most
-    empty = bytes(width // SEGMENTS // 8)
-    return [b"".join(bits.get(r * SEGMENTS + s, empty) for s in range(SEGMENTS)) for r in range(SKETCH_ROWS)]
+    empty = zlib.compress(bytes(width // SEGMENTS // 8), 1)
+    return [[bits.get(r * SEGMENTS + s, empty) for s in range(SEGMENTS)] for r in range(SKETCH_ROWS)]
 
 
-def estimated_repeated(h: np.ndarray, sketch: list[bytes], width: int) -> np.ndarray:
+def open_sketch(sketch: list[list[bytes]]) -> list[np.ndarray]:
+    return [np.frombuffer(b"".join(map(zlib.decompress, row)), dtype=np.uint8) for row in sketch]
+
+
+def estimated_repeated(h: np.ndarray, sketch: list[np.ndarray], width: int) -> np.ndarray:
     out = np.ones(len(h), dtype=bool)
     for r, bits in enumerate(sketch):
         c = cells(h, r, width)
-        byte = np.frombuffer(bits, dtype=np.uint8)[c >> 3]
+        byte = bits[c >> 3]
         out &= (byte >> (7 - (c & 7)).astype(np.uint8)) & 1 == 1
     return out
 
@@ -239,8 +243,9 @@ _ASK = "bucket int, grp int, doc binary, tag binary, place binary, key_a binary,
 def ask(sketch, width: int, buckets: int, groups: int):
     """Task: settle repeated windows within the chunk; ask for the rest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = open_sketch(sketch.value)
         for ids, tags, rows, places, keys in window_chunks(batches, 2):
-            hit = np.flatnonzero(estimated_repeated(keys[0], sketch.value, width))
+            hit = np.flatnonzero(estimated_repeated(keys[0], bits, width))
             keys = [keys[0][hit], keys[1][hit].astype(np.uint32)]
             rows, places = rows[hit], places[hit]
             order, later = later_documents(keys, ids[rows])
