@@ -50,7 +50,7 @@ SKETCH_ROWS = 2
 MIN_WIDTH, MAX_WIDTH = 1 << 16, 1 << 30
 SEGMENTS = 64
 # Windows that a task settles together, text bytes a final group, bytes of requests a bucket.
-CHUNK_WINDOWS = 500_000
+CHUNK_WINDOWS = 400_000
 GROUP_BYTES = 8 << 20
 BUCKET_BYTES = 12 << 20
 _SALT = np.uint64(0xA24BAED4963EE407)
@@ -192,7 +192,18 @@ def build_sketch(docs: DataFrame, width: int) -> list[list[bytes]]:
 
 
 def open_sketch(sketch: list[list[bytes]]) -> list[np.ndarray]:
-    return [np.frombuffer(b"".join(map(zlib.decompress, row)), dtype=np.uint8) for row in sketch]
+    """Bits of each sketch row, filled segment by segment so that nothing is held twice."""
+    out = []
+    for row in sketch:
+        bits, at = None, 0
+        for segment in row:
+            part = np.frombuffer(zlib.decompress(segment), dtype=np.uint8)
+            if bits is None:
+                bits = np.empty(len(part) * len(row), dtype=np.uint8)
+            bits[at:at + len(part)] = part
+            at += len(part)
+        out.append(bits)
+    return out
 
 
 def estimated_repeated(h: np.ndarray, sketch: list[np.ndarray], width: int) -> np.ndarray:
