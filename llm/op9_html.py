@@ -2,12 +2,15 @@
 
 A page is read into blocks: runs of text between block-level tags, each with
 its root-to-leaf path of tags (and classes).  Per path, text length and
-punctuation are summed and divided by the number of blocks.  The two ratios are
-fused, weighted by what the path's names say (menus, footers, forms, adverts,
-comments and so on weigh nothing, article containers weigh more), smoothed over
-neighbouring blocks of one container, and blocks whose value reaches a share of
-the page's largest are content.  So a short headline next to long paragraphs
-stays, and a lone short line far from them goes.
+punctuation are summed and divided by the number of blocks.  The logarithms of
+the two ratios are added and weighted by what the path's names say (menus,
+footers, forms, adverts, comments and so on weigh nothing, article containers
+weigh more).  Paths whose value reaches a share of the page's largest select
+the containers they lie in: the outermost article container, else the element
+around the block (around its list, table or quotation, below the body).  Every
+block of nonzero weight in a selected container is content, however short.  So
+headlines, bylines, list items and cells next to paragraphs stay, and a lone
+short line in another container goes.
 
 Every page is judged by itself, where it is scanned: no shuffle, no state.
 
@@ -22,6 +25,7 @@ Defined results
 
 from __future__ import annotations
 
+import math
 import re
 from html.parser import HTMLParser
 
@@ -47,24 +51,27 @@ BOILERPLATE_NAMES = set(
 CONTENT_TAGS = set("article main".split())
 CONTENT_NAMES = set("article articlebody content post entry story main body text".split())
 
-CONTENT_WEIGHT = 50.0
-# Share of the page's largest smoothed value from which a block is content.
-THRESHOLD = 0.05
+# Parts of a list, table or quotation: the container is what lies around them.
+PARTS = set("p li ul ol dt dd dl tr thead tbody tfoot table blockquote figure".split())
+
+CONTENT_WEIGHT = 5.0
+# Share of the page's largest path value from which a path selects its containers.
+THRESHOLD = 0.5
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[^a-z0-9]+")
 _PUNCTUATION = re.compile(r"[.,;:!?。，！？]")
 
 
 class BlockReader(HTMLParser):
-    """Splits a page into (path, weight, text) blocks."""
+    """Splits a page into (path, weight, text, element, article container) blocks."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.paths: dict[tuple[int, str], int] = {}  # (parent path, step) -> path number
-        # Open elements: tag, path, weight, silent, number of the element.
-        self.stack: list[tuple[str, int, float, bool, int]] = [("", -1, 1.0, False, 0)]
-        self.opened = 0
-        self.blocks: list[tuple[int, float, str, int]] = []  # path, weight, text, element around the block's own
+        # Open elements: tag, path, weight, silent, number of the element, of the outermost article container (or 0).
+        self.stack: list[tuple[str, int, float, bool, int, int]] = [("", -1, 1.0, False, 0, 0)]
+        self.tags, self.parents = [""], [0]  # of each element; a parent's number is the smaller one
+        self.blocks: list[tuple[int, float, str, int, int]] = []
         self.text: list[str] = []
 
     def end_block(self) -> None:
@@ -72,8 +79,8 @@ class BlockReader(HTMLParser):
             text = _SPACE.sub(" ", "".join(self.text)).strip()
             self.text = []
             if text:
-                _, path, weight, _, own = self.stack[-1]
-                self.blocks.append((path, weight, text, self.stack[-2][4] if len(self.stack) > 1 else own))
+                _, path, weight, _, own, article = self.stack[-1]
+                self.blocks.append((path, weight, text, own, article))
 
     def handle_starttag(self, tag, attrs):
         if tag in INLINE:
@@ -91,15 +98,16 @@ class BlockReader(HTMLParser):
         self.end_block()
         if tag in ("p", "li", "td", "th", "tr", "dt", "dd", "option", "h1", "h2", "h3", "h4", "h5", "h6"):
             self.close_open(tag)
-        _, path, weight, silent, _ = self.stack[-1]
+        _, path, weight, silent, parent, article = self.stack[-1]
         names = self.names(attrs)
         if tag in BOILERPLATE_TAGS or names & BOILERPLATE_NAMES:
             weight = 0.0
         elif weight and (tag in CONTENT_TAGS or names & CONTENT_NAMES) and tag not in ("html", "body"):
-            weight = CONTENT_WEIGHT
+            weight, article = CONTENT_WEIGHT, article or len(self.tags)
         path = self.paths.setdefault((path, ".".join([tag, *sorted(names)])), len(self.paths))
-        self.opened += 1
-        self.stack.append((tag, path, weight, silent or tag in SILENT, self.opened))
+        self.stack.append((tag, path, weight, silent or tag in SILENT, len(self.tags), article))
+        self.tags.append(tag)
+        self.parents.append(parent)
 
     @staticmethod
     def names(attrs) -> set[str]:
@@ -132,33 +140,36 @@ class BlockReader(HTMLParser):
         if not self.stack[-1][3]:
             self.text.append(data)
 
-    def finish(self) -> list[tuple[int, float, str, int]]:
+    def finish(self) -> list[tuple[int, float, str, int, int]]:
         self.close()
         self.end_block()
         return self.blocks
 
 
 def path_values(blocks) -> dict[int, float]:
-    """Fused length and punctuation ratio of each path, times its weight."""
+    """Weighted sum of the logarithms of each path's length and punctuation ratio."""
     total: dict[int, list[float]] = {}
-    for path, weight, text, _ in blocks:
+    for path, weight, text, _, _ in blocks:
         t = total.setdefault(path, [0, 0, 0, weight])
         t[0] += 1
         t[1] += len(text)
         t[2] += len(_PUNCTUATION.findall(text))
-    return {p: weight * (chars / n) * (1 + marks / n) for p, (n, chars, marks, weight) in total.items()}
+    return {p: weight * (math.log1p(chars / n) + math.log1p(marks / n)) for p, (n, chars, marks, weight) in total.items()}
 
 
-def smooth(blocks, values: list[float]) -> list[float]:
-    """Each value with a quarter of its neighbours', among blocks of equal weight that lie
-    in one element or both in article containers."""
-    out = list(values)
-    for i in range(len(blocks)):
-        for j in (i - 1, i + 1):
-            if 0 <= j < len(blocks) and blocks[j][1] == blocks[i][1] and (
-                    blocks[j][3] == blocks[i][3] or blocks[i][1] == CONTENT_WEIGHT):
-                out[i] += 0.25 * values[j]
-    return out
+def containers(reader: BlockReader) -> list[int]:
+    """The container (number of an element) of each block."""
+    tags, parents = reader.tags, reader.parents
+    around = [False] * len(tags)  # has blocks further in
+    for _, weight, _, own, _ in reader.blocks:
+        while weight and own and not around[parents[own]]:
+            own = parents[own]
+            around[own] = True
+    lifted = list(range(len(tags)))
+    for e in range(1, len(tags)):
+        if tags[e] in PARTS and tags[parents[e]] not in ("", "html", "body"):
+            lifted[e] = lifted[parents[e]]
+    return [article or lifted[own if around[own] else parents[own]] for _, _, _, own, article in reader.blocks]
 
 
 def main_text(html: str | None) -> str:
@@ -171,9 +182,14 @@ def main_text(html: str | None) -> str:
     if not blocks:
         return ""
     by_path = path_values(blocks)
-    values = smooth(blocks, [by_path[b[0]] for b in blocks])
-    limit = THRESHOLD * max(values)
-    return "\n".join(text for (_, weight, text, _), v in zip(blocks, values) if weight and v >= limit)
+    limit = THRESHOLD * max(by_path.values())
+    selected = [False] * len(reader.tags)
+    for (path, weight, _, _, _), c in zip(blocks, containers(reader)):
+        if weight and by_path[path] >= limit:
+            selected[c] = True
+    for e in range(1, len(selected)):
+        selected[e] = selected[e] or selected[reader.parents[e]]
+    return "\n".join(text for _, weight, text, own, _ in blocks if weight and selected[own])
 
 
 def extract(df: DataFrame, html: str = "html", name: str = "text") -> DataFrame:

@@ -198,6 +198,24 @@ def test_main_text_without_an_article_element():
     assert html.main_text(page) == f"{body}\n{body}"
 
 
+LONG = "Many words of a paragraph, with a clause. " * 12
+
+
+@pytest.mark.parametrize("around", [("<article>", "</article>"), ("<div>", "</div>"), ("<body>", "</body>")])
+@pytest.mark.parametrize("part, want", [
+    ("<ul><li>Salt<li>Pepper<li>Flour</ul>", ["Salt", "Pepper", "Flour"]),
+    ("<table><tr><th>Name<th>Age<tr><td>Ann<td>7</table>", ["Name", "Age", "Ann", "7"]),
+    ("<h1>A title of about forty characters here</h1><p class=byline>By some author on a day</p>",
+     ["A title of about forty characters here", "By some author on a day"]),
+    (f"<pre>{LONG * 12}</pre><p>Short one.</p>", [(LONG * 12).strip(), "Short one."]),
+    (f"<div class=code><pre>{LONG * 12}</pre></div><p>Short one.</p>", [(LONG * 12).strip(), "Short one."]),
+    (f"<blockquote><p>{LONG * 12}</p></blockquote><p>Short one.</p>", [(LONG * 12).strip(), "Short one."]),
+])
+def test_short_blocks_of_the_content_stay(around, part, want):
+    page = f"<nav>Home, sweet home.</nav>{around[0]}{part}<p>{LONG}</p>{part}<p>{LONG}</p>{around[1]}<footer>Me.</footer>"
+    assert html.main_text(page).split("\n") == [*want, LONG.strip()] * 2
+
+
 def test_main_text_odd_pages(spark):
     pages = [(1, None), (2, ""), (3, "plain text"), (4, "<p>"), (5, "<<<>>><p>ok"), (6, "<div>" * 3000 + "deep"),
              (7, "<script>x"), (8, "<article>" + "long " * 200000)]
