@@ -12,6 +12,12 @@ block of nonzero weight in a selected container is content, however short.  So
 headlines, bylines, list items and cells next to paragraphs stay, and a lone
 short line in another container goes.
 
+A name is read as a whole or by its last telling word: comment-list and
+sidebar-left are boilerplate; has-sidebar and share-enabled say nothing of the
+element.  Names on html and body say nothing; article and main elements and
+content names win over boilerplate names of the same element; article-header
+holds a title.  What lies inside boilerplate stays boilerplate.
+
 Every page is judged by itself, where it is scanned: no shuffle, no state.
 
 Defined results
@@ -27,6 +33,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -51,6 +58,12 @@ BOILERPLATE_NAMES = set(
 CONTENT_TAGS = set("article main".split())
 CONTENT_NAMES = set("article articlebody content post entry story main body text".split())
 
+# First words of names that tell about the rest of the page, and last ones that only tell a part of what comes before.
+STATE_WORDS = set("has with without no not".split())
+PART_WORDS = set("list area box bar block wrapper wrap container inner outer section group item items link links button "
+                 "buttons slot unit left right top bottom posts articles widgets".split()) | CONTENT_NAMES
+# What "header" is no page part with: article-header, entry-header.
+TITLE_WORDS = set("article post entry story content".split())
 # Parts of a list, table or quotation: the container is what lies around them.
 PARTS = set("p li ul ol dt dd dl tr thead tbody tfoot table blockquote figure".split())
 
@@ -59,9 +72,26 @@ CONTENT_WEIGHT = 5.0
 THRESHOLD = 0.5
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[^a-z0-9]+")
+BOILERPLATE, CONTENT, TITLE = 1, 2, 3
 _PUNCTUATION = re.compile(r"[.,;:!?。，！？]")
 
 
+@lru_cache(maxsize=1 << 16)
+def name_kind(name: str) -> int:
+    """What one whole name (of a class, say) tells: BOILERPLATE, CONTENT, TITLE (of an article) or nothing."""
+    words = [w for w in _NAME.split(name.split("--")[0]) if w]  # without the modifier of block__element--modifier
+    if not words or (len(words) > 1 and words[0] in STATE_WORDS):
+        return 0
+    last = len(words) - 1
+    while last and (words[last] in PART_WORDS or words[last].isdigit()) and words[last] not in BOILERPLATE_NAMES:
+        last -= 1
+    if words[last] == "header" and TITLE_WORDS & set(words[:last]):
+        return TITLE
+    if words[last] in BOILERPLATE_NAMES:
+        return BOILERPLATE
+    return CONTENT if words[-1] in CONTENT_NAMES or "".join(words) in CONTENT_NAMES else 0
+
+
 class BlockReader(HTMLParser):
     """Splits a page into (path, weight, text, element, article container) blocks."""
 
@@ -71,6 +101,7 @@ class BlockReader(HTMLParser):
         # Open elements: tag, path, weight, silent, number of the element, of the outermost article container (or 0).
         self.stack: list[tuple[str, int, float, bool, int, int]] = [("", -1, 1.0, False, 0, 0)]
         self.tags, self.parents = [""], [0]  # of each element; a parent's number is the smaller one
+        self.titles: list[int] = []  # elements that hold an article's title
         self.blocks: list[tuple[int, float, str, int, int]] = []
         self.text: list[str] = []
 
@@ -88,7 +119,7 @@ class BlockReader(HTMLParser):
                 self.text.append(" ")
             elif self.stack[-1][3]:
                 return
-            if not self.names(attrs) & BOILERPLATE_NAMES:
+            if self.kinds(attrs) != {BOILERPLATE}:
                 return
             if tag in VOID:
                 return
@@ -99,11 +130,14 @@ class BlockReader(HTMLParser):
         if tag in ("p", "li", "td", "th", "tr", "dt", "dd", "option", "h1", "h2", "h3", "h4", "h5", "h6"):
             self.close_open(tag)
         _, path, weight, silent, parent, article = self.stack[-1]
-        names = self.names(attrs)
-        if tag in BOILERPLATE_TAGS or names & BOILERPLATE_NAMES:
+        names, kinds = self.names(attrs), self.kinds(attrs) if tag not in ("html", "body") else set()
+        content = tag in CONTENT_TAGS or CONTENT in kinds or TITLE in kinds
+        if (tag in BOILERPLATE_TAGS and not (tag == "header" and TITLE in kinds)) or (BOILERPLATE in kinds and not content):
             weight = 0.0
-        elif weight and (tag in CONTENT_TAGS or names & CONTENT_NAMES) and tag not in ("html", "body"):
+        elif weight and content:
             weight, article = CONTENT_WEIGHT, article or len(self.tags)
+            if TITLE in kinds:
+                self.titles.append(len(self.tags))
         path = self.paths.setdefault((path, ".".join([tag, *sorted(names)])), len(self.paths))
         self.stack.append((tag, path, weight, silent or tag in SILENT, len(self.tags), article))
         self.tags.append(tag)
@@ -117,6 +151,11 @@ class BlockReader(HTMLParser):
                 out.update(x for x in _NAME.split(value.lower()) if x)
         return out
 
+    @staticmethod
+    def kinds(attrs) -> set[int]:
+        return {name_kind(x) for key, value in attrs if key in ("class", "id", "role", "itemprop") and value
+                for x in value.lower().split()} - {0}
+
     def close_open(self, tag: str) -> None:
         """A new paragraph or cell ends an open one of its kind inside the same container."""
         for i in range(len(self.stack) - 1, 0, -1):
@@ -187,6 +226,8 @@ def main_text(html: str | None) -> str:
     for (path, weight, _, _, _), c in zip(blocks, containers(reader)):
         if weight and by_path[path] >= limit:
             selected[c] = True
+    for e in reader.titles:
+        selected[e] = True
     for e in range(1, len(selected)):
         selected[e] = selected[e] or selected[reader.parents[e]]
     return "\n".join(text for _, weight, text, own, _ in blocks if weight and selected[own])

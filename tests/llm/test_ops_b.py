@@ -216,6 +216,30 @@ def test_short_blocks_of_the_content_stay(around, part, want):
     assert html.main_text(page).split("\n") == [*want, LONG.strip()] * 2
 
 
+@pytest.mark.parametrize("page", [
+    "<html class=no-sidebar><body class='has-sidebar modal'><article>{}</article><div class=sidebar>Side, side.</div>",
+    "<body class=no-comments><div>{}</div><div class=comment-list><p>Great, thanks.</p></div>",
+    "<main class='content with-sidebar'>{}<div class='ad-slot'>Buy, now.</div></main><div id=sidebar-left>Side.</div>",
+    "<article class='post share-enabled'>{}<div class=share-buttons>Share.</div></article>",
+    "<article class=comment><span class=ad>Ad.</span>{}</article>",
+    "<div class='post widget'>{}<div class=related-posts>More, more.</div></div>",
+    "<div class='wrapper has-sidebar'><div class=post__body>{}</div><div class=sidebar-content>Side.</div></div>",
+    "<div class=entry-content>{}</div><div class=cookie-notice>Cookies.</div><div class=related-post>More, more.</div>",
+    "<div class=footer><article>Old, old.</article></div><div itemprop=articleBody>{}</div>",
+])
+def test_names_of_page_parts(page):
+    assert html.main_text(page.format(f"<p>{LONG}</p><p>Short.</p>")) == f"{LONG.strip()}\nShort."
+
+
+@pytest.mark.parametrize("page", [
+    "<article><div class=article-header><h1>Title</h1></div><p>{}</p></article>",
+    "<div class=article-header><h1>Title</h1></div><div class=article-body><p>{}</p></div>",
+    "<header class=entry-header><h1>Title</h1></header><div class=entry-content><p>{}</p></div>",
+])
+def test_title_in_an_article_header(page):
+    assert html.main_text(page.format(LONG)) == f"Title\n{LONG.strip()}"
+
+
 def test_main_text_odd_pages(spark):
     pages = [(1, None), (2, ""), (3, "plain text"), (4, "<p>"), (5, "<<<>>><p>ok"), (6, "<div>" * 3000 + "deep"),
              (7, "<script>x"), (8, "<article>" + "long " * 200000)]
