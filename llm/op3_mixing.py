@@ -6,9 +6,12 @@ weight over observed weight of its cell, calibrated to a token budget, and a
 hash of its id draws it.  The same id is drawn alike in every run.
 
 Only DataFrame functions touch the rows.  Cells are pre-aggregated where rows
-are read.  At most ``MAX_SOURCES`` sources and ``MAX_LANGS`` languages have cells
-of their own, the largest by tokens; the rest share the cell ``OTHER``.  So the
-cell table that is raked on the driver and broadcast back has a fixed bound.
+are read; every source, language and topic has its own.  The cell table is
+counted: up to ``LOCAL_CELLS`` cells and ``LOCAL_BYTES`` of names it is raked on
+the driver and broadcast back.  A larger one stays a Spark table: a raked weight
+is the observed one times a factor per source, language and topic, so each step
+sums the cells by one axis and writes that axis' factors; calibration takes
+aggregates over the cells, and cells meet rows in a shuffled join.
 
 Targets: shares per value for any of the three marginals; without them a
 marginal's shares are its observed token shares to the power ``POWER``, scaled
@@ -30,13 +33,15 @@ Defined results
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.common import WORD, materialize, read
 
-MAX_SOURCES, MAX_LANGS, TOPICS = 64, 32, 8
-OTHER = "other values"
+TOPICS = 8
+AXES = {"source": "s", "lang": "l", "topic": "t"}
+# Up to here the cell table goes through the driver.
+LOCAL_CELLS, LOCAL_BYTES = 100_000, 16 << 20
 POWER = 0.5
 BUDGET = 0.5
 SEED = 11
@@ -59,36 +64,27 @@ def add_tokens_and_topic(df: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumn("topic", topic).drop("__w", "__votes")
 
 
-def largest(df: DataFrame, column: str, most: int) -> list[str]:
-    """The ``most`` values of a column with the most tokens (ties by name)."""
-    totals = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.sum("n_tokens").alias("n"))
-    return [r[column] for r in totals.orderBy(F.desc("n"), column).limit(most).collect()]
-
-
-def pooled(column: str, named: list[str]):
-    """The value itself, or OTHER where it has no cell of its own."""
-    c = F.col(column).cast("string")
-    return F.when(c.isNull() | c.isin(named), c).otherwise(OTHER)
-
-
-def rake(tokens: np.ndarray, targets: list[np.ndarray]) -> np.ndarray:
-    """Iterative proportional fitting of a 3-way table to shares per axis."""
+def rake_cells(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray]) -> np.ndarray:
+    """Iterative proportional fitting of cells (tokens and a value number per axis) to shares per axis."""
     w = tokens / tokens.sum()
     for _ in range(RAKE_ROUNDS):
         worst = 0.0
-        for axis, target in enumerate(targets):
-            others = tuple(i for i in range(3) if i != axis)
-            now = w.sum(axis=others)
+        for code, target in zip(codes, targets):
+            now = np.bincount(code, weights=w, minlength=len(target))
             ratio = np.divide(target, now, out=np.ones_like(now), where=now > 0)
             worst = max(worst, float(np.abs(now - target)[now > 0].max(initial=0.0)))
-            shape = [1, 1, 1]
-            shape[axis] = -1
-            w = w * ratio.reshape(shape)
+            w = w * ratio[code]
         if worst < RAKE_TOLERANCE:
             break
     return w
 
 
+def rake(tokens: np.ndarray, targets: list[np.ndarray]) -> np.ndarray:
+    """Iterative proportional fitting of a 3-way table to shares per axis."""
+    codes = [c.ravel() for c in np.indices(tokens.shape)]
+    return rake_cells(tokens.ravel(), codes, targets).reshape(tokens.shape)
+
+
 def calibrate(ratio: np.ndarray, tokens: np.ndarray, budget: float) -> np.ndarray:
     """min(1, s * ratio) with s such that the expected tokens are ``budget`` of all."""
     used = tokens > 0
@@ -113,45 +109,124 @@ def target_shares(names: list, observed: np.ndarray, wanted: dict | None, power:
     return share / share.sum() if share.sum() else observed / observed.sum()
 
 
+SCHEMA = "__cs string, __cl string, __ct string, weight double, probability double"
+
+
+def local_probabilities(cells: DataFrame, targets: dict, budget: float, power: float) -> DataFrame:
+    """Weight and probability of each cell, found on the driver."""
+    rows = cells.collect()
+    tokens = np.array([r["n"] for r in rows], dtype=float)
+    codes, wanted = [], []
+    for axis, a in AXES.items():
+        names = sorted({r[a] for r in rows}, key=lambda v: (v is not None, v or ""))
+        place = {v: i for i, v in enumerate(names)}
+        codes.append(np.array([place[r[a]] for r in rows]))
+        observed = np.bincount(codes[-1], weights=tokens, minlength=len(names)) / tokens.sum()
+        wanted.append(target_shares(names, observed, targets.get(axis), power))
+    raked = rake_cells(tokens, codes, wanted)
+    p = calibrate(raked / (tokens / tokens.sum()), tokens, budget)
+    out = [(r["s"], r["l"], r["t"], float(w), float(x)) for r, w, x in zip(rows, raked, p)]
+    return cells.sparkSession.createDataFrame(out, SCHEMA)
+
+
+def key_of(value: Column) -> Column:
+    """A join key that is never null."""
+    return F.when(value.isNull(), "n").otherwise(F.concat(F.lit("="), value))
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a materialised table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def table_targets(cells: DataFrame, a: str, total: int, wanted: dict | None, power: float) -> DataFrame:
+    """(key, target, factor 1) of each value of an axis, as ``target_shares``."""
+    shares = cells.groupBy(f"k{a}").agg((F.sum("n") / F.lit(float(total))).alias("o"))
+    if wanted is None:
+        shares = shares.withColumn("share", F.pow("o", F.lit(float(power))))
+    else:
+        given = [("n" if v is None else f"={v}", float(x)) for v, x in wanted.items() if v is None or isinstance(v, str)]
+        given = cells.sparkSession.createDataFrame(given, f"k{a} string, share double")
+        shares = shares.join(given, f"k{a}", "left").fillna(0.0, ["share"])
+    shares = materialize(shares, "shares")
+    full = shares.agg(F.sum("share").alias("x")).first()["x"]
+    target = F.col("share") / F.lit(full) if full else F.col("o")
+    return shares.select(f"k{a}", target.alias("target"), F.lit(1.0).alias(f"f{a}"), F.lit(0.0).alias("off"))
+
+
+def table_probabilities(cells: DataFrame, total: int, targets: dict, budget: float, power: float) -> DataFrame:
+    """Weight and probability of each cell, found by aggregates and joins of Spark tables."""
+    cells = materialize(cells.withColumns({f"k{a}": key_of(F.col(a)) for a in AXES.values()}), "cells")
+    share = F.col("n") / F.lit(float(total))
+    factors = {a: table_targets(cells, a, total, targets.get(axis), power) for axis, a in AXES.items()}
+    written = {}
+    for _ in range(RAKE_ROUNDS):
+        worst = 0.0
+        for a in factors:
+            x, w = cells, share
+            for other in factors:
+                if other != a:
+                    x = x.join(factors[other].select(f"k{other}", f"f{other}"), f"k{other}")
+                    w = w * F.col(f"f{other}")
+            now = x.groupBy(f"k{a}").agg(F.sum(w).alias("rest")).withColumnRenamed(f"k{a}", "k")
+            now = factors[a].join(now, F.col(f"k{a}") == F.col("k"))
+            used = F.col(f"f{a}") * F.col("rest") > 0
+            off = F.when(used, F.abs(F.col(f"f{a}") * F.col("rest") - F.col("target"))).otherwise(F.lit(0.0))
+            new = F.when(used, F.col("target") / F.col("rest")).otherwise(F.col(f"f{a}"))
+            factors[a] = materialize(now.select(f"k{a}", "target", new.alias(f"f{a}"), off.alias("off")), "factors")
+            if a in written:
+                discard(written[a])
+            written[a] = factors[a]
+            worst = max(worst, factors[a].agg(F.max("off").alias("x")).first()["x"])
+        if worst < RAKE_TOLERANCE:
+            break
+    ratio = F.lit(1.0)
+    for a in factors:
+        cells = cells.join(factors[a].select(f"k{a}", f"f{a}"), f"k{a}")
+        ratio = ratio * F.col(f"f{a}")
+    cells = materialize(cells.select("s", "l", "t", "n", ratio.alias("ratio")), "raked")
+    # min(1, scale * ratio): the cells taken whole grow in number until the scale fits the rest.
+    scale, whole = 0.0, -1
+    while True:
+        full = F.col("ratio") * F.lit(scale) > 1
+        r = cells.agg(F.count_if(full).alias("cells"), F.sum(F.when(full, F.col("n")).otherwise(0)).alias("n"),
+                      F.sum(F.when(full, 0.0).otherwise(F.col("ratio") * F.col("n"))).alias("rest")).first()
+        if r["cells"] == whole:
+            break
+        whole = r["cells"]
+        scale = max(budget * total - r["n"], 0.0) / max(r["rest"], 1e-300)
+    p = F.least(F.lit(1.0), F.col("ratio") * F.lit(scale))
+    return cells.select(F.col("s").alias("__cs"), F.col("l").alias("__cl"), F.col("t").alias("__ct"),
+                        (share * F.col("ratio")).alias("weight"), p.alias("probability"))
+
+
 def cell_probabilities(rows: DataFrame, targets: dict | None = None, budget: float = BUDGET,
-                       power: float = POWER) -> tuple[DataFrame, list[str], list[str]]:
-    """(cells with target and probability, named sources, named languages)."""
-    spark = rows.sparkSession
-    sources, langs = largest(rows, "source", MAX_SOURCES), largest(rows, "lang", MAX_LANGS)
-    cells = (rows.groupBy(pooled("source", sources).alias("s"), pooled("lang", langs).alias("l"),
-                          F.col("topic").cast("string").alias("t")).agg(F.sum("n_tokens").alias("n")).collect())
-    schema = "__cs string, __cl string, __ct string, weight double, probability double"
-    if not cells or not sum(r["n"] for r in cells):
-        return spark.createDataFrame([], schema), sources, langs
-    axes = [sorted({r[a] for r in cells}, key=lambda v: (v is not None, v or "")) for a in "slt"]
-    place = [{v: i for i, v in enumerate(a)} for a in axes]
-    tokens = np.zeros([len(a) for a in axes])
-    for r in cells:
-        tokens[tuple(p[r[a]] for p, a in zip(place, "slt"))] += r["n"]
-    wanted = []
-    for axis, name in enumerate(("source", "lang", "topic")):
-        observed = tokens.sum(axis=tuple(i for i in range(3) if i != axis)) / tokens.sum()
-        wanted.append(target_shares(axes[axis], observed, (targets or {}).get(name), power))
-    raked = rake(tokens, wanted)
-    ratio = np.divide(raked, tokens / tokens.sum(), out=np.zeros_like(raked), where=tokens > 0)
-    p = calibrate(ratio, tokens, budget)
-    rows_out = []
-    for r in cells:
-        at = tuple(q[r[a]] for q, a in zip(place, "slt"))
-        rows_out.append((r["s"], r["l"], r["t"], float(raked[at]), float(p[at])))
-    return spark.createDataFrame(rows_out, schema), sources, langs
+                       power: float = POWER) -> tuple[DataFrame, bool]:
+    """(cells with tokens, their weight and probability; whether they are few enough to broadcast)."""
+    cells = (rows.groupBy(*[F.col(axis).cast("string").alias(a) for axis, a in AXES.items()])
+             .agg(F.sum("n_tokens").alias("n")).filter("n > 0"))
+    cells = materialize(cells, "cells")
+    width = sum((F.coalesce(F.octet_length(a), F.lit(0)) for a in AXES.values()), F.lit(0))
+    size = cells.agg(F.count(F.lit(1)).alias("cells"), F.sum(width).alias("bytes"), F.sum("n").alias("n")).first()
+    if not size["cells"]:
+        return rows.sparkSession.createDataFrame([], SCHEMA), True
+    if size["cells"] <= LOCAL_CELLS and size["bytes"] <= LOCAL_BYTES:
+        return local_probabilities(cells, targets or {}, budget, power), True
+    return table_probabilities(cells, size["n"], targets or {}, budget, power), False
 
 
 def mix(rows: DataFrame, targets: dict | None = None, budget: float = BUDGET, power: float = POWER,
         seed: int = SEED, doc_id: str = "doc_id") -> DataFrame:
     """``rows`` (with n_tokens and topic) plus weight, probability, draw and chosen."""
     rows = rows.drop("weight", "probability", "draw", "chosen")
-    cells, sources, langs = cell_probabilities(rows, targets, budget, power)
-    s, l, t = pooled("source", sources), pooled("lang", langs), F.col("topic").cast("string")
-    keyed = rows.withColumns({"__s": s, "__l": l, "__t": t})
+    cells, few = cell_probabilities(rows, targets, budget, power)
+    keyed = rows.withColumns({f"__{a}": F.col(axis).cast("string") for axis, a in AXES.items()})
     same = (F.col("__s").eqNullSafe(F.col("__cs")) & F.col("__l").eqNullSafe(F.col("__cl"))
             & F.col("__t").eqNullSafe(F.col("__ct")))
-    out = keyed.join(F.broadcast(cells), same, "left")  # (64 + 2) * (32 + 2) * 9 rows at most
+    out = keyed.join(F.broadcast(cells) if few else cells, same, "left")  # broadcast: LOCAL_CELLS rows at most
     other = F.col("text") if "text" in rows.columns else F.lit(None).cast("string")
     draw = F.xxhash64(F.col(doc_id), F.when(F.col(doc_id).isNull(), other), F.lit(seed))
     out = out.withColumns({

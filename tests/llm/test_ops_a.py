@@ -144,6 +144,41 @@ def test_mixing_follows_given_targets(spark):
     assert abs(total - 0.3 * 40000) < 1 and abs(part / total - 0.8) < 0.01
 
 
+def many_sources(spark):
+    """100 small sources and a large one; 40 languages, one of them null."""
+    rows = [(i, f"s{i % 100}", f"l{i // 100 % 40}" if i // 100 % 40 else None, 10, "t") for i in range(12000)]
+    rows += [(20000 + i, "big", f"l{i % 40}" if i % 40 else None, 1000, "t") for i in range(1200)]
+    return spark.createDataFrame(rows, "doc_id long, source string, lang string, n_tokens long, topic string")
+
+
+def test_mixing_gives_every_source_its_own_share(spark):
+    df = many_sources(spark)
+    p = {r["source"]: r["p"] for r in mixing.mix(df).groupBy("source").agg(F.avg("probability").alias("p")).collect()}
+    assert len(p) == 101 and all(p[f"s{i}"] == pytest.approx(1.0) for i in range(100)) and p["big"] < 0.5
+    targets = {"source": {f"s{i}": 0.01 for i in range(100)}, "lang": {**{f"l{i}": 0.02 for i in range(1, 40)}, None: 0.22}}
+    out = mixing.mix(df, targets=targets, budget=0.002)
+    expected = F.sum(F.col("probability") * F.col("n_tokens")).alias("x")
+    total = 0.002 * (12000 * 10 + 1200 * 1000)
+    for axis in ("source", "lang"):
+        got = {r[axis]: r["x"] / total for r in out.groupBy(axis).agg(expected).collect()}
+        got = {k: v for k, v in got.items() if v > 0}
+        assert got == pytest.approx(targets[axis], abs=1e-6)
+
+
+def test_mixing_of_cell_tables_agrees_with_the_driver(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, f"s{s}" if s else None, f"l{l}", int(n), f"t{t}") for i, (s, l, t, n) in
+            enumerate(zip(*[rng.integers(0, k, 300) for k in (6, 3, 2)], rng.integers(0, 50, 300)))]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_tokens long, topic string")
+    got = []
+    monkeypatch.setattr(mixing, "RAKE_ROUNDS", 2)  # the same steps on both ways
+    for cells in (10 ** 6, 0):
+        monkeypatch.setattr(mixing, "LOCAL_CELLS", cells)
+        out = mixing.mix(df, targets={"topic": {"t0": 0.7, "t1": 0.3}}, budget=0.8)
+        got.append(sorted((r["doc_id"], r["weight"], r["probability"]) for r in out.collect()))
+    assert np.allclose(got[0], got[1], rtol=0, atol=1e-8) and len(got[0]) == 300
+
+
 # ---- language ID
 
 def test_language_held_out_accuracy(spark):
