@@ -5,7 +5,8 @@ ASCII bytes other than letters as one blank, so that markup and digits say nothi
 length one.  Each language has several centroids, found by spherical k-means
 over its training vectors.  A text gets the language of the centroid with the
 largest cosine; it is rejected when that cosine is smaller than the centroid's
-own radius allows (a fraction of the lowest cosine its training members have).
+own radius allows (a fraction of a low quantile of its training members' cosines,
+so that a few junk or mislabelled rows do not widen it).
 A short text can share little with a centroid whatever its language, so the
 limit shrinks with the root of its n-gram count below ``FULL_GRAMS``.
 
@@ -44,8 +45,9 @@ LEAST_SHARE = 0.02
 # Smoothing of idf = IDF_BASE + log((1 + n) / (1 + df)): the larger, the less a short passage of
 # rare n-grams (a quotation in another language) outweighs the rest of a text.
 IDF_BASE = 4.0
-# A text is rejected below this share of its centroid's lowest training cosine,
+# A text is rejected below this share of the low quantile of its centroid's training cosines,
 # or when it has next to nothing in common with any language.
+LOW_QUANTILE = 0.05
 REJECT_SHARE = 0.5
 REJECT_BELOW = 0.02
 FULL_GRAMS = 400
@@ -93,7 +95,7 @@ def term_weights(texts: pa.Array, dims: int = DIMS) -> np.ndarray:
 
 
 def reject_limit(low: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    """Smallest cosine that is accepted, by the centroid's lowest member cosine and the n-gram count."""
+    """Smallest cosine that is accepted, by the centroid's low member cosine and the n-gram count."""
     return np.maximum(low * REJECT_SHARE, REJECT_BELOW) * np.sqrt(np.minimum(1.0, grams / FULL_GRAMS))
 
 
@@ -103,11 +105,11 @@ def normalise(x: np.ndarray) -> np.ndarray:
 
 
 def cluster(x: np.ndarray, k: int, rounds: int = KMEANS_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means; (centroids, lowest member cosine of each).
+    """Spherical k-means; (centroids, low quantile of the member cosines of each).
 
     Rows come in hash order, so evenly spaced rows are a reproducible random choice of
     seeds.  A cluster with less than ``LEAST_SHARE`` of the rows describes outliers,
-    not the language, and is given up; its rows go to the others.
+    not the language, and is given up; its rows tell nothing about the radii of the others.
     """
     k = min(k, len(x))
     c = x[np.arange(k) * len(x) // k].copy()
@@ -115,13 +117,14 @@ def cluster(x: np.ndarray, k: int, rounds: int = KMEANS_ROUNDS) -> tuple[np.ndar
         own = np.argmax(x @ c.T, axis=1)
         size = np.bincount(own, minlength=len(c))
         if r == rounds:
-            c = c[size >= min(size.max(), LEAST_SHARE * len(x))]
+            stays = size >= min(size.max(), LEAST_SHARE * len(x))
+            c, x = c[stays], x[stays[own]]
             break
         for j in np.flatnonzero(size):
             c[j] = normalise(x[own == j].mean(axis=0, keepdims=True))[0]
     cos = x @ c.T
     own = np.argmax(cos, axis=1)
-    low = np.array([cos[own == j, j].min() if (own == j).any() else 1.0 for j in range(len(c))])
+    low = np.array([np.quantile(cos[own == j, j], LOW_QUANTILE) if (own == j).any() else 1.0 for j in range(len(c))])
     return c.astype(np.float32), low.astype(np.float32)
 
 

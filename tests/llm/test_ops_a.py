@@ -210,6 +210,22 @@ def test_language_rejects_what_no_language_resembles(spark):
     assert [r["rejected"] for r in language.predict(strange, model).collect()] == [True, True]
 
 
+def test_language_rejects_latin_script_not_learned_whatever_a_junk_row_holds(spark):
+    rng = np.random.default_rng(6)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz "))
+    noise = ["".join(rng.choice(letters, 1000)) for _ in range(5)]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    junk = spark.createDataFrame([(10 ** 9 + i, noise[i], ("en", "de", "es", "fr")[i % 4]) for i in range(4)], docs.schema)
+    model = language.fit(docs.filter(~language.held_out()).union(junk))
+    texts = ["kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan " * 8,
+             "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw " * 8,
+             "bütün insanlar hür haysiyet ve haklar bakımından eşit doğarlar akıl ve vicdana " * 8, noise[4]]
+    strange = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["rejected"] for r in language.predict(strange, model).collect()] == [True] * 4
+    clean = docs.filter(language.held_out() & F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull())
+    assert language.predict(clean, model).filter("rejected").count() == 0 < clean.count()
+
+
 # ---- packing
 
 def brute_pack(lengths, sources, clusters, capacity, per_source):
