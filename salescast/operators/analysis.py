@@ -7,6 +7,7 @@ or small second-level aggregates over per-event rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -98,12 +99,10 @@ def null_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def constant_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Nunique including null (``count_distinct`` + 1 if any null), flag <= 1."""
-    aggs = []
-    for c in cols:
-        aggs.append((F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int"))).alias(c))
-    wide = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).agg(*aggs)
-    long = wide.unpivot([], list(cols), "column", "n_unique")
-    return long.withColumn("is_constant", (F.col("n_unique") <= 1).cast("int"))
+    # Each column is counted for itself, read alone and combined map-side: no row is copied per column.
+    parts = [df.groupBy(c).agg(F.lit(1).alias("one")).agg(F.count("one").alias("n_unique")).select(
+        F.lit(c).alias("column"), "n_unique") for c in cols]
+    return reduce(DataFrame.unionByName, parts).withColumn("is_constant", (F.col("n_unique") <= 1).cast("int"))
 
 
 def value_counts(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:

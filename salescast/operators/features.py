@@ -13,6 +13,8 @@ attached by a broadcast of exactly one row -- never an unpartitioned window.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,14 +28,14 @@ WEATHER_DEFAULTS = {"t_max": 15.0, "t_min": 5.0, "rain_fall": 0.0, "max_wind": 2
 
 
 # --------------------------------------------------------------------------- lead days
-def add_lead_days(tickets: DataFrame, T: int, is_prediction: bool = False,
+def add_lead_days(tickets: DataFrame, T: int | None, is_prediction: bool = False,
                   start_col: str = "first_event_date_start", sale_col: str = "verkoopdatum") -> DataFrame:
     """X17 + F06: floored whole days from sale to event start; negative lead
-    days are dropped in training (nulls kept, then filled with T)."""
+    days are dropped in training (nulls kept, then filled with T unless that is None)."""
     t = tickets.withColumn("days_until_event", floor_days(sale_col, start_col))
     if not is_prediction:
         t = t.where(~F.coalesce(F.col("days_until_event") < 0, F.lit(False)))
-    return t.withColumn("days_until_event", F.coalesce(F.col("days_until_event"), F.lit(T).cast("long")))
+    return t if T is None else t.withColumn("days_until_event", F.coalesce(F.col("days_until_event"), F.lit(T).cast("long")))
 
 
 def past_events(tickets: DataFrame, asof: str, start_col: str = "first_event_date_start") -> DataFrame:
@@ -106,6 +108,12 @@ def _upto(T: int, c: Column) -> Column:
     return F.when(F.col("days_until_event") >= T, c)
 
 
+def unknown_last(df: DataFrame, c: str) -> Column:
+    """A time column with the unknown ones after all others, so that a first value is also
+    found where only rows without a time have one (A12)."""
+    return F.coalesce(F.col(c), F.lit("9999-12-31 00:00:00").cast("timestamp_ntz").cast(df.schema[c].dataType))
+
+
 def fused_event_aggregate(tickets: DataFrame, T: int, lag: int, event_bound: int | None = None) -> DataFrame:
     """Every ticket-level statistic of every block per event.
 
@@ -122,8 +130,10 @@ def fused_event_aggregate(tickets: DataFrame, T: int, lag: int, event_bound: int
     sale = F.col("verkoopdatum")
     g = gender_std(F.col("gender"))
 
+    when_sold = unknown_last(tickets, "verkoopdatum")
+
     def known(c: str):
-        return F.min(F.when(F.col(c).isNotNull(), sale))
+        return F.min(F.when(F.col(c).isNotNull(), when_sold))
 
     # Rows may stand for several tickets; without that column each row is one.
     total = F.count(F.lit(1))
@@ -162,7 +172,7 @@ def fused_event_aggregate(tickets: DataFrame, T: int, lag: int, event_bound: int
     times = base.select("event_name", "__at_start", "__at_end", "__at_capacity", "__at_day0")
     if event_bound is not None:
         times = broadcast_bounded(times, event_bound)
-    at = {c: sale == F.col(c) for c in ("__at_start", "__at_end", "__at_capacity")}
+    at = {c: when_sold == F.col(c) for c in ("__at_start", "__at_end", "__at_capacity")}
     at["__at_day0"] = (sale == F.col("__at_day0")) & (d <= 1)
     some = F.coalesce(at["__at_start"], F.lit(False))
     for hit in list(at.values())[1:]:
@@ -200,13 +210,19 @@ MEDIAN_FILLED = ["event_duration_hours", "avg_age", "std_age", "avg_product_valu
                  "avg_total_price", "scanned_percentage", "max_capacity"]
 
 
-def attach_event_medians(agg: DataFrame) -> DataFrame:
+def attach_event_medians(agg: DataFrame, by: str | None = None, groups: Sequence[int] = ()) -> DataFrame:
     """All P11 fill values, exact medians over the per-event table (the duration median only
-    over events with a valid time block), as constants.  Pass ``agg`` materialised: the
-    medians read it a few times."""
+    over events with a valid time block), as constants.  With ``by``, a column that takes the
+    few values ``groups`` (horizons), each of them has medians of its own.  Pass ``agg``
+    materialised: the medians read it a few times."""
     columns = [F.when(F.col("__valid"), F.col(c)) if c == "event_duration_hours" else F.col(c) for c in MEDIAN_FILLED]
-    meds = global_percentiles(agg, [(c, 0.5) for c in columns])
-    return agg.withColumns({c + "_med": F.lit(m).cast("double") for c, m in zip(MEDIAN_FILLED, meds)})
+    if by is None:
+        meds = global_percentiles(agg, [(c, 0.5) for c in columns])
+        return agg.withColumns({c + "_med": F.lit(m).cast("double") for c, m in zip(MEDIAN_FILLED, meds)})
+    meds = iter(global_percentiles(agg, [(F.when(F.col(by) == g, c), 0.5) for c in columns for g in groups]))
+    none = F.lit(None).cast("double")
+    return agg.withColumns({c + "_med": F.coalesce(none, *[F.when(F.col(by) == g, F.lit(next(meds)).cast("double"))
+                                                           for g in groups]) for c in MEDIAN_FILLED})
 
 
 def time_block(agg: DataFrame) -> DataFrame:

@@ -10,16 +10,25 @@ original ticket scale (seed 42).
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
-from collections.abc import Sequence
+import time
+import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salescast.functions.numeric import safe_pct_error
+from salescast.operators import gram
+from salescast.operators.stats import global_percentiles
+
 SEED = 42  # fixed value: global random state of the reference
 
 
@@ -47,10 +56,11 @@ def _fit(data: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
     return Pipeline(stages=[assembler, estimator]).fit(data)
 
 
-def training_rows(table: DataFrame, key: str, features: Sequence[str], target: str, log_target: bool) -> DataFrame:
+def training_rows(table: DataFrame, key: str, features: Sequence[str], target: str, log_target: bool,
+                  more: Sequence[str] = ()) -> DataFrame:
     """Key, features (null as 0), target ``__y`` and the label models are fitted to."""
     y = F.col(target).cast("double")
-    return table.select(F.col(key).alias("__key"),
+    return table.select(F.col(key).alias("__key"), *more,
                         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features],
                         y.alias("__y"), (F.log1p(y) if log_target else y).alias("label"))
 
@@ -61,43 +71,76 @@ def fit_family(table: DataFrame, name: str, features: Sequence[str], target: str
     return _fit(training_rows(table, key, features, target, log_target), features, model_families()[name])
 
 
+# Penalty and L1 share of the linear families of :func:`model_families`.
+LINEAR = {"Lasso": (0.1, 1.0), "Ridge": (0.1, 0.0), "ElasticNet": (0.1, 0.5)}
+# Spark jobs that fit models side by side.
+AT_ONCE = 4
+
+
+def side_by_side(jobs: Sequence[Callable]) -> list:
+    """Results of independent Spark actions, run a few at a time."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
+
 def compare_models(spark: SparkSession, table: DataFrame, features: Sequence[str], target: str,
                    log_target: bool = True, folds: int = 5, key: str = "event_name",
-                   families: Sequence[str] | None = None) -> tuple[DataFrame, str, PipelineModel]:
+                   families: Sequence[str] | None = None, fold: Column | None = None,
+                   fit_winner: bool = True) -> tuple[DataFrame, str, PipelineModel | None]:
     """M02 + M03 + M07: k-fold comparison; (summary, name of the winner, winner fitted on all rows).
 
-    Folds are dealt by a hash of the key.  Every family is fitted without a fold and
-    scored on it; RMSE, MAE and R2 are measured on the ticket scale (after expm1 for
-    a log target), and the winner is the lowest mean RMSE over the folds.  One
-    aggregate over the held-out predictions gives all figures.
+    Folds are dealt by a hash of the key, or by ``fold``, a number per row.  The linear
+    families are solved for all folds from one pass (:mod:`salescast.operators.gram`);
+    tree families are fitted without a fold each, several at a time.  RMSE, MAE and R2 are
+    measured on the held-out rows, on the ticket scale (after expm1 for a log target); one
+    aggregate gives all figures, and the winner is the lowest mean RMSE over the folds.
     """
     from salescast.session import materialize
 
-    data = training_rows(table, key, features, target, log_target)
-    data = materialize(data.withColumn("__fold", F.pmod(F.xxhash64("__key", F.lit(SEED)), F.lit(folds))), "folds")
+    data = training_rows(table if fold is None else table.withColumn("__fold", fold), key, features, target, log_target,
+                         [] if fold is None else ["__fold"])
+    if fold is None:
+        data = data.withColumn("__fold", F.pmod(F.xxhash64("__key", F.lit(SEED)), F.lit(folds)))
+    data = materialize(data, "folds")
     names = list(families or model_families())
-    used = [r["__fold"] for r in data.select("__fold").distinct().collect()]  # at most ``folds`` numbers
-    out = None
-    for name in names:
-        for k in used if len(used) > 1 else []:
-            model = _fit(data.where(F.col("__fold") != k), features, model_families()[name])
-            p = F.expm1("prediction") if log_target else F.col("prediction")
-            part = model.transform(data.where(F.col("__fold") == k)).select(
-                F.lit(name).alias("model"), "__fold", "__y", p.alias("__p"))
-            out = part if out is None else out.unionByName(part)
+    linear = {n: LINEAR[n] for n in names if n in LINEAR}
+    parts = []
+    if linear:
+        models = gram.fold_models(spark, data, F.col("__fold"), features, "label", linear)
+        parts.append(data.join(F.broadcast(models), F.col("__fold") == F.col("fold")).select(
+            "model", "__fold", "__y", gram.linear_score(features, "coefficients", "intercept").alias("prediction")))
+    others = [n for n in names if n not in linear]
+    if others:
+        used = [r["__fold"] for r in data.select("__fold").distinct().collect()]  # at most ``folds`` numbers
+        jobs = [(n, k) for n in others for k in (used if len(used) > 1 else [])]
+        fitted = side_by_side([lambda n=n, k=k: _fit(data.where(F.col("__fold") != k), features, model_families()[n])
+                               for n, k in jobs])
+        parts += [m.transform(data.where(F.col("__fold") == k)).select(F.lit(n).alias("model"), "__fold", "__y", "prediction")
+                  for (n, k), m in zip(jobs, fitted)]
     schema = ("model string, rmse_mean double, rmse_sd double, mae_mean double, mae_sd double, r2_mean double, "
               "r2_sd double, folds long, target_transformed boolean")
-    if out is None:
-        return spark.createDataFrame([], schema), names[0], _fit(data, features, model_families()[names[0]])
-    err = F.col("__y") - F.col("__p")
-    by_fold = out.groupBy("model", "__fold").agg(
+    summary = spark.createDataFrame([], schema)
+    if parts:
+        summary = materialize(summarise(fold_figures(reduce(DataFrame.unionByName, parts), log_target), log_target), "models")
+    top = summary.orderBy("rmse_mean", "model").first()  # one row per family
+    best = top["model"] if top else names[0]
+    return summary, best, _fit(data, features, model_families()[best]) if fit_winner else None
+
+
+def fold_figures(scored: DataFrame, log_target: bool) -> DataFrame:
+    """RMSE, MAE and R2 per (model, fold) of held-out predictions."""
+    p = F.expm1("prediction") if log_target else F.col("prediction")
+    err = F.col("__y") - p
+    return scored.groupBy("model", "__fold").agg(
         F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae"),
         (1 - F.sum(err * err) / F.nullif(F.var_pop("__y") * F.count("__y"), F.lit(0.0))).alias("r2"))
-    summary = materialize(by_fold.groupBy("model").agg(
+
+
+def summarise(figures: DataFrame, log_target: bool) -> DataFrame:
+    """Mean and standard deviation over the folds of each family."""
+    return figures.groupBy("model").agg(
         *[f(m).alias(f"{m}_{s}") for m in ("rmse", "mae", "r2") for f, s in ((F.avg, "mean"), (F.stddev_samp, "sd"))],
-        F.count(F.lit(1)).alias("folds")).withColumn("target_transformed", F.lit(log_target)), "models")
-    best = summary.orderBy("rmse_mean", "model").first()["model"]  # one row per family
-    return summary, best, _fit(data, features, model_families()[best])
+        F.count(F.lit(1)).alias("folds")).withColumn("target_transformed", F.lit(log_target))
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequence[str], k: int = 20) -> DataFrame:
@@ -114,25 +157,103 @@ def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequ
     return df.orderBy(F.abs("value").desc(), F.col("feature")).limit(k)
 
 
-def save_model(model: PipelineModel, root: str, T: int, features: Sequence[str], log_target: bool) -> str:
-    """``root/T=<t>`` holds the pipeline plus a JSON metadata file."""
-    path = f"{root.rstrip('/')}/T={T}"
-    model.write().overwrite().save(path)
-    meta = {"forecast_days": T, "features": list(features), "target_transformed": log_target}
-    spark = SparkSession.getActiveSession()
-    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(path + "_meta")
-    return path
+def feature_hash(features: Sequence[str]) -> str:
+    return hashlib.sha256("\n".join(features).encode()).hexdigest()
 
 
-def load_model(root: str, T: int) -> tuple[PipelineModel, dict]:
-    """Load and validate a saved per-horizon model."""
-    path = f"{root.rstrip('/')}/T={T}"
-    model = PipelineModel.load(path)
-    spark = SparkSession.getActiveSession()
-    meta = json.loads(spark.read.text(path + "_meta").first()[0])
-    if meta.get("forecast_days") != T or not meta.get("features"):
-        raise ValueError(f"model metadata for T={T} is invalid: {meta}")
-    return model, meta
+class ModelStore:
+    """Trained models in versions of their own.
+
+    A run calls :meth:`begin`, saves all its models into that version and publishes it
+    last: a pointer that names the version is written when everything else is there.
+    Readers follow the newest pointer, so they never see a half-written set, and runs
+    at the same time keep their own models.  Loading checks horizon and feature hash.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def begin(self) -> str:
+        return uuid.uuid4().hex
+
+    def _path(self, version: str, T: int) -> str:
+        return f"{self.root}/versions/{version}/T={T}"
+
+    def _write_json(self, path: str, value: dict) -> None:
+        self.spark.createDataFrame([(json.dumps(value),)], "value string").coalesce(1).write.text(path)
+
+    def _meta(self, T: int, features: Sequence[str], log_target: bool) -> dict:
+        return {"forecast_days": T, "features": list(features), "feature_hash": feature_hash(features),
+                "target_transformed": log_target}
+
+    def save(self, version: str, model: PipelineModel, T: int, features: Sequence[str], log_target: bool) -> str:
+        path = self._path(version, T)
+        model.write().save(f"{path}/model")
+        self._write_json(f"{path}/meta", self._meta(T, features, log_target))
+        return path
+
+    def save_table(self, version: str, models: DataFrame, features: Sequence[str], log_target: bool) -> None:
+        """A table of linear models (:mod:`salescast.operators.gram`) as one entry, under horizon 0."""
+        models.write.parquet(f"{self._path(version, 0)}/table")
+        self._write_json(f"{self._path(version, 0)}/meta", self._meta(0, features, log_target))
+
+    def publish(self, version: str) -> None:
+        self._write_json(f"{self.root}/published/{time.time_ns():020d}-{version}", {"version": version})
+
+    def current(self) -> str:
+        """The version published last."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/published")
+        fs = path.getFileSystem(conf)
+        done = jvm.org.apache.hadoop.fs.Path
+        names = sorted(x.getPath().getName() for x in fs.listStatus(path)
+                       if fs.exists(done(x.getPath(), "_SUCCESS"))) if fs.exists(path) else []
+        if not names:
+            raise LookupError(f"no model was published under {self.root}")
+        return names[-1].split("-", 1)[1]
+
+    def _checked(self, version: str, T: int, features: Sequence[str] | None) -> dict:
+        meta = json.loads(self.spark.read.text(f"{self._path(version, T)}/meta").first()[0])
+        if meta.get("forecast_days") != T or feature_hash(meta.get("features") or []) != meta.get("feature_hash"):
+            raise ValueError(f"model metadata for T={T} is invalid: {meta}")
+        if features is not None and feature_hash(features) != meta["feature_hash"]:
+            raise ValueError(f"the model for T={T} was trained on other features")
+        return meta
+
+    def load(self, T: int, version: str | None = None, features: Sequence[str] | None = None) -> tuple[PipelineModel, dict]:
+        version = version or self.current()
+        meta = self._checked(version, T, features)
+        return PipelineModel.load(f"{self._path(version, T)}/model"), meta
+
+    def load_table(self, version: str | None = None, features: Sequence[str] | None = None) -> tuple[DataFrame, dict]:
+        version = version or self.current()
+        meta = self._checked(version, 0, features)
+        return self.spark.read.parquet(f"{self._path(version, 0)}/table"), meta
+
+
+def score_routed(rows: DataFrame, models: dict[int, PipelineModel], features: Sequence[str], keep: Sequence[str],
+                 horizon: str = "model_T") -> DataFrame:
+    """Every row scored by the model of its own horizon, all models in one pass: ``keep``, then ``prediction``."""
+    out = align_features(rows, features, keep=list(keep))
+    for T, model in models.items():
+        assembler, last = model.stages
+        assembler = assembler.copy().setOutputCol(f"__x{T}")
+        last = last.copy().setFeaturesCol(f"__x{T}").setPredictionCol(f"__p{T}")
+        out = last.transform(assembler.transform(out))
+    value = F.coalesce(F.lit(None).cast("double"), *[F.when(F.col(horizon) == T, F.col(f"__p{T}")) for T in models])
+    return out.select(*keep, value.alias("prediction"))
+
+
+def sensitivity_rows(table: DataFrame, features: Sequence[str], vary: str, steps: int = 10) -> DataFrame:
+    """``vary`` in equal steps over its range in ``table``, all other features at their exact
+    medians; ``log_<vary>`` follows it.  One row per step."""
+    spark, logged = table.sparkSession, f"log_{vary}"
+    others = [c for c in features if c not in (vary, logged)]
+    low, high, *medians = global_percentiles(table, [(vary, 0.0), (vary, 1.0)] + [(c, 0.5) for c in others])
+    value = F.lit(low).cast("double") + F.lit((high or 0.0) - (low or 0.0)) * F.col("step") / steps
+    rows = spark.range(0, steps + 1).select(F.col("id").cast("int").alias("step"))
+    rows = rows.withColumn(vary, value).withColumns({c: F.lit(m).cast("double") for c, m in zip(others, medians)})
+    return rows.withColumn(logged, F.log1p(vary)) if logged in features else rows
 
 
 def nearest_horizon(df: DataFrame, days_col: str, horizons: Sequence[int]) -> DataFrame:
@@ -147,6 +268,21 @@ def nearest_horizon(df: DataFrame, days_col: str, horizons: Sequence[int]) -> Da
     return df.withColumn("model_T", F.array_min(options).getField("T"))
 
 
+def route_events(tickets: DataFrame, horizons: Sequence[int], asof: str) -> DataFrame:
+    """Per event the days until it starts, counted from ``asof``, and the nearest trained horizon."""
+    starts = tickets.where(F.col("event_name").isNotNull()).groupBy("event_name").agg(
+        F.max("first_event_date_start").alias("start"))
+    starts = starts.withColumn("days_until_event", F.datediff(F.to_date("start"), F.to_date(F.lit(asof))))
+    return nearest_horizon(starts, "days_until_event", horizons).select("event_name", "days_until_event", "model_T")
+
+
+def residuals(scored: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """Residual (actual - predicted), absolute and % error per row; no % error for actual 0."""
+    err = F.col(actual) - F.col(predicted)
+    return scored.withColumns({"residual": err, "abs_error": F.abs(err),
+                               "pct_error": safe_pct_error(F.col(actual).cast("double"), F.col(predicted))})
+
+
 def postprocess(pred: DataFrame, raw_col: str, floor_col: str, log_target: bool) -> DataFrame:
     """M04 + X27 + T7: back-transform, clip at 0, never below tickets already sold,
     round half-to-even."""

@@ -1,4 +1,4 @@
-"""The complete point-in-time feature table for one horizon T.
+"""The complete point-in-time feature table for one horizon T, or for many.
 
 Order of the reference is kept where it changes results: past-event filter ->
 weather median fill -> event-name normalisation -> city standardisation ->
@@ -8,7 +8,6 @@ lead days (negative dropped) -> target + size filter -> blocks.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from salescast.functions.text import standardize_city, with_normalized
 from salescast.operators import features as feat
 from salescast.operators.artists import artist_asof, artist_block
+from salescast.operators.cube import build_cube, features_at
 from salescast.operators.weather import fill_event_then_global_median
 from salescast.session import materialize
 
@@ -41,7 +41,7 @@ TICKET_INPUT_COLS = ["event_name", "verkoopdatum", "barcode", "first_event_date_
                      "t_max", "t_min", "rain_fall", "max_wind", "tickets_sold", "event_type"]
 
 
-def prepare_tickets(tickets: DataFrame, known_cities: DataFrame, T: int, asof: str | None,
+def prepare_tickets(tickets: DataFrame, known_cities: DataFrame, T: int | None, asof: str | None,
                     name_bound: int | None = None, city_bound: int | None = None,
                     is_prediction: bool = False, reuse: bool = True) -> DataFrame:
     """F03 -> P12 -> X01 -> J07 -> X17/F06 on the ticket rows.
@@ -49,7 +49,8 @@ def prepare_tickets(tickets: DataFrame, known_cities: DataFrame, T: int, asof: s
     The median fill and the name normalisation each read the ticket rows
     once more (counts per value, distinct names); with ``reuse`` the
     projected input is persisted so those passes hit one materialised copy
-    instead of re-running the upstream joins.
+    instead of re-running the upstream joins.  ``T`` None leaves unknown lead days null,
+    as the horizon cube wants them.
     """
     t = tickets.select(*[c for c in TICKET_INPUT_COLS if c in tickets.columns])
     if asof is not None and not is_prediction:
@@ -76,36 +77,45 @@ def event_table(t: DataFrame, T: int, lag: int, lo: int, hi: int, is_prediction:
     agg = feat.fused_event_aggregate(t, T, lag, event_bound)
     if not is_prediction:
         agg = agg.where((F.col("full_event_tickets") > lo) & (F.col("full_event_tickets") < hi))
-    lag_col = f"sales_last_{lag}_days"
-    agg = agg.withColumn(f"log_{lag_col}", F.log1p(F.col(lag_col).cast("double")))
     agg = (agg.join(feat.sales_acceleration(t, T).select("event_name", "avg_acceleration"), "event_name", "left")
            .join(feat.main_city_share(t, T), "event_name", "left"))
     agg = feat.attach_event_medians(materialize(feat.add_time_base(agg), "event_aggregate"))
-    agg = feat.time_block(agg)
-    agg = feat.sales_block(agg)
-    agg = feat.demographic_block(agg)
-    agg = feat.ticket_block(agg)
-    agg = feat.capacity_block(agg)
-    agg = feat.weather_block(agg)
+    out = blocks(agg.withColumn("forecast_days", F.lit(T)), lag)
+    return materialize(out, "events") if reuse else out
+
+
+def blocks(agg: DataFrame, lag: int) -> DataFrame:
+    """All ticket blocks of raw per-event statistics with their fill values attached."""
+    lag_col = f"sales_last_{lag}_days"
+    agg = agg.withColumn(f"log_{lag_col}", F.log1p(F.col(lag_col).cast("double")))
+    for block in (feat.time_block, feat.sales_block, feat.demographic_block, feat.ticket_block, feat.capacity_block,
+                  feat.weather_block):
+        agg = block(agg)
     kind = [c for c in ("event_type",) if c in agg.columns]
-    keep = (["event_name", "full_event_tickets", lag_col, f"log_{lag_col}"] + TIME_COLS + SALES_COLS
-            + DEMO_COLS + TICKET_COLS + CAPACITY_COLS + feat.WEATHER_COLS + kind)
     # Helper columns (``__*``, the day-0 struct, raw sale bounds) are dropped by
     # selecting the output list; ``DataFrame.drop`` would ignore absent names too.
-    out = agg.select(*keep).withColumn("forecast_days", F.lit(T))
-    return materialize(out, "events") if reuse else out
+    return agg.select("event_name", "full_event_tickets", lag_col, f"log_{lag_col}", *TIME_COLS, *SALES_COLS,
+                      *DEMO_COLS, *TICKET_COLS, *CAPACITY_COLS, *feat.WEATHER_COLS, *kind, "forecast_days")
 
 
 def event_table_horizons(t: DataFrame, horizons: Sequence[int], lag: int, lo: int, hi: int,
-                         is_prediction: bool = False, event_bound: int | None = None) -> DataFrame:
-    """The event table for a fixed list of horizons, one row per (event, forecast_days).
-
-    The raw tickets are scanned and prepared once; each horizon's aggregates read the
-    prepared copy ``t`` (pass it materialised).  The list is a handful of model
-    horizons, never data.
-    """
-    parts = [event_table(t, T, lag, lo, hi, is_prediction, reuse=False, event_bound=event_bound) for T in horizons]
-    return materialize(reduce(DataFrame.unionByName, parts), "event_horizons")
+                         event_bound: int | None = None) -> DataFrame:
+    """The event table for a list of horizons, one row per (event, forecast_days), from the
+    horizon cube: the prepared tickets (pass them materialised) are read three times in all.
+    Fill values are medians over the events of the same horizon."""
+    agg = features_at(build_cube(t, horizons, event_bound), lag).withColumnRenamed("T", "forecast_days")
+    agg = agg.where((F.col("full_event_tickets") > lo) & (F.col("full_event_tickets") < hi))
+    agg = materialize(feat.add_time_base(agg), "event_aggregate")
+    return materialize(blocks(feat.attach_event_medians(agg, "forecast_days", sorted(horizons)), lag), "event_horizons")
+
+
+def event_table_routed(t: DataFrame, routes: DataFrame, horizons: Sequence[int], lag: int,
+                       event_bound: int | None = None) -> DataFrame:
+    """One row per event of ``routes`` (event_name, T) at its own horizon T, one of ``horizons``.
+    Fill values are medians over all rows of the result."""
+    agg = features_at(build_cube(t, horizons, event_bound), lag, routes).withColumnRenamed("T", "forecast_days")
+    agg = materialize(feat.add_time_base(agg), "event_aggregate")
+    return materialize(blocks(feat.attach_event_medians(agg), lag), "event_routed")
 
 
 def event_features(tickets: DataFrame, lineup: DataFrame, snapshots: DataFrame, known_cities: DataFrame,

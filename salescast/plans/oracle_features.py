@@ -18,8 +18,13 @@ def gender_sql(c: str = "gender") -> str:
             f"ELSE coalesce(lower({c}), 'unknown') END")
 
 
-def prepared(T: int, asof: str) -> str:
-    """CTEs up to ``lt``: prepared ticket rows with lead days ``d``."""
+def prepared(T: int | str, asof: str, keep: str | None = None, routes: str | None = None) -> str:
+    """CTEs up to ``lt``: prepared ticket rows with lead days ``d``.  ``keep`` replaces the past-event
+    filter; ``routes`` (CTEs over p3, the last one named routes) gives each event a column T and keeps
+    negative lead days."""
+    keep = keep or f"NOT coalesce(CAST(first_event_date_start AS DATE) > DATE '{asof}', false)"
+    routed = "p3" if routes is None else "p3 JOIN routes USING (event_name)"
+    late = "WHERE NOT coalesce(d0 < 0, false)" if routes is None else ""
     em = ", ".join(f"quantile_cont({c}, 0.5) AS em_{c}" for c in W)
     rep1 = ", ".join(f"coalesce(p0.{c}, em.em_{c}) AS {c}" for c in W)
     gm = ", ".join(f"quantile_cont({c}, 0.5) AS gm_{c}" for c in W)
@@ -28,7 +33,7 @@ def prepared(T: int, asof: str) -> str:
 {WEATHER_DAILY},
 tw AS (SELECT tb.*, w.t_max, w.t_min, w.rain_fall, w.max_wind FROM tb
        LEFT JOIN wdaily w ON make_date(2024, 1, day(tb.first_event_date_start)) = w.event_date),
-p0 AS (SELECT * FROM tw WHERE NOT coalesce(CAST(first_event_date_start AS DATE) > DATE '{asof}', false)),
+p0 AS (SELECT * FROM tw WHERE {keep}),
 em AS (SELECT event_name, {em} FROM p0 GROUP BY event_name),
 p1 AS (SELECT p0.* REPLACE ({rep1}) FROM p0 LEFT JOIN em ON p0.event_name = em.event_name),
 gm AS (SELECT {gm} FROM p1),
@@ -37,19 +42,22 @@ known AS (SELECT DISTINCT {clean_city_sql('n_name')} AS k FROM nation WHERE n_re
 p3 AS (SELECT p2.* REPLACE ({norm('p2.event_name')} AS event_name),
               CASE WHEN known.k IS NOT NULL THEN known.k ELSE 'other' END AS city_standardized
        FROM p2 LEFT JOIN known ON {clean_city_sql('p2.city')} = known.k),
-l0 AS (SELECT *, {LEAD_DAYS} AS d0 FROM p3),
-lt AS (SELECT * EXCLUDE (d0), coalesce(d0, {T}) AS d FROM l0 WHERE NOT coalesce(d0 < 0, false))"""
+{routes + "," if routes else ""}
+l0 AS (SELECT *, {LEAD_DAYS} AS d0 FROM {routed}),
+lt AS (SELECT * EXCLUDE (d0), coalesce(d0, {T}) AS d FROM l0 {late})"""
 
 
-def event_table(T: int, lag: int, lo: int, hi: int, asof: str) -> str:
-    """CTEs up to ``ev_out``: one row per kept event with all ticket blocks."""
+def event_table(T: int | str, lag: int, lo: int, hi: int, asof: str, keep: str | None = None,
+                routes: str | None = None) -> str:
+    """CTEs up to ``ev_out``: one row per kept event with all ticket blocks (all events with ``routes``)."""
+    sized = f"HAVING count(*) > {lo} AND count(*) < {hi}" if routes is None else ""
     up = f"FILTER (WHERE d >= {T})"
     g = gender_sql()
     day0 = ",\n   ".join(f"arg_max({c}, verkoopdatum) FILTER (WHERE d <= 1) AS {c}" for c in W)
-    return prepared(T, asof) + f""",
+    return prepared(T, asof, keep, routes) + f""",
 agg AS (
   SELECT event_name, count(*) AS full_event_tickets,
-   count(*) FILTER (WHERE d >= {T} AND d < {T + lag}) AS sales_last_{lag}_days,
+   count(*) FILTER (WHERE d >= {T} AND d < {T} + {lag}) AS sales_last_{lag}_days,
    count(*) {up} AS cumulative_sales_at_t, min(d) {up} AS dmin, max(d) {up} AS dmax,
    arg_min(first_event_date_start, verkoopdatum) FILTER (WHERE first_event_date_start IS NOT NULL) AS fed,
    arg_min(last_event_date_end, verkoopdatum) FILTER (WHERE last_event_date_end IS NOT NULL) AS led,
@@ -63,8 +71,9 @@ agg AS (
    avg(total_price) {up} AS atp0, avg(CAST(product_is_scanned AS DOUBLE)) {up} AS sp0,
    arg_min(max_capacity, verkoopdatum) FILTER (WHERE max_capacity IS NOT NULL) AS cap0,
    {day0}
+   , CAST(max({T}) AS INTEGER) AS horizon
   FROM lt WHERE event_name IS NOT NULL GROUP BY event_name
-  HAVING count(*) > {lo} AND count(*) < {hi}
+  {sized}
 ),
 t1 AS (SELECT *, (fed IS NOT NULL AND led IS NOT NULL AND first_sale IS NOT NULL AND last_sale_all IS NOT NULL
                   AND last_sale_upto IS NOT NULL) AS valid,
@@ -111,7 +120,7 @@ ev_out AS (
     coalesce(apv0, m_apv, 0.0) AS avg_product_value, coalesce(spv0, m_spv, 0.0) AS std_product_value,
     coalesce(atp0, m_atp, 0.0) AS avg_total_price, coalesce(sp0, m_sp, 0.0) AS scanned_percentage,
     coalesce(cap0, m_cap, 1000.0) AS max_capacity, ln(1 + coalesce(cap0, m_cap, 1000.0)) AS log_max_capacity,
-    t_max, t_min, rain_fall, max_wind, {T} AS forecast_days
+    t_max, t_min, rain_fall, max_wind, horizon AS forecast_days
   FROM t2 CROSS JOIN dmed CROSS JOIN meds
   LEFT JOIN acc ON t2.event_name = acc.event_name
   LEFT JOIN cshare ON t2.event_name = cshare.event_name

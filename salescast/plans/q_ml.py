@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from salescast.functions.numeric import safe_pct_error, ticket_range
-from salescast.operators import ml
+from salescast.operators import gram, ml
 from salescast.operators import pipeline as pipe
 from salescast.operators.asof import horizon_grid
+from salescast.operators.stats import attach_one_row, exact_percentiles
 from salescast.plans.oracle_base import LEAD_DAYS, TICKETS, typed_select
 from salescast.plans import oracle_features as OF
 from salescast.plans.registry import finish, register
-from salescast.session import table_rows
+from salescast.session import materialize, table_rows
 from salescast.sources import testbed
 
 HZ = (1, 5, 10, 15, 20, 30)
@@ -21,10 +24,10 @@ T_EVAL = 30
 SPLIT = "2001-11-01"
 
 BASE_SQL = "WITH " + TICKETS + f""",
-lt AS (SELECT event_name, first_event_date_start, {LEAD_DAYS} AS d FROM tickets),
-f AS (SELECT event_name, first_event_date_start, d FROM lt WHERE NOT coalesce(d < 0, false) AND event_name IS NOT NULL),
+lt AS (SELECT event_name, first_event_date_start, last_event_date_end, {LEAD_DAYS} AS d FROM tickets),
+f AS (SELECT event_name, first_event_date_start, last_event_date_end, d FROM lt WHERE NOT coalesce(d < 0, false) AND event_name IS NOT NULL),
 h AS (SELECT unnest([{", ".join(map(str, HZ))}]) AS T),
-g AS (SELECT event_name, T, CAST(max(first_event_date_start) AS DATE) <= DATE '{SPLIT}' AS past, count(*) AS y_true, count(*) FILTER (WHERE d >= T) AS cum,
+g AS (SELECT event_name, T, max(first_event_date_start) AS start, max(last_event_date_end) AS over_at, CAST(max(first_event_date_start) AS DATE) <= DATE '{SPLIT}' AS past, count(*) AS y_true, count(*) FILTER (WHERE d >= T) AS cum,
              min(d) FILTER (WHERE d >= T) AS dmin, max(d) FILTER (WHERE d >= T) AS dmax
       FROM f CROSS JOIN h GROUP BY ALL HAVING count(*) > {LO_REF} AND count(*) < {HI_REF}),
 b AS (SELECT *, CASE WHEN cum > 0 THEN cum / (dmax - dmin + 1) ELSE 0.0 END AS vel FROM g)"""
@@ -36,11 +39,12 @@ def base_table(spark, sf_dir):
     d = F.floor(F.timestamp_diff("MICROSECOND", F.col("verkoopdatum"), F.col("first_event_date_start")) / 86400000000)
     t = t.withColumn("d", d).where(~F.coalesce(F.col("d") < 0, F.lit(False))).where(F.col("event_name").isNotNull())
     per_day = t.groupBy("event_name", "d").agg(F.count(F.lit(1)).alias("n"),
-                                               F.max("first_event_date_start").alias("start"))
+                                               F.max("first_event_date_start").alias("start"),
+                                               F.max("last_event_date_end").alias("over_at"))
     g = per_day.crossJoin(horizon_grid(spark, HZ).withColumnRenamed("forecast_days", "T"))
     up = F.col("d") >= F.col("T")
     out = (g.groupBy("event_name", "T")
-           .agg(F.sum("n").alias("y_true"), (F.to_date(F.max("start")) <= F.to_date(F.lit(SPLIT))).alias("past"),
+           .agg(F.sum("n").alias("y_true"), F.max("start").alias("start"), F.max("over_at").alias("over_at"), (F.to_date(F.max("start")) <= F.to_date(F.lit(SPLIT))).alias("past"),
                 F.coalesce(F.sum(F.when(up, F.col("n"))), F.lit(0)).alias("cum"),
                 F.min(F.when(up, F.col("d"))).alias("dmin"), F.max(F.when(up, F.col("d"))).alias("dmax"))
            .where((F.col("y_true") > LO_REF) & (F.col("y_true") < HI_REF)))
@@ -130,11 +134,29 @@ def q_error_by_range(spark, sf_dir):
     e = p.select(ticket_range(F.col("y_true")).alias("ticket_range"),
                  F.abs(F.col("y_true") - F.col("pred")).alias("abs_error"),
                  safe_pct_error(F.col("y_true").cast("double"), F.col("pred")).alias("pct_error"))
+    e = materialize(e, "errors")
     a = F.col("abs_error")
-    return finish(e.groupBy("ticket_range").agg(
-        F.count(F.lit(1)).alias("n"), F.min(a).alias("abs_min"), F.percentile(a, 0.25).alias("abs_q1"),
-        F.percentile(a, 0.5).alias("abs_median"), F.percentile(a, 0.75).alias("abs_q3"), F.max(a).alias("abs_max"),
-        F.percentile("pct_error", 0.5).alias("pct_median"), F.avg("pct_error").alias("pct_mean")))
+    figures = e.groupBy("ticket_range").agg(
+        F.count(F.lit(1)).alias("n"), F.min(a).alias("abs_min"), F.max(a).alias("abs_max"), F.avg("pct_error").alias("pct_mean"))
+    ranges = 5  # four ranges and none
+    at = {"abs_error": ((0.25, 0.5, 0.75), ["abs_q1", "abs_median", "abs_q3"]), "pct_error": ((0.5,), ["pct_median"])}
+    for c, (ps, outs) in at.items():
+        rows = e.where(F.col("ticket_range").isNotNull())
+        figures = figures.join(exact_percentiles(rows, c, ps, ["ticket_range"], outs, group_bound=ranges), "ticket_range", "left")
+    return finish(figures.select("ticket_range", "n", "abs_min", "abs_q1", "abs_median", "abs_q3", "abs_max",
+                                 "pct_median", "pct_mean"))
+
+
+@register("residual_rows", PRED_SQL + "\n" + typed_select(
+    "(SELECT event_name, T, y_true, pred AS y_pred, y_true - pred AS residual, abs(y_true - pred) AS abs_error, "
+    "CASE WHEN y_true = 0 THEN NULL ELSE 100.0 * abs(y_true - pred) / y_true END AS pct_error, pred < cum AS below_sold FROM p)",
+    [("event_name", "s"), ("T", "i"), ("y_true", "l"), ("y_pred", "d"), ("residual", "d"), ("abs_error", "d"),
+     ("pct_error", "d"), ("below_sold", "b")]))
+def q_residual_rows(spark, sf_dir):
+    """One row per scored (event, T): actual, predicted, residual and errors."""
+    p = _ols_pred(spark, sf_dir).withColumn("below_sold", F.col("pred") < F.col("cum"))
+    return finish(ml.residuals(p, "y_true", "pred").select(
+        "event_name", "T", "y_true", F.col("pred").alias("y_pred"), "residual", "abs_error", "pct_error", "below_sold"))
 
 
 @register("score_postprocess", PRED_SQL + f"""
@@ -188,27 +210,24 @@ def _inputs(spark, sf_dir):
                  city_bound=table_rows(spark, f"{sf_dir}/nation.parquet")))
 
 
-def training_table(spark, sf_dir, horizons=HZ, asof=SPLIT):
+def training_table(spark, sf_dir, horizons=HZ, asof=SPLIT, inputs=None):
     """(event, T) feature rows of the events that started up to ``asof``."""
-    tickets, known, bounds = _inputs(spark, sf_dir)
-    prepared = pipe.prepare_tickets(tickets, known, max(horizons), asof, **bounds)
+    tickets, known, bounds = inputs or _inputs(spark, sf_dir)
+    prepared = pipe.prepare_tickets(tickets, known, None, asof, **bounds)
     return pipe.event_table_horizons(prepared, horizons, ML_LAG, LO_REF, HI_REF, event_bound=bounds["name_bound"])
 
 
-def scoring_table(spark, sf_dir, horizons=HZ, asof=SPLIT):
-    """The same features for the events after ``asof``, from the tickets sold until then:
-    one row per event at its nearest model horizon."""
-    tickets, known, bounds = _inputs(spark, sf_dir)
+def scoring_table(spark, sf_dir, horizons=HZ, asof=SPLIT, inputs=None):
+    """The same features for the events after ``asof``, from the tickets sold until then.
+    Each event is routed to its nearest model horizon first, so it is aggregated once."""
+    tickets, known, bounds = inputs or _inputs(spark, sf_dir)
     sold = F.to_date("verkoopdatum") <= F.to_date(F.lit(asof))
     upcoming = tickets.where((F.to_date("first_event_date_start") > F.to_date(F.lit(asof))) & sold)
-    prepared = pipe.prepare_tickets(upcoming, known, max(horizons), None, is_prediction=True, **bounds)
-    rows = pipe.event_table_horizons(prepared, horizons, ML_LAG, LO_REF, HI_REF, is_prediction=True,
-                                     event_bound=bounds["name_bound"])
-    days = F.datediff(F.to_date("first_event_date"), F.to_date(F.lit(asof)))
-    known_start = rows.groupBy("event_name").agg(F.max("first_event_date").alias("first_event_date"))
-    at = ml.nearest_horizon(known_start.withColumn("days_until_event", days), "days_until_event", horizons)
-    at = at.select("event_name", "days_until_event", "model_T")
-    return rows.join(at, "event_name").where(F.col("forecast_days") == F.col("model_T"))
+    prepared = pipe.prepare_tickets(upcoming, known, None, None, is_prediction=True, **bounds)
+    routes = ml.route_events(prepared, horizons, asof)
+    rows = pipe.event_table_routed(prepared, routes.withColumnRenamed("model_T", "T"), horizons, ML_LAG,
+                                   event_bound=bounds["name_bound"])
+    return rows.join(routes, "event_name").drop("forecast_days")
 
 
 HZ_CHECK = (90, 180)
@@ -228,10 +247,107 @@ def q_event_features_horizons(spark, sf_dir):
     return finish(rows.select(*[c for c, _ in _HZ_SPEC]))
 
 
+KEEP_UPCOMING = (f"CAST(first_event_date_start AS DATE) > DATE '{SPLIT}' AND CAST(verkoopdatum AS DATE) <= DATE '{SPLIT}'")
+ROUTES = f"""starts AS (
+  SELECT event_name, CAST(datediff('day', DATE '{SPLIT}', CAST(max(first_event_date_start) AS DATE)) AS INTEGER) AS days_until_event
+  FROM p3 WHERE event_name IS NOT NULL GROUP BY event_name),
+routes AS (
+  SELECT event_name, days_until_event, T FROM starts, (SELECT unnest([{", ".join(map(str, HZ))}]) AS T) hz
+  QUALIFY row_number() OVER (PARTITION BY event_name ORDER BY abs(T - greatest(days_until_event, 0)), T) = 1)"""
+ROUTED_SPEC = ([("event_name", "s"), ("model_T", "i"), ("days_until_event", "i"), ("cumulative_sales_at_t", "l"),
+                (f"sales_last_{ML_LAG}_days", "l")]
+               + [(c, "d") for c in ["sales_duration_hours_upto_t", "event_duration_hours", "avg_daily_sales_before_t",
+                                     "avg_acceleration", "avg_age", "std_age", "male_percentage", "female_percentage",
+                                     "main_city_buyer_ratio", "avg_product_value", "std_product_value", "avg_total_price",
+                                     "scanned_percentage", "max_capacity"]]
+               + [("unique_cities", "l"), ("day_of_week", "i"), ("event_month", "i")])
+
+
+@register("routed_features", "WITH " + OF.event_table("T", ML_LAG, LO_REF, HI_REF, SPLIT, KEEP_UPCOMING, ROUTES)
+          + "\n" + typed_select("(SELECT ev_out.*, forecast_days AS model_T, days_until_event FROM ev_out JOIN routes USING (event_name))",
+                                ROUTED_SPEC))
+def q_routed_features(spark, sf_dir):
+    """The rows that predict_future scores: every upcoming event once, its features at the
+    horizon it is routed to."""
+    return finish(scoring_table(spark, sf_dir).select(
+        *[F.col(c).cast("int").alias(c) if k == "i" else F.col(c) for c, k in ROUTED_SPEC]))
+
+
+FOLDS = 5
+RIDGE_FEATURES = ["cum", "vel"]
+# Ridge with two features in closed form, on standardised columns, penalty 0.1 / sd of the target.
+RIDGE_SQL = BASE_SQL + f""",
+r AS (SELECT event_name, CAST(regexp_extract(event_name, '[0-9]+$') AS BIGINT) % {FOLDS} AS fold, y_true::DOUBLE AS y,
+        cum::DOUBLE AS a, vel::DOUBLE AS v FROM b WHERE T = {T_EVAL}),
+s AS (SELECT k.fold, avg(y) AS my, avg(a) AS ma, avg(v) AS mv, stddev_pop(y) AS sy, stddev_pop(a) AS sa, stddev_pop(v) AS sv,
+        corr(a, v) AS c, corr(a, y) AS ca, corr(v, y) AS cv
+      FROM (SELECT DISTINCT fold FROM r) k JOIN r ON r.fold <> k.fold GROUP BY k.fold),
+w AS (SELECT *, 1 + 0.1 / sy AS d FROM s),
+u AS (SELECT *, (d * ca - c * cv) / (d * d - c * c) * sy / sa AS ba, (d * cv - c * ca) / (d * d - c * c) * sy / sv AS bv FROM w),
+q AS (SELECT u.fold, y, my + ba * (a - ma) + bv * (v - mv) AS p FROM r JOIN u ON r.fold = u.fold),
+"""
+
+
+@register("ridge_folds", RIDGE_SQL + "out AS (SELECT fold, sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae, "
+          "1 - sum((y - p) * (y - p)) / nullif(var_pop(y) * count(*), 0) AS r2 FROM q GROUP BY fold)\n"
+          + typed_select("out", [("fold", "l"), ("rmse", "d"), ("mae", "d"), ("r2", "d")]))
+def q_ridge_folds(spark, sf_dir):
+    """Ridge figures of each fold; all folds are solved from one pass over the rows."""
+    fold = F.regexp_extract("event_name", "[0-9]+$", 0).cast("long") % FOLDS
+    rows = base_table(spark, sf_dir).where(F.col("T") == T_EVAL).withColumn("__fold", fold)
+    data = materialize(ml.training_rows(rows, "event_name", RIDGE_FEATURES, "y_true", False, ["__fold"]), "folds")
+    models = gram.fold_models(spark, data, F.col("__fold"), RIDGE_FEATURES, "label", {"Ridge": ml.LINEAR["Ridge"]})
+    scored = data.join(F.broadcast(models), F.col("__fold") == F.col("fold"))
+    scored = scored.withColumn("prediction", gram.linear_score(RIDGE_FEATURES, "coefficients", "intercept"))
+    return finish(ml.fold_figures(scored, False).select(F.col("__fold").alias("fold"), "rmse", "mae", "r2"))
+
+
+# Rolling origins: one a day, so that the last origin before a cut is the cut itself.
+ORIGINS = [str(dt.date(2001, 9, 20) + dt.timedelta(days=i)) for i in range(46)]
+ROLLING_SQL = BASE_SQL + f""",
+o AS (SELECT unnest([{", ".join(f"DATE '{d}'" for d in ORIGINS)}]) AS cut),
+m AS (SELECT T, cut, count(*) AS trained_on, coalesce(regr_slope(y_true, cum), 0) AS slope,
+        coalesce(regr_intercept(y_true, cum), avg(y_true)) AS intercept
+      FROM b JOIN o ON b.over_at <= o.cut GROUP BY T, cut HAVING count(*) >= 2),
+k AS (SELECT b.*, (SELECT max(m.cut) FROM m WHERE m.T = b.T AND m.cut <= CAST(b.start AS DATE) - b.T) AS cut FROM b),
+p AS (SELECT k.*, trained_on, intercept + slope * cum AS pred FROM k JOIN m ON k.T = m.T AND k.cut = m.cut)
+"""
+
+
+@register("rolling_backtest", ROLLING_SQL + typed_select(
+    "(SELECT event_name, T, CAST(cut AS TIMESTAMP) AS cut, trained_on, y_true, cum, pred, pred < cum AS problem FROM p)",
+    [("event_name", "s"), ("T", "i"), ("cut", "t"), ("trained_on", "l"), ("y_true", "l"), ("cum", "l"), ("pred", "d"),
+     ("problem", "b")]))
+def q_rolling_backtest(spark, sf_dir):
+    """Rolling-origin back-test: every (event, T) scored by a saved model that learned only from
+    events that were over T days before it."""
+    b = materialize(base_table(spark, sf_dir), "base")
+    store = ml.ModelStore(spark, ml.model_root(spark))
+    version = store.begin()
+    store.save_table(version, gram.rolling_models(spark, b, HZ, ORIGINS, "over_at", ["cum"], "y_true"), ["cum"], False)
+    store.publish(version)
+    models, meta = store.load_table(version, ["cum"])
+    p = gram.rolling_scores(b, models, meta["features"], "start")
+    return finish(p.select("event_name", "T", "cut", "trained_on", "y_true", "cum", F.col("prediction").alias("pred"),
+                           (F.col("prediction") < F.col("cum")).alias("problem")))
+
+
+@register("rolling_problem_rate", ROLLING_SQL + typed_select(
+    "(SELECT T, count(*) AS events, avg(CASE WHEN pred < cum THEN 1.0 ELSE 0.0 END) AS problem_rate, "
+    "sqrt(avg((pred - y_true) * (pred - y_true))) AS rmse FROM p GROUP BY T)",
+    [("T", "i"), ("events", "l"), ("problem_rate", "d"), ("rmse", "d")]))
+def q_rolling_problem_rate(spark, sf_dir):
+    """Problem rate and error per horizon of the rolling-origin back-test."""
+    p = q_rolling_backtest(spark, sf_dir)
+    return finish(p.groupBy("T").agg(F.count(F.lit(1)).alias("events"),
+                                     F.avg(F.col("problem").cast("double")).alias("problem_rate"),
+                                     F.sqrt(F.avg((F.col("pred") - F.col("y_true")) ** 2)).alias("rmse")))
+
+
 @register("model_compare")
 def q_model_compare(spark, sf_dir):
     """5-fold comparison of the model families on the event features (rows-only check)."""
-    summary, _, _ = ml.compare_models(spark, training_table(spark, sf_dir, (T_EVAL,)), ML_FEATURES, TARGET)
+    summary, _, _ = ml.compare_models(spark, training_table(spark, sf_dir, (T_EVAL,)), ML_FEATURES, TARGET, fit_winner=False)
     return finish(summary)
 
 
@@ -252,35 +368,63 @@ def q_feature_importance(spark, sf_dir):
 def q_predict_future(spark, sf_dir):
     """The family with the lowest cross-validated RMSE, fitted per horizon on
     past events, saved and reloaded with metadata, scores every upcoming event with its
-    nearest-horizon model (rows-only check)."""
-    root = ml.model_root(spark)
-    train = training_table(spark, sf_dir)
-    _, best, _ = ml.compare_models(spark, train.where(F.col("forecast_days") == T_EVAL), ML_FEATURES, TARGET)
-    rows = scoring_table(spark, sf_dir).withColumn("sold_so_far", F.col("cumulative_sales_at_t"))
-    out = None
-    for T in HZ:   # loop over the fixed list of horizons, not over data
+    nearest-horizon model (rows-only check; routed_features checks the rows it scores)."""
+    tickets, known, bounds = _inputs(spark, sf_dir)
+    inputs = materialize(tickets.select(*[c for c in pipe.TICKET_INPUT_COLS if c in tickets.columns]), "tickets_full"), known, bounds
+    train = training_table(spark, sf_dir, inputs=inputs)
+    rows = scoring_table(spark, sf_dir, inputs=inputs).withColumn("sold_so_far", F.col("cumulative_sales_at_t"))
+    _, best, _ = ml.compare_models(spark, train.where(F.col("forecast_days") == T_EVAL), ML_FEATURES, TARGET, fit_winner=False)
+    store = ml.ModelStore(spark, ml.model_root(spark))
+    version = store.begin()
+
+    def fit(T):
         model = ml.fit_family(train.where(F.col("forecast_days") == T), best, ML_FEATURES, TARGET)
-        ml.save_model(model, root, T, ML_FEATURES, True)
-        model, meta = ml.load_model(root, T)
-        aligned = ml.align_features(rows.where(F.col("model_T") == T), meta["features"],
-                                    keep=["event_name", "sold_so_far", "days_until_event", "model_T"])
-        part = ml.postprocess(model.transform(aligned), "prediction", "sold_so_far", meta["target_transformed"])
-        out = part if out is None else out.unionByName(part)
+        return store.save(version, model, T, ML_FEATURES, True)
+    ml.side_by_side([lambda T=T: fit(T) for T in HZ])  # the fixed list of horizons
+    store.publish(version)
+    models = ml.side_by_side([lambda T=T: store.load(T, version, ML_FEATURES)[0] for T in HZ])
+    scored = ml.score_routed(rows, dict(zip(HZ, models)), ML_FEATURES,
+                             ["event_name", "sold_so_far", "days_until_event", "model_T"])
+    out = ml.postprocess(scored, "prediction", "sold_so_far", True)
     return finish(out.select("event_name", "days_until_event", "model_T", "sold_so_far", "predicted_tickets"))
 
 
+SENS_SQL = BASE_SQL + f""",
+e AS (SELECT cum, vel, y_true FROM b WHERE T = {T_EVAL}),
+m AS (SELECT quantile_cont(cum, 0.5) AS mc, quantile_cont(vel, 0.5) AS mv, min(cum) AS c0, max(cum) AS c1, min(vel) AS v0, max(vel) AS v1 FROM e),
+st AS (SELECT unnest(range(11)) AS step),
+grid AS (SELECT 'cum' AS feature, step, c0 + (c1 - c0) * step / 10.0 AS cum, mv AS vel FROM m, st
+      UNION ALL SELECT 'vel', step, mc, v0 + (v1 - v0) * step / 10.0 FROM m, st),
+l AS (SELECT regr_slope(y_true, cum) AS slope, regr_intercept(y_true, cum) AS intercept FROM e)
+"""
+
+
+@register("sensitivity_steps", SENS_SQL + typed_select(
+    "(SELECT feature, step, cum, vel, intercept + slope * cum AS pred FROM grid, l)",
+    [("feature", "s"), ("step", "i"), ("cum", "d"), ("vel", "d"), ("pred", "d")]))
+def q_sensitivity_steps(spark, sf_dir):
+    """Each feature varied in turn over its range, the other at its exact median, scored by a line."""
+    table = materialize(base_table(spark, sf_dir).where(F.col("T") == T_EVAL), "base")
+    line = table.agg(F.regr_slope("y_true", "cum").alias("slope"), F.regr_intercept("y_true", "cum").alias("intercept"))
+    out = None
+    for vary in ("cum", "vel"):
+        part = ml.sensitivity_rows(table, ["cum", "vel"], vary).select(F.lit(vary).alias("feature"), "step", "cum", "vel")
+        out = part if out is None else out.unionByName(part)
+    out = attach_one_row(out, line)
+    return finish(out.select("feature", "step", "cum", "vel", (F.col("intercept") + F.col("slope") * F.col("cum")).alias("pred")))
+
+
 @register("sensitivity_grid")
 def q_sensitivity_grid(spark, sf_dir):
-    """Vary cumulative sales over ten steps of the training range, other features held at
-    their medians (rows-only)."""
+    """Cumulative sales, ticket price and buyer age varied in turn over ten steps of the training
+    range, other features held at their exact medians, scored by Ridge (rows-only)."""
     table = training_table(spark, sf_dir, (T_EVAL,))
     model = ml.fit_family(table, "Ridge", ML_FEATURES, TARGET)
-    others = [c for c in ML_FEATURES if c not in ("cumulative_sales_at_t", "log_cumulative_sales_at_t")]
-    at = table.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5).alias(c) for c in others],
-                   F.min("cumulative_sales_at_t").alias("lo"), F.max("cumulative_sales_at_t").alias("hi"))
-    step = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("id") / 10
-    rows = spark.range(0, 11).crossJoin(F.broadcast(at)).withColumn("cumulative_sales_at_t", step)
-    rows = rows.withColumn("log_cumulative_sales_at_t", F.log1p("cumulative_sales_at_t"))
-    scored = model.transform(ml.align_features(rows, ML_FEATURES, keep=["id"]))
-    out = ml.postprocess(scored, "prediction", "cumulative_sales_at_t", True)
-    return finish(out.select("cumulative_sales_at_t", "predicted_tickets"))
+    out = None
+    for vary in ("cumulative_sales_at_t", "avg_product_value", "avg_age"):
+        rows = ml.sensitivity_rows(table, ML_FEATURES, vary).withColumn("value", F.col(vary))
+        rows = rows.withColumn("sold", F.col("cumulative_sales_at_t"))
+        scored = model.transform(ml.align_features(rows, ML_FEATURES, keep=["step", "value", "sold"]))
+        part = ml.postprocess(scored, "prediction", "sold", True).select(F.lit(vary).alias("feature"), "step", "value", "predicted_tickets")
+        out = part if out is None else out.unionByName(part)
+    return finish(out)
