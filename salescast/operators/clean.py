@@ -1,7 +1,7 @@
 """Cleaning and filtering operators.
 
-Skew notes: de-duplication is an aggregate (``min_by`` over an explicit total
-order), not a window, so a barcode with millions of copies is reduced
+Skew notes: de-duplication is an aggregate (least packed order key, then ``min_by``
+among its rows), not a window, so a barcode with millions of copies is reduced
 map-side; group sizes are a combinable count joined back by the planner
 (AQE splits a hot key); quantiles are exact but only sort a sketch-chosen
 bracket of (value, count) pairs, never a whole group in one task.
@@ -46,18 +46,40 @@ def both_missing(a: Column, b: Column) -> Column:
     return a.isNull() & b.isNull()
 
 
-def dedup_keep_first(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
+def dedup_keep_first(df: DataFrame, key: str, order: Sequence[Column], packed: Column | None = None) -> DataFrame:
     """Keep the first row per ``key`` under an explicit total order; rows without a
     key count as one key of their own, of which one row stays.
 
-    ``groupBy(key).agg(min_by(struct(row), struct(order)))``: combinable, so a
-    key holding a third of all rows is reduced on the map side before the
-    shuffle (a window would sort that whole group in one task).
+    ``packed`` is a number that never falls where ``order`` rises, such as its leading
+    columns in one long (:func:`packed_order`).  With it the work is two-step: a hash
+    aggregate of primitives finds the repeated keys and the least number of each; rows of
+    other keys pass, and of repeated keys only the rows with that number are compared by
+    the whole ``order``.  No step sorts all rows, and both steps share one exchange.
+
+    Without it: ``groupBy(key).agg(min_by(struct(row), struct(order)))``.  Either way a
+    key that holds a third of all rows is reduced on the map side (a window would sort
+    that whole group in one task).
     """
     cols = [c for c in df.columns if c != key]
     best = F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(*order)).alias("__row")
-    return (df.groupBy(key).agg(best)
-            .select(key, *[F.col("__row").getField(c).alias(c) for c in cols]))
+    if packed is None:
+        return (df.groupBy(key).agg(best)
+                .select(key, *[F.col("__row").getField(c).alias(c) for c in cols]))
+    rows = df.withColumns({"__key": F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("")), "__packed": packed})
+    several = rows.groupBy(F.col("__key").alias("__k")).agg(
+        F.min("__packed").alias("__least"), F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
+    # The repeated keys are the narrow side, one row each; the planner broadcasts them when they are few.
+    several = several.hint("shuffle_hash")
+    single = rows.join(several, F.col("__key") == F.col("__k"), "left_anti").select(key, *cols)
+    first = rows.join(several, (F.col("__key") == F.col("__k")) & (F.col("__packed") == F.col("__least")))
+    first = first.groupBy(key).agg(best).select(key, *[F.col("__row").getField(c).alias(c) for c in cols])
+    return single.unionByName(first)
+
+
+def packed_order(rank: Column, time: Column) -> Column:
+    """A small rank, then a time, as one long; an unknown time comes first, as in a struct's order."""
+    micros = F.unix_micros(time.cast("timestamp"))
+    return rank.cast("long") * F.lit(1 << 57) + F.coalesce(micros + F.lit(1 << 56), F.lit(0))
 
 
 def dedup_tickets(t: DataFrame, priority: dict[str, int] | None = None) -> DataFrame:
@@ -66,7 +88,7 @@ def dedup_tickets(t: DataFrame, priority: dict[str, int] | None = None) -> DataF
     for source, place in (priority or SOURCE_PRIORITY).items():
         rank = F.when(F.col("data_source") == source, place).otherwise(rank)
     order = [rank, *[F.col(c) for c in ("verkoopdatum", "product_value", "event_name", "line_no")]]
-    return dedup_keep_first(t, "barcode", order)
+    return dedup_keep_first(t, "barcode", order, packed_order(rank, F.col("verkoopdatum")))
 
 
 def group_size(df: DataFrame, key: str, out: str) -> DataFrame:

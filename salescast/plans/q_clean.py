@@ -9,6 +9,7 @@ from salescast.functions.dates import to_midnight
 from salescast.functions.text import canonical_event_name, normalize_text
 from salescast.operators import analysis as an
 from salescast.operators import clean as C
+from salescast.operators.stats import attach_one_row
 from salescast.plans.oracle_base import TICKETS, TICKETS_BUYER, TICKETS_BUYER_ONCE, norm, typed_select
 from salescast.plans.registry import ASOF, finish, register
 from salescast.session import materialize, table_rows
@@ -357,14 +358,10 @@ def q_removal_counts(spark, sf_dir):
     """before/after record counts and removal % through dedup and range/price filters."""
     t = testbed.tickets(spark, sf_dir).select("barcode", "event_name", "verkoopdatum", "product_value",
                                               "data_source", "line_no")
-    # One pass: a barcode's kept row and its number of copies give all three counts.
-    order = F.struct(F.when(F.col("data_source") == "shop_f", 0).otherwise(1), "verkoopdatum", "product_value",
-                     "event_name", "line_no")
-    d = t.groupBy("barcode").agg(F.count(F.lit(1)).alias("copies"),
-                                 F.min_by(F.struct("verkoopdatum", "product_value"), order).alias("r"))
-    stays = C.in_range(F.col("r.verkoopdatum"), "1996-01-01", "2000-01-01") & C.drop_negative(F.col("r.product_value"))
-    out = d.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("before"), F.count(F.lit(1)).alias("after_dedup"),
-                F.count_if(stays).alias("after_filters"))
+    kept = C.dedup_tickets(t)
+    stays = C.in_range(F.col("verkoopdatum"), "1996-01-01", "2000-01-01") & C.drop_negative(F.col("product_value"))
+    after = kept.agg(F.count(F.lit(1)).alias("after_dedup"), F.count_if(stays).alias("after_filters"))
+    out = attach_one_row(t.agg(F.count(F.lit(1)).alias("before")), after)
     return finish(out.withColumn("removed_pct", F.lit(100.0) * (F.lit(1.0) - F.col("after_filters") / F.col("before"))))
 
 
