@@ -24,42 +24,69 @@ RENAMES_F = {"created_at": "verkoopdatum", "ticket_name": "ticket_type"}
 RENAMES_O = {"Sale Date": "verkoopdatum", "Ticket Type": "ticket_type", "Price": "product_value"}
 
 
-@register("union_sources", "WITH " + TICKETS + "\n" + typed_select(
-    "(SELECT data_source, count(*) AS n, count(product_fees) AS with_fees, count(ticket_type) AS with_type, "
-    "sum(product_value) AS value FROM tickets GROUP BY 1)",
-    [("data_source", "s"), ("n", "l"), ("with_fees", "l"), ("with_type", "l"), ("value", "d")]).replace(
-    "count(product_fees)", "count(CASE WHEN data_source = 'shop_f' THEN product_fees END)"))
-def q_union_sources(spark, sf_dir):
-    """Two differently shaped CSV exports are written,
-    read as configured sources, standardised, unioned by name (missing columns null) and
-    conformed to the canonical schema; a third configured source is missing and adds nothing."""
+# Lines that the exports spoil: a price that is no number; too few and too many columns.
+SPOILED = {"value": "data_source = 'shop_f' AND line_no = 6", "short": "data_source = 'shop_o' AND line_no = 7",
+           "long": "data_source = 'shop_o' AND line_no = 6"}
+
+
+def _ingest_exports(spark, sf_dir):
+    """Two differently shaped exports with some broken lines are written and read as configured
+    sources; the second one's separator is declared wrong, a third source is missing."""
     root = os.path.join(ensure_checkpoint_dir(spark), "exports", uuid.uuid4().hex)
     t = testbed.tickets(spark, sf_dir)
+    names_a = ["barcode", "event_name", "created_at", "ticket_name", "product_value", "product_fees"]
     a = t.where(F.col("data_source") == "shop_f").select(
-        "barcode", "event_name", F.col("verkoopdatum").alias("created_at"),
-        F.col("ticket_type").alias("ticket_name"), "product_value", "product_fees")
-    # second export: other separator and names, no fee column
-    b = t.where(F.col("data_source") == "shop_o").select(
-        "barcode", "event_name", F.col("verkoopdatum").alias("Sale Date"), F.col("ticket_type").alias("Ticket Type"),
-        F.col("product_value").alias("Price"))
+        "barcode", "event_name", F.col("verkoopdatum").cast("string").alias("created_at"),
+        F.col("ticket_type").alias("ticket_name"),
+        F.when(F.expr(SPOILED["value"]), F.lit("n/a")).otherwise(F.col("product_value").cast("string")).alias("product_value"),
+        "product_fees")
     R.write_table(a, f"{root}/f", "csv")
-    R.write_table(b, f"{root}/o", "csv", sep=";")
+    # second export: text lines without header, other separator and names, no fee column
+    names_b = ["barcode", "event_name", "Sale Date", "Ticket Type", "Price"]
+    full = F.concat_ws(";", "barcode", "event_name", F.col("verkoopdatum").cast("string"), "ticket_type", "product_value")
+    b = t.where(F.col("data_source") == "shop_o").select(
+        F.when(F.expr(SPOILED["short"]), F.concat_ws(";", "barcode", "event_name"))
+        .when(F.expr(SPOILED["long"]), F.concat(full, F.lit(";more;columns"))).otherwise(full).alias("value"))
+    b.write.text(f"{root}/o")
+
+    def schema(names, numbers):
+        return T.StructType([T.StructField(n, T.DoubleType() if n in numbers else T.StringType()) for n in names])
 
-    def schema(df):
-        return T.StructType([T.StructField(f.name, T.StringType() if f.name in ("created_at", "Sale Date")
-                                           else f.dataType) for f in df.schema.fields])
+    schema_b = schema(names_b, {"Price"})
+    return R.ingest_sources(spark, [
+        R.SourceSpec("shop_f", f"{root}/f", renames=RENAMES_F, primary=True, schema=schema(names_a, {"product_value", "product_fees"})),
+        R.SourceSpec("shop_o", f"{root}/o", sep=",", renames=RENAMES_O, schema=schema_b, header=False),
+        R.SourceSpec("shop_x", f"{root}/x", renames=RENAMES_O, schema=schema_b)])
 
-    u = R.read_sources(spark, [
-        R.SourceSpec("shop_f", f"{root}/f", renames=RENAMES_F, primary=True, schema=schema(a)),
-        R.SourceSpec("shop_o", f"{root}/o", sep=";", renames=RENAMES_O, schema=schema(b)),
-        R.SourceSpec("shop_x", f"{root}/x", renames=RENAMES_O, schema=schema(b))])
-    u = R.conform(u, CANON)
+
+_GOOD = "(SELECT * FROM tickets WHERE NOT (" + " OR ".join(f"({c})" for c in SPOILED.values()) + "))"
+
+
+@register("union_sources", "WITH " + TICKETS + "\n" + typed_select(
+    "(SELECT data_source, count(*) AS n, count(CASE WHEN data_source = 'shop_f' THEN product_fees END) AS with_fees, "
+    f"count(ticket_type) AS with_type, sum(product_value) AS value FROM {_GOOD} GROUP BY 1)",
+    [("data_source", "s"), ("n", "l"), ("with_fees", "l"), ("with_type", "l"), ("value", "d")]))
+def q_union_sources(spark, sf_dir):
+    """Two differently shaped exports with broken lines are
+    read in the dialect their lines support, without the rejected lines, standardised, unioned
+    by name (missing columns null) and conformed; a missing source adds nothing."""
+    u = R.conform(_ingest_exports(spark, sf_dir).good, CANON)
     R.require_columns(u, ["event_name", "barcode", "product_value"])
     return finish(u.groupBy("data_source").agg(F.count(F.lit(1)).alias("n"), F.count("product_fees").alias("with_fees"),
                                                F.count("ticket_type").alias("with_type"),
                                                F.sum("product_value").alias("value")))
 
 
+@register("rejected_lines", "WITH " + TICKETS + ",\nr AS (SELECT data_source, barcode, CASE WHEN " + SPOILED["value"]
+          + " THEN 'value' ELSE 'columns' END AS reason FROM tickets WHERE " + " OR ".join(f"({c})" for c in SPOILED.values())
+          + ")\nSELECT data_source, reason, barcode, count(*) AS lines FROM r GROUP BY ALL")
+def q_rejected_lines(spark, sf_dir):
+    """The lines that the scans of union_sources rejected, with source and reason."""
+    bad = _ingest_exports(spark, sf_dir).rejected
+    return finish(bad.groupBy("data_source", "reason", F.regexp_extract("line", "^[^,;]*", 0).alias("barcode")).agg(
+        F.count(F.lit(1)).alias("lines")))
+
+
 LOADER_SQL = "WITH " + TICKETS + """,
 t AS (SELECT lower(event_name) AS event_name, count(*) AS tickets, min(verkoopdatum) AS first_sale FROM tickets GROUP BY 1)
 """ + typed_select("(SELECT *, 0 AS lineup_rows FROM t)", [("event_name", "s"), ("tickets", "l"), ("first_sale", "t"),

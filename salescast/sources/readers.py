@@ -1,20 +1,26 @@
 """Scans, schema operators and sinks.
 
-Landed exports are read with explicit schemas (no inference pass); bad lines
-never fail a job (PERMISSIVE mode, ``_corrupt`` column); sources are unioned by
-name with missing columns as null and conformed to the canonical schema.
+Landed exports are read with explicit schemas (no inference pass) in the dialect that
+their own lines support; rejected lines are split off, counted and kept with a reason,
+and only too many of them stop a job; sources are unioned by name with missing columns
+as null and conformed to the canonical schema.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salescast.session import ensure_checkpoint_dir
+
 
 @dataclass(frozen=True)
 class SourceSpec:
@@ -56,34 +62,140 @@ def pad_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """S02 + S05: one configured source through the fallback chain.
-
-    Typed scan with the given schema; without a schema (or if that scan cannot be
-    planned) every column as string; a source that is not there becomes an empty
-    table with its schema, unless it is the primary one.
-    """
-    last: Exception | None = None
-    for schema in dict.fromkeys([spec.schema, None]):
-        try:
-            return read_csv(spark, spec.path, schema, spec.sep, spec.encoding, header=spec.header)
-        except AnalysisException as e:  # missing path, unreadable or contradictory header
-            last = e
-    if spec.primary:
-        raise ValueError(f"primary source {spec.name} cannot be read: {last}") from last
-    return spark.createDataFrame([], spec.schema or T.StructType([]))
+# Dialects that are tried when the declared one does not fit.
+SEPARATORS = (",", ";", "\t", "|")
+ESCAPES = ('"', "\\")
+# Lines of a source that are looked at to choose its dialect, and the share of them that may be rejected.
+EVIDENCE_LINES = 20_000
+REJECTED_SHARE = 0.2
 
 
-def read_sources(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:
-    """All configured sources read, standardised, tagged and unioned by name; the
-    rows that the typed scan flagged keep their text in ``_corrupt``."""
-    return union_sources([standardize(read_source(spark, s), s.renames, s.name) for s in specs])
+@dataclass(frozen=True)
+class Dialect:
+    """How a source is read: ``step`` is typed, other (separator or escape), strings or empty."""
+    step: str
+    sep: str = ","
+    escape: str = '"'
+    schema: T.StructType | None = None
+    rejected_share: float = 0.0
+
+
+def _flagged(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType(), True)])
+
+
+def choose_dialect(spark: SparkSession, spec: SourceSpec, lines: int = EVIDENCE_LINES, share: float = REJECTED_SHARE) -> Dialect:
+    """S02 + S05: the first step of the chain that the source's own lines support.
+
+    The candidates parse the same lines (the first ``lines`` of the source, header lines left
+    out), the declared one first, all others in one aggregate if it does not fit.  The declared dialect is taken if it rejects no more
+    than ``share`` of them; else the other separator and escape that rejects least, if that is
+    within ``share``; else all columns as strings, by the dialect that gives the right number of
+    columns most often.  A source that is not there is empty, unless it is the primary one;
+    without a schema there is nothing to reject, and strings are read as declared."""
+    try:
+        raw = spark.read.option("encoding", spec.encoding).csv(spec.path, schema="value string", sep="\u0001", quote="\u0000")
+        raw = raw.where(F.length(F.trim("value")) > 0).limit(lines)
+        raw.schema  # noqa: B018  a missing path fails here
+    except AnalysisException as e:
+        if spec.primary:
+            raise ValueError(f"primary source {spec.name} cannot be read: {e}") from e
+        return Dialect("empty", spec.sep, schema=spec.schema)
+    if spec.schema is None:
+        return Dialect("strings", spec.sep)
+    strings = T.StructType([T.StructField(f.name, T.StringType()) for f in spec.schema.fields])
+    tried = list(dict.fromkeys([(spec.sep, '"'), *[(s, e) for s in SEPARATORS for e in ESCAPES]]))
+
+    def rejected(schema: T.StructType, sep: str, escape: str) -> tuple[Column, Column]:
+        options = {"sep": sep, "escape": escape, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _flagged(schema).fields)
+        row = F.from_csv("value", fields, options)
+        heading = F.lit(False)
+        if spec.header:
+            first = F.trim(F.regexp_replace(F.split_part("value", F.lit(sep), F.lit(1)), '"', ""))
+            heading = first == spec.schema.fields[0].name
+        return F.count_if(row["_corrupt"].isNotNull() & ~heading), F.count_if(~heading)
+
+    def shares(kinds: Sequence[tuple[T.StructType, tuple[str, str]]]) -> list[float]:
+        seen = raw.agg(*[x.alias(f"{what}{i}") for i, (schema, how) in enumerate(kinds)
+                         for what, x in zip(("bad", "all"), rejected(schema, *how))]).first()
+        return [seen[f"bad{i}"] / seen[f"all{i}"] if seen[f"all{i}"] else 0.0 for i in range(len(kinds))]
+
+    declared = shares([(spec.schema, tried[0])])[0]
+    if declared <= share:
+        return Dialect("typed", *tried[0], spec.schema, declared)
+    found = shares([(schema, how) for schema in (spec.schema, strings) for how in tried])
+    typed, plain = found[:len(tried)], found[len(tried):]
+    best = typed.index(min(typed))
+    if typed[best] <= share:
+        return Dialect("other", *tried[best], spec.schema, typed[best])
+    best = plain.index(min(plain))
+    return Dialect("strings", *tried[best], strings, plain[best])
+
+
+def read_source(spark: SparkSession, spec: SourceSpec, dialect: Dialect | None = None) -> DataFrame:
+    """S02 + S05: one configured source in the dialect its lines support (see :func:`choose_dialect`)."""
+    d = dialect or choose_dialect(spark, spec)
+    if d.step == "empty":
+        return spark.createDataFrame([], d.schema or T.StructType([]))
+    return read_csv(spark, spec.path, d.schema, d.sep, spec.encoding, d.escape, spec.header)
 
 
-def bad_rows(df: DataFrame) -> DataFrame:
-    """The rows a typed scan could not parse, by source, for a report."""
-    return df.where(F.col("_corrupt").isNotNull()).groupBy("data_source").agg(
-        F.count(F.lit(1)).alias("bad_rows"), F.min("_corrupt").alias("example"))
+@dataclass(frozen=True)
+class Ingested:
+    """What the scans took and what they rejected."""
+    good: DataFrame
+    rejected: DataFrame              # data_source, line, reason
+    counts: dict[str, tuple[int, int]]  # per source: lines, rejected lines
+    dialects: dict[str, Dialect]
+
+
+class TooManyRejected(ValueError):
+    """More lines of a source were rejected than the limit allows."""
+
+
+def rejection_reason(line: Column, dialect: Dialect) -> Column:
+    """Why a typed scan flagged a line: another number of columns, or a value of another type."""
+    sep = re.escape(dialect.sep)
+    outside_quotes = f'{sep}(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    n = F.size(F.split(line, outside_quotes, -1))
+    return F.when(n != len(dialect.schema.fields), F.lit("columns")).otherwise(F.lit("value"))
+
+
+def ingest_sources(spark: SparkSession, specs: Sequence[SourceSpec], limit: float = 0.5) -> Ingested:
+    """S01 + S03: all configured sources, with rejected lines split off.
+
+    Each source is parsed once, into a parquet copy under the shared folder that has the good
+    rows and the rejected lines in folders of their own; an ``Observation`` of that same job
+    counts both.  If more than ``limit`` of a source's lines are rejected the job stops with
+    :class:`TooManyRejected`; the copy with the lines stays for a look."""
+    good, bad, counts, dialects = [], [], {}, {}
+    none = spark.createDataFrame([], "data_source string, line string, reason string")
+    for spec in specs:
+        d = dialects[spec.name] = choose_dialect(spark, spec)
+        df = read_source(spark, spec, d)
+        if d.step == "empty" or d.schema is None:
+            good.append(standardize(df, spec.renames, spec.name))
+            continue
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest/{spec.name}-{uuid.uuid4().hex}"
+        rejected = F.col("_corrupt").isNotNull()
+        seen = Observation(f"{spec.name}-{uuid.uuid4().hex}")
+        df = df.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(rejected).alias("rejected"))
+        df.withColumn("_rejected", rejected.cast("int")).write.partitionBy("_rejected").parquet(path)
+        counts[spec.name] = (seen.get["lines"], seen.get["rejected"])
+        if counts[spec.name][1] > limit * counts[spec.name][0]:
+            raise TooManyRejected(f"{spec.name}: {counts[spec.name][1]} of {counts[spec.name][0]} lines rejected, see {path}")
+        stored = spark.read.schema(T.StructType([*_flagged(d.schema).fields, T.StructField("_rejected", T.IntegerType())])).parquet(path)
+        good.append(standardize(stored.where("_rejected = 0").drop("_corrupt", "_rejected"), spec.renames, spec.name))
+        bad.append(stored.where("_rejected = 1").select(
+            F.lit(spec.name).alias("data_source"), F.col("_corrupt").alias("line"),
+            rejection_reason(F.col("_corrupt"), d).alias("reason")))
+    return Ingested(union_sources(good), reduce(DataFrame.unionByName, bad, none), counts, dialects)
+
+
+def read_sources(spark: SparkSession, specs: Sequence[SourceSpec], limit: float = 0.5) -> DataFrame:
+    """The good rows of all configured sources, standardised, tagged and unioned by name."""
+    return ingest_sources(spark, specs, limit).good
 
 
 def unique_names(names: Sequence[str]) -> list[str]:
