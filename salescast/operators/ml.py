@@ -13,8 +13,6 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import time
-import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -28,6 +26,7 @@ from pyspark.sql import functions as F
 from salescast.functions.numeric import safe_pct_error
 from salescast.operators import gram
 from salescast.operators.stats import global_percentiles
+from salescast.sources import storage
 
 SEED = 42  # fixed value: global random state of the reference
 
@@ -174,10 +173,10 @@ class ModelStore:
         self.spark, self.root = spark, root.rstrip("/")
 
     def begin(self) -> str:
-        return uuid.uuid4().hex
+        return storage.new_version()
 
     def _path(self, version: str, T: int) -> str:
-        return f"{self.root}/versions/{version}/T={T}"
+        return f"{storage.version_path(self.root, version)}/T={T}"
 
     def _write_json(self, path: str, value: dict) -> None:
         self.spark.createDataFrame([(json.dumps(value),)], "value string").coalesce(1).write.text(path)
@@ -198,19 +197,11 @@ class ModelStore:
         self._write_json(f"{self._path(version, 0)}/meta", self._meta(0, features, log_target))
 
     def publish(self, version: str) -> None:
-        self._write_json(f"{self.root}/published/{time.time_ns():020d}-{version}", {"version": version})
+        storage.publish(self.spark, self.root, version)
 
     def current(self) -> str:
         """The version published last."""
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/published")
-        fs = path.getFileSystem(conf)
-        done = jvm.org.apache.hadoop.fs.Path
-        names = sorted(x.getPath().getName() for x in fs.listStatus(path)
-                       if fs.exists(done(x.getPath(), "_SUCCESS"))) if fs.exists(path) else []
-        if not names:
-            raise LookupError(f"no model was published under {self.root}")
-        return names[-1].split("-", 1)[1]
+        return storage.current(self.spark, self.root)
 
     def _checked(self, version: str, T: int, features: Sequence[str] | None) -> dict:
         meta = json.loads(self.spark.read.text(f"{self._path(version, T)}/meta").first()[0])

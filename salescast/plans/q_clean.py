@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from salescast.functions import numeric as N
@@ -12,8 +15,9 @@ from salescast.operators import clean as C
 from salescast.operators.stats import attach_one_row
 from salescast.plans.oracle_base import TICKETS, TICKETS_BUYER, TICKETS_BUYER_ONCE, norm, typed_select
 from salescast.plans.registry import ASOF, finish, register
-from salescast.session import materialize, table_rows
+from salescast.session import ensure_checkpoint_dir, materialize, row_width, table_rows
 from salescast.sources import testbed
+from salescast.sources.storage import bucket_count, read_current, write_bucketed, write_ordered
 
 W_ = "WITH " + TICKETS + ",\n"
 WB = "WITH " + TICKETS_BUYER + ",\n"
@@ -338,8 +342,49 @@ def processed_tickets(spark, sf_dir):
 
 @register("processed_tickets", PROC_SQL)
 def q_processed_tickets(spark, sf_dir):
-    """The processed ticket table, sorted at the sink."""
-    return finish(processed_tickets(spark, sf_dir).orderBy("verkoopdatum", "event_name"))
+    """The processed ticket table, written in order of sale, one folder a
+    month, and read back."""
+    root = os.path.join(ensure_checkpoint_dir(spark), "tables", f"processed-{uuid.uuid4().hex}")
+    write_ordered(processed_tickets(spark, sf_dir), root, "verkoopdatum", ["verkoopdatum", "event_name", "barcode"])
+    return finish(read_current(spark, root).select(*PROC_COLS))
+
+
+@register("processed_months", PROC_SQL.rsplit("\nSELECT", 1)[0] + "\n" + typed_select(
+    "(SELECT strftime(verkoopdatum, '%Y-%m') AS month, count(*) AS tickets, sum(product_value) AS value, "
+    "min(verkoopdatum) AS first_sale, max(verkoopdatum) AS last_sale FROM p "
+    "WHERE verkoopdatum >= TIMESTAMP '1999-06-01' AND verkoopdatum < TIMESTAMP '1999-09-01' GROUP BY 1)",
+    [("month", "s"), ("tickets", "l"), ("value", "d"), ("first_sale", "t"), ("last_sale", "t")]))
+def q_processed_months(spark, sf_dir):
+    """Three months of the stored ticket table; only their folders are read."""
+    root = os.path.join(ensure_checkpoint_dir(spark), "tables", f"processed-{uuid.uuid4().hex}")
+    write_ordered(processed_tickets(spark, sf_dir), root, "verkoopdatum", ["verkoopdatum", "event_name", "barcode"])
+    t = read_current(spark, root).where(F.col("month").between("1999-06", "1999-08"))
+    return finish(t.groupBy("month").agg(
+        F.count(F.lit(1)).alias("tickets"), F.sum("product_value").alias("value"),
+        F.min("verkoopdatum").alias("first_sale"), F.max("verkoopdatum").alias("last_sale")))
+
+
+BUCKET_SQL = WB + """b AS (SELECT city, count(*) AS tickets, count(DISTINCT order_id) AS orders, sum(product_value) AS value FROM tb GROUP BY 1)
+""" + typed_select("b", [("city", "s"), ("tickets", "l"), ("orders", "l"), ("value", "d")])
+
+
+def bucketed_ticket_buyers(spark, sf_dir):
+    """Tickets with their buyer, both stored in buckets of the order: the join moves no rows."""
+    t = testbed.tickets(spark, sf_dir).select("order_key", "order_id", "event_name", "verkoopdatum", "product_value")
+    n = bucket_count(table_rows(spark, f"{sf_dir}/lineitem.parquet"), row_width(t))
+    root, tag = os.path.join(ensure_checkpoint_dir(spark), "buckets", uuid.uuid4().hex), uuid.uuid4().hex
+    t = write_bucketed(t, f"tickets_{tag}", f"{root}/tickets", "order_key", n)
+    b = write_bucketed(testbed.buyers(spark, sf_dir), f"buyers_{tag}", f"{root}/buyers", "o_orderkey", n)
+    return t.join(b.hint("merge"), t["order_key"] == b["o_orderkey"])
+
+
+@register("bucketed_ticket_buyers", BUCKET_SQL)
+def q_bucketed_ticket_buyers(spark, sf_dir):
+    """Tickets joined with buyers from bucketed tables without an exchange; per buyer city."""
+    per_order = bucketed_ticket_buyers(spark, sf_dir).groupBy("order_key", "city").agg(
+        F.count(F.lit(1)).alias("tickets"), F.sum("product_value").alias("value"))
+    return finish(per_order.groupBy("city").agg(F.sum("tickets").alias("tickets"), F.count(F.lit(1)).alias("orders"),
+                                                F.sum("value").alias("value")))
 
 
 REMOVAL_SQL = W_ + """d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY barcode ORDER BY

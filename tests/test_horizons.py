@@ -250,3 +250,34 @@ def test_no_sort_of_all_tickets(spark):
     text = plan(C.dedup_tickets(testbed.tickets(spark, SF)))
     # only rows that tie for a repeated barcode are compared by the whole order
     assert text.count("SortAggregate") <= 2 and "SortMergeJoin" not in text and "Window" not in text
+
+
+# ---- stored tables
+
+def test_ordered_table_has_months_order_and_bounded_files(spark, tmp_path):
+    from salescast.sources.storage import current, new_version, read_current, version_path, write_ordered
+    day = dt.datetime(2024, 1, 1)
+    rows = [(i, day + dt.timedelta(hours=7 * (i * 37 % 400))) for i in range(400)] + [(400, None)]
+    df = spark.createDataFrame(rows, "id long, t timestamp_ntz")
+    first = write_ordered(df, str(tmp_path), "t", ["t", "id"], rows_per_file=30, ranges=3)
+    got = read_current(spark, str(tmp_path))
+    assert sorted(r["id"] for r in got.collect()) == list(range(401))
+    sizes = got.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()
+    assert max(r["n"] for r in sizes) <= 30
+    jan = got.where(F.col("month") == "2024-01")
+    assert "PartitionFilters: [isnotnull(month" in plan(jan) or "month" in plan(jan).split("PartitionFilters")[1].split("]")[0]
+    ordered = got.withColumn("f", F.input_file_name()).withColumn("i", F.monotonically_increasing_id()).collect()
+    for f in {r["f"] for r in ordered}:
+        times = [str(r["t"]) for r in sorted((r for r in ordered if r["f"] == f), key=lambda r: r["i"])]
+        assert times == sorted(times)
+    # a run that fails before it publishes changes nothing
+    df.limit(1).withColumn("month", F.lit("x")).write.parquet(version_path(str(tmp_path), new_version()))
+    assert current(spark, str(tmp_path)) == first and read_current(spark, str(tmp_path)).count() == 401
+    write_ordered(df.limit(5), str(tmp_path), "t", ["t", "id"])
+    assert read_current(spark, str(tmp_path)).count() == 5
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    from salescast.plans.q_clean import bucketed_ticket_buyers
+    joined = bucketed_ticket_buyers(spark, SF)
+    assert "Exchange" not in plan(joined) and "SortMergeJoin" in plan(joined)
