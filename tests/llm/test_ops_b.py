@@ -240,6 +240,45 @@ def test_title_in_an_article_header(page):
     assert html.main_text(page.format(LONG)) == f"Title\n{LONG.strip()}"
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<html><head><title>T</title><body><p>{}</p>", "{}"),
+    ("<html><head><title>T</title><p>{}</p>", "{}"),
+    ("<head><meta charset=x><title>T</title>Plain text, yes.<p>{}", "Plain text, yes.\n{}"),
+    ("<form id=aspnet><article><h1>A</h1><p>{}</p></article><div>x</div></form>", "A\n{}"),
+    ("<div class=story-alert><article><p>{}</p></article></div>", "{}"),
+    ("<form><label>Mail, please.</label></form><article><p>{}</p></article>", "{}"),
+    ("<article><p>One <math><mi>x</mi><mo>=</mo><mn>2</mn></math> two <svg><title>no</title><text>lab</text></svg> end.</p><p>{}</p>",
+     "One x=2 two lab end.\n{}"),
+    ("<article><p>Open <svg><path d=x><p>{}</p></article>", "Open\n{}"),
+    ("<article><header><h1>Title</h1></header><p>{}</p></article>", "Title\n{}"),
+    ("<article><p>{}</p><footer>Foot, foot.</footer></article><header>Site, site.</header>", "{}"),
+    ("<div id=page><h1>Head</h1><div class=x><p>{}</p></div></div>", "Head\n{}"),
+    ("<div class=top><h1>Site</h1></div><div class=x><h1>Head</h1><p>{}</p></div>", "Head\n{}"),
+    ("<article><div class=entry-meta>By x</div><p>{}</p><div class=post-tags>a b</div></article>", "{}"),
+    ("<article><p>{}</p></article><section class=comments><article><p>Great, thanks, really.</p></article></section>", "{}"),
+])
+def test_less_common_pages(page, want):
+    assert html.main_text(page.format(LONG)) == want.format(LONG.strip())
+
+
+def test_path_values_equal_brute_force():
+    import math
+    rng = random.Random(9)
+    for _ in range(50):
+        blocks = [(p, (0.0, 1.0, 5.0)[p % 3], "x, y. " * rng.randrange(1, 30), 0, 0) for p in
+                  (rng.randrange(6) for _ in range(rng.randrange(1, 20)))]
+        ratio = {p: (sum(len(b[2]) for b in blocks if b[0] == p) / sum(b[0] == p for b in blocks),
+                     sum(b[2].count(",") + b[2].count(".") for b in blocks if b[0] == p) / sum(b[0] == p for b in blocks))
+                 for p in {b[0] for b in blocks}}
+        line = [(p, w, sum(math.log1p(x) for x in ratio[p])) for p, w, *_ in blocks if w]
+        want = {p: [] for p in ratio}
+        for i, (p, w, v) in enumerate(line):
+            near = [(html.KERNEL[k + 1], line[i + k][2]) for k in (-1, 0, 1) if 0 <= i + k < len(line)]
+            want[p].append(w * sum(a * b for a, b in near) / sum(a for a, _ in near))
+        got = html.path_values(blocks)
+        assert all(abs(got[p] - (sum(v) / len(v) if v else 0.0)) < 1e-9 for p, v in want.items())
+
+
 def test_main_text_odd_pages(spark):
     pages = [(1, None), (2, ""), (3, "plain text"), (4, "<p>"), (5, "<<<>>><p>ok"), (6, "<div>" * 3000 + "deep"),
              (7, "<script>x"), (8, "<article>" + "long " * 200000)]
