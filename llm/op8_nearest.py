@@ -1,15 +1,16 @@
 """Nearest neighbours by a block matrix join: largest inner product, exact results.
 
-Vectors are packed into blocks of at most about ``BLOCK`` rows.  Each vector is
-quantised to int8 with its own scale.  For every pair (query block, candidate
-block) one task multiplies int8 tiles; with the norms of the rounding errors
-every product gets a proven lower and upper bound.  Candidates whose upper bound
-reaches the query's k-th best lower bound survive and are recomputed in double
-precision, component by component from the original vectors.  Each tile gives a
-query's best ``k``; heaps merge them over the tiles.  No result is approximate.
+Vectors are quantised to int8 with a scale of their own and packed into blocks of at most
+about ``BLOCK`` rows: codes, scales, and the norms that bound what rounding can change.
+For every pair (query block, candidate block) one task multiplies int8 tiles; with the
+norms every product gets a proven lower and upper bound.  Candidates whose upper bound
+reaches the query's k-th best lower bound of the tile survive; over all tiles, those that
+reach the k-th best lower bound of all.  Only for these pairs the original vectors
+are fetched, and the products recomputed in double precision, component by component; a heap
+per query keeps the best ``k``.  No result is approximate.
 
 The query set is every row whose vec_id is divisible by ``EVERY``.  A tile task
-holds two blocks, whatever the size of the table; nothing is broadcast.
+holds two blocks of codes, whatever the size of the table; nothing is broadcast.
 
 Int8 products are summed as floats, which is exact: 127 * 127 * dims stays below
 2**24 (single precision) or 2**53 (double, used for more than 1040 dims).
@@ -38,7 +39,8 @@ from llm.common import materialize, read
 K, EVERY = 20, 20
 BLOCK, CHUNK = 8192, 256
 _SLACK = 1e-9  # relative, far above the rounding of the bounds themselves
-_BLOCK_SCHEMA = "dim int, block int, ids binary, vectors binary"
+_PARTS = ("ids", "codes", "scales", "norms", "errors")
+_BLOCK_SCHEMA = "dim int, block int, " + ", ".join(f"{c} binary" for c in _PARTS)
 
 
 def usable(df: DataFrame) -> DataFrame:
@@ -52,61 +54,63 @@ def usable(df: DataFrame) -> DataFrame:
             .withColumn("dim", F.size("v")))
 
 
+def once(rows: DataFrame) -> DataFrame:
+    """``rows`` with one row per (vec_id, dim), the one with the smallest vector.  Repeated ids are found by a count
+    and reduced by an aggregate, so copies never meet in a block; all other rows are not moved."""
+    rows = materialize(rows, "vectors")
+    again = materialize(rows.groupBy("vec_id", "dim").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"), "repeated")
+    if not again.limit(1).count():
+        return rows
+    least = rows.join(again, ["vec_id", "dim"], "left_semi").groupBy("vec_id", "dim").agg(F.min("v").alias("v"))
+    return materialize(rows.join(again, ["vec_id", "dim"], "left_anti").unionByName(least), "vectors")
+
+
 def pack(table: pa.Table) -> pa.Table:
-    """One block: ids and vectors as packed matrices, one row per vec_id."""
+    """One block: ids, int8 codes, scales, norms and error norms as packed arrays."""
     dim = table.column("dim")[0].as_py()
     ids = table.column("vec_id").to_numpy()
     x = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-    order = np.lexsort((*x.T[::-1], ids))
-    ids, x = ids[order], x[order]
-    first = np.r_[True, ids[1:] != ids[:-1]]
+    codes, scale, err = quantise(x)
+    norm = np.sqrt((x ** 2).sum(axis=1))
     return pa.table({"dim": pa.array([dim], pa.int32()), "block": table.column("block").slice(0, 1).cast(pa.int32()),
-                     "ids": pa.array([ids[first].tobytes()], pa.binary()),
-                     "vectors": pa.array([x[first].tobytes()], pa.binary())})
+                     **{c: pa.array([v.tobytes()], pa.binary()) for c, v in zip(_PARTS, (ids, codes, scale, norm, err))}})
 
 
 def pack_blocks(rows: DataFrame, n: int) -> DataFrame:
-    """Blocks of about BLOCK rows; rows of one vec_id share a block."""
+    """Blocks of about BLOCK rows."""
     blocks = max(1, -(-n // BLOCK))
     keyed = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     return keyed.groupBy("dim", "block").applyInArrow(pack, _BLOCK_SCHEMA)
 
 
-def unpack(row: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(row.column("ids")[0].as_py(), dtype=np.int64)
-    return ids, np.frombuffer(row.column("vectors")[0].as_py(), dtype=np.float64).reshape(len(ids), -1)
+def unpack(row: pa.Table) -> tuple[np.ndarray, ...]:
+    ids, codes, *rest = (row.column(c)[0].as_py() for c in _PARTS)
+    ids = np.frombuffer(ids, dtype=np.int64)
+    return ids, np.frombuffer(codes, dtype=np.int8).reshape(len(ids), -1), *(np.frombuffer(r) for r in rest)
 
 
-def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(int8 codes, scales, norms of the decoded vectors, norms of the rounding errors)."""
+def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(int8 codes, scales, norms of the rounding errors)."""
     scale = np.abs(x).max(axis=1) / 127
     scale[scale == 0] = np.finfo(float).tiny
     codes = np.clip(np.rint(x / scale[:, None]), -127, 127).astype(np.int8)
-    decoded = codes * scale[:, None]
-    return codes, scale, np.sqrt((decoded ** 2).sum(axis=1)), np.sqrt(((x - decoded) ** 2).sum(axis=1))
-
-
-def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row-wise inner products, summed component by component in order."""
-    out = np.zeros(len(a))
-    for d in range(a.shape[1]):
-        out += a[:, d] * b[:, d]
-    return out
+    return codes, scale, np.sqrt(((x - codes * scale[:, None]) ** 2).sum(axis=1))
 
 
-def search_tile(q_ids, q, c_ids, c, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query id, ids, scores) of each query's best k in a tile, best first."""
-    kind = np.float32 if q.shape[1] * 127 * 127 < 1 << 24 else np.float64
-    codes_c, scale_c, _, err_c = quantise(c)
-    norm_c = np.sqrt((c ** 2).sum(axis=1))
+def search_tile(queries, candidates, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(query id, ids, lower and upper bounds) of the candidates of a tile that may be among each query's best k."""
+    q_ids, codes_q, scale_q, norm_q, err_q = queries
+    c_ids, codes_c, scale_c, norm_c, err_c = candidates
+    kind = np.float32 if codes_q.shape[1] * 127 * 127 < 1 << 24 else np.float64
     codes_c = codes_c.astype(kind).T.copy()
-    codes_q, scale_q, norm_q, err_q = quantise(q)
-    for start in range(0, len(q), CHUNK):
+    # |q.c - q'.c'| <= |q'| |c - c'| + |q - q'| |c|, and |q'| <= |q| + |q - q'|.
+    decoded_q = norm_q + err_q
+    for start in range(0, len(q_ids), CHUNK):
         s = slice(start, start + CHUNK)
         about = (codes_q[s].astype(kind) @ codes_c).astype(np.float64)
         about *= scale_q[s][:, None] * scale_c
-        bound = norm_q[s][:, None] * err_c + err_q[s][:, None] * norm_c
-        bound += _SLACK * (norm_q[s][:, None] + err_q[s][:, None]) * norm_c
+        bound = decoded_q[s][:, None] * err_c + err_q[s][:, None] * norm_c
+        bound += _SLACK * (decoded_q[s][:, None] + err_q[s][:, None]) * norm_c
         about[q_ids[s][:, None] == c_ids] = -np.inf
         low = about - bound
         at = min(k, low.shape[1]) - 1
@@ -114,9 +118,7 @@ def search_tile(q_ids, q, c_ids, c, k: int) -> Iterator[tuple[int, np.ndarray, n
         alive = (about + bound >= limit[:, None]) & (about > -np.inf)
         for i in range(alive.shape[0]):
             j = np.flatnonzero(alive[i])
-            score = exact_products(np.broadcast_to(q[start + i], (len(j), q.shape[1])), c[j])
-            best = np.lexsort((c_ids[j], -score))[:k]
-            yield int(q_ids[start + i]), c_ids[j][best], score[best]
+            yield int(q_ids[start + i]), c_ids[j], low[i, j], about[i, j] + bound[i, j]
 
 
 def tile(k: int):
@@ -124,34 +126,66 @@ def tile(k: int):
     def run(queries: pa.Table, candidates: pa.Table) -> pa.Table:
         out = []
         if queries.num_rows and candidates.num_rows:
-            out = list(search_tile(*unpack(queries), *unpack(candidates), k))
-        return pa.table({"query_id": pa.array([r[0] for r in out], pa.int64()),
-                         "ids": pa.array([r[1].tobytes() for r in out], pa.binary()),
-                         "scores": pa.array([r[2].tobytes() for r in out], pa.binary())})
+            out = list(search_tile(unpack(queries), unpack(candidates), k))
+        dim = queries.column("dim")[0].as_py() if queries.num_rows else 0
+        return pa.table({"dim": pa.array([dim] * len(out), pa.int32()), "query_id": pa.array([r[0] for r in out], pa.int64()),
+                         **{c: pa.array([r[i].tobytes() for r in out], pa.binary()) for i, c in enumerate(("ids", "low", "high"), 1)}})
+    return run
+
+
+def survivors(k: int):
+    """Task over tile rows sorted by query: the pairs whose upper bound reaches the k-th best lower bound of all tiles."""
+    def reach(ids, low, high):
+        if len(low) > k:
+            may = high >= -np.partition(-low, k - 1)[k - 1]
+            return ids[may], low[may], high[may]
+        return ids, low, high
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, None
+
+        def pairs():
+            n = len(held[0])
+            return pa.RecordBatch.from_arrays([pa.array([now[0]] * n, pa.int32()), pa.array([now[1]] * n, pa.int64()),
+                                               pa.array(held[0])], names=["dim", "query_id", "vec_id"])
+
+        for batch in batches:
+            for dim, query, *parts in zip(*(batch.column(c).to_pylist() for c in ("dim", "query_id", "ids", "low", "high"))):
+                mine = tuple(np.frombuffer(x, dtype=t) for x, t in zip(parts, (np.int64, np.float64, np.float64)))
+                if (dim, query) != now:
+                    if now is not None:
+                        yield pairs()
+                    now, held = (dim, query), reach(*mine)
+                else:  # bounded memory whatever the number of tiles
+                    held = reach(*(np.concatenate(x) for x in zip(held, mine)))
+        if now is not None:
+            yield pairs()
     return run
 
 
-def merge_heaps(k: int):
-    """Task over rows sorted by query: merge the tiles' lists with a heap."""
+def best_heaps(k: int):
+    """Task over scored pairs sorted by query: a heap of the best k of each query."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, lists = None, []
+        now, heap = None, []  # the worst of the best on top: smallest score, largest id
 
         def best():
-            rows = list(heapq.merge(*lists))[:k] if len(lists) < 64 else heapq.nsmallest(k, (x for p in lists for x in p))
+            rows = sorted(((-s, -i) for s, i in heap))
             return pa.RecordBatch.from_arrays(
-                [pa.array([now] * len(rows), pa.int64()), pa.array(range(1, len(rows) + 1), pa.int32()),
-                 pa.array([r[1] for r in rows], pa.int64()), pa.array([-r[0] for r in rows], pa.float64())],
+                [pa.array([now[1]] * len(rows), pa.int64()), pa.array(range(1, len(rows) + 1), pa.int32()),
+                 pa.array([i for _, i in rows], pa.int64()), pa.array([-s for s, _ in rows], pa.float64())],
                 names=["query_id", "rank", "vec_id", "score"])
 
         for batch in batches:
-            for query, ids, scores in zip(*(batch.column(c).to_pylist() for c in ("query_id", "ids", "scores"))):
-                if query != now:
+            for dim, query, vec, score in zip(*(batch.column(c).to_pylist() for c in ("dim", "query_id", "vec_id", "score"))):
+                if (dim, query) != now:
                     if now is not None:
                         yield best()
-                    now, lists = query, []
-                lists.append(list(zip((-np.frombuffer(scores)).tolist(), np.frombuffer(ids, dtype=np.int64).tolist())))
-                if len(lists) == 256:  # bounded memory whatever the number of tiles
-                    lists = [heapq.nsmallest(k, (x for p in lists for x in p))]
+                    now, heap = (dim, query), []
+                item = (score, -vec)
+                if len(heap) < k:
+                    heapq.heappush(heap, item)
+                elif item > heap[0]:
+                    heapq.heapreplace(heap, item)
         if now is not None:
             yield best()
     return run
@@ -159,17 +193,25 @@ def merge_heaps(k: int):
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest other rows of every query row."""
-    rows, asked = usable(vectors), usable(queries)
-    candidates = materialize(pack_blocks(rows, rows.count()), "vectors")
+    rows, asked = once(usable(vectors)), once(usable(queries))
+    candidates = materialize(pack_blocks(rows, rows.count()), "blocks")
     searched = materialize(pack_blocks(asked, asked.count()), "queries")
     pairs = searched.select("dim", F.col("block").alias("q")).join(
         candidates.select("dim", F.col("block").alias("c")), "dim")  # block numbers only: the list of tiles
     left = searched.withColumnRenamed("block", "q").join(pairs, ["dim", "q"])
     right = candidates.withColumnRenamed("block", "c").join(pairs, ["dim", "c"])
     found = (left.groupBy("dim", "q", "c").cogroup(right.groupBy("dim", "q", "c"))
-             .applyInArrow(tile(k), "query_id long, ids binary, scores binary"))
-    return (found.repartition("query_id").sortWithinPartitions("query_id")
-            .mapInArrow(merge_heaps(k), "query_id long, rank int, vec_id long, score double"))
+             .applyInArrow(tile(k), "dim int, query_id long, ids binary, low binary, high binary"))
+    found = (found.repartition("query_id").sortWithinPartitions("query_id", "dim")
+             .mapInArrow(survivors(k), "dim int, query_id long, vec_id long"))
+    found = materialize(found, "survivors")
+    scored = (found.join(rows.select("dim", "vec_id", "v"), ["dim", "vec_id"])
+              .join(asked.select("dim", F.col("vec_id").alias("query_id"), F.col("v").alias("q")), ["dim", "query_id"]))
+    # Summed component by component, in order.
+    score = F.aggregate(F.zip_with("q", "v", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+    scored = scored.select("dim", "query_id", "vec_id", score.alias("score"))
+    return (scored.repartition("query_id").sortWithinPartitions("query_id", "dim")
+            .mapInArrow(best_heaps(k), "query_id long, rank int, vec_id long, score double"))
 
 
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
