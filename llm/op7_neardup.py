@@ -1,6 +1,6 @@
 """Near-duplicate documents: SuperMinHash, banding, verification, union-find.
 
-1. Every text becomes its set of distinct 2-word shingles (64-bit hashes) and a
+1. Every text becomes its set of distinct word shingles (64-bit hashes) and a
    SuperMinHash signature: each shingle gives the components a random
    permutation of ranks, and the steps stop as soon as no rank can improve any
    component of the document.
@@ -23,7 +23,8 @@ probability 2e-6.  All else is exact.
 
 Defined results
 * null or empty text, or one without words: set size 0, linked with nothing.
-* one word: the word itself is the only element of the set.
+* fewer words than a shingle has: the whole sequence is the only element of the set.
+* very long texts: whole; the steps of a signature work on slices of about 1 MB of text, or one text.
 * null doc_id: never names a component that has a doc_id; a component without
   any has a null name, and its rows are kept.
 * every row is judged by its own text, also where rows share a doc_id; kept means
@@ -35,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -125,12 +127,12 @@ _FEATURES = ("doc_id long, th long, n_shingles long, key_a long, key_b long, sig
              "shared binary")
 
 
-def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def features(batches: Iterator[pa.RecordBatch], width: int = WIDTH) -> Iterator[pa.RecordBatch]:
     """Task: set size, set key, one-byte signature and band keys of each text."""
     for batch in batches:
         start = 0
         for part in slices(batch.column("text")):
-            elements, first = shingle_sets(part)
+            elements, first = shingle_sets(part, width)
             sig = super_minhash(elements, first)
             n = np.diff(first)
             key = set_keys(elements, first)
@@ -297,15 +299,16 @@ def similar(p: np.ndarray, q: np.ndarray) -> bool:
     return 100 * both >= SIMILARITY_PERCENT * (len(p) + len(q) - both)
 
 
-def make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: the full shingle set of each text as packed 64-bit hashes."""
+def make_sets(batches: Iterator[pa.RecordBatch], width: int = WIDTH) -> Iterator[pa.RecordBatch]:
+    """Task: the full shingle set of each text as packed 64-bit hashes, with its 128-bit key."""
     for batch in batches:
         for part in slices(batch.column("text")):
-            elements, first = shingle_sets(part)
+            elements, first = shingle_sets(part, width)
+            keys = set_keys(elements, first)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(set_keys(elements, first)[:, 0]),
+                [pa.array(keys[:, 0]), pa.array(keys[:, 1]),
                  pa.array([elements[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())],
-                names=["id", "s"])
+                names=["id", "key_b", "s"])
 
 
 def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,30 +373,47 @@ def components(edges: DataFrame) -> DataFrame:
         mark = (r["n"], r["s"])
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id, kept) of every row of ``df``."""
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, kept) of every row of ``df``, by shingles of ``width`` words.
+    The ids must be whole numbers."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
-    table = materialize(docs.mapInArrow(tidy(features), _FEATURES), "shingles")
+    table = materialize(docs.mapInArrow(tidy(partial(features, width=width)), _FEATURES), "shingles")
     first = F.min_by(F.struct("doc_id", "th", "sig", "bands", "shared"), F.struct(F.col("doc_id").isNull(), "doc_id"))
     classes = (table.filter("n_shingles > 0").groupBy("key_a", "key_b")
                .agg(F.max("n_shingles").alias("n"), first.alias("f")))
-    reps = materialize(classes.select(F.col("key_a").alias("id"), "key_b", "n", F.col("f.doc_id").alias("rep"),
-                                      "f.th", "f.sig", "f.bands", "f.shared"), "classes")
-    found = named_components(reps, link(docs, reps))
+    reps, clash = unique_ids(materialize(classes.select(
+        F.col("key_a").alias("id"), "key_a", "key_b", "n", F.col("f.doc_id").alias("rep"),
+        "f.th", "f.sig", "f.bands", "f.shared"), "classes"))
+    found = named_components(reps, link(docs, reps, clash, width))
     member = table.select("doc_id", "th", "n_shingles", "key_a", "key_b").join(found, ["key_a", "key_b"], "left")
     comp = F.when(F.col("n_shingles") > 0, F.col("comp")).otherwise(F.col("doc_id"))
     return member.select("doc_id", F.col("th").alias("text_hash"), "n_shingles", comp.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def unique_ids(reps: DataFrame) -> tuple[DataFrame, bool]:
+    """``reps`` with an id for each class, and whether any was changed.  The id is the first half of the class's
+    key; classes that only differ in the second half (a few among 10**10) get another number each."""
+    changed = False
+    for salt in range(1, 100):
+        same = materialize(reps.groupBy("id").agg(F.count(F.lit(1)).alias("c"), F.min("key_b").alias("stays"))
+                           .filter("c > 1").select("id", "stays"), "clashes")
+        if not same.limit(1).count():
+            return reps, changed
+        other = F.when(F.col("key_b") > F.col("stays"), F.xxhash64("key_a", "key_b", F.lit(salt))).otherwise(F.col("id"))
+        reps = materialize(reps.join(same, "id", "left").withColumn("id", other).drop("stays"), "classes")
+        changed = True
+    raise ValueError("class ids stay ambiguous")
+
+
+def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """``df`` with one row of each component; rows with an empty set all stay.
 
     The rows to drop, (doc_id, hash of the text), are written first; they are
     broadcast while their counted number fits, else joined by shuffle.
     """
-    verdict = materialize(near_duplicates(df, doc_id, text), "verdict")
+    verdict = materialize(near_duplicates(df, doc_id, text, width), "verdict")
     gone = verdict.filter("NOT kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__th")).distinct()
     gone = broadcast_bounded(gone, verdict.filter("NOT kept").count())
     text_hash = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
@@ -408,7 +428,7 @@ def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "tex
 def named_components(reps: DataFrame, links: DataFrame) -> DataFrame:
     """(key_a, key_b, comp) of every class; comp is the smallest doc_id of its component."""
     labelled = reps.join(links, "id", "left").select(
-        F.col("id").alias("key_a"), "key_b", "rep", F.coalesce("comp", "id").alias("label"))
+        "key_a", "key_b", "rep", F.coalesce("comp", "id").alias("label"))
     names = labelled.groupBy("label").agg(F.min("rep").alias("comp"))
     return labelled.join(names, "label").select("key_a", "key_b", "comp")
 
@@ -424,8 +444,8 @@ def block_rows(rows: DataFrame) -> DataFrame:
     return rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "id")
 
 
-def link(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(id, comp) of the representatives that are linked with others."""
+def link(docs: DataFrame, reps: DataFrame, clash: bool = False, width: int = WIDTH) -> DataFrame:
+    """(id, comp) of the representatives that are linked with others; ``clash``: ids are not the first half of the keys."""
     spark = docs.sparkSession
     bands = reps.select("id", F.posexplode("bands").alias("band", "key"))
     crowded = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
@@ -436,7 +456,10 @@ def link(docs: DataFrame, reps: DataFrame) -> DataFrame:
     if not pairs.limit(1).count():
         return spark.createDataFrame([], "id long, comp long")
     # Every row that may have a partner is on a proposed pair, so these sets suffice.
-    sets = materialize(fetch(docs, reps, pairs).mapInArrow(tidy(make_sets), "id long, s binary").dropDuplicates(["id"]), "sets")
+    sets = fetch(docs, reps, pairs).mapInArrow(tidy(partial(make_sets, width=width)), "id long, key_b long, s binary")
+    if clash:
+        sets = sets.withColumnRenamed("id", "key_a").join(reps.select("key_a", "key_b", "id"), ["key_a", "key_b"])
+    sets = materialize(sets.select("id", "s").dropDuplicates(["id"]), "sets")
     joined = (pairs.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
               .join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a"))
     edges = materialize(joined.select("a", "b", "sa", "sb").mapInArrow(tidy(verify), "a long, b long"), "links")
