@@ -10,8 +10,8 @@ so that a few junk or mislabelled rows do not widen it).
 A short text can share little with a centroid whatever its language, so the
 limit shrinks with the root of its n-gram count below ``FULL_GRAMS``.
 
-The model is fitted on at most ``SAMPLE_PER_LANG`` texts of each language, the
-ones with the smallest hash of doc_id.  Vectors and clusters are made by the
+The model is fitted on at most ``SAMPLE_PER_LANG`` different texts of each language, the
+ones with the smallest hash of doc_id and text.  Vectors and clusters are made by the
 executors; the driver holds document frequencies (one number per feature) and
 centroids (``CLUSTERS`` x ``DIMS`` floats per language).  Prediction reads every
 whole text once, where it is scanned, and shuffles nothing.
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from llm.common import materialize, read
@@ -157,16 +157,19 @@ def fit(train: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "
     """Fit on a bounded sample of labelled rows (``per_lang`` texts of each language)."""
     spark = train.sparkSession
     labelled = train.filter(F.col(lang).isNotNull())
-    counts = {r[lang]: r["n"] for r in labelled.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
+    counts = materialize(labelled.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n")), "languages")
+    if not counts.limit(1).count():
         return Model(np.zeros(DIMS, np.float32), [], np.zeros((0, DIMS), np.float32), np.zeros(0, np.float32))
-    # Rows by hash of the key: about 1.2 x per_lang reach Python, the smallest hashes are used.
+    # Rows by hash of key and text (so that null or repeated keys are drawn like others).  About 1.2 x per_lang
+    # pass the hash; of equal rows one stays; the per_lang smallest hashes of each language reach Python.
     parts = 1_000_000
-    share = F.lit(0)
-    for name, n in counts.items():
-        share = F.when(F.col(lang) == name, F.lit(min(parts, -(-parts * per_lang * 12 // (10 * n))))).otherwise(share)
-    drawn = (labelled.select(F.col(lang).alias("lang"), F.xxhash64(key).alias("h"), F.lower(text).alias("text"))
-             .filter(F.pmod("h", F.lit(parts)) < share).filter(F.col("text").rlike(LETTER)))
+    share = F.least(F.lit(parts), F.ceil(F.lit(parts * 1.2 * per_lang) / F.col("n")))
+    drawn = (labelled.select(F.col(lang).alias("lang"), F.xxhash64(F.col(key), F.col(text)).alias("h"), F.lower(text).alias("text"))
+             .join(counts, "lang").filter(F.pmod("h", F.lit(parts)) < share).filter(F.col("text").rlike(LETTER)).drop("n"))
+    least = Window.partitionBy("lang").orderBy("h")  # about 1.2 x per_lang hashes a language
+    chosen = drawn.select("lang", "h").distinct().withColumn("place", F.row_number().over(least))
+    chosen = chosen.filter(F.col("place") <= per_lang).select("lang", "h")
+    drawn = drawn.join(chosen, ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"])
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
