@@ -26,12 +26,17 @@ Defined results
 * texts without words have no tokens; they are drawn like others of their cell,
   and cells without any token have probability 0.
 * repeated rows of a doc_id are drawn together; null doc_id draws by the text.
+* given targets that the cells cannot have together are an error (``TargetsNotMet``); the softened observed
+  shares, used without targets, only warn, and the last round's weights stand.
+* topic ties go to the class with the smallest number; very long texts are counted whole, in one row.
 * an empty table gives an empty result; other columns are passed through, and
   columns named like an added column are replaced (two leading underscores are reserved).
 """
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +51,8 @@ POWER = 0.5
 BUDGET = 0.5
 SEED = 11
 RAKE_ROUNDS, RAKE_TOLERANCE = 500, 1e-10
+# A share may stay this far off its target (a fit that converges slowly); beyond it the targets count as contradictory.
+DEVIATION = 0.001
 
 
 def add_tokens_and_topic(df: DataFrame, text: str = "text") -> DataFrame:
@@ -64,9 +71,24 @@ def add_tokens_and_topic(df: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumn("topic", topic).drop("__w", "__votes")
 
 
-def rake_cells(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray]) -> np.ndarray:
-    """Iterative proportional fitting of cells (tokens and a value number per axis) to shares per axis."""
-    w = tokens / tokens.sum()
+class TargetsNotMet(ValueError):
+    """The cells cannot have the wanted shares: a marginal stays further off than ``DEVIATION``."""
+
+
+def checked(worst: float, strict: bool) -> None:
+    """Given targets that are not met are an error; softened observed shares need not fit together, so they only warn."""
+    if worst > DEVIATION:
+        text = (f"after {RAKE_ROUNDS} rounds a share is still {worst:.4f} off its target; the source, language and "
+                f"topic shares contradict each other in these documents")
+        if strict:
+            raise TargetsNotMet(text)
+        warnings.warn(text, stacklevel=2)
+
+
+def rake_cells(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], strict: bool = True) -> np.ndarray:
+    """Iterative proportional fitting of cells (tokens and a value number per axis) to shares per axis.
+    Raises :class:`TargetsNotMet` (or warns) where the fit ends far from a target."""
+    w, worst = tokens / tokens.sum(), 0.0
     for _ in range(RAKE_ROUNDS):
         worst = 0.0
         for code, target in zip(codes, targets):
@@ -76,6 +98,7 @@ def rake_cells(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.nda
             w = w * ratio[code]
         if worst < RAKE_TOLERANCE:
             break
+    checked(worst, strict)
     return w
 
 
@@ -123,7 +146,7 @@ def local_probabilities(cells: DataFrame, targets: dict, budget: float, power: f
         codes.append(np.array([place[r[a]] for r in rows]))
         observed = np.bincount(codes[-1], weights=tokens, minlength=len(names)) / tokens.sum()
         wanted.append(target_shares(names, observed, targets.get(axis), power))
-    raked = rake_cells(tokens, codes, wanted)
+    raked = rake_cells(tokens, codes, wanted, bool(targets))
     p = calibrate(raked / (tokens / tokens.sum()), tokens, budget)
     out = [(r["s"], r["l"], r["t"], float(w), float(x)) for r, w, x in zip(rows, raked, p)]
     return cells.sparkSession.createDataFrame(out, SCHEMA)
@@ -162,7 +185,7 @@ def table_probabilities(cells: DataFrame, total: int, targets: dict, budget: flo
     cells = materialize(cells.withColumns({f"k{a}": key_of(F.col(a)) for a in AXES.values()}), "cells")
     share = F.col("n") / F.lit(float(total))
     factors = {a: table_targets(cells, a, total, targets.get(axis), power) for axis, a in AXES.items()}
-    written = {}
+    written, worst = {}, 0.0
     for _ in range(RAKE_ROUNDS):
         worst = 0.0
         for a in factors:
@@ -183,6 +206,7 @@ def table_probabilities(cells: DataFrame, total: int, targets: dict, budget: flo
             worst = max(worst, factors[a].agg(F.max("off").alias("x")).first()["x"])
         if worst < RAKE_TOLERANCE:
             break
+    checked(worst, bool(targets))
     ratio = F.lit(1.0)
     for a in factors:
         cells = cells.join(factors[a].select(f"k{a}", f"f{a}"), f"k{a}")
