@@ -18,6 +18,7 @@ Defined results
 * null source: a source of its own.  null cluster: conflicts with nothing.
 * repeated rows are packed as items of their own; ties go by id, then piece.
 * an empty table gives an empty result; other columns are not carried along.
+* ids may be whole numbers or strings; they come back in their own type.
 """
 
 from __future__ import annotations
@@ -106,17 +107,29 @@ def pack(items: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURC
     # Repeated rows are spread too: the salt differs by row of the written pieces.
     dealt = F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(groups)).cast("int")
     full = pieces.filter("n_tokens > 0").withColumn("grp", dealt)
+    kind = pieces.schema["doc_id"].dataType.simpleString()
     packed = full.groupBy("grp").applyInArrow(
         pack_group(capacity, per_source),
-        "doc_id long, piece int, n_tokens long, source string, cluster long, bin_id long, place long")
+        f"doc_id {kind}, piece int, n_tokens long, source string, cluster long, bin_id long, place long")
     none = F.lit(None).cast("long")
     return packed.unionByName(pieces.filter("n_tokens = 0").withColumns({"bin_id": none, "place": none}))
 
 
-def items_of(docs: DataFrame) -> DataFrame:
-    """Packing items of documents: words as tokens, equal texts as one cluster."""
-    return docs.select("doc_id", F.regexp_count("text", F.lit(WORD)).alias("n_tokens"), "source",
-                       F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("cluster"))
+def items_of(docs: DataFrame, near: DataFrame | None = None) -> DataFrame:
+    """Packing items of documents: words as tokens, equal texts as one cluster.
+
+    ``near`` (doc_id, text_hash, component_id, as :func:`llm.op7_neardup.near_duplicates` gives them) makes
+    near-duplicate groups the clusters instead, so that near copies do not meet in a sequence either."""
+    items = docs.select("doc_id", F.regexp_count("text", F.lit(WORD)).alias("n_tokens"), "source",
+                        F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("cluster"))
+    if near is None:
+        return items
+    groups = near.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__th"),
+                         F.col("component_id").alias("__group")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.coalesce("cluster", F.xxhash64(F.lit(""))) == F.col("__th"))
+    items = items.join(groups, same, "left")
+    return items.select("doc_id", "n_tokens", "source", F.when(
+        F.col("__group").isNotNull(), F.xxhash64(F.lit("group"), "__group")).otherwise(F.col("cluster")).alias("cluster"))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
