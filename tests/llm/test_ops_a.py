@@ -118,6 +118,35 @@ def test_raked_marginals_meet_targets():
         assert np.allclose(w.sum(axis=others), t, atol=1e-8)
 
 
+def test_targets_that_contradict_each_other_are_an_error(spark):
+    rows = [(i, "w", "en" if i % 2 else "fr", f"s{i % 2}", 10, "t") for i in range(100)]  # each source has one language
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_tokens long, topic string")
+    with pytest.raises(mixing.TargetsNotMet):
+        mixing.mix(df, {"source": {"s0": 0.9, "s1": 0.1}, "lang": {"en": 0.9, "fr": 0.1}})
+    assert mixing.mix(df, {"source": {"s0": 0.9, "s1": 0.1}, "lang": {"fr": 0.9, "en": 0.1}}).count() == 100
+    rows.append((100, "w", "de", "s0", 10, "t"))  # softened shares that do not fit together only warn
+    with pytest.warns(UserWarning):
+        mixing.mix(spark.createDataFrame(rows, df.schema)).count()
+
+
+def test_raking_equals_a_plain_reference():
+    """Every cell against a loop over dicts."""
+    rng = np.random.default_rng(6)
+    cells = {(s, l, t): float(rng.integers(1, 50)) for s in "abc" for l in "xy" for t in "uv" if rng.random() < 0.9 or s == "a"}
+    wanted = [{"a": .5, "b": .3, "c": .2}, {"x": .6, "y": .4}, {"u": .3, "v": .7}]
+    w = {k: v / sum(cells.values()) for k, v in cells.items()}
+    for _ in range(2000):
+        for axis, target in enumerate(wanted):
+            total = Counter()
+            for k, v in w.items():
+                total[k[axis]] += v
+            w = {k: v * target[k[axis]] / total[k[axis]] for k, v in w.items()}
+    keys = sorted(cells)
+    codes = [np.array([sorted(target).index(k[axis]) for k in keys]) for axis, target in enumerate(wanted)]
+    got = mixing.rake_cells(np.array([cells[k] for k in keys]), codes, [np.array([t[v] for v in sorted(t)]) for t in wanted])
+    assert np.allclose(got, [w[k] for k in keys], atol=1e-7)
+
+
 def test_calibrated_probabilities_meet_the_budget():
     rng = np.random.default_rng(4)
     tokens, ratio = rng.integers(1, 100, 50).astype(float), rng.random(50) * 5
@@ -285,3 +314,52 @@ def test_packing_odd_rows(spark, docs_schema):
     assert sum(r["n_tokens"] for r in rows if r["doc_id"] == 5) == 20000
     assert all((r["bin_id"] is None) == (r["n_tokens"] == 0) for r in rows)
     assert packing.pack(packing.items_of(spark.createDataFrame([], docs_schema))).count() == 0
+
+
+def test_language_sample_is_bounded_for_null_and_repeated_ids(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language, "materialize", lambda df, label: seen.append((label, df)) or df)
+    rows = [(None, f"some english words number {i} here", "en") for i in range(600)] + [(7, f"quelques mots {i} de plus", "fr") for i in range(600)]
+    rows += [(8, "the same text", "en")] * 200
+    language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_lang=50)
+    sample = dict(seen)["langsample"].groupBy("lang").count().collect()
+    assert {r["lang"] for r in sample} == {"en", "fr"} and all(25 <= r["count"] <= 50 for r in sample)
+
+
+def test_nearest_centroid_equals_a_plain_reference(spark):
+    """Predictions of a fitted model against cosines computed n-gram by n-gram."""
+    import math
+
+    import pyarrow as pa
+    texts = ["the cat and the dog", "le chat et le chien", "der hund und die katze"] * 4
+    rows = [(i, f"{t} {i}", ("en", "fr", "de")[i % 3]) for i, t in enumerate(texts)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    ask = ["the dog and a cat", "un chien et un chat", "hund und katze", "x"]
+    langs, scores, _ = model.predict(pa.array(ask))
+    counts = language.ngram_counts(pa.array(ask))
+    for text, row, lang, score in zip(ask, counts, langs, scores):
+        v = [math.log1p(c) * i for c, i in zip(row.tolist(), model.idf.tolist())]
+        size = math.sqrt(sum(x * x for x in v)) or 1.0
+        cos = [sum(a * b for a, b in zip(v, c.tolist())) / size for c in model.centroids]
+        best = max(range(len(cos)), key=lambda j: cos[j])
+        assert abs(max(cos) - score) < 1e-4 and model.langs[best] == lang
+
+
+@pytest.mark.parametrize("kind", ["int", "long", "string"])
+def test_packing_takes_ids_of_any_type(spark, kind):
+    df = spark.createDataFrame([(i, 5, "s", i) for i in range(20)], "doc_id long, n_tokens long, source string, cluster long")
+    out = packing.pack(df.withColumn("doc_id", F.col("doc_id").cast(kind)))
+    assert out.schema["doc_id"].dataType == df.withColumn("doc_id", F.col("doc_id").cast(kind)).schema["doc_id"].dataType
+    assert out.select("doc_id").distinct().count() == 20
+
+
+def test_near_copies_do_not_share_a_sequence(spark):
+    from llm.op7_neardup import near_duplicates
+    base = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"{base} more{i}", f"s{i}") for i in range(6)] + [(9, "another text", "z"), (10, None, "y")],
+                                 "doc_id long, text string, source string")
+    items = packing.items_of(docs, near_duplicates(docs))
+    assert items.count() == 8
+    rows = packing.pack(items).filter("n_tokens > 10").collect()
+    assert len({r["bin_id"] for r in rows}) == 6
+    assert len({r["bin_id"] for r in packing.pack(packing.items_of(docs)).filter("n_tokens > 10").collect()}) < 6

@@ -81,13 +81,13 @@ def test_chat_one_example_per_reply_and_only_it_is_trained(spark):
 
 # ---- near duplicates
 
-def brute_components(docs):
+def brute_components(docs, width=2):
     def fold(t):
         return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
     sets = []
     for _, t in docs:
         w = WORD.findall(fold(t or ""))
-        sets.append(set(zip(w, w[1:])) if len(w) > 1 else set(w))
+        sets.append(set(zip(*[w[k:] for k in range(width)])) if len(w) >= width else {tuple(w)} if w else set())
     parent = list(range(len(docs)))
 
     def find(i):
@@ -133,6 +133,49 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, links):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
 
 
+@pytest.mark.parametrize("width", [3, 5])
+def test_near_duplicates_of_wider_shingles(spark, width):
+    docs = near_docs()
+    rows = near.near_duplicates(spark.createDataFrame(docs, "doc_id int, text string"), width=width).collect()
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows), key=str)
+    assert got == brute_components(docs, width)
+
+
+def test_classes_with_equal_first_key_halves_stay_apart(spark, monkeypatch):
+    keys = near.set_keys
+
+    def clashing(elements, first):
+        out = keys(elements, first).copy()
+        out[:, 0] %= 7  # few first halves for many sets
+        return out
+    monkeypatch.setattr(near, "set_keys", clashing)
+    monkeypatch.setattr(near, "features", near_features(clashing))
+    monkeypatch.setattr(near, "make_sets", near_sets(clashing))
+    docs = near_docs()[:150]
+    rows = near.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows), key=str)
+    assert got == brute_components(docs)
+
+
+def near_features(clashing):
+    """The module's tasks with other keys, also inside the workers."""
+    real = near.features
+
+    def run(batches, width):
+        near.set_keys = clashing
+        yield from real(batches, width)
+    return run
+
+
+def near_sets(clashing):
+    real = near.make_sets
+
+    def run(batches, width):
+        near.set_keys = clashing
+        yield from real(batches, width)
+    return run
+
+
 def test_drop_near_duplicates_keeps_one_of_each(spark):
     docs = near_docs()
     df = spark.createDataFrame(docs, "doc_id long, text string")
@@ -179,6 +222,26 @@ def test_neighbours_equal_brute_force(spark, monkeypatch):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_bounds_hold_for_every_pair():
+    rng = np.random.default_rng(5)
+    q, c = rng.normal(size=(30, 12)) * 10.0 ** rng.integers(-3, 4, (30, 1)), rng.normal(size=(200, 12)) * 10.0 ** rng.integers(-3, 4, (200, 1))
+
+    def block(x, first):
+        codes, scale, err = ann.quantise(x)
+        return np.arange(first, first + len(x)), codes, scale, np.sqrt((x ** 2).sum(axis=1)), err
+    for query, ids, low, high in ann.search_tile(block(q, 1000), block(c, 0), 5):
+        exact = c @ q[query - 1000]
+        assert (low <= exact[ids]).all() and (exact[ids] <= high).all()
+        assert set(np.argsort(-exact)[:5]) <= set(ids)
+
+
+def test_repeated_ids_keep_their_smallest_vector(spark):
+    rows = [(1, [3.0, 0.0]), (1, [2.0, 9.0]), (1, [2.0, 1.0]), (2, [1.0, 1.0]), (1, [5.0, 1.0, 1.0])]
+    df = ann.usable(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    got = sorted((r["vec_id"], r["dim"], tuple(r["v"])) for r in ann.once(df).collect())
+    assert got == [(1, 2, (2.0, 1.0)), (1, 3, (5.0, 1.0, 1.0)), (2, 2, (1.0, 1.0))]
+
+
 # ---- html
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>

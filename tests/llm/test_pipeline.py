@@ -37,7 +37,7 @@ def test_language_stage_drops_the_rejected_only(spark, results):
 
 def test_near_duplicate_stage_keeps_the_first_of_each_component(results):
     docs = [(r["doc_id"], r["text"]) for r in results[1]]
-    kept = {d for d, n, c in brute_components(docs) if n == 0 or d == c}
+    kept = {d for d, n, c in brute_components(docs, 5) if n == 0 or d == c}
     assert {r["doc_id"] for r in results[2]} == kept and len(results[2]) == len(kept)
 
 
