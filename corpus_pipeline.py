@@ -25,8 +25,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each near-duplicate group."""
-    return op7_neardup.drop_near_duplicates(docs)
+    """Keep one document of each near-duplicate group, by shingles of five words."""
+    return op7_neardup.drop_near_duplicates(docs, width=5)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
