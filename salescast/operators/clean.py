@@ -91,6 +91,13 @@ def dedup_tickets(t: DataFrame, priority: dict[str, int] | None = None) -> DataF
     return dedup_keep_first(t, "barcode", order, packed_order(rank, F.col("verkoopdatum")))
 
 
+def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int, ties: Sequence[str] = ()) -> DataFrame:
+    """``n`` rows by the smallest digests of (``seed``, ``keys``): a random choice that does not depend on
+    partitions or file order.  ``ties`` order rows of equal keys."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *keys).cast("binary"))
+    return df.orderBy(digest, *ties).limit(n)
+
+
 def group_size(df: DataFrame, key: str, out: str) -> DataFrame:
     """Size of the row's group (null key -> null), as count + join back."""
     sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(out))

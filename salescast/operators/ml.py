@@ -73,7 +73,7 @@ def fit_family(table: DataFrame, name: str, features: Sequence[str], target: str
 # Penalty and L1 share of the linear families of :func:`model_families`.
 LINEAR = {"Lasso": (0.1, 1.0), "Ridge": (0.1, 0.0), "ElasticNet": (0.1, 0.5)}
 # Spark jobs that fit models side by side.
-AT_ONCE = 4
+AT_ONCE = 8
 
 
 def side_by_side(jobs: Sequence[Callable]) -> list:
@@ -156,6 +156,12 @@ def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequ
     return df.orderBy(F.abs("value").desc(), F.col("feature")).limit(k)
 
 
+def ranked_values(spark: SparkSession, values: dict[str, float], k: int) -> DataFrame:
+    """The ``k`` features (a list as long as the model is wide) of the largest absolute value, with their rank."""
+    top = sorted(values, key=lambda f: (-abs(values[f]), f))[:k]
+    return spark.createDataFrame([(f, float(values[f]), i) for i, f in enumerate(top, 1)], "feature string, value double, rank int")
+
+
 def feature_hash(features: Sequence[str]) -> str:
     return hashlib.sha256("\n".join(features).encode()).hexdigest()
 

@@ -43,19 +43,19 @@ TICKET_INPUT_COLS = ["event_name", "verkoopdatum", "barcode", "first_event_date_
 
 def prepare_tickets(tickets: DataFrame, known_cities: DataFrame, T: int | None, asof: str | None,
                     name_bound: int | None = None, city_bound: int | None = None,
-                    is_prediction: bool = False, reuse: bool = True) -> DataFrame:
+                    is_prediction: bool = False, reuse: bool = True, landed: bool = False) -> DataFrame:
     """F03 -> P12 -> X01 -> J07 -> X17/F06 on the ticket rows.
 
     The median fill and the name normalisation each read the ticket rows
     once more (counts per value, distinct names); with ``reuse`` the
     projected input is persisted so those passes hit one materialised copy
-    instead of re-running the upstream joins.  ``T`` None leaves unknown lead days null,
+    instead of re-running the upstream joins (``landed``: the input is such a copy).  ``T`` None leaves unknown lead days null,
     as the horizon cube wants them.
     """
     t = tickets.select(*[c for c in TICKET_INPUT_COLS if c in tickets.columns])
     if asof is not None and not is_prediction:
         t = feat.past_events(t, asof)
-    if reuse:
+    if reuse and not landed:
         t = materialize(t, "tickets_in")
     # events are told apart by the folded name, as the fill's groups are in the reference
     t = t.withColumn("__event", F.lower(F.trim("event_name")))

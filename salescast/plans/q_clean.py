@@ -286,11 +286,13 @@ def q_constant_columns(spark, sf_dir):
     return finish(an.constant_columns(testbed.tickets(spark, sf_dir, with_buyer=True), CONST_COLS))
 
 
-@register("sample_rows")
+@register("sample_rows", W_ + typed_select(
+    "(SELECT barcode, event_name, product_value FROM tickets ORDER BY md5('42|' || barcode || '|' || event_name), product_value LIMIT 20)",
+    [("barcode", "s"), ("event_name", "s"), ("product_value", "d")]))
 def q_sample_rows(spark, sf_dir):
-    """Random sample of 20 tickets (seeded; sampling is the feature, rows-only check)."""
+    """Random sample of 20 tickets (sampling is the feature), the same however the rows are dealt."""
     t = testbed.tickets(spark, sf_dir).select("barcode", "event_name", "product_value")
-    return finish(t.orderBy(F.rand(42)).limit(20))
+    return finish(C.sample_rows(t, 20, ["barcode", "event_name"], 42, ["product_value"]))
 
 
 # ----------------------------------------------------------------- S08 O01 P08 P13 X11 X12 P10 A32 O03 X18

@@ -213,7 +213,7 @@ def _inputs(spark, sf_dir):
 def training_table(spark, sf_dir, horizons=HZ, asof=SPLIT, inputs=None):
     """(event, T) feature rows of the events that started up to ``asof``."""
     tickets, known, bounds = inputs or _inputs(spark, sf_dir)
-    prepared = pipe.prepare_tickets(tickets, known, None, asof, **bounds)
+    prepared = pipe.prepare_tickets(tickets, known, None, asof, **bounds, landed=inputs is not None)
     return pipe.event_table_horizons(prepared, horizons, ML_LAG, LO_REF, HI_REF, event_bound=bounds["name_bound"])
 
 
@@ -223,7 +223,7 @@ def scoring_table(spark, sf_dir, horizons=HZ, asof=SPLIT, inputs=None):
     tickets, known, bounds = inputs or _inputs(spark, sf_dir)
     sold = F.to_date("verkoopdatum") <= F.to_date(F.lit(asof))
     upcoming = tickets.where((F.to_date("first_event_date_start") > F.to_date(F.lit(asof))) & sold)
-    prepared = pipe.prepare_tickets(upcoming, known, None, None, is_prediction=True, **bounds)
+    prepared = pipe.prepare_tickets(upcoming, known, None, None, is_prediction=True, **bounds, landed=inputs is not None)
     routes = ml.route_events(prepared, horizons, asof)
     rows = pipe.event_table_routed(prepared, routes.withColumnRenamed("model_T", "T"), horizons, ML_LAG,
                                    event_bound=bounds["name_bound"])
@@ -302,6 +302,27 @@ def q_ridge_folds(spark, sf_dir):
     return finish(ml.fold_figures(scored, False).select(F.col("__fold").alias("fold"), "rmse", "mae", "r2"))
 
 
+LOG_RIDGE_SQL = BASE_SQL + f""",
+r AS (SELECT ln(1 + y_true::DOUBLE) AS y, cum::DOUBLE AS a, vel::DOUBLE AS v FROM b WHERE T = {T_EVAL}),
+s AS (SELECT stddev_pop(y) AS sy, stddev_pop(a) AS sa, stddev_pop(v) AS sv, corr(a, v) AS c, corr(a, y) AS ca, corr(v, y) AS cv FROM r),
+w AS (SELECT *, 1 + 0.1 / sy AS d FROM s),
+u AS (SELECT 'cum' AS feature, (d * ca - c * cv) / (d * d - c * c) * sy / sa AS value FROM w
+      UNION ALL SELECT 'vel', (d * cv - c * ca) / (d * d - c * c) * sy / sv FROM w)
+"""
+
+
+@register("ridge_coefficients", LOG_RIDGE_SQL + typed_select(
+    "(SELECT feature, value * 1000 AS value, row_number() OVER (ORDER BY abs(value) DESC, feature) AS rank FROM u)",
+    [("feature", "s"), ("value", "d"), ("rank", "i")]))
+def q_ridge_coefficients(spark, sf_dir):
+    """Ridge on the log target: coefficients (per mille) by absolute size."""
+    rows = base_table(spark, sf_dir).where(F.col("T") == T_EVAL)
+    data = ml.training_rows(rows, "event_name", RIDGE_FEATURES, "y_true", True)
+    moments = gram.moment_matrices(data, F.lit(0), RIDGE_FEATURES, "label")
+    coef, _ = gram.solve(moments[0], *ml.LINEAR["Ridge"])
+    return finish(ml.ranked_values(spark, dict(zip(RIDGE_FEATURES, (1000 * coef).tolist())), 20))
+
+
 # Rolling origins: one a day, so that the last origin before a cut is the cut itself.
 ORIGINS = [str(dt.date(2001, 9, 20) + dt.timedelta(days=i)) for i in range(46)]
 ROLLING_SQL = BASE_SQL + f""",
