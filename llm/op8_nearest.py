@@ -26,6 +26,7 @@ Defined results
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from collections.abc import Iterator
 
@@ -39,7 +40,8 @@ from llm.common import materialize, read
 K, EVERY = 20, 20
 BLOCK, CHUNK = 8192, 256
 _SLACK = 1e-9  # relative, far above the rounding of the bounds themselves
-_PARTS = ("ids", "codes", "scales", "norms", "errors")
+_PARTS = ("ids", "codes", "scales", "norms", "errors", "marks")
+_FOUND = ("ids", "low", "high", "marks")
 _BLOCK_SCHEMA = "dim int, block int, " + ", ".join(f"{c} binary" for c in _PARTS)
 
 
@@ -65,28 +67,51 @@ def once(rows: DataFrame) -> DataFrame:
     return materialize(rows.join(again, ["vec_id", "dim"], "left_anti").unionByName(least), "vectors")
 
 
-def pack(table: pa.Table) -> pa.Table:
-    """One block: ids, int8 codes, scales, norms and error norms as packed arrays."""
-    dim = table.column("dim")[0].as_py()
-    ids = table.column("vec_id").to_numpy()
-    x = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-    codes, scale, err = quantise(x)
-    norm = np.sqrt((x ** 2).sum(axis=1))
-    return pa.table({"dim": pa.array([dim], pa.int32()), "block": table.column("block").slice(0, 1).cast(pa.int32()),
-                     **{c: pa.array([v.tobytes()], pa.binary()) for c, v in zip(_PARTS, (ids, codes, scale, norm, err))}})
+def pack(most: int | None):
+    """Task: one block: ids, int8 codes, scales, norms, error norms and a checksum of each vector, as packed arrays.
+
+    Of equal vectors only the ``most`` smallest ids stay: ties go to the smaller id, so later ones are no result."""
+    def run(table: pa.Table) -> pa.Table:
+        dim = table.column("dim")[0].as_py()
+        ids = table.column("vec_id").to_numpy()
+        x = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim) + 0.0  # -0 is 0
+        if most is not None:
+            _, same = np.unique(np.ascontiguousarray(x).view(np.dtype((np.void, 8 * dim))).ravel(), return_inverse=True)
+            keep = smallest_of_each([same], ids, most)
+            ids, x = ids[keep], x[keep]
+        codes, scale, err = quantise(x)
+        norm = np.sqrt((x ** 2).sum(axis=1))
+        mark = np.array([int.from_bytes(hashlib.blake2b(v.tobytes(), digest_size=8).digest(), "little", signed=True) for v in x],
+                        dtype=np.int64)
+        parts = (ids, codes, scale, norm, err, mark)
+        return pa.table({"dim": pa.array([dim], pa.int32()), "block": table.column("block").slice(0, 1).cast(pa.int32()),
+                         **{c: pa.array([v.tobytes()], pa.binary()) for c, v in zip(_PARTS, parts)}})
+    return run
+
+
+def smallest_of_each(keys: list[np.ndarray], ids: np.ndarray, most: int) -> np.ndarray:
+    """Places of the ``most`` smallest ids among entries that are equal in all ``keys``."""
+    order = np.lexsort((ids, *keys))
+    new = np.zeros(len(ids), dtype=bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[order][1:] != k[order][:-1]
+    first = np.maximum.accumulate(np.where(new, np.arange(len(ids)), 0))
+    return np.sort(order[np.arange(len(ids)) - first < most])
 
 
-def pack_blocks(rows: DataFrame, n: int) -> DataFrame:
+def pack_blocks(rows: DataFrame, n: int, most: int | None = None) -> DataFrame:
     """Blocks of about BLOCK rows."""
     blocks = max(1, -(-n // BLOCK))
     keyed = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    return keyed.groupBy("dim", "block").applyInArrow(pack, _BLOCK_SCHEMA)
+    return keyed.groupBy("dim", "block").applyInArrow(pack(most), _BLOCK_SCHEMA)
 
 
 def unpack(row: pa.Table) -> tuple[np.ndarray, ...]:
-    ids, codes, *rest = (row.column(c)[0].as_py() for c in _PARTS)
+    ids, codes, *rest, mark = (row.column(c)[0].as_py() for c in _PARTS)
     ids = np.frombuffer(ids, dtype=np.int64)
-    return ids, np.frombuffer(codes, dtype=np.int8).reshape(len(ids), -1), *(np.frombuffer(r) for r in rest)
+    return (ids, np.frombuffer(codes, dtype=np.int8).reshape(len(ids), -1), *(np.frombuffer(r) for r in rest),
+            np.frombuffer(mark, dtype=np.int64))
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -97,10 +122,10 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, scale, np.sqrt(((x - codes * scale[:, None]) ** 2).sum(axis=1))
 
 
-def search_tile(queries, candidates, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(query id, ids, lower and upper bounds) of the candidates of a tile that may be among each query's best k."""
-    q_ids, codes_q, scale_q, norm_q, err_q = queries
-    c_ids, codes_c, scale_c, norm_c, err_c = candidates
+def search_tile(queries, candidates, k: int) -> Iterator[tuple]:
+    """(query id, ids, lower and upper bounds, checksums) of the candidates of a tile that may be among each query's best k."""
+    q_ids, codes_q, scale_q, norm_q, err_q, _ = queries
+    c_ids, codes_c, scale_c, norm_c, err_c, marks = candidates
     kind = np.float32 if codes_q.shape[1] * 127 * 127 < 1 << 24 else np.float64
     codes_c = codes_c.astype(kind).T.copy()
     # |q.c - q'.c'| <= |q'| |c - c'| + |q - q'| |c|, and |q'| <= |q| + |q - q'|.
@@ -118,7 +143,7 @@ def search_tile(queries, candidates, k: int) -> Iterator[tuple[int, np.ndarray,
         alive = (about + bound >= limit[:, None]) & (about > -np.inf)
         for i in range(alive.shape[0]):
             j = np.flatnonzero(alive[i])
-            yield int(q_ids[start + i]), c_ids[j], low[i, j], about[i, j] + bound[i, j]
+            yield int(q_ids[start + i]), c_ids[j], low[i, j], about[i, j] + bound[i, j], marks[j]
 
 
 def tile(k: int):
@@ -129,17 +154,20 @@ def tile(k: int):
             out = list(search_tile(unpack(queries), unpack(candidates), k))
         dim = queries.column("dim")[0].as_py() if queries.num_rows else 0
         return pa.table({"dim": pa.array([dim] * len(out), pa.int32()), "query_id": pa.array([r[0] for r in out], pa.int64()),
-                         **{c: pa.array([r[i].tobytes() for r in out], pa.binary()) for i, c in enumerate(("ids", "low", "high"), 1)}})
+                         **{c: pa.array([r[i].tobytes() for r in out], pa.binary()) for i, c in enumerate(_FOUND, 1)}})
     return run
 
 
 def survivors(k: int):
-    """Task over tile rows sorted by query: the pairs whose upper bound reaches the k-th best lower bound of all tiles."""
-    def reach(ids, low, high):
+    """Task over tile rows sorted by query: the pairs whose upper bound reaches the k-th best lower bound of all tiles.
+    Equal vectors have equal bounds; of them only the k smallest ids can be results."""
+    def reach(*found):
+        ids, low, high, marks = found
         if len(low) > k:
-            may = high >= -np.partition(-low, k - 1)[k - 1]
-            return ids[may], low[may], high[may]
-        return ids, low, high
+            may = np.flatnonzero(high >= -np.partition(-low, k - 1)[k - 1])
+            may = may[smallest_of_each([marks[may], low[may], high[may]], ids[may], k)]
+            return tuple(x[may] for x in found)
+        return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, None
@@ -150,8 +178,8 @@ def survivors(k: int):
                                                pa.array(held[0])], names=["dim", "query_id", "vec_id"])
 
         for batch in batches:
-            for dim, query, *parts in zip(*(batch.column(c).to_pylist() for c in ("dim", "query_id", "ids", "low", "high"))):
-                mine = tuple(np.frombuffer(x, dtype=t) for x, t in zip(parts, (np.int64, np.float64, np.float64)))
+            for dim, query, *parts in zip(*(batch.column(c).to_pylist() for c in ("dim", "query_id", *_FOUND))):
+                mine = tuple(np.frombuffer(x, dtype=t) for x, t in zip(parts, (np.int64, np.float64, np.float64, np.int64)))
                 if (dim, query) != now:
                     if now is not None:
                         yield pairs()
@@ -194,14 +222,14 @@ def best_heaps(k: int):
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest other rows of every query row."""
     rows, asked = once(usable(vectors)), once(usable(queries))
-    candidates = materialize(pack_blocks(rows, rows.count()), "blocks")
+    candidates = materialize(pack_blocks(rows, rows.count(), k + 1), "blocks")  # one of them may be the query itself
     searched = materialize(pack_blocks(asked, asked.count()), "queries")
     pairs = searched.select("dim", F.col("block").alias("q")).join(
         candidates.select("dim", F.col("block").alias("c")), "dim")  # block numbers only: the list of tiles
     left = searched.withColumnRenamed("block", "q").join(pairs, ["dim", "q"])
     right = candidates.withColumnRenamed("block", "c").join(pairs, ["dim", "c"])
     found = (left.groupBy("dim", "q", "c").cogroup(right.groupBy("dim", "q", "c"))
-             .applyInArrow(tile(k), "dim int, query_id long, ids binary, low binary, high binary"))
+             .applyInArrow(tile(k), "dim int, query_id long, " + ", ".join(f"{c} binary" for c in _FOUND)))
     found = (found.repartition("query_id").sortWithinPartitions("query_id", "dim")
              .mapInArrow(survivors(k), "dim int, query_id long, vec_id long"))
     found = materialize(found, "survivors")
