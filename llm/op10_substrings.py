@@ -6,7 +6,7 @@ smaller doc_id.  All windows are judged on the input texts.
 1. Sketch.  Every task adds its windows (once per document and chunk) to
    count-min cells; only "none, one, two or more" is kept of a count.  Partial
    sketches travel as gap-coded cell lists, little more than one byte per window
-   and sketch row, and are merged segment by segment.  The merged sketch, one bit per cell
+   and sketch row, and are merged segment by segment, in parts where a segment gets many.  The merged sketch, one bit per cell
    (estimate two or more), is the only broadcast: ``SKETCH_ROWS * width / 8``
    bytes, where ``width`` follows the corpus up to ``MAX_WIDTH``.
 2. Exact pass.  Windows whose estimate is two or more (an overestimate, so no
@@ -48,7 +48,9 @@ from llm.words import Words, mix64, slices, tidy, tidy_group
 WINDOW = 13
 SKETCH_ROWS = 2
 MIN_WIDTH, MAX_WIDTH = 1 << 16, 1 << 30
-SEGMENTS = 64
+# Cells of a merged segment at most, segments at least, and bytes of partial sketches that one merge task reads about.
+SEGMENT_CELLS, MIN_SEGMENTS = 1 << 22, 64
+MERGE_BYTES = 256 << 20
 # Windows that a task settles together, text bytes a final group, bytes of requests a bucket.
 CHUNK_WINDOWS = 400_000
 GROUP_BYTES = 8 << 20
@@ -64,6 +66,11 @@ def sketch_width(text_bytes: int) -> int:
     return width
 
 
+def segments(width: int) -> int:
+    """Segments of a sketch row: merge tasks grow with the sketch."""
+    return max(MIN_SEGMENTS, width // SEGMENT_CELLS)
+
+
 def cells(h: np.ndarray, row: int, width: int) -> np.ndarray:
     """Sketch cell of each window hash in a sketch row."""
     with np.errstate(over="ignore"):
@@ -129,6 +136,9 @@ def window_chunks(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tupl
 
 def sketch_parts(width: int):
     """Task: partial sketches as rows (row, segment, gap-coded cells)."""
+    n_segments = segments(width)
+    size = width // n_segments
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, _, rows, _, (h,) in window_chunks(batches, 1):
             order = np.argsort(h, kind="stable")  # equal windows: by row, so by document
@@ -142,33 +152,39 @@ def sketch_parts(width: int):
                     third = np.zeros(len(c), dtype=bool)
                     third[2:] = c[2:] == c[:-2]
                     c = c[~third]
-                size = width // SEGMENTS
-                cuts = np.searchsorted(c, np.arange(SEGMENTS + 1) * size)
-                blobs = [pack_sorted(c[cuts[s]:cuts[s + 1]] - s * size) for s in range(SEGMENTS)]
+                cuts = np.searchsorted(c, np.arange(n_segments + 1) * size)
+                some = np.flatnonzero(np.diff(cuts))
+                blobs = [pack_sorted(c[cuts[s]:cuts[s + 1]] - s * size) for s in some]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r * SEGMENTS + s for s in range(SEGMENTS)], pa.int32()), pa.array(blobs, pa.binary())],
+                    [pa.array(r * n_segments + some, pa.int32()), pa.array(blobs, pa.binary())],
                     names=["segment", "cells"])
     return run
 
 
-def merge_parts(width: int):
-    """Task over rows sorted by segment: bits of the cells that hold two or more."""
-    size = width // SEGMENTS
+def merge_parts(width: int, partly: bool):
+    """Task over rows sorted by segment (and part): bits of the cells that hold two or more, or, ``partly``,
+    the merged cell list, with a cell of two or more twice."""
+    size = width // segments(width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, one, two = None, None, None
 
         def done():
+            if partly:
+                blob = pack_sorted(np.sort(np.concatenate([np.flatnonzero(one), np.flatnonzero(two)])))
+                return pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int32()), pa.array([blob], pa.binary())],
+                                                  names=["segment", "cells"])
             return pa.RecordBatch.from_arrays(
-                [pa.array([now], pa.int32()), pa.array([zlib.compress(np.packbits(two).tobytes(), 1)], pa.binary())],
+                [pa.array([now[0]], pa.int32()), pa.array([zlib.compress(np.packbits(two).tobytes(), 1)], pa.binary())],
                 names=["segment", "bits"])
 
         for batch in batches:
-            for segment, blob in zip(batch.column("segment").to_pylist(), batch.column("cells")):
-                if segment != now:
+            keys = [batch.column("segment").to_pylist(), batch.column("part").to_pylist()]
+            for segment, part, blob in zip(*keys, batch.column("cells")):
+                if (segment, part) != now:
                     if now is not None:
                         yield done()
-                    now, one, two = segment, np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
+                    now, one, two = (segment, part), np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
                 c = unpack_sorted(blob.as_py())
                 repeat = np.zeros(len(c), dtype=bool)
                 repeat[1:] = c[1:] == c[:-1]
@@ -181,14 +197,24 @@ def merge_parts(width: int):
     return run
 
 
-def build_sketch(docs: DataFrame, width: int) -> list[list[bytes]]:
-    """Merged sketch: for each row its compressed segments, one bit per cell (estimate of two or more)."""
+def build_sketch(docs: DataFrame, width: int, n_bytes: int) -> list[list[bytes]]:
+    """Merged sketch: for each row its compressed segments, one bit per cell (estimate of two or more).
+
+    The partial sketches (about a byte per window, a third of the text) of a segment are merged in parts of about
+    ``MERGE_BYTES``, then the parts; a part is no larger than the segment, whatever the corpus."""
+    n = segments(width)
     parts = docs.mapInArrow(tidy(sketch_parts(width)), "segment int, cells binary")
-    merged = (parts.repartition(SEGMENTS, "segment").sortWithinPartitions("segment")
-              .mapInArrow(tidy(merge_parts(width)), "segment int, bits binary"))
+    ways = partitions_for(n_bytes // 3 // n, MERGE_BYTES)
+    if ways > 1:
+        parts = parts.withColumn("part", F.pmod(F.xxhash64("cells"), F.lit(ways)).cast("int"))
+        parts = (parts.repartition(n * ways, "segment", "part").sortWithinPartitions("segment", "part")
+                 .mapInArrow(tidy(merge_parts(width, True)), "segment int, cells binary"))
+    parts = parts.withColumn("part", F.lit(0))
+    merged = (parts.repartition(SKETCH_ROWS * n, "segment").sortWithinPartitions("segment")
+              .mapInArrow(tidy(merge_parts(width, False)), "segment int, bits binary"))
     bits = {r["segment"]: bytes(r["bits"]) for r in merged.collect()}  # SKETCH_ROWS * width / 8 bytes at most
-    empty = zlib.compress(bytes(width // SEGMENTS // 8), 1)
-    return [[bits.get(r * SEGMENTS + s, empty) for s in range(SEGMENTS)] for r in range(SKETCH_ROWS)]
+    empty = zlib.compress(bytes(width // n // 8), 1)
+    return [[bits.get(r * n + s, empty) for s in range(n)] for r in range(SKETCH_ROWS)]
 
 
 def open_sketch(sketch: list[list[bytes]]) -> list[np.ndarray]:
@@ -266,12 +292,11 @@ def ask(sketch, width: int, buckets: int, groups: int):
                 out.append((g % buckets, g, d, t, p, None, None))
             bucket = (keys[0][open_] % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
-            for k in range(buckets):
-                o = open_[by[cuts[k]:cuts[k + 1]]]
-                if len(o):
-                    out.append((k, None, pack_ints(ids[rows[o]]), pack_ints(tags[rows[o]]), pack_ints(places[o]),
-                                keys[0][o].tobytes(), keys[1][o].tobytes()))
+            some, first = np.unique(bucket[by], return_index=True)  # only buckets that are asked
+            for k, a, b in zip(some.tolist(), first, np.r_[first[1:], len(by)]):
+                o = open_[by[a:b]]
+                out.append((k, None, pack_ints(ids[rows[o]]), pack_ints(tags[rows[o]]), pack_ints(places[o]),
+                            keys[0][o].tobytes(), keys[1][o].tobytes()))
             if out:
                 col = list(zip(*out))
                 kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 5
@@ -365,7 +390,7 @@ def dedup_substrings(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
     buckets = partitions_for(n_bytes * 20 // 18, BUCKET_BYTES)
     docs = df.filter(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(
         F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), F.col(text).alias("text"))
-    sketch = spark.sparkContext.broadcast(build_sketch(docs, width))
+    sketch = spark.sparkContext.broadcast(build_sketch(docs, width, n_bytes))
     asked = docs.mapInArrow(tidy(ask(sketch, width, buckets, groups)), _ASK)
     flags = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
         tidy_group(answer(groups)), "__grp int, __doc binary, __tags binary, __place binary")
