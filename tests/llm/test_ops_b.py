@@ -228,8 +228,8 @@ def test_bounds_hold_for_every_pair():
 
     def block(x, first):
         codes, scale, err = ann.quantise(x)
-        return np.arange(first, first + len(x)), codes, scale, np.sqrt((x ** 2).sum(axis=1)), err
-    for query, ids, low, high in ann.search_tile(block(q, 1000), block(c, 0), 5):
+        return np.arange(first, first + len(x)), codes, scale, np.sqrt((x ** 2).sum(axis=1)), err, np.zeros(len(x))
+    for query, ids, low, high, _ in ann.search_tile(block(q, 1000), block(c, 0), 5):
         exact = c @ q[query - 1000]
         assert (low <= exact[ids]).all() and (exact[ids] <= high).all()
         assert set(np.argsort(-exact)[:5]) <= set(ids)
@@ -377,9 +377,10 @@ def brute_substrings(docs):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("chunk", [50, 10 ** 6])
-def test_substrings_equal_brute_force(spark, monkeypatch, chunk):
+@pytest.mark.parametrize("chunk, merge", [(50, 100), (10 ** 6, 1 << 28)])
+def test_substrings_equal_brute_force(spark, monkeypatch, chunk, merge):
     monkeypatch.setattr(subs, "CHUNK_WINDOWS", chunk)
+    monkeypatch.setattr(subs, "MERGE_BYTES", merge)  # partial sketches merged in several parts, and at once
     monkeypatch.setattr(subs, "GROUP_BYTES", 2000)
     shared = long_text(60, 77, 10 ** 6)
     docs = [(i, f"{long_text(40, i)}\n {shared if i % 3 == 0 else ''} {long_text(9, i + 500)} ") for i in range(60)]
