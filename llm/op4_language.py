@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from llm.common import materialize, read
 from llm.words import derive, mix64, release, slices, text_buffer, tidy
+from salescast.session import broadcast_bounded
 
 DIMS = 4096
 CLUSTERS = 4
@@ -158,17 +159,19 @@ def fit(train: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "
     spark = train.sparkSession
     labelled = train.filter(F.col(lang).isNotNull())
     counts = materialize(labelled.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n")), "languages")
-    if not counts.limit(1).count():
+    n_langs = counts.count()
+    if not n_langs:
         return Model(np.zeros(DIMS, np.float32), [], np.zeros((0, DIMS), np.float32), np.zeros(0, np.float32))
     # Rows by hash of key and text (so that null or repeated keys are drawn like others).  About 1.2 x per_lang
     # pass the hash; of equal rows one stays; the per_lang smallest hashes of each language reach Python.
     parts = 1_000_000
     share = F.least(F.lit(parts), F.ceil(F.lit(parts * 1.2 * per_lang) / F.col("n")))
     drawn = (labelled.select(F.col(lang).alias("lang"), F.xxhash64(F.col(key), F.col(text)).alias("h"), F.lower(text).alias("text"))
-             .join(counts, "lang").filter(F.pmod("h", F.lit(parts)) < share).filter(F.col("text").rlike(LETTER)).drop("n"))
+             .join(broadcast_bounded(counts, n_langs), "lang").filter(F.pmod("h", F.lit(parts)) < share).filter(F.col("text").rlike(LETTER)).drop("n"))
     least = Window.partitionBy("lang").orderBy("h")  # about 1.2 x per_lang hashes a language
     chosen = drawn.select("lang", "h").distinct().withColumn("place", F.row_number().over(least))
     chosen = chosen.filter(F.col("place") <= per_lang).select("lang", "h")
+    chosen = broadcast_bounded(chosen, n_langs * per_lang)
     drawn = drawn.join(chosen, ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"])
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
