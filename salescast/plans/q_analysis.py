@@ -308,10 +308,8 @@ s AS (SELECT (SELECT count(*) FROM a) AS n_left, (SELECT count(*) FROM b) AS n_r
 def q_artist_coverage(spark, sf_dir):
     """Line-up artists covered by metric snapshots."""
     from salescast.functions.text import with_normalized
-    from salescast.session import table_rows
-    artists = table_rows(spark, f"{sf_dir}/customer.parquet")   # artist names are customer names
-    lu = with_normalized(testbed.lineup_bridge(spark, sf_dir), "artist", bound_rows=artists)
-    snaps = with_normalized(testbed.artist_snapshots(spark, sf_dir), "artist", bound_rows=artists)
+    lu = with_normalized(testbed.lineup_bridge(spark, sf_dir), "artist")
+    snaps = with_normalized(testbed.artist_snapshots(spark, sf_dir), "artist")
     return finish(an.coverage(lu, snaps, "artist"))
 
 
@@ -325,13 +323,12 @@ def q_artist_coverage_filtered(spark, sf_dir):
     """The same coverage for the line-ups of the events that the size filter keeps."""
     from salescast.functions.text import with_normalized
     from salescast.session import broadcast_bounded, table_rows
-    artists = table_rows(spark, f"{sf_dir}/customer.parquet")
     sizes = testbed.tickets(spark, sf_dir).groupBy("event_name").agg(F.count(F.lit(1)).alias("n"))
     kept = sizes.where((F.col("n") > LO) & (F.col("n") < HI)).select("event_name")
     kept = broadcast_bounded(kept, table_rows(spark, f"{sf_dir}/supplier.parquet"))
     lu = testbed.lineup_bridge(spark, sf_dir).join(kept, "event_name", "left_semi")
-    snaps = with_normalized(testbed.artist_snapshots(spark, sf_dir), "artist", bound_rows=artists)
-    return finish(an.coverage(with_normalized(lu, "artist", bound_rows=artists), snaps, "artist"))
+    snaps = with_normalized(testbed.artist_snapshots(spark, sf_dir), "artist")
+    return finish(an.coverage(with_normalized(lu, "artist"), snaps, "artist"))
 
 
 # ----------------------------------------------------------------- A33 A20

@@ -153,7 +153,7 @@ def q_canonical_event_name(spark, sf_dir):
 @register("normalize_text", "WITH d AS (SELECT doc_id, " + norm("text") + " AS text_norm FROM documents)\n"
           + typed_select("d", [("doc_id", "l"), ("text_norm", "s")]))
 def q_normalize_text(spark, sf_dir):
-    """NFKD/ASCII/lower/strip over whole documents (Arrow-batched UDF)."""
+    """NFKD/ASCII/lower/strip over whole documents; Python gets only texts beyond ASCII, a few at a time."""
     d = testbed.read(spark, sf_dir, "documents").select("doc_id", "text")
     return finish(d.select("doc_id", normalize_text(F.col("text")).alias("text_norm")))
 

@@ -328,7 +328,7 @@ def load_tables(spark: SparkSession, tickets: str, line_up: str | None = None, a
 
 
 def normalise_table(df: DataFrame, keys: Sequence[str] = (), dates: Sequence[str] = ()) -> DataFrame:
-    """Key columns folded (X01, once per distinct value), date columns read as UTC
+    """Key columns folded (X01), date columns read as UTC
     timestamps; columns that are not there are passed over."""
     from salescast.functions.text import with_normalized
 
