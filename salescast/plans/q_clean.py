@@ -332,6 +332,7 @@ def processed_tickets(spark, sf_dir):
     R.require_columns(t, ["event_name", "event_date", "barcode", "product_value", "first_event_date_start"])
     daily = daily_weather(testbed.weather_raw(spark, sf_dir))
     t = join_weather(t, daily, testbed.weather_key(F.col("first_event_date_start")))
+    t = t.select(*[c for c in PROC_COLS if c in t.columns])
     t = fill_global_mean(materialize(t, "weather_joined"))  # read for the means and for the rows
     t = (t.withColumn("event_date", F.coalesce("event_date", "first_event_date_start"))
          .withColumn("first_event_date_start_with_time", F.col("first_event_date_start"))
