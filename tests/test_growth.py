@@ -1,10 +1,18 @@
 """Steps whose memory, shuffles and writes may not outgrow the input."""
 
+import datetime as dt
+import random
 import unicodedata
 
 from pyspark.sql import functions as F
 
 from salescast.functions.text import normalize_text, with_normalized
+from salescast.operators import clean as C
+from salescast.operators import pipeline as pipe
+from salescast.operators.artists import artist_asof, artist_block
+from salescast.sources import testbed
+
+SF = "/root/testdata/sf0.001"
 
 
 def plan(df):
@@ -28,3 +36,72 @@ def test_names_are_normalised_without_shuffle(spark):
     got = with_normalized(df, "name")
     assert sorted(tuple(r) for r in got.select("i", "name").collect()) == [(1, "a"), (2, "elan"), (3, None)]
     assert "Exchange" not in plan(got) and "Join" not in plan(got)
+
+
+# ---- ticket rows
+
+def test_dealt_tickets_keep_the_same_rows(spark):
+    rng = random.Random(5)
+    rows = [(f"{i % 40}-{rng.randrange(3)}", str(i % 40), rng.choice(["shop_f", "shop_o", None]),
+             rng.choice([None, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)]), rng.choice([None, 1.0, 2.0]), "e", i)
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "barcode string, __order string, data_source string, verkoopdatum timestamp_ntz, "
+                                     "product_value double, event_name string, line_no int")
+    want = C.dedup_tickets(df)
+    got = C.dedup_tickets(df.repartition("__order"), dealt_by="__order")
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    assert plan(got).count("Exchange") == 1  # the given one
+
+
+def ticket_files(spark, folder, orders, lines):
+    ts = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([(o, n, 1, ts, 1.0, p, 0.1, 0.1, "N", "F") for o, n, p in lines],
+                          "l_orderkey long, l_linenumber int, l_suppkey long, l_shipdate timestamp_ntz, l_quantity double, "
+                          "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+                          ).write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(o, 1, "1-URGENT") for o in orders], "o_orderkey long, o_custkey long, o_orderpriority string"
+                          ).write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame([(1, 1, "MACHINERY")], "c_custkey long, c_nationkey int, c_mktsegment string").write.parquet(f"{folder}/customer.parquet")
+    spark.createDataFrame([(1, "N", 0)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{folder}/nation.parquet")
+    spark.createDataFrame([(1, "s", 3000.0)], "s_suppkey long, s_name string, s_acctbal double").write.parquet(f"{folder}/supplier.parquet")
+
+
+def test_odd_order_keys_meet_their_buyers(spark, tmp_path):
+    """Null and negative keys, copies of a barcode, a repeated order: as by two separate steps."""
+    lines = [(5, None, 9.0), (None, 5, 1.0), (None, None, 1.0), (-5, 1, 2.0), (-5, 1, 1.0), (None, -5, 1.0), (7, 1, 3.0),
+             (7, 1, 3.5), (7, 2, 1.0), (8, 1, 1.0)]
+    ticket_files(spark, tmp_path, [5, -5, 7, 7, None], lines)
+    got = testbed.tickets(spark, str(tmp_path), with_buyer=True, dedup=True)
+    apart, b = testbed.tickets(spark, str(tmp_path), dedup=True), testbed.buyers(spark, str(tmp_path))
+    want = apart.join(b, apart.order_key == b.o_orderkey).drop("o_orderkey")
+    assert set(got.columns) == set(want.columns)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect())) and got.count() >= 5
+
+
+def test_ticket_rows_are_moved_once_and_written_once(spark, monkeypatch):
+    t = testbed.tickets(spark, SF, with_buyer=True, dedup=True)
+    assert "SinglePartition" not in plan(t) and plan(t).count("REPARTITION_BY_COL") == 1
+    assert not [line for line in plan(t).splitlines() if "Exchange hashpartitioning(barcode" in line]
+    written = []
+    keep = pipe.materialize
+    monkeypatch.setattr(pipe, "materialize", lambda df, label="t": written.append(label) or keep(df, label))
+    pipe.prepare_tickets(testbed.tickets_full(spark, SF), testbed.known_cities(spark, SF), None, None, name_bound=10, city_bound=25)
+    assert written == ["tickets_in"]
+
+
+# ---- artists
+
+def test_artist_matches_are_not_moved_by_artist(spark):
+    d = dt.date
+    lineup = spark.createDataFrame([("e", "x", d(2024, 7, 20)), ("e", "x", d(2024, 1, 20)), ("e", "y", d(2024, 7, 20)),
+                                    ("f", "x", d(2023, 2, 20)), ("f", None, d(2024, 7, 20)), ("f", "y", None)],
+                                   "event_name string, artist string, event_date date")
+    snaps = spark.createDataFrame([("x", d(2024, 6, 1), 200.0), ("x", d(2023, 1, 1), 1.0), ("y", d(2024, 1, 1), 300.0)],
+                                  "artist string, Date date, SpotifyFollowers double")
+    matched = artist_asof(lineup, snaps, 7)
+    got = {tuple(r) for r in matched.select("event_name", "artist", "prediction_date", "SpotifyFollowers").collect()}
+    assert got == {("e", "x", d(2024, 7, 13), 200.0), ("e", "y", d(2024, 7, 13), 300.0), ("f", "x", d(2023, 2, 13), 1.0)}
+    assert "Exchange hashpartitioning(event_name" not in plan(matched)
+    events = spark.createDataFrame([("e",), ("f",)], "event_name string")
+    a, b = (sorted(map(tuple, artist_block(matched, events, one_row_each=one).collect())) for one in (False, True))
+    assert a == b
