@@ -6,8 +6,9 @@ import unicodedata
 
 from pyspark.sql import functions as F
 
-from salescast.functions.text import normalize_text, with_normalized
+from salescast.functions.text import clean_city, normalize_text, with_normalized
 from salescast.operators import clean as C
+from salescast.operators import cube
 from salescast.operators import pipeline as pipe
 from salescast.operators.artists import artist_asof, artist_block
 from salescast.sources import testbed
@@ -38,6 +39,24 @@ def test_names_are_normalised_without_shuffle(spark):
     assert "Exchange" not in plan(got) and "Join" not in plan(got)
 
 
+def test_names_do_not_pass_through_python(spark):
+    rng = random.Random(7)
+    pool = [chr(c) for c in (*range(1, 0xD800), *range(0xE000, 0x30000))]
+    odd = [c for c in pool if ord(c) > 127 and unicodedata.decomposition(c)]
+    names = [f"A{c}b" for c in odd] + ["".join(rng.choices(pool + odd, k=7)) for _ in range(500)] + ["", " x\t", None]
+    got = with_normalized(spark.createDataFrame(list(enumerate(names)), "i int, name string"), "name")
+    want = [None if s is None else unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode().strip().lower() for s in names]
+    assert [r["name"] for r in got.orderBy("i").collect()] == want
+    assert "EvalPython" not in plan(got)
+
+
+def test_cities_are_cleaned_as_by_patterns_alone(spark):
+    cities = ["Rome", " New  York\t", "\nA\x0bB\fc\r", "\u00a0x", "", "  ", None]
+    df = spark.createDataFrame([(c,) for c in cities], "c string")
+    plain = F.regexp_replace(F.regexp_replace(F.lower("c"), r"^\s+|\s+$", ""), r"\s+", " ")
+    assert [r[0] for r in df.select(clean_city(F.col("c"))).collect()] == [r[0] for r in df.select(plain).collect()]
+
+
 # ---- ticket rows
 
 def test_dealt_tickets_keep_the_same_rows(spark):
@@ -89,6 +108,62 @@ def test_ticket_rows_are_moved_once_and_written_once(spark, monkeypatch):
     assert written == ["tickets_in"]
 
 
+def test_dealt_tickets_are_sorted_by_numbers(spark):
+    t = plan(testbed.tickets(spark, SF, with_buyer=True, dedup=True))
+    ranked = next(line for line in t.splitlines() if "Window [" in line)
+    assert "barcode" not in ranked and "__line" in ranked and "regexp_extract" not in t
+
+
+# ---- horizon cube
+
+def odd_tickets(spark, n=600):
+    rng, rows = random.Random(11), []
+    for i in range(n):
+        lead = rng.choice([None, -3, *range(60)])
+        start = dt.datetime(2024, 7, 20)
+        rows.append((f"e{i % 3}", None if lead is None else start - dt.timedelta(days=lead), f"b{i}", start, start, rng.choice([None, 20.0, 35.5]),
+                     rng.choice(["male", "female", None]), rng.choice(["x", "y"]), float(i % 7), 2.0, i % 2, None, rng.choice([None, 20.0 + i % 3]),
+                     10.0, 0.0, 5.0, lead))
+    return spark.createDataFrame(rows, "event_name string, verkoopdatum timestamp_ntz, barcode string, first_event_date_start timestamp_ntz, "
+                                       "last_event_date_end timestamp_ntz, age double, gender string, city_standardized string, product_value double, "
+                                       "total_price double, product_is_scanned int, max_capacity double, t_max double, t_min double, rain_fall double, "
+                                       "max_wind double, days_until_event long")
+
+
+def test_the_cube_keeps_only_counts_by_day(spark):
+    made = cube.build_cube(odd_tickets(spark), (30, 7))
+    assert made.days.columns == ["event_name", "d", "n"] and made.spans.count() <= 3 * 3  # two horizons and none
+    assert made.days.where("d < 7").count() == 0 and made.days.where("d IS NULL").count() == 3
+
+
+def test_figures_by_day_of_unknown_and_late_sales(spark):
+    """Against the day-by-day definition: unknown lead days lie on day T, earlier spans count for later horizons."""
+    t, lag = odd_tickets(spark), 40
+    got = {(r["event_name"], r["T"]): r for r in cube.features_at(cube.build_cube(t, (7, 30)), lag).collect()}
+    leads = {}
+    for r in t.select("event_name", "days_until_event").collect():
+        leads.setdefault(r[0], []).append(r[1])
+    for (e, T), r in got.items():
+        days = {}
+        for d in leads[e]:
+            if d is None or d >= T:
+                days[T if d is None else d] = days.get(T if d is None else d, 0) + 1
+        assert (r["__dmin"], r["__dmax"], r["cumulative_sales_at_t"]) == (min(days), max(days), sum(days.values()))
+        assert r[f"sales_last_{lag}_days"] == sum(n for d, n in days.items() if d < T + lag)
+        assert abs(r["avg_acceleration"] - (days[max(days)] - days[min(days)]) / len(days)) < 1e-12
+        assert r["full_event_tickets"] == len(leads[e])
+    assert len(got) == 6
+
+
+def test_only_rows_whose_weather_is_read_are_filled(spark):
+    args = (testbed.tickets_full(spark, SF), testbed.known_cities(spark, SF), None, None, 10, 25)
+    rows, fill = pipe.unfilled_tickets(*args)
+    made = cube.build_cube(rows, (90,), 10, fill)
+    whole = cube.build_cube(pipe.prepare_tickets(*args), (90,), 10)
+    assert "gmed" in plan(made.values) and "gmed" not in plan(made.days) + plan(made.cities)
+    assert sorted(map(str, made.values.collect())) == sorted(map(str, whole.values.collect()))
+
+
 # ---- artists
 
 def test_artist_matches_are_not_moved_by_artist(spark):
