@@ -75,8 +75,10 @@ class TargetsNotMet(ValueError):
     """The cells cannot have the wanted shares: a marginal stays further off than ``DEVIATION``."""
 
 
-def checked(worst: float, strict: bool) -> None:
-    """Given targets that are not met are an error; softened observed shares need not fit together, so they only warn."""
+def checked(off: list[float], given: list[bool]) -> None:
+    """Given targets that are not met are an error; softened observed shares need not fit together, so they only warn.
+    ``off``, how far the final shares are from their targets, and ``given`` are by axis."""
+    worst, strict = max(off), any(x > DEVIATION and g for x, g in zip(off, given))
     if worst > DEVIATION:
         text = (f"after {RAKE_ROUNDS} rounds a share is still {worst:.4f} off its target; the source, language and "
                 f"topic shares contradict each other in these documents")
@@ -85,20 +87,25 @@ def checked(worst: float, strict: bool) -> None:
         warnings.warn(text, stacklevel=2)
 
 
-def rake_cells(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], strict: bool = True) -> np.ndarray:
+def rake_cells(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray],
+               given: list[bool] | None = None) -> np.ndarray:
     """Iterative proportional fitting of cells (tokens and a value number per axis) to shares per axis.
-    Raises :class:`TargetsNotMet` (or warns) where the fit ends far from a target."""
+    Raises :class:`TargetsNotMet` where the fit ends far from a ``given`` target (all, if not said), else warns."""
+    def off(code, target):
+        now = np.bincount(code, weights=w, minlength=len(target))
+        return now, float(np.abs(now - target)[now > 0].max(initial=0.0))
+
     w, worst = tokens / tokens.sum(), 0.0
     for _ in range(RAKE_ROUNDS):
         worst = 0.0
         for code, target in zip(codes, targets):
-            now = np.bincount(code, weights=w, minlength=len(target))
+            now, far = off(code, target)
             ratio = np.divide(target, now, out=np.ones_like(now), where=now > 0)
-            worst = max(worst, float(np.abs(now - target)[now > 0].max(initial=0.0)))
+            worst = max(worst, far)
             w = w * ratio[code]
         if worst < RAKE_TOLERANCE:
             break
-    checked(worst, strict)
+    checked([off(code, target)[1] for code, target in zip(codes, targets)], given or [True] * len(codes))
     return w
 
 
@@ -146,7 +153,7 @@ def local_probabilities(cells: DataFrame, targets: dict, budget: float, power: f
         codes.append(np.array([place[r[a]] for r in rows]))
         observed = np.bincount(codes[-1], weights=tokens, minlength=len(names)) / tokens.sum()
         wanted.append(target_shares(names, observed, targets.get(axis), power))
-    raked = rake_cells(tokens, codes, wanted, bool(targets))
+    raked = rake_cells(tokens, codes, wanted, [axis in targets for axis in AXES])
     p = calibrate(raked / (tokens / tokens.sum()), tokens, budget)
     out = [(r["s"], r["l"], r["t"], float(w), float(x)) for r, w, x in zip(rows, raked, p)]
     return cells.sparkSession.createDataFrame(out, SCHEMA)
@@ -185,19 +192,24 @@ def table_probabilities(cells: DataFrame, total: int, targets: dict, budget: flo
     cells = materialize(cells.withColumns({f"k{a}": key_of(F.col(a)) for a in AXES.values()}), "cells")
     share = F.col("n") / F.lit(float(total))
     factors = {a: table_targets(cells, a, total, targets.get(axis), power) for axis, a in AXES.items()}
+
+    def shares_now(a: str) -> tuple[DataFrame, Column, Column]:
+        """The axis with ``rest``, whether a value is in use, and how far its share is from its target."""
+        x, w = cells, share
+        for other in factors:
+            if other != a:
+                x = x.join(factors[other].select(f"k{other}", f"f{other}"), f"k{other}")
+                w = w * F.col(f"f{other}")
+        now = x.groupBy(f"k{a}").agg(F.sum(w).alias("rest")).withColumnRenamed(f"k{a}", "k")
+        now = factors[a].drop("off").join(now, F.col(f"k{a}") == F.col("k"))
+        used = F.col(f"f{a}") * F.col("rest") > 0
+        return now, used, F.when(used, F.abs(F.col(f"f{a}") * F.col("rest") - F.col("target"))).otherwise(F.lit(0.0))
+
     written, worst = {}, 0.0
     for _ in range(RAKE_ROUNDS):
         worst = 0.0
         for a in factors:
-            x, w = cells, share
-            for other in factors:
-                if other != a:
-                    x = x.join(factors[other].select(f"k{other}", f"f{other}"), f"k{other}")
-                    w = w * F.col(f"f{other}")
-            now = x.groupBy(f"k{a}").agg(F.sum(w).alias("rest")).withColumnRenamed(f"k{a}", "k")
-            now = factors[a].join(now, F.col(f"k{a}") == F.col("k"))
-            used = F.col(f"f{a}") * F.col("rest") > 0
-            off = F.when(used, F.abs(F.col(f"f{a}") * F.col("rest") - F.col("target"))).otherwise(F.lit(0.0))
+            now, used, off = shares_now(a)
             new = F.when(used, F.col("target") / F.col("rest")).otherwise(F.col(f"f{a}"))
             factors[a] = materialize(now.select(f"k{a}", "target", new.alias(f"f{a}"), off.alias("off")), "factors")
             if a in written:
@@ -206,7 +218,8 @@ def table_probabilities(cells: DataFrame, total: int, targets: dict, budget: flo
             worst = max(worst, factors[a].agg(F.max("off").alias("x")).first()["x"])
         if worst < RAKE_TOLERANCE:
             break
-    checked(worst, bool(targets))
+    finals = [shares_now(a) for a in factors]
+    checked([now.agg(F.max(off).alias("x")).first()["x"] for now, _, off in finals], [axis in targets for axis in AXES])
     ratio = F.lit(1.0)
     for a in factors:
         cells = cells.join(factors[a].select(f"k{a}", f"f{a}"), f"k{a}")
