@@ -42,7 +42,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import SPACE, partitions_for, read, total_bytes
+from llm.common import SPACE, partitions_for, read, small_batches, total_bytes
 from llm.words import Words, mix64, slices, tidy, tidy_group
 
 WINDOW = 13
@@ -381,6 +381,7 @@ def apply_flags(columns: list[str], text: str, doc_id: str):
 def dedup_substrings(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with repeated windows cut out of ``text``, plus n_words and n_removed."""
     spark = df.sparkSession
+    small_batches(df)
     df = df.drop("n_words", "n_removed")
     columns = df.columns
     n_bytes = total_bytes(df, text)

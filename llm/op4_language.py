@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from llm.common import materialize, read
+from llm.common import materialize, read, small_batches
 from llm.words import derive, mix64, release, slices, text_buffer, tidy
 from salescast.session import broadcast_bounded
 
@@ -157,6 +157,7 @@ def fit(train: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "
         per_lang: int = SAMPLE_PER_LANG) -> Model:
     """Fit on a bounded sample of labelled rows (``per_lang`` texts of each language)."""
     spark = train.sparkSession
+    small_batches(train)
     labelled = train.filter(F.col(lang).isNotNull())
     counts = materialize(labelled.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n")), "languages")
     n_langs = counts.count()
@@ -214,6 +215,8 @@ def fit(train: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "
 
 def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``df`` plus lang_pred, score (cosine) and rejected."""
+    small_batches(df)
+
     @F.arrow_udf("struct<lang:string,score:double,rejected:boolean>")
     def classify(t: pa.Array) -> pa.Array:
         langs, scores, rejected = model.predict(t)

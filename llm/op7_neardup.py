@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import WORD, materialize, read
+from llm.common import WORD, materialize, read, small_batches
 from llm.words import Words, derive, mix64, slices, tidy
 from salescast.session import broadcast_bounded
 
@@ -157,18 +157,27 @@ def set_keys(elements: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
     """(group borders, rows) of sorted batches; a group that goes on is carried over."""
-    carry = None
+    carry: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        if carry is not None:
-            batch = pa.Table.from_batches([carry, batch]).combine_chunks().to_batches()[0]
         border = _borders(batch, keys)
+        if carry and len(border) == 2 and all(carry[-1].column(k)[-1].equals(batch.column(k)[0]) for k in keys):
+            carry.append(batch)  # nothing but more of that group
+            continue
+        if carry:
+            batch = _joined([*carry, batch])
+            border = _borders(batch, keys)
         if len(border) > 2:
             yield border[:-1], batch.slice(0, int(border[-2]))
-        carry = batch.slice(int(border[-2]))
-    if carry is not None:
-        yield _borders(carry, keys), carry
+        carry = [batch.slice(int(border[-2]))]
+    if carry:
+        rows = _joined(carry)
+        yield _borders(rows, keys), rows
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0] if len(batches) > 1 else batches[0]
 
 
 def _borders(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
@@ -376,6 +385,7 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, kept) of every row of ``df``, by shingles of ``width`` words.
     The ids must be whole numbers."""
+    small_batches(df)
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
     table = materialize(docs.mapInArrow(tidy(partial(features, width=width)), _FEATURES), "shingles")

@@ -9,6 +9,8 @@ import corpus_pipeline
 from llm import op3_mixing as mixing
 from llm import op4_language as language
 from llm import op5_packing as packing
+from llm import op7_neardup as neardup
+from llm import op10_substrings as substrings
 from test_ops_b import brute_components, brute_substrings
 
 SF = "/root/testdata/sf0.001"
@@ -77,3 +79,48 @@ def test_packing_stage_holds_every_token_once(results):
 def test_run_gives_the_last_stage(spark, results):
     got = {(r["doc_id"], r["piece"], r["n_tokens"]) for r in corpus_pipeline.run(spark, SF).collect()}
     assert got == {(r["doc_id"], r["piece"], r["n_tokens"]) for r in results[5]}
+
+
+def test_texts_reach_python_in_small_batches(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 4000, 1, 1).selectExpr(
+        "id AS doc_id", "array_join(transform(sequence(1, 200), i -> concat('word', id * 200 + i)), ' ') AS text")
+
+    def small(column):
+        if column.nbytes > 5 << 20:
+            raise ValueError(f"{column.nbytes} bytes of text at once")
+
+    def watched(task):
+        def run(batches, **options):
+            def seen():
+                for batch in batches:
+                    small(batch.column("text"))
+                    yield batch
+            return task(seen(), **options)
+        return run
+
+    sketch_parts = substrings.sketch_parts
+    monkeypatch.setattr(neardup, "features", watched(neardup.features))
+    monkeypatch.setattr(substrings, "sketch_parts", lambda width: watched(sketch_parts(width)))
+    model = language.fit(spark.createDataFrame([(1, "some words", "en"), (2, "viele Wörter", "de")], "doc_id long, text string, lang string"))
+    predict = model.predict
+    model.predict = lambda texts: (small(texts), predict(texts))[1]
+    for work in (neardup.near_duplicates, substrings.dedup_substrings, lambda d: language.predict(d, model)):
+        spark.conf.unset(key)
+        assert len(work(docs).collect()) == 4000
+    spark.conf.set(key, "100000")
+    neardup.near_duplicates(docs.limit(10))
+    assert spark.conf.get(key) == "100000"  # a smaller limit stays
+    spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 50])
+def test_groups_over_many_batches_come_whole(size):
+    import pyarrow as pa
+    keys = [0] * 7 + [1] + [2] * 12 + [3] * 2 + [4] * 9
+    rows = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(range(len(keys)))], names=["k", "v"])
+    out = []
+    for border, part in neardup.grouped((rows.slice(i, size) for i in range(0, len(keys), size)), ["k"]):
+        ks = part.column("k").to_pylist()
+        out += [ks[a:b] for a, b in zip(border[:-1], border[1:])]
+    assert out == [[k] * keys.count(k) for k in range(5)]
